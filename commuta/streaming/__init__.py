@@ -1,0 +1 @@
+"""Empty on purpose: every computation in scope is a batch over finished runs."""
