@@ -232,6 +232,47 @@ VIEWS["fx_od_location"] = """
 select c_custkey + 1 as location, c_custkey % (select count(*) from supplier) + 1 as zone from customer
 """
 
+VIEWS["fx_zone_raw"] = """
+select zone_id, concat('POLYGON ((', cast(x0 as varchar(30)), ' ', cast(y0 as varchar(30)), ', ', cast(x1 as varchar(30)), ' ',
+       cast(y0 as varchar(30)), ', ', cast(x1 as varchar(30)), ' ', cast(y1 as varchar(30)), ', ', cast(x0 as varchar(30)), ' ',
+       cast(y1 as varchar(30)), ', ', cast(x0 as varchar(30)), ' ', cast(y0 as varchar(30)), '))') as geometry
+from fx_taz
+"""
+
+VIEWS["fx_block_box"] = """
+select block_id, cast(block_no % 50 * 11 as double) / 1000 - 98 as x0, cast(block_no % 50 * 11 + 13 as double) / 1000 - 98 as x1,
+       cast((block_no * 3) % 50 * 10 as double) / 1000 + 30 as y0, cast((block_no * 3) % 50 * 10 + 17 as double) / 1000 + 30 as y1
+from fx_block
+"""
+
+VIEWS["fx_school"] = """
+select cast(p_partkey as varchar(20)) as ncessch, concat('48', lpad(cast(p_partkey % 7 * 2 + 1 as varchar(20)), 3, '0')) as county_code,
+       cast(p_partkey % 55 as double) / 100 - 98 as longitude, cast((p_partkey * 3) % 55 as double) / 100 + 30 as latitude,
+       cast(case when p_partkey % 9 = 0 then null when p_partkey % 10 = 0 then -5 else p_size * 10 end as double) as enrollment
+from part
+"""
+
+VIEWS["fx_college"] = """
+select c_custkey as unitid, c_name as inst_name, cast(c_custkey % 52 as double) / 100 - 98 as longitude,
+       cast((c_custkey * 7) % 52 as double) / 100 + 30 as latitude
+from customer
+"""
+
+VIEWS["fx_undergraduate"] = """
+select s_suppkey as unitid, cast(case when s_suppkey % 11 = 0 then null else (s_suppkey * 37) % 500 - 20 end as double) as enrollment_fall
+from supplier
+"""
+
+VIEWS["fx_graduate"] = """
+select p_partkey as unitid, cast((p_partkey * 13) % 90 - 5 as double) as enrollment_fall from part
+"""
+
+VIEWS["fx_gap_iteration"] = """
+select concat('iteration_', cast(o_orderkey % 12 as varchar(20))) as iter, o_orderkey % 12 as seq,
+       sum(cast(o_orderkey * 13 % 211 as double)) / count(*) as relative_gap_min0
+from orders group by o_orderkey % 12
+"""
+
 VIEWS["fx_demand_trip"] = """
 select o_orderkey + 1 as id, o_custkey % (select count(*) + 3 from supplier) + 1 as o,
        (o_custkey * 31 + o_orderkey) % (select count(*) from supplier) + 1 as d,
