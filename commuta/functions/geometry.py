@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,49 +69,43 @@ def rings_from_lists(rings: Column) -> Column:
 
 
 def _edges(points: Column) -> Column:
-    """Consecutive point pairs, the last point joined to the first."""
-    n = F.size(points)
-    return F.transform(
-        points, lambda p, i: F.struct(p.alias("a"), F.element_at(points, (i + 1) % n + 1).alias("b"))
-    )
-
-
-def _total(edges: Column, term) -> Column:
-    return F.aggregate(edges, F.lit(0.0), lambda acc, e: acc + term(e["a"], e["b"]))
-
-
-def _cross(a: Column, b: Column) -> Column:
-    return a["x"] * b["y"] - b["x"] * a["y"]
+    """Consecutive point pairs (a, b), the last point joined to the first."""
+    following = F.concat(F.slice(points, 2, F.greatest(F.size(points) - 1, F.lit(0))), F.slice(points, 1, 1))
+    return F.zip_with(points, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
 def centroid(geom: Column) -> Column:
-    """Area centroid of all rings, holes subtracted; coordinates are taken relative to a corner."""
-    origin = geom[0]["points"][0]
-
-    def moved(points: Column) -> Column:
-        return F.transform(
-            points, lambda p: F.struct((p["x"] - origin["x"]).alias("x"), (p["y"] - origin["y"]).alias("y"))
+    """Area centroid of all rings, holes subtracted. Ring moments are taken about the ring's first corner."""
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("area", "mx", "my")])
+
+    def sums(area: Column, mx: Column, my: Column) -> Column:
+        return F.struct(area.alias("area"), mx.alias("mx"), my.alias("my"))
+
+    def moments(ring: Column) -> Column:
+        corner = ring["points"][0]
+
+        def add(acc: Column, e: Column) -> Column:
+            ax, ay = e["a"]["x"] - corner["x"], e["a"]["y"] - corner["y"]
+            bx, by = e["b"]["x"] - corner["x"], e["b"]["y"] - corner["y"]
+            cross = ax * by - bx * ay
+            return sums(acc["area"] + cross / 2, acc["mx"] + (ax + bx) * cross / 6, acc["my"] + (ay + by) * cross / 6)
+
+        about_corner = F.aggregate(_edges(ring["points"]), zero, add)
+        return F.struct(ring["hole"].alias("hole"), corner.alias("corner"), about_corner.alias("m"))
+
+    def add_ring(acc: Column, r: Column) -> Column:
+        sign = F.when(r["hole"], -1.0).otherwise(1.0) * F.signum(r["m"]["area"])
+        area = sign * r["m"]["area"]
+        return sums(
+            acc["area"] + area,
+            acc["mx"] + sign * r["m"]["mx"] + area * r["corner"]["x"],
+            acc["my"] + sign * r["m"]["my"] + area * r["corner"]["y"],
         )
 
-    def ring_terms(ring: Column) -> Column:
-        edges = _edges(moved(ring["points"]))
-        area = _total(edges, _cross) / 2
-        sign = F.when(ring["hole"], -1.0).otherwise(1.0) * F.signum(area)
-        return F.struct(
-            (sign * area).alias("area"),
-            (sign * _total(edges, lambda a, b: (a["x"] + b["x"]) * _cross(a, b)) / 6).alias("mx"),
-            (sign * _total(edges, lambda a, b: (a["y"] + b["y"]) * _cross(a, b)) / 6).alias("my"),
-        )
+    def mean(acc: Column) -> Column:
+        return F.struct(*[F.try_divide(acc[m], acc["area"]).alias(n) for n, m in (("x", "mx"), ("y", "my"))])
 
-    terms = F.transform(geom, ring_terms)
-
-    def add(name: str) -> Column:
-        return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t[name])
-
-    return F.struct(
-        (F.try_divide(add("mx"), add("area")) + origin["x"]).alias("x"),
-        (F.try_divide(add("my"), add("area")) + origin["y"]).alias("y"),
-    )
+    return F.aggregate(F.transform(geom, moments), zero, add_ring, mean)
 
 
 def edges(geom: Column) -> Column:
@@ -139,46 +132,63 @@ def bounds(geom: Column) -> dict[str, Column]:
     return {"x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys)}
 
 
-def _fan(rings: list) -> tuple[list[np.ndarray], list[float]]:
-    """Counter-clockwise triangles of all rings and their weights, +1 or -1."""
-    parts, weights = [], []
+Point = tuple[float, float]
+
+
+def _fan(rings: list) -> list[tuple[float, tuple[Point, Point, Point]]]:
+    """Counter-clockwise triangles of all rings with their weights, +1 or -1."""
+    out = []
     for ring in rings:
-        pts = np.array([(p["x"], p["y"]) for p in ring["points"]], dtype=float)
-        x, y = pts[:, 0], pts[:, 1]
-        area = np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y)
+        pts = [(p["x"], p["y"]) for p in ring["points"]]
+        triangles, area = [], 0.0
+        (ox, oy) = pts[0]
+        for (bx, by), (cx, cy) in zip(pts[1:-1], pts[2:]):
+            s = (bx - ox) * (cy - oy) - (cx - ox) * (by - oy)
+            area += s
+            if s > 0:
+                triangles.append((1.0, (pts[0], (bx, by), (cx, cy))))
+            elif s < 0:
+                triangles.append((-1.0, (pts[0], (cx, cy), (bx, by))))
         turn = (1.0 if area >= 0 else -1.0) * (-1.0 if ring["hole"] else 1.0)
-        for b, c in zip(pts[1:-1], pts[2:]):
-            t = np.array([pts[0], b, c])
-            s = (b[0] - pts[0][0]) * (c[1] - pts[0][1]) - (c[0] - pts[0][0]) * (b[1] - pts[0][1])
-            if s != 0:
-                parts.append(t if s > 0 else t[::-1])
-                weights.append(turn * np.sign(s))
-    return parts, weights
+        out.extend((w * turn, t) for w, t in triangles)
+    return out
 
 
-def _clip_area(subject: np.ndarray, clip: np.ndarray) -> float:
-    """Area shared by two counter-clockwise convex polygons."""
+def _clip_area(subject: tuple, clip: tuple) -> float:
+    """Area shared by two counter-clockwise triangles."""
     out = list(subject)
-    for a, b in zip(clip, np.roll(clip, -1, axis=0)):
-        edge, kept = b - a, []
-        side = [edge[0] * (p[1] - a[1]) - edge[1] * (p[0] - a[0]) for p in out]
-        for i, p in enumerate(out):
-            q, s, t = out[(i + 1) % len(out)], side[i], side[(i + 1) % len(out)]
+    for i in range(3):
+        (ax, ay), (bx, by) = clip[i], clip[(i + 1) % 3]
+        side = [(bx - ax) * (y - ay) - (by - ay) * (x - ax) for x, y in out]
+        kept = []
+        for k, (p, s) in enumerate(zip(out, side)):
+            q, t = out[(k + 1) % len(out)], side[(k + 1) % len(out)]
             if s >= 0:
                 kept.append(p)
-            if s * t < 0:
-                kept.append(p + (q - p) * (s / (s - t)))
+            if (s > 0 > t) or (s < 0 < t):
+                r = s / (s - t)
+                kept.append((p[0] + (q[0] - p[0]) * r, p[1] + (q[1] - p[1]) * r))
         out = kept
         if len(out) < 3:
             return 0.0
-    x, y = np.array(out).T
-    return 0.5 * float(np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y))
+    ox, oy = out[0]
+    return 0.5 * sum(
+        (p[0] - ox) * (q[1] - oy) - (q[0] - ox) * (p[1] - oy) for p, q in zip(out[1:-1], out[2:])
+    )
+
+
+def _apart(s: tuple, t: tuple) -> bool:
+    return any(
+        max(p[d] for p in s) <= min(p[d] for p in t) or max(p[d] for p in t) <= min(p[d] for p in s) for d in (0, 1)
+    )
 
 
 def shared_area(a: list, b: list) -> float:
     """Area in both geometries: signed sum over pairs of fan triangles."""
-    (ta, wa), (tb, wb) = _fan(a), _fan(b)
-    return sum(u * v * _clip_area(s, t) for s, u in zip(ta, wa) for t, v in zip(tb, wb))
+    fan_b = _fan(b)
+    return sum(
+        (u * v * _clip_area(s, t) for u, s in _fan(a) for v, t in fan_b if not _apart(s, t)), 0.0
+    )
 
 
 @F.pandas_udf(DoubleType())

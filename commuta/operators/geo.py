@@ -15,6 +15,7 @@ from commuta.functions.geometry import (
     METRES_PER_DEGREE, bounds, centroid, contains, edges, mercator_miles, overlap_area, rings_from_lists, rings_from_wkt,
 )
 from commuta.operators.joins import SPREAD, lookup
+from commuta.operators.lineage import cut_lineage
 
 CELL_COLUMNS = ["_cx", "_cy"]
 
@@ -134,7 +135,8 @@ def max_overlap_zone(blocks: DataFrame, zones: DataFrame, lat0: float | None = N
     Blocks are (GEOID, geometry), zones (zone_id, geometry). Areas are compared in square
     degrees: one latitude's scale factor is common to all zones a block can overlap.
     Equal areas go to the least zone id. Blocks and zones meet in the cell of the
-    lower-left corner of their shared bounding box, so each pair is formed once.
+    lower-left corner of their shared bounding box, so each pair is formed once. The
+    overlap result is checkpointed, as the fallback reads it again.
     """
     boxed = {
         side: df.withColumn("_box", F.struct(*[v.alias(k) for k, v in bounds(F.col("geometry")).items()]))
@@ -149,7 +151,7 @@ def max_overlap_zone(blocks: DataFrame, zones: DataFrame, lat0: float | None = N
     x0, y0 = F.greatest("_bb.x0", "_zb.x0"), F.greatest("_bb.y0", "_zb.y0")
     meets = (F.least("_bb.x1", "_zb.x1") > x0) & (F.least("_bb.y1", "_zb.y1") > y0)
     once = (_cell(x0, cell) == F.col("_cx")) & (_cell(y0, cell) == F.col("_cy"))
-    best = (
+    best = cut_lineage(
         lookup(b, z, CELL_COLUMNS, row_key=["GEOID"], how="inner")
         .filter(meets & once)
         .select("GEOID", "zone_id", overlap_area("_bg", "_zg").alias("area"))
@@ -159,8 +161,7 @@ def max_overlap_zone(blocks: DataFrame, zones: DataFrame, lat0: float | None = N
     )
 
     def middle(df: DataFrame, key: str) -> DataFrame:
-        c = centroid(F.col("geometry"))
-        return df.select(F.col(key).alias("id"), c["x"].alias("x"), c["y"].alias("y"))
+        return df.select(F.col(key).alias("id"), centroid(F.col("geometry")).alias("_c")).select("id", "_c.x", "_c.y")
 
     rest = middle(blocks.join(best, "GEOID", "left_anti"), "GEOID")
     fallback = nearest(rest, middle(zones, "zone_id"), lat0).select(

@@ -231,9 +231,11 @@ def matrix_export(wide: DataFrame, zones: DataFrame, name: Column | None = None)
     rows = indexed.groupBy(*slices, "o_idx").agg(
         F.array_sort(F.collect_list(F.struct("d_idx", *measures))).alias("_row")
     )
-    values = F.explode(F.array(*[
-        F.struct(F.lit(m).alias("measure"), F.transform("_row", lambda c, m=m: c[m]).alias("values")) for m in measures
-    ]))
+
+    def values_of(m: str) -> Column:
+        return F.struct(F.lit(m).alias("measure"), F.transform("_row", lambda cell: cell[m]).alias("values"))
+
+    values = F.explode(F.array(*[values_of(m) for m in measures]))
     exported = rows.select(*slices, "o_idx", values.alias("_m"))
     if name is None:
         name = F.concat("pathType", F.lit("_"), "_m.measure", F.lit("__"), "timePeriod") if slices else F.col("_m.measure")
@@ -265,23 +267,23 @@ def skim_profile(pairs: DataFrame, k: int, seed: int) -> DataFrame:
     return pairs.join(sampled, "origin", "left_semi").withColumn("value", value)
 
 
-def interval_at(minute: Column, ends: Column) -> Column:
-    """End of the interval holding a time: the first end after it, else the last end."""
-    return F.coalesce(F.try_element_at(F.filter(ends, lambda e: e > minute), F.lit(1)), F.element_at(ends, -1))
+def with_interval(df: DataFrame, minute: Column, iskims: DataFrame, name: str) -> DataFrame:
+    """Add the end of the interval holding a time: the first end after it, else the last end.
 
-
-def interval_ends(iskims: DataFrame) -> Column:
-    """Sorted interval ends of the skims; a day has few, so they travel as one array value."""
-    return iskims.agg(F.array_sort(F.collect_set("interval_end"))).scalar()
+    A day has few intervals, so their sorted ends travel as one array value.
+    """
+    ends = iskims.agg(F.array_sort(F.collect_set("interval_end"))).scalar()
+    after = F.filter(F.col("_ends"), lambda e: e > minute)
+    at = F.coalesce(F.try_element_at(after, F.lit(1)), F.element_at("_ends", -1))
+    return df.withColumn("_ends", ends).withColumn(name, at).drop("_ends")
 
 
 def od_time_lookup(trips: DataFrame, iskims: DataFrame, zones: DataFrame, measures: list[str]) -> DataFrame:
     """Skim values of each trip (id, o, d, minute) in the interval it starts in; unknown zones drop the trip."""
-    ends = interval_ends(iskims)
     known = zones.select("zone")
     kept = lookup(trips, known.select(F.col("zone").alias("o")), ["o"], ["id"], how="inner")
     kept = lookup(kept, known.select(F.col("zone").alias("d")), ["d"], ["id"], how="inner")
-    timed = kept.withColumn("interval_end", interval_at(F.col("minute"), ends))
+    timed = with_interval(kept, F.col("minute"), iskims, "interval_end")
     keys = ["interval_end", "o", "d"]
     return lookup(timed, iskims.select(*keys, *measures), keys, ["id"]).select("id", "o", "d", "minute", *measures)
 
@@ -300,7 +302,7 @@ def cost_per_mile(iskims: DataFrame, minute: int = 540) -> DataFrame:
 
     Transit counts other zones with service only; an origin without any costs 99999.
     """
-    current = iskims.filter(F.col("interval_end") == interval_at(F.lit(minute), interval_ends(iskims)))
+    current = with_interval(iskims, F.lit(minute), iskims, "_now").filter(F.col("interval_end") == F.col("_now"))
     served = (F.col("ivtt") > 0) & (F.col("ivtt") < NO_SERVICE_S) & (F.col("o") != F.col("d"))
     sums = current.groupBy(F.col("o").alias("taz")).agg(
         safe_div(F.sum("cost"), F.sum("distance")).alias("auto_costpermile"),

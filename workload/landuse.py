@@ -79,7 +79,7 @@ add("l08_block_totals", lambda T: lu.block_totals(T.block, T.household, T.job),
 
 
 def _mapping(T):
-    """Half of the block groups mapped by their numeric order."""
+    """Zone ids of the block groups whose tract number is a zone number."""
     groups = T.block.select(F.substring("block_id", 1, 12).alias("GEOID")).distinct()
     return groups.join(T.taz.select(F.concat(F.lit("48453"), F.lpad("zone_id", 6, "0"), F.lit("1")).alias("GEOID"), "zone_id"), "GEOID")
 
