@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from commuta.functions.columns import hash_uniform, label, safe_div, trunc_int
 from commuta.operators.joins import lookup, running_totals
+from commuta.operators.lineage import cut_lineage
 
 # Household type and housing unit codes.
 HOUSEHOLD_TYPES = {1: 4, 2: 4, 3: 1, 4: 1, 5: 9, 6: 9, 7: 6, 8: 6}
@@ -79,7 +80,7 @@ def marital_status(persons: DataFrame) -> DataFrame:
         .agg(last(0).alias("_ref"), last(1).alias("_spouse"))
         .filter(F.col("_spouse").isNotNull())
     )
-    out = lookup(persons, couples, ["household_id"], row_key=["person_id"])
+    out = lookup(persons, couples, ["household_id"], row_key=["person_id"], spread=1)
     married = (F.col("person_id") == F.col("_ref")) | (F.col("person_id") == F.col("_spouse"))
     return out.withColumn("marital_status", F.when(married, MARRIED).otherwise(NEVER_MARRIED)).drop("_ref", "_spouse")
 
@@ -95,13 +96,15 @@ def place_unplaced(households: DataFrame, block_zone: DataFrame, seed: int) -> D
     A draw is a rank among the placed households in block order, so a block is hit as
     often as households live in it. Blocks and draws meet in cells of equal rank width:
     draws are uniform over cells, and a block holding a third of all households simply
-    spans a third of the cells.
+    spans a third of the cells. The counts per block are checkpointed, as spans and total
+    both read them.
     """
     keys = ["block_id"]
     known = block_zone.select("block_id", F.lit(True).alias("_placed"))
+    counts = households.groupBy("block_id").agg(F.count("*").alias("n"))
+    counts = cut_lineage(counts.join(known, keys, "left_semi"))
     marked = lookup(households, known, keys, row_key=["household_id"])
     placed = marked.filter(F.col("_placed")).drop("_placed")
-    counts = placed.groupBy("block_id").agg(F.count("*").alias("n"))
     spans = running_totals(counts, F.substring("block_id", 1, 11), "block_id", {"high": "n"}).withColumn(
         "low", F.col("high") - F.col("n")
     )
@@ -130,7 +133,7 @@ def sample_households(households: DataFrame, fraction: float, seed: int) -> Data
 def members_of(rows: DataFrame, households: DataFrame, row_key: str) -> DataFrame:
     """Persons or vehicles of the given households."""
     ids = households.select("household_id", F.lit(True).alias("_in"))
-    return lookup(rows, ids, ["household_id"], row_key=[row_key], how="inner").select(*rows.columns)
+    return lookup(rows, ids, ["household_id"], row_key=[row_key], how="inner", spread=1).select(*rows.columns)
 
 
 def merge_households(new: DataFrame, existing: DataFrame) -> DataFrame:

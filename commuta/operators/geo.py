@@ -32,25 +32,21 @@ def _covered_cells(df: DataFrame, box: dict[str, Column], size: float) -> DataFr
 
 
 def points_to_zones(points: DataFrame, zones: DataFrame, cell: float = 0.05, spread: int = SPREAD) -> DataFrame:
-    """Zone of each point (id, x, y), NULL outside all zones; the least zone id on shared ground.
+    """Zone of each point (unique id, x, y), NULL outside all zones; the least zone id on shared ground.
 
-    Coordinates are tested once however many points share them. ``cell`` is the grid
-    size in coordinate units, best near the usual zone extent.
+    ``cell`` is the grid size in coordinate units, best near the usual zone extent. Points
+    of a crowded cell are dealt over ``spread`` copies of the zones that touch it.
     """
-    places = points.select("x", "y").distinct()
     shapes = _covered_cells(
         zones.select("zone_id", "geometry", edges(F.col("geometry")).alias("_edges")), bounds(F.col("geometry")), cell
-    ).drop("geometry")
-    keyed = places.withColumns({
-        "_cx": _cell(F.col("x"), cell), "_cy": _cell(F.col("y"), cell),
+    ).select("zone_id", "_edges", *CELL_COLUMNS, F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_salt"))
+    keyed = points.withColumns({
+        "_px": _cell(F.col("x"), cell), "_py": _cell(F.col("y"), cell),
+        "_deal": F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int"),
     })
-    inside = (
-        lookup(keyed, shapes, CELL_COLUMNS, row_key=["x", "y"], how="inner", spread=spread)
-        .filter(contains(F.col("_edges"), F.col("x"), F.col("y")))
-        .groupBy("x", "y")
-        .agg(F.min("zone_id").alias("zone_id"))
-    )
-    return lookup(points, inside, ["x", "y"], row_key=["id"]).select(*points.columns, "zone_id")
+    near = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & (F.col("_deal") == F.col("_salt"))
+    inside = contains(F.col("_edges"), F.col("x"), F.col("y"))
+    return keyed.join(shapes, near & inside, "left").groupBy(*points.columns).agg(F.min("zone_id").alias("zone_id"))
 
 
 def centroid_distance(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -126,7 +122,7 @@ def nearest(points: DataFrame, candidates: DataFrame, lat0: float | None = None,
         .agg(F.min(F.struct((dx * dx + dy * dy).alias("d2"), F.col("nearest_id").alias("to"))).alias("_best"))
         .select("x", "y", F.col("_best.to").alias("nearest_id"), F.sqrt("_best.d2").alias("distance_m"))
     )
-    return lookup(points, found, ["x", "y"], row_key=["id"]).select("id", "nearest_id", "distance_m")
+    return points.join(found, ["x", "y"], "left").select("id", "nearest_id", "distance_m")
 
 
 def max_overlap_zone(blocks: DataFrame, zones: DataFrame, lat0: float | None = None, cell: float = 0.05) -> DataFrame:

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPREAD = 16
+from commuta.operators.lineage import cut_lineage
+
+SPREAD = 8
 
 
 def lookup(
@@ -25,6 +27,9 @@ def lookup(
     Rows of one key are dealt over ``spread`` sub-keys by a hash of ``row_key`` and the
     dimension is repeated once per sub-key, so a hot key is shared by several tasks.
     The hash depends on row content alone, so a retried task deals the same way.
+
+    ``spread=1`` is for a dimension about as large as the rows, where repeating it would
+    cost more than it saves; adaptive execution then splits a hot partition at run time.
     """
     if spread <= 1:
         return rows.join(dim, on, how)
@@ -40,9 +45,10 @@ def running_totals(
     """Cumulative sums over the whole table in ``order``; ``totals`` maps output to input.
 
     ``chunk`` must not decrease along ``order``. Sums run inside each chunk in parallel;
-    only one row per chunk takes part in the final pass over chunk offsets.
+    only one row per chunk takes part in the final pass over chunk offsets. The input is
+    checkpointed, since both passes read it.
     """
-    chunked = df.withColumn("_chunk", chunk)
+    chunked = cut_lineage(df.withColumn("_chunk", chunk))
     inside = Window.partitionBy("_chunk").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -59,7 +59,7 @@ def person_table(persons: DataFrame, households: DataFrame, blocks: DataFrame, u
         blocks.select("block_id", ZONE, F.col("x").alias("home_x"), F.col("y").alias("home_y")),
         ["block_id"], ["household_id"],
     ).drop("block_id")
-    out = lookup(persons, homes, ["household_id"], ["person_id"])
+    out = lookup(persons, homes, ["household_id"], ["person_id"], spread=1)
     if unzoned == "drop":
         out = out.filter(F.col(ZONE).isNotNull())
     return out.withColumns({"ptype": ptype(), "pemploy": pemploy(), "pstudent": pstudent()})
@@ -254,7 +254,15 @@ def conform(df: DataFrame, schema: T.StructType, renames: dict[str, str], replac
     if missing:
         raise ValueError(f"required columns missing: {missing}")
     types["block_id"] = T.StringType()
-    return fresh.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in wanted])
+    text = {f.name for f in fresh.schema.fields if isinstance(f.dataType, T.StringType)}
+
+    def typed(c: str) -> Column:
+        value = F.col(c)
+        if c in text and isinstance(types[c], T.IntegralType):
+            value = value.cast("decimal(38,6)")  # text such as '3.0' is a whole number
+        return value.cast(types[c]).alias(c)
+
+    return fresh.select(*[typed(c) if c in types else F.col(c) for c in wanted])
 
 
 def fk_check(
@@ -276,16 +284,16 @@ def fk_check(
     return reduce(DataFrame.unionByName, [violations(*c) for c in checks])
 
 
-def overwrite_columns(base: DataFrame, updates: DataFrame, keys: list[str], columns: list[str], row_key: list[str]) -> DataFrame:
-    """Replace whole columns with values matched by key; unmatched rows get NULL."""
+def overwrite_columns(base: DataFrame, updates: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Replace whole columns with values matched by key, unique on both sides; unmatched rows get NULL."""
     kept = [c for c in base.columns if c not in columns]
     order = [*base.columns, *[c for c in columns if c not in base.columns]]
-    return lookup(base.select(*kept), updates.select(*keys, *columns), keys, row_key).select(*order)
+    return base.select(*kept).join(updates.select(*keys, *columns), keys, "left").select(*order)
 
 
 def warm_start_update(base: DataFrame, choices: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Take choice columns of the demand model into the stored table, by id."""
-    return overwrite_columns(base, choices, [key], columns, [key])
+    return overwrite_columns(base, choices, [key], columns)
 
 
 def same_row_count(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -303,7 +311,7 @@ def person_locations_update(persons: DataFrame, demand: DataFrame) -> DataFrame:
         F.col("work_location_id").alias("work_zone_id"), F.col("school_location_id").alias("school_zone_id"),
     )
     columns = ["work_zone_id", "school_zone_id"]
-    return overwrite_columns(persons, found, ["household_id", "member_id"], columns, ["person_id"])
+    return overwrite_columns(persons, found, ["household_id", "member_id"], columns)
 
 
 def padded_ids(df: DataFrame, widths: dict[str, int]) -> DataFrame:

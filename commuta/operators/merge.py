@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from commuta.functions.columns import safe_div
 from commuta.operators.joins import lookup
+from commuta.operators.lineage import cut_lineage
 
 
 def replace_households(base: DataFrame, updated: DataFrame, row_key: str = "person_id") -> DataFrame:
     """All rows of any updated household replaced by its updated rows; other households kept."""
     ids = updated.select("household_id").distinct().withColumn("_new", F.lit(True))
-    kept = lookup(base, ids, ["household_id"], row_key=[row_key]).filter(F.col("_new").isNull())
+    kept = lookup(base, ids, ["household_id"], row_key=[row_key], spread=1).filter(F.col("_new").isNull())
     return updated.unionByName(kept.select(*base.columns))
 
 
@@ -67,20 +68,22 @@ def time_factor_skims(counts: DataFrame, waits: DataFrame, iskims: DataFrame, vo
 
     ``counts`` are trips by (o_id, d_id, mode, av_type); pairs without trips take the
     shares of their origin, origins without trips keep their times. ``waits`` is the mean
-    ride-hail wait per zone, 0 where unknown.
+    ride-hail wait per zone, 0 where unknown. Sums per pair are checkpointed: pair and
+    origin shares both come from them.
     """
     if vot_level == BASELINE_VOT:
         return iskims
     mode, av, n = F.col("mode"), F.col("av_type"), F.col("trips")
     parts = {"none": (mode == 0) & (av == 0), "l3": (mode == 0) & (av == 1), "l5": (mode == 0) & (av == 2), "tnc": mode == 9}
-    sums = [F.sum("trips").alias("all"), *[F.sum(F.when(c, n).otherwise(0)).alias(k) for k, c in parts.items()]]
+    per_pair = cut_lineage(counts.groupBy(F.col("o_id").alias("o"), F.col("d_id").alias("d")).agg(
+        F.sum("trips").alias("all"), *[F.sum(F.when(c, n).otherwise(0)).alias(k) for k, c in parts.items()]
+    ))
+    per_origin = per_pair.groupBy("o").agg(*[F.sum(c).alias(c) for c in ("all", *parts)])
 
-    def shares(df: DataFrame, name: str, *keys: str) -> DataFrame:
-        share = F.struct(*[safe_div(k, "all").alias(k) for k in parts])
-        return df.groupBy(*keys).agg(*sums).select(*keys, share.alias(name))
+    def shares(sums: DataFrame, name: str, *keys: str) -> DataFrame:
+        return sums.select(*keys, F.struct(*[safe_div(k, "all").alias(k) for k in parts]).alias(name))
 
-    pair = shares(counts, "_pair", "o_id", "d_id").withColumnsRenamed({"o_id": "o", "d_id": "d"})
-    origin = shares(counts, "_origin", "o_id").withColumnRenamed("o_id", "o")
+    pair, origin = shares(per_pair, "_pair", "o", "d"), shares(per_origin, "_origin", "o")
     wait = waits.select(F.col("zone").alias("o"), "avg_wait")
     by_pair = Window.partitionBy("o", "d").orderBy("interval_end")
     first = iskims.withColumns({

@@ -318,7 +318,7 @@ def mode_distribution_adult(
         return F.lit(expansion) * F.sum(F.when(cond, F.col("n")).otherwise(0))
 
     return (
-        lookup(counts, homes, ["person"], row_key=ends, how="inner")
+        lookup(counts, homes, ["person"], row_key=ends, how="inner", spread=1)
         .groupBy("mode")
         .agg(
             trips(dest == work).alias("HBW"),

@@ -295,10 +295,20 @@ def _ordered(names: list[str]) -> list[str]:
     return out
 
 
+_VALUES = re.compile(r"cross join \(values (.*?\))\) t\(([\w, ]+)\)")
+
+
+def _exploded(match: re.Match) -> str:
+    """Literal rows as Spark's explode instead of a cross join."""
+    rows = ", ".join(f"struct{r}" for r in re.findall(r"\([^)]*\)", match.group(1)))
+    return f"lateral view inline(array({rows})) t as {match.group(2)}"
+
+
 def with_views(sql: str, spark_dir: str | None = None) -> str:
     """Prefix a SELECT with the definitions it uses; with a folder, of the base tables too."""
     ctes = [f"{n} as ({VIEWS[n].strip()})" for n in _ordered(_needs(sql))]
     if spark_dir is not None:
+        ctes = [_VALUES.sub(_exploded, c) for c in ctes]
         words = set(re.findall(r"\w+", " ".join([sql, *ctes])))
         ctes = [f"{b} as (select * from parquet.`{spark_dir}/{b}.parquet`)" for b in BASE if b in words] + ctes
     body = sql.strip()
