@@ -101,51 +101,57 @@ def split_by_mode(skims: DataFrame, highway: list[str], transit: list[str], chec
     return parts["highway"], parts["transit"]
 
 
-def od_grid(zones: DataFrame, carry: dict[str, str] | None = None) -> DataFrame:
-    """Every (origin, destination) of the zones, with zone columns carried for both ends.
-
-    ``zones`` has zone_id and a position idx running 1..N; ``carry`` maps a zone column to
-    its name stem. Each origin writes its own row of positions, which then look up their
-    zone: the N x N rows are the result itself and are produced where the origin lives.
-    """
-    carry = carry or {}
-    n = zones.agg(F.max("idx")).scalar()
-    rows = zones.select(
-        F.col("zone_id").alias("origin"), *[F.col(c).alias(f"origin_{s}") for c, s in carry.items()],
-    ).withColumn("_idx", F.explode(F.sequence(F.lit(1).cast("bigint"), n.cast("bigint"))))
-    ends = zones.select(
-        F.col("idx").cast("bigint").alias("_idx"), F.col("zone_id").alias("destination"),
-        *[F.col(c).alias(f"destination_{s}") for c, s in carry.items()],
-    )
-    return rows.join(ends, "_idx").drop("_idx")
+def _dealt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Spread few rows that are about to grow into many over all shuffle partitions."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def od_complete(
-    df: DataFrame, zones: DataFrame, slices: dict[str, list], measures: list[str], fill: float | None = 0.0
+    df: DataFrame, zones: DataFrame, slices: dict[str, list], measures: list[str], fill: float | None = 0.0,
+    read_as: dict[str, tuple[str, dict[str, list]]] | None = None,
 ) -> DataFrame:
     """Full N x N rows per slice, missing cells filled.
 
-    ``slices`` maps each slice column to its values. A pair given twice or naming an
-    unknown zone is an error. Grid and data rows meet in a single grouping, which counts
-    both: one shuffle completes, fills and checks.
+    ``slices`` maps each slice column to its values. ``read_as`` renames slices on the way
+    out: column -> (output column, {value read: [values published]}). A pair given twice
+    or naming an unknown zone is an error.
+
+    Only the given cells are shuffled, packed into one array per slice and origin (at most
+    one entry per zone). Absent destinations are added to the array where it lies, so the
+    N x N rows first exist after the last shuffle.
     """
-    keys = [*slices, *OD]
-    grid = od_grid(zones)
-    for column, values in slices.items():
-        grid = grid.withColumn(column, F.explode(F.array(*[F.lit(v) for v in values])))
+    keys = [*slices, "origin"]
+    everywhere = zones.agg(F.collect_set("zone_id")).scalar()
     wanted = reduce(lambda a, b: a & b, [F.col(c).isin(v) for c, v in slices.items()], F.lit(True))
-    data = df.filter(wanted).select(*keys, *[F.col(m).cast("double") for m in measures], F.lit(1).alias("_data"), F.lit(0).alias("_grid"))
-    stacked = data.unionByName(
-        grid.select(*keys, F.lit(0).alias("_data"), F.lit(1).alias("_grid")), allowMissingColumns=True
+    cell = F.struct("destination", *[F.col(m).cast("double").alias(m) for m in measures])
+    given = (
+        df.filter(wanted).select(*keys, cell.alias("_cell")).repartition(*keys)
+        .groupBy(*keys).agg(F.collect_list("_cell").alias("_cells"))
     )
-    merged = stacked.groupBy(*keys).agg(
-        F.sum("_data").alias("_data"), F.sum("_grid").alias("_grid"), *[F.max(m).alias(m) for m in measures]
+    frame = zones.select(F.col("zone_id").alias("origin"), F.lit(True).alias("_known"))
+    for column, values in slices.items():
+        frame = frame.withColumn(column, F.explode(F.array(*[F.lit(v) for v in values])))
+    packed = _dealt(frame, keys).join(given, keys, "full").withColumns({
+        "_zones": everywhere,
+        "_ends": F.coalesce(F.col("_cells.destination"), F.array().cast("array<string>")),
+    })
+    unknown = F.raise_error(F.concat(F.lit("unknown zone in a pair from "), "origin"))
+    double = F.raise_error(F.concat(F.lit("more than one row for a pair from "), "origin"))
+    outside = F.col("_known").isNull() | (F.size(F.array_except("_ends", "_zones")) > 0)
+    twice = F.size(F.array_distinct("_ends")) < F.size("_ends")
+    checked = packed.filter(F.when(outside, unknown).when(twice, double).otherwise(True))
+    out_keys = list(keys)
+    for column, (published, names) in (read_as or {}).items():
+        name_map = F.create_map(*[c for k, v in names.items() for c in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
+        checked = checked.withColumn(published, F.explode(name_map[F.col(column)]))
+        out_keys[out_keys.index(column)] = published
+    absent = F.transform(
+        F.array_except("_zones", "_ends"),
+        lambda z: F.struct(z.alias("destination"), *[F.lit(None).cast("double").alias(m) for m in measures]),
     )
-    unknown = F.raise_error(F.concat(F.lit("unknown zone in pair "), "origin", F.lit(" to "), "destination"))
-    double = F.raise_error(F.concat(F.lit("more than one row for pair "), "origin", F.lit(" to "), "destination"))
-    checked = F.when(F.col("_grid") == 0, unknown).when(F.col("_data") > 1, double).otherwise(True)
+    full = F.when(F.col("_cells").isNull(), absent).otherwise(F.concat("_cells", absent))
     value = [F.coalesce(F.col(m), F.lit(fill).cast("double")).alias(m) for m in measures]
-    return merged.filter(checked).select(*keys, *value)
+    return checked.select(*out_keys, F.inline(full)).select(*out_keys, "destination", *value)
 
 
 def distance_skim(highway: DataFrame, zones: DataFrame) -> DataFrame:
@@ -155,14 +161,15 @@ def distance_skim(highway: DataFrame, zones: DataFrame) -> DataFrame:
     ``zones`` carries centroid cx, cy. Published for car, bicycle and foot alike.
     """
     last = highway.groupBy(*OD).agg(F.max_by("DIST_miles", "ordinal").alias("_miles"))
-    grid = od_grid(zones, {"cx": "x", "cy": "y"})
+    full = od_complete(last, zones, {}, ["_miles"], fill=None)
+    for end in OD:
+        centre = zones.select(F.col("zone_id").alias(end), F.col("cx").alias(f"{end}_x"), F.col("cy").alias(f"{end}_y"))
+        full = full.join(centre, end)
     straight = mercator_miles(
         F.col("origin_x"), F.col("origin_y"), F.col("destination_x"), F.col("destination_y"), at_least_m=100.0
     )
     miles = F.coalesce("_miles", straight)
-    return grid.join(last, OD, "left").select(
-        *OD, miles.alias("DIST"), miles.alias("DISTBIKE"), miles.alias("DISTWALK")
-    )
+    return full.select(*OD, miles.alias("DIST"), miles.alias("DISTBIKE"), miles.alias("DISTWALK"))
 
 
 def auto_skims(
@@ -197,20 +204,20 @@ def transit_skims(
 
     Mapped measures are scaled by 100 except fares and boardings; missing is 0.
     """
-    read_as: dict[str, list[str]] = {}
+    local: dict[str, list[str]] = {}
     for path in paths:
-        read_as.setdefault(path.replace("EXP", "LOC").replace("TRN", "LOC"), []).append(path)
+        local.setdefault(path.replace("EXP", "LOC").replace("TRN", "LOC"), []).append(path)
     sources = sorted({s for s in measure_map.values() if s})
-    full = od_complete(transit, zones, {"timePeriod": periods, "pathType": list(read_as)}, sources)
+    rows = transit.withColumnRenamed("pathType", "_read")
+    full = od_complete(
+        rows, zones, {"timePeriod": periods, "_read": list(local)}, sources, read_as={"_read": ("pathType", local)}
+    )
 
     def measure(name: str, source: str | None) -> Column:
         value = F.lit(0.0) if source is None else F.col(source)
         return (value if name in UNSCALED or source is None else value * TRANSIT_SCALE).alias(name)
 
-    served = F.create_map(*[c for k, v in read_as.items() for c in (F.lit(k), F.array(*[F.lit(p) for p in v]))])
-    return full.withColumn("pathType", F.explode(served[F.col("pathType")])).select(
-        *SKIM_KEYS, *[measure(n, s) for n, s in measure_map.items()]
-    )
+    return full.select(*SKIM_KEYS, *[measure(n, s) for n, s in measure_map.items()])
 
 
 def matrix_export(wide: DataFrame, zones: DataFrame, name: Column | None = None) -> DataFrame:
@@ -279,13 +286,17 @@ def with_interval(df: DataFrame, minute: Column, iskims: DataFrame, name: str) -
 
 
 def od_time_lookup(trips: DataFrame, iskims: DataFrame, zones: DataFrame, measures: list[str]) -> DataFrame:
-    """Skim values of each trip (id, o, d, minute) in the interval it starts in; unknown zones drop the trip."""
+    """Skim values of each trip (id, o, d, minute) in the interval it starts in; unknown zones drop the trip.
+
+    The skims may outweigh the trips, so they are not repeated for a hot pair: adaptive
+    execution splits its partition at run time.
+    """
     known = zones.select("zone")
     kept = lookup(trips, known.select(F.col("zone").alias("o")), ["o"], ["id"], how="inner")
     kept = lookup(kept, known.select(F.col("zone").alias("d")), ["d"], ["id"], how="inner")
     timed = with_interval(kept, F.col("minute"), iskims, "interval_end")
     keys = ["interval_end", "o", "d"]
-    return lookup(timed, iskims.select(*keys, *measures), keys, ["id"]).select("id", "o", "d", "minute", *measures)
+    return timed.join(iskims.select(*keys, *measures), keys, "left").select("id", "o", "d", "minute", *measures)
 
 
 def od_lookup_rejects(trips: DataFrame, zones: DataFrame) -> DataFrame:
