@@ -20,11 +20,13 @@ def _file_order() -> Column:
 
 def read_skims(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Long skims of one CSV file (plain or gzip) or of all files of a folder, with their file order."""
-    rows = spark.read.schema(schemas.SKIMS).csv(path, header=True, nullValue="", nanValue="NaN")
-    return rows.withColumn("ordinal", _file_order()).withColumns({m: finite_or_inf(m) for m in schemas.SKIM_MEASURES})
+    rows = spark.read.schema(schemas.SKIMS).csv(
+        path, header=True, nullValue="", nanValue="NaN", positiveInf="inf", negativeInf="-inf"
+    )
+    return rows.withColumn("ordinal", _file_order()).withColumns({m: _not_nan(m) for m in schemas.SKIM_MEASURES})
 
 
-def finite_or_inf(c: str) -> Column:
+def _not_nan(c: str) -> Column:
     """NaN read as NULL; infinities stay for the cleaning step to judge."""
     return F.when(~F.isnan(c), F.col(c))
 
