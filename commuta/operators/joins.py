@@ -57,11 +57,11 @@ def running_totals(
         *[F.sum(src).alias(f"_t_{out}") for out, src in totals.items()]
     )
     offsets = sums.select(
-        "_chunk",
+        F.col("_chunk").alias("_chunk_of"),
         *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_o_{out}") for out in totals],
     )
     within = chunked.select("*", *[F.sum(src).over(inside).alias(f"_i_{out}") for out, src in totals.items()])
-    return within.join(offsets, "_chunk").select(
+    return within.join(offsets, F.col("_chunk").eqNullSafe(F.col("_chunk_of"))).select(
         *df.columns, *[(F.col(f"_i_{out}") + F.col(f"_o_{out}")).alias(out) for out in totals]
     )
 

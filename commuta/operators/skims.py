@@ -116,34 +116,38 @@ def od_complete(
     out: column -> (output column, {value read: [values published]}). A pair given twice
     or naming an unknown zone is an error.
 
-    Only the given cells are shuffled, packed into one array per slice and origin (at most
-    one entry per zone). Absent destinations are added to the array where it lies, so the
+    Only the given cells are shuffled, checked for repeats and packed into one array per
+    slice and origin, so an array has at most one entry per zone. Absent destinations are added to the array where it lies, so the
     N x N rows first exist after the last shuffle.
     """
     keys = [*slices, "origin"]
     everywhere = zones.agg(F.collect_set("zone_id")).scalar()
     wanted = reduce(lambda a, b: a & b, [F.col(c).isin(v) for c, v in slices.items()], F.lit(True))
-    cell = F.struct("destination", *[F.col(m).cast("double").alias(m) for m in measures])
+    unknown = F.raise_error(F.concat(F.lit("unknown zone in a pair from "), "origin"))
+    double = F.raise_error(F.concat_ws(" ", F.lit("more than one row for the pair"), "origin", "destination"))
+    known = F.coalesce(F.array_contains("_zones", F.col("origin")), F.lit(False))
+    outside = ~known | (F.size(F.array_except("_ends", "_zones")) > 0)
+    cells = (
+        df.filter(wanted).groupBy(*keys, "destination")
+        .agg(F.count("*").alias("_rows"), *[F.max(F.col(m).cast("double")).alias(m) for m in measures])
+        .filter(F.when(F.col("_rows") > 1, double).otherwise(True))
+    )
     given = (
-        df.filter(wanted).select(*keys, cell.alias("_cell")).repartition(*keys)
-        .groupBy(*keys).agg(F.collect_list("_cell").alias("_cells"))
+        cells.groupBy(*keys).agg(F.collect_list(F.struct("destination", *measures)).alias("_cells"))
+        .withColumns({"_zones": everywhere, "_ends": F.col("_cells.destination")})
+        .filter(F.when(outside, unknown).otherwise(True))
+        .drop("_zones")
     )
-    frame = zones.select(F.col("zone_id").alias("origin"), F.lit(True).alias("_known"))
+    frame = zones.select(F.col("zone_id").alias("origin"))
     for column, values in slices.items():
         frame = frame.withColumn(column, F.explode(F.array(*[F.lit(v) for v in values])))
-    packed = _dealt(frame, keys).join(given, keys, "full").withColumns({
-        "_zones": everywhere,
-        "_ends": F.coalesce(F.col("_cells.destination"), F.array().cast("array<string>")),
+    packed = _dealt(frame, keys).join(given, keys, "left").withColumns({
+        "_zones": everywhere, "_ends": F.coalesce("_ends", F.array().cast("array<string>")),
     })
-    unknown = F.raise_error(F.concat(F.lit("unknown zone in a pair from "), "origin"))
-    double = F.raise_error(F.concat(F.lit("more than one row for a pair from "), "origin"))
-    outside = F.col("_known").isNull() | (F.size(F.array_except("_ends", "_zones")) > 0)
-    twice = F.size(F.array_distinct("_ends")) < F.size("_ends")
-    checked = packed.filter(F.when(outside, unknown).when(twice, double).otherwise(True))
     out_keys = list(keys)
     for column, (published, names) in (read_as or {}).items():
         name_map = F.create_map(*[c for k, v in names.items() for c in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
-        checked = checked.withColumn(published, F.explode(name_map[F.col(column)]))
+        packed = packed.withColumn(published, F.explode(name_map[F.col(column)]))
         out_keys[out_keys.index(column)] = published
     absent = F.transform(
         F.array_except("_zones", "_ends"),
@@ -151,7 +155,7 @@ def od_complete(
     )
     full = F.when(F.col("_cells").isNull(), absent).otherwise(F.concat("_cells", absent))
     value = [F.coalesce(F.col(m), F.lit(fill).cast("double")).alias(m) for m in measures]
-    return checked.select(*out_keys, F.inline(full)).select(*out_keys, "destination", *value)
+    return packed.select(*out_keys, F.inline(full)).select(*out_keys, "destination", *value)
 
 
 def distance_skim(highway: DataFrame, zones: DataFrame) -> DataFrame:
