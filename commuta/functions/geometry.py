@@ -31,9 +31,9 @@ def mercator_y(lat: Column) -> Column:
     return EARTH_RADIUS * F.log(F.tan(F.lit(math.pi / 4) + F.radians(lat) / 2))
 
 
-def mercator_miles(lon1: Column, lat1: Column, lon2: Column, lat2: Column, at_least_m: float = 0.0) -> Column:
-    """Planar distance of two points in the web map projection; zero becomes ``at_least_m``."""
-    dx, dy = mercator_x(lon1) - mercator_x(lon2), mercator_y(lat1) - mercator_y(lat2)
+def planar_miles(x1: Column, y1: Column, x2: Column, y2: Column, at_least_m: float = 0.0) -> Column:
+    """Distance of two projected points in miles; zero metres become ``at_least_m``."""
+    dx, dy = x1 - x2, y1 - y2
     metres = F.sqrt(dx * dx + dy * dy)
     return F.when(metres == 0, at_least_m).otherwise(metres) * (MILES_PER_KM / 1000)
 

@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commuta.functions.geometry import (
-    METRES_PER_DEGREE, bounds, centroid, contains, edges, mercator_miles, overlap_area, rings_from_lists, rings_from_wkt,
+    METRES_PER_DEGREE, bounds, centroid, contains, edges, mercator_x, mercator_y, overlap_area, planar_miles, rings_from_lists, rings_from_wkt,
 )
-from commuta.operators.joins import SPREAD, lookup
+from commuta.operators.joins import SPREAD, lookup, shuffled_if_large
 from commuta.operators.lineage import cut_lineage
 
 CELL_COLUMNS = ["_cx", "_cy"]
+EDGE_BYTES = 64
+TARGET_BYTES = 64
 
 
 def _cell(v: Column, size: float | Column) -> Column:
@@ -37,9 +39,11 @@ def points_to_zones(points: DataFrame, zones: DataFrame, cell: float = 0.05, spr
     ``cell`` is the grid size in coordinate units, best near the usual zone extent. Points
     of a crowded cell are dealt over ``spread`` copies of the zones that touch it.
     """
-    shapes = _covered_cells(
+    shapes = shuffled_if_large(_covered_cells(
         zones.select("zone_id", "geometry", edges(F.col("geometry")).alias("_edges")), bounds(F.col("geometry")), cell
-    ).select("zone_id", "_edges", *CELL_COLUMNS, F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_salt"))
+    ), EDGE_BYTES * spread * F.size("_edges")).select(
+        "zone_id", "_edges", *CELL_COLUMNS, F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_salt")
+    )
     keyed = points.withColumns({
         "_px": _cell(F.col("x"), cell), "_py": _cell(F.col("y"), cell),
         "_deal": F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int"),
@@ -54,16 +58,22 @@ def centroid_distance(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame
 
     ``a`` and ``b`` are zone tables (zone_id, cx, cy) of origins and destinations.
     """
-    def side(z: DataFrame, end: str) -> DataFrame:
-        return z.select(F.col("zone_id").alias(end), F.col("cx").alias(f"{end}_x"), F.col("cy").alias(f"{end}_y"))
+    both = with_centres(with_centres(pairs, a, "origin", ["destination"]), b, "destination", ["origin"])
+    return both.select(*pairs.columns, straight_miles().alias("miles"))
 
-    both = lookup(
-        lookup(pairs, side(a, "origin"), ["origin"], ["destination"]), side(b, "destination"), ["destination"], ["origin"]
-    )
-    miles = mercator_miles(
-        F.col("origin_x"), F.col("origin_y"), F.col("destination_x"), F.col("destination_y"), at_least_m=100.0
+
+def with_centres(pairs: DataFrame, zones: DataFrame, end: str, row_key: list[str], spread: int = SPREAD) -> DataFrame:
+    """Add the projected centroid of one end's zone; projection is done once per zone."""
+    centres = zones.select(
+        F.col("zone_id").alias(end), mercator_x(F.col("cx")).alias(f"_{end}_x"), mercator_y(F.col("cy")).alias(f"_{end}_y")
     )
-    return both.select(*pairs.columns, miles.alias("miles"))
+    return lookup(pairs, centres, [end], row_key, spread=spread)
+
+
+def straight_miles() -> Column:
+    """Centroid distance of pairs prepared by ``with_centres``, at least 100 m between coinciding ones."""
+    ends = [F.col(f"_{end}_{c}") for end in ("origin", "destination") for c in ("x", "y")]
+    return planar_miles(*ends, at_least_m=100.0)
 
 
 def _mean_latitude(df: DataFrame) -> Column:
@@ -104,7 +114,9 @@ def nearest(points: DataFrame, candidates: DataFrame, lat0: float | None = None,
     every_level = F.explode(F.sequence(F.lit(0), F.lit(levels)))
     places = plane(points.select("x", "y").distinct())
     targets = plane(candidates.groupBy("x", "y").agg(F.min("id").alias("nearest_id")))
-    leveled = at_level(targets.withColumn("_level", every_level), F.col("_level"))
+    leveled = shuffled_if_large(
+        at_level(targets.withColumn("_level", every_level), F.col("_level")), F.lit(TARGET_BYTES)
+    )
     cell_key = ["_level", *CELL_COLUMNS]
     occupied = leveled.select(*cell_key).distinct()
     reach = (
@@ -143,7 +155,9 @@ def max_overlap_zone(blocks: DataFrame, zones: DataFrame, lat0: float | None = N
         return _covered_cells(df, {k: F.col(f"_box.{k}") for k in ("x0", "x1", "y0", "y1")}, cell)
 
     b = celled(boxed["block"]).select("GEOID", F.col("geometry").alias("_bg"), F.col("_box").alias("_bb"), *CELL_COLUMNS)
-    z = celled(boxed["zone"]).select("zone_id", F.col("geometry").alias("_zg"), F.col("_box").alias("_zb"), *CELL_COLUMNS)
+    zone_cells = celled(boxed["zone"])
+    points = F.aggregate("geometry", F.lit(0), lambda n, r: n + F.size(r["points"]))
+    z = shuffled_if_large(zone_cells, EDGE_BYTES * SPREAD * points).select("zone_id", F.col("geometry").alias("_zg"), F.col("_box").alias("_zb"), *CELL_COLUMNS)
     x0, y0 = F.greatest("_bb.x0", "_zb.x0"), F.greatest("_bb.y0", "_zb.y0")
     meets = (F.least("_bb.x1", "_zb.x1") > x0) & (F.least("_bb.y1", "_zb.y1") > y0)
     once = (_cell(x0, cell) == F.col("_cx")) & (_cell(y0, cell) == F.col("_cy"))

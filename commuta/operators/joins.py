@@ -1,7 +1,8 @@
 """Join and running-total shapes that hold up when one key carries a third of the rows.
 
-No join here carries a broadcast hint: Spark compares each side's measured size with
-``spark.sql.autoBroadcastJoinThreshold`` and falls back to a shuffled join above it.
+No join carries a broadcast hint: Spark compares each side's size with
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles above it. Sides that are unfolded
+into many rows first have their real size checked (``shuffled_if_large``).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from commuta.operators.lineage import cut_lineage
 
 SPREAD = 8
+BROADCAST_LIMIT = 64 << 20
 
 
 def lookup(
@@ -66,6 +68,16 @@ def running_totals(
     )
 
 
+def shuffled_if_large(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Keep a join side that unfolding has multiplied from being broadcast when it is large.
+
+    Spark estimates a side before its explode, so the size is summed here; past ``limit``
+    bytes the join is told to shuffle.
+    """
+    size = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return df.hint("merge") if size > limit else df
+
+
 def missing_keys(rows: DataFrame, key: str, ref: DataFrame, ref_key: str) -> DataFrame:
     """Distinct key values of ``rows`` that ``ref`` lacks."""
     return rows.select(F.col(key).alias("_k")).distinct().join(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commuta.functions.columns import MILES_PER_KM, finite, hash_uniform, safe_div
-from commuta.functions.geometry import mercator_miles
+from commuta.operators.geo import straight_miles, with_centres
 from commuta.operators.joins import lookup, missing_keys, running_totals
 
 # Time periods, paths and measure sources of the demand model.
@@ -167,13 +167,9 @@ def distance_skim(highway: DataFrame, zones: DataFrame) -> DataFrame:
     last = highway.groupBy(*OD).agg(F.max_by("DIST_miles", "ordinal").alias("_miles"))
     full = od_complete(last, zones, {}, ["_miles"], fill=None)
     for end in OD:
-        centre = zones.select(F.col("zone_id").alias(end), F.col("cx").alias(f"{end}_x"), F.col("cy").alias(f"{end}_y"))
-        full = full.join(centre, end)
-    straight = mercator_miles(
-        F.col("origin_x"), F.col("origin_y"), F.col("destination_x"), F.col("destination_y"), at_least_m=100.0
-    )
-    miles = F.coalesce("_miles", straight)
-    return full.select(*OD, miles.alias("DIST"), miles.alias("DISTBIKE"), miles.alias("DISTWALK"))
+        full = with_centres(full, zones, end, OD, spread=1)
+    miles = full.select(*OD, F.coalesce("_miles", straight_miles()).alias("DIST"))
+    return miles.select(*OD, "DIST", F.col("DIST").alias("DISTBIKE"), F.col("DIST").alias("DISTWALK"))
 
 
 def auto_skims(
@@ -399,6 +395,13 @@ def od_ignored_zones(parts: list[DataFrame], zones: DataFrame) -> DataFrame:
     return missing_keys(named, "zone_id", zones, "zone_id")
 
 
+def zone_subset(listed: DataFrame, known: DataFrame) -> DataFrame:
+    """Listed zones (zone, position) that the skims know, numbered from 0 in list order."""
+    kept = listed.join(known.select("zone").distinct(), "zone", "left_semi").withColumn("_one", F.lit(1))
+    ranked = running_totals(kept, F.floor(F.col("position") / 10000), "position", {"_rank": "_one"})
+    return ranked.select("zone", (F.col("_rank") - 1).alias("idx"))
+
+
 def skim_subset_pivot(
     iskims: DataFrame, origins: DataFrame, destinations: DataFrame, intervals: list[int], measures: list[str]
 ) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, gzip: bool = False, header: bool = True) -> None:
-    """One folder of CSV part files, header on each."""
-    df.write.mode("overwrite").csv(path, header=header, compression="gzip" if gzip else "none")
+def write_csv(df: DataFrame, path: str, gzip: bool = False, header: bool = True, sep: str = ",") -> None:
+    """One folder of CSV (or tab-separated) part files, header on each."""
+    df.write.mode("overwrite").csv(path, header=header, sep=sep, compression="gzip" if gzip else "none")
 
 
 def write_csv_tables(tables: dict[str, DataFrame], root: str, gzip: bool = False) -> None:

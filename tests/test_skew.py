@@ -108,3 +108,25 @@ def test_fk_check_counts_every_row(spark, hot):
     bad = h.filter("block_id is null").count()
     assert out["households.block_id"] == out["jobs.block_id"] == bad and out["residential_units.block_id"] == 0
     assert out["persons.household_id"] == hot.filter("k is null").count()
+
+
+def test_large_unfolded_side_is_not_broadcast(spark):
+    from commuta.operators.joins import shuffled_if_large
+
+    small = spark.range(10).select(F.col("id").alias("k"))
+    for limit, joined in ((1, "SortMergeJoin"), (1 << 20, "BroadcastHashJoin")):
+        side = shuffled_if_large(small, F.lit(8), limit)
+        plan = spark.range(100).select(F.col("id").alias("k")).join(side, "k")._jdf.queryExecution().executedPlan().toString()
+        assert joined in plan
+
+
+def test_spatial_joins_without_broadcast(spark, monkeypatch, rows):
+    from commuta.operators import joins
+
+    zones = geo.zone_table(spark.createDataFrame(
+        [(i, f"POLYGON (({i} 0, {i + 1} 0, {i + 1} 1, {i} 1, {i} 0))") for i in range(5)], "z int, geometry string"), "z").withColumnRenamed("TAZ", "zone_id")
+    pts = spark.range(300).select("id", (F.col("id") % 60 / 10).alias("x"), F.lit(0.25).alias("y"))
+    cands = spark.range(40).select(F.col("id"), (F.col("id") / 7).alias("x"), F.lit(0.3).alias("y"))
+    before = rows(geo.points_to_zones(pts, zones)), rows(geo.nearest(pts, cands, 0.0), "id", "nearest_id")
+    monkeypatch.setattr(joins.shuffled_if_large, "__defaults__", (0,))
+    assert (rows(geo.points_to_zones(pts, zones)), rows(geo.nearest(pts, cands, 0.0), "id", "nearest_id")) == before

@@ -235,3 +235,7 @@ add("k17_skim_subset_pivot", lambda T: sk.skim_subset_pivot(
         max(fare) filter (where interval_end = 360) as fare_360, max(fare) filter (where interval_end = 540) as fare_540,
         max(fare) filter (where interval_end = 720) as fare_720, max(fare) filter (where interval_end = 1440) as fare_1440
     from fx_interval_skim where o in (select zone from fx_block) and d in (select zone from fx_location) group by o, d""")
+add("k17_zone_subset", lambda T: sk.zone_subset(
+    T.location.select("zone", "location").groupBy("zone").agg((-F.max("location")).alias("position")), zone_list(T)), """
+    select zone, row_number() over (order by position) - 1 as idx
+    from (select zone, -max(location) as position from fx_location group by zone) where zone in (select idx from fx_taz)""")
