@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = False, header: bool = True, sep: str = ",") -> None:
@@ -17,12 +16,14 @@ def write_csv_tables(tables: dict[str, DataFrame], root: str, gzip: bool = False
         write_csv(df, f"{root}/{name}", gzip)
 
 
-def write_store_table(df: DataFrame, root: str, table: str, stage: str, year: int) -> None:
-    """Write one stage and year of a population table; other stages and years stay untouched."""
-    tagged = df.withColumns({"stage": F.lit(stage), "year": F.lit(year)})
-    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stage", "year").parquet(
-        f"{root}/{table}"
-    )
+def write_store_table(df: DataFrame, root: str, table: str, stage: str, year: int, replace: bool = False) -> None:
+    """Write one stage and year of a population table, a folder of its own.
+
+    An existing stage and year is refused unless ``replace`` is set; ``df`` must not read
+    from the folder it replaces.
+    """
+    folder = f"{root}/{table}/stage={stage}/year={year}"
+    df.write.mode("overwrite" if replace else "errorifexists").parquet(folder)
 
 
 def write_skims(df: DataFrame, path: str) -> None:

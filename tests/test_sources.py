@@ -44,6 +44,10 @@ def test_store_round_trip(spark, tmp_path, rows):
     read = lambda **k: rows(readers.read_store_table(spark, root, "households", **k))
     assert read(year=2010, base_year=2010) == [(1, "a")] == read(year=2020, base_year=2010, warm_start=True)
     assert read(year=2015, base_year=2010) == [(1, "b")] and read(year=2020, base_year=2010) == [(1, "c")]
+    with pytest.raises(Exception, match="already exists"):
+        writers.write_store_table(df, root, "households", "output", 2020)
+    writers.write_store_table(df, root, "households", "output", 2020, replace=True)
+    assert read(year=2020, base_year=2010) == [(1, "a")] and read(year=2015, base_year=2010) == [(1, "b")]
     plan = readers.read_store_table(spark, root, "households", 2015, 2010)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters")[1]
 

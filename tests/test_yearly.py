@@ -4,13 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from commuta.operators import skims as sk
-from commuta.plans import pipelines
+from commuta.plans import yearly
 from workload import demand as wd, landuse as wl, skims as ws
 
 
 def test_build_skims(tables, spark):
     zones = ws.taz(tables)
-    out = pipelines.build_skims(tables.skim_raw, zones, pipelines.SkimConfig(periods=["AM", "PM"]))
+    out = yearly.build_skims(tables.skim_raw, zones, yearly.SkimConfig(periods=["AM", "PM"]))
     n = zones.count()
     assert out["distance"].count() == n * n
     assert out["auto"].count() == n * n * 2 * len(sk.HIGHWAY_PATHS)
@@ -33,7 +33,7 @@ def mapping(tables):
 
 def test_demand_inputs(tables, mapping):
     zones = tables.zone.select(F.col("zone").cast("string").alias("TAZ"))
-    out = pipelines.demand_inputs(
+    out = yearly.demand_inputs(
         stored(tables), zones, mapping, "block_id", wl.schools(tables), wl.colleges(tables), ["block_id", "sector_id"])
     assert out["land_use"].agg(F.sum("TOTHH")).first()[0] == out["households"].count()
     assert out["land_use"].agg(F.sum("TOTPOP")).first()[0] == out["persons"].count()
@@ -44,7 +44,7 @@ def test_demand_inputs(tables, mapping):
 
 
 def test_landuse_inputs(tables, mapping):
-    out = pipelines.landuse_inputs(stored(tables), tables.skim_raw, mapping, "block_id")
+    out = yearly.landuse_inputs(stored(tables), tables.skim_raw, mapping, "block_id")
     assert out["blocks"].count() == tables.block.count()
     checks = {r.check: r.violations for r in out["fk_check"].collect()}
     assert checks["persons.household_id"] == 0 and checks["households.block_id"] == tables.household.filter("block_id is null").count()
@@ -55,13 +55,13 @@ def test_population_to_demand(tables, rows):
     persons = wd.survey_persons(tables)
     locations = tables.block.select("block_id", (F.col("block_no") + 1).alias("location"))
     args = (wl.households(tables).drop("zone", "location"), persons, tables.job, locations, tables.location, 0.5, 3)
-    out = pipelines.population_to_demand(*args)
+    out = yearly.population_to_demand(*args)
     n = out["household"].count()
     assert 50 < n < 100 and out["person"].count() == 4 * n
     assert out["person"].join(out["household"], "household_id", "left_anti").count() == 0
     assert out["zone"].agg(F.sum("pop_households")).first()[0] == tables.household.count()
     existing = {"households": out["household"].limit(5).withColumn("income", F.lit(-1.0)), "persons": out["person"].limit(0)}
-    again = pipelines.population_to_demand(*args, existing=existing)
+    again = yearly.population_to_demand(*args, existing=existing)
     assert again["household"].filter("income = -1").count() == 5 and again["person"].count() == 4 * (n - 5)
 
 
@@ -69,7 +69,7 @@ def test_next_iteration_inputs(tables):
     base = stored(tables)
     persons = base["persons"].select("person_id", "household_id", "member_id", "age")
     model = {"persons": persons.withColumnRenamed("member_id", "PNUM").withColumns({"workplace_taz": F.lit("1"), "school_taz": F.lit("2")})}
-    out = pipelines.next_iteration_inputs(model, {"persons": persons, "jobs": base["jobs"]}, base)
+    out = yearly.next_iteration_inputs(model, {"persons": persons, "jobs": base["jobs"]}, base)
     assert set(out) == set(base) and out["jobs"] is base["jobs"] and out["blocks"] is base["blocks"]
     assert out["persons"].columns == ["person_id", "household_id", "member_id", "age", "work_zone_id", "school_zone_id"]
 
@@ -78,7 +78,7 @@ def test_report_suite(tables, spark, tmp_path):
     from commuta.sources.schemas import TRIP_LOG_TABLES
     from commuta.sources.writers import write_report_tables
 
-    reports = pipelines.report_suite({t: tables["fx_" + t] for t in TRIP_LOG_TABLES}, 4)
+    reports = yearly.report_suite({t: tables["fx_" + t] for t in TRIP_LOG_TABLES}, 4)
     assert len(reports) == 49
     picked = ["gap_calculations", "mode_count", "boardings_by_agency_mode", "trips_in_network_city", "TNC_Agg_Output"]
     write_report_tables({n: reports[n] for n in picked}, path=str(tmp_path))
