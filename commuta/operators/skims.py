@@ -123,12 +123,13 @@ def od_complete(
     keys = [*slices, "origin"]
     everywhere = zones.agg(F.collect_set("zone_id")).scalar()
     wanted = reduce(lambda a, b: a & b, [F.col(c).isin(v) for c, v in slices.items()], F.lit(True))
-    unknown = F.raise_error(F.concat(F.lit("unknown zone in a pair from "), "origin"))
+    unknown = F.raise_error(F.concat_ws(" ", F.lit("unknown zone in a pair from"), "origin"))
     double = F.raise_error(F.concat_ws(" ", F.lit("more than one row for the pair"), "origin", "destination"))
     known = F.coalesce(F.array_contains("_zones", F.col("origin")), F.lit(False))
     outside = ~known | (F.size(F.array_except("_ends", "_zones")) > 0)
     cells = (
-        df.filter(wanted).groupBy(*keys, "destination")
+        df.filter(wanted).withColumn("origin", F.coalesce("origin", F.lit("")))  # a missing origin is no zone
+        .groupBy(*keys, "destination")
         .agg(F.count("*").alias("_rows"), *[F.max(F.col(m).cast("double")).alias(m) for m in measures])
         .filter(F.when(F.col("_rows") > 1, double).otherwise(True))
     )

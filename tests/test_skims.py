@@ -139,3 +139,31 @@ def test_time_factors(spark, rows):
     assert low[1, 1, 540] == pytest.approx(120 * (0.75 * 0.6 + 0.25 * 150 / 120))
     assert low[1, 2, 360] == 0.0 and low[2, 1, 360] == 60.0
     assert rows(merge.time_factor_skims(counts, waits, iskims, 2)) == rows(iskims)
+
+
+def test_zone_index_kinds(spark, rows):
+    blocks = spark.createDataFrame([("484530001001002",), ("484530001001001",), ("484530001002001",), ("480010009001001",)], "block_id string")
+    assert rows(sk.zone_index(blocks, "block_group")) == [("480010009001", "1"), ("484530001001", "2"), ("484530001002", "3")]
+    assert rows(sk.zone_index(blocks, "block"))[-1] == ("484530001002001", "4")
+    overlap = spark.createDataFrame([("a", 7)], "GEOID string, zone_id int")
+    assert rows(sk.zone_index(blocks, "taz", overlap)) == [("a", "7")]
+
+
+def test_split_by_mode_needs_both(spark):
+    skims = spark.createDataFrame([("SOV",)], "pathType string")
+    with pytest.raises(ValueError, match="no transit skims"):
+        sk.split_by_mode(skims, sk.HIGHWAY_PATHS, sk.TRANSIT_PATHS)
+    highway, transit = sk.split_by_mode(skims, sk.HIGHWAY_PATHS, sk.TRANSIT_PATHS, check=False)
+    assert (highway.count(), transit.count()) == (1, 0)
+
+
+def test_zone_coverage_looks_at_both_ends(spark, zones, rows):
+    skims = spark.createDataFrame([("1", "9"), ("2", "1"), (None, "1")], "origin string, destination string")
+    got = rows(sk.zone_coverage(skims, zones.limit(2)), "side", "zone_id", "problem")
+    assert set(got) >= {("destination", "9", "unknown zone"), ("destination", "2", "no rows")} and ("origin", "1", "no rows") not in got
+
+
+def test_null_origin_is_an_unknown_zone(spark, zones):
+    bad = spark.createDataFrame([("AM", None, "1", 1.0)], SCHEMA)
+    with pytest.raises(Exception, match="unknown zone"):
+        sk.od_complete(bad, zones, {"timePeriod": ["AM"]}, ["v"]).collect()
