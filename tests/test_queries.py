@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from workload import registry
 from workload.check import compare, connect
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = {name: q for name, q in entry_points.queries().items() if name in registry.QUERIES}
+SQL = {name: q for name, q in entry_points.oracle_sql().items() if name in registry.QUERIES}
 
 
 @pytest.fixture(scope="module")
