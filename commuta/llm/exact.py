@@ -1,7 +1,7 @@
 """Exact duplicates by progressive refinement: length, then prefix hash, then full hash.
 
-Each step leaves a bitmap of the groups that still hold more than one row. A bitmap has ``SLOTS`` bits whatever the
-size of the corpus, so it can be broadcast; two groups that share a bit only mean a text too many is hashed. No text
+Each step leaves a bitmap of the groups that still hold more than one row. Its size does not depend on the corpus, so
+it can be broadcast; two groups that share a bit only mean a text too many is hashed. No text
 is shuffled to find the groups, and a text is hashed whole only if another text has its length and prefix hash.
 """
 
@@ -10,33 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commuta.llm.bitmaps import bitmap, marked, order_key
 from commuta.operators.lineage import written_table
 
-#: Bits of a bitmap: at most SLOTS / 64 broadcast rows of 16 bytes, 4 MB.
-SLOTS = 1 << 24
 PREFIX_CHARS = 128
 
 
-def _slot(key: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(SLOTS))
-
-
 def _shared(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Bitmap of the keys that more than one row has: ``word`` (slot / 64) and ``bits``."""
+    """Bitmap of the keys that more than one row has."""
     groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    return (
-        groups.select(_slot(key).alias("slot"))
-        .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
-    )
-
-
-def _marked(rows: DataFrame, key: list[str], bitmap: DataFrame) -> DataFrame:
-    """``rows`` with ``open``: whether the bitmap leaves it open that another row has the same key."""
-    slot = _slot(key)
-    found = rows.join(F.broadcast(bitmap), F.shiftright(slot, 6) == F.col("word"), "left")
-    hit = F.getbit("bits", slot.bitwiseAND(F.lit(63)).cast("int")) == 1
-    return found.select(*rows.columns, F.coalesce(hit, F.lit(False)).alias("open"))
+    return bitmap(groups, key)
 
 
 def _open_texts(docs: DataFrame, text: str, carried: dict[str, Column]) -> DataFrame:
@@ -46,8 +29,8 @@ def _open_texts(docs: DataFrame, text: str, carried: dict[str, Column]) -> DataF
     ).withColumn("size", F.octet_length("body"))
     lengths = _shared(rows.select("size"), ["size"])
     heads = F.xxhash64(F.substring("body", 1, PREFIX_CHARS))
-    same_length = _marked(rows, ["size"], lengths).filter("open").select("size", heads.alias("head"))
-    return _marked(rows.withColumn("head", heads), ["size", "head"], _shared(same_length, ["size", "head"]))
+    same_length = marked(rows, ["size"], lengths).filter("open").select("size", heads.alias("head"))
+    return marked(rows.withColumn("head", heads), ["size", "head"], _shared(same_length, ["size", "head"]))
 
 
 def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", digest_all: bool = False) -> DataFrame:
@@ -92,11 +75,10 @@ def drop_exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text
     """
     rows = _open_texts(docs, text, {"doc": F.struct("*"), "id": F.col(id)})
     plain = rows.filter("not open").select("doc.*")
-    comparable = [F.col(f"doc.`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     stays = (
         rows.filter("open")
         .groupBy("size", F.sha2("body", 256).alias("digest"))
-        .agg(F.max_by("doc", F.struct("id", F.xxhash64(*comparable))).alias("doc"))
+        .agg(F.max_by("doc", F.struct("id", order_key(docs, "doc"))).alias("doc"))
         .select("doc.*")
     )
     return plain.unionByName(stays)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commuta.llm import decontaminate, exact
+from commuta.llm import bpe, decontaminate, exact, simhash, tokenfiles
+from commuta.operators.lineage import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@registered()
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 @registered("""
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
        doc_id is not distinct from max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
@@ -71,3 +80,23 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "carried.doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"),
     )
+
+
+@registered()
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded="text")
+    return made.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@registered()
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    manifest = tokenfiles.write_token_files(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder, end_id=2
+    )
+    return tokenfiles.read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
