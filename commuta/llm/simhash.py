@@ -9,7 +9,7 @@ rows, so that its node pairs go to different tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -240,10 +240,10 @@ def near_links(prints: DataFrame, node_rows: int = NODE_ROWS) -> DataFrame:
     return found
 
 
-def _classes(prints: DataFrame) -> DataFrame:
+def _classes(prints: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``fingerprint``, ``root`` of every distinct fingerprint: the smallest fingerprint its links reach."""
     distinct = prints.select("fingerprint").distinct()
-    linked = written_table(components(near_links(distinct), "a", "b"), "roots")
+    linked = written_table(components(links(distinct), "a", "b"), "roots")
     alone = distinct.join(linked, F.col("fingerprint") == F.col("node"), "left_anti")
     return linked.select(F.col("node").alias("fingerprint"), "root").unionByName(
         alone.select("fingerprint", F.col("fingerprint").alias("root"))
@@ -261,25 +261,30 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     """
     prints = written_table(fingerprints(docs, [id], text, size).select(F.col(f"carried.`{id}`").alias("doc_id"), "fingerprint"), "prints")
     first = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    classes = _classes(prints).join(first, "fingerprint")
+    classes = _classes(prints, near_links).join(first, "fingerprint")
     least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
     found = classes.join(least, "root").select("fingerprint", "component_id")
     return prints.join(found, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stay, one for each class of :func:`near_duplicates`: the one with the smallest id.
+def drop_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 3,
+    prints_of: Callable[..., DataFrame] = fingerprints, links: Callable[[DataFrame], DataFrame] = near_links,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, one for each class of near-duplicates: the one with the smallest id.
 
+    ``prints_of`` and ``links`` make the fingerprints and link them: those of this module, or of ``similar``.
     Only rows that are to go, and the few that share a bit with them in a bitmap of bounded size, are shuffled. Rows
     are known by id and text; null ids come first, ties are broken by a hash of the text, and of rows repeated with
     both one stays. All columns are returned as they came.
     """
-    keyed = docs.select(F.struct("*").alias("doc"), F.col(id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("body_key"))
-    prints = docs.select(F.col(id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("body_key"), F.col(text).alias("body"))
-    prints = fingerprints(prints, ["id", "body_key"], "body", size).select("carried.*", "fingerprint")
+    body_key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    keyed = docs.select(F.struct("*").alias("doc"), F.col(id).alias("id"), body_key.alias("body_key"))
+    rows = docs.select(F.col(id).alias("id"), body_key.alias("body_key"), F.col(text).alias("body"))
+    prints = prints_of(rows, ["id", "body_key"], "body", size).select("carried.*", "fingerprint")
     prints = written_table(prints.groupBy("id", "body_key", "fingerprint").agg(F.count(F.lit(1)).alias("rows")), "prints")
     first = prints.groupBy("fingerprint").agg(F.min(F.struct("id", "body_key")).alias("first"))
-    classes = _classes(prints).join(first, "fingerprint")
+    classes = _classes(prints, links).join(first, "fingerprint")
     stays = classes.groupBy("root").agg(F.min("first").alias("stays"))
     stays = classes.join(stays, "root").select("fingerprint", "stays")
     goes = F.struct("id", "body_key") != F.col("stays")

@@ -1,0 +1,165 @@
+"""SimHash near-duplicates by similarity: the trie join of ``simhash`` for wide fingerprints and many differing bits.
+
+Word sets of Jaccard similarity s have SimHash bits that differ with probability arccos(2s / (1 + s)) / pi. Fingerprints
+of 256 bits tell 0.8 (39 bits expected) from 0.5 (68 bits), but a trie in one order of bits cannot be pruned at 45 bits.
+So there are many tries, each in another order of bits, walked on the diagonal through their first bits: a pair at
+the threshold agrees on those in at least one trie with probability ``RECALL``. Below, pairs are walked 64 bits at a
+time, differing bits add up, and a pair is dropped once it has too many.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from commuta.llm.simhash import _Union, ones, shingles
+
+WIDTH = 256
+#: Differing bits that still link: at 0.85 of the words shared 99 in 100 pairs have fewer, at 0.6 two in 100, at 0.5 none.
+BITS_APART = 45
+SIMILARITY = 0.8
+RECALL = 0.985
+#: Fingerprints per first node that are aimed at; more documents mean more first bits, and more tries.
+NODE_ROWS = 64
+LEAST_FIRST_BITS = 14
+#: Hashes counted, pairs compared and rows of a node compared pair by pair at a time.
+HASHES = 255 * 64
+PAIRS = 1 << 17
+FEW = 128
+
+
+def fingerprint(text: str | None, size: int) -> bytes:
+    """Bit i is 1 if it is set in over half the hashes of the distinct shingles; 0 without words."""
+    found = list(set(shingles(text, size)))
+    digest, total = xxhash.xxh3_128_digest, np.zeros(WIDTH, np.int64)
+    for k in range(0, len(found), HASHES):
+        part = found[k : k + HASHES]
+        bits = np.unpackbits(np.frombuffer(b"".join([digest(s, 1) + digest(s, 2) for s in part]), np.uint8).reshape(-1, WIDTH // 8), axis=1)
+        whole = len(bits) // 255 * 255  # sums of 255 rows fit a byte
+        if whole:
+            total += bits[:whole].reshape(-1, 255, WIDTH).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+        total += bits[whole:].sum(axis=0, dtype=np.int64)
+    return np.packbits(total * 2 > len(found)).tobytes()
+
+
+def fingerprints(docs: DataFrame, carry: list[str], text: str, size: int) -> DataFrame:
+    """``carried`` (a struct of ``carry``) and ``fingerprint`` (binary, 32 bytes) per document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [fingerprint(t, size) for t in batch["body"].to_pylist()]
+            yield pa.RecordBatch.from_pydict({"carried": batch["carried"], "fingerprint": pa.array(made, pa.binary())})
+
+    rows = docs.select(F.struct(*carry).alias("carried"), F.col(text).alias("body"))
+    return rows.mapInArrow(run, rows.select("carried").schema.add("fingerprint", "binary"))
+
+
+def orders(count: int, similarity: float = SIMILARITY, recall: float = RECALL) -> np.ndarray:
+    """The first bits of each trie for ``count`` fingerprints: one row a trie."""
+    bits = max(LEAST_FIRST_BITS, math.ceil(math.log2(max(1, count) / NODE_ROWS)))
+    agree = (1 - math.acos(2 * similarity / (1 + similarity)) / math.pi) ** bits
+    tries = math.ceil(math.log(1 - recall) / math.log(1 - agree))
+    draw = np.random.default_rng(7)
+    return np.stack([draw.choice(WIDTH, bits, replace=False) for _ in range(tries)])
+
+
+def _near(words: np.ndarray, a: np.ndarray, b: np.ndarray, apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of positions with at most ``apart`` differing bits, walked word by word."""
+    sum_ = np.zeros(len(a), np.int64)
+    for k in range(words.shape[1]):
+        sum_ = sum_ + ones(words[a, k] ^ words[b, k])
+        on = sum_ <= apart
+        a, b, sum_ = a[on], b[on], sum_[on]
+    return a, b
+
+
+def _link_large(union: _Union, words: np.ndarray, begin: int, end: int, apart: int) -> None:
+    """Link the rows [begin, end) of a large node: a row is compared with all unless it is in the largest class.
+
+    Rows of one class need no comparing, so a group of copies is joined by a few rows and then skipped.
+    """
+    rows = np.arange(begin, end)
+    done = np.zeros(len(rows), bool)
+    todo = rows[:: max(1, len(rows) // 8)].tolist()
+    while todo:
+        for at in todo:
+            done[at - begin] = True
+            union.add(*_near(words, np.full(len(rows), at), rows, apart))
+        root = union.roots(rows)
+        names, counts = np.unique(root, return_counts=True)
+        left = rows[(root != names[counts.argmax()]) & ~done]
+        todo = left[:64].tolist()
+
+
+def link_nodes(words: np.ndarray, begin: np.ndarray, end: np.ndarray, apart: int) -> np.ndarray:
+    """Each row's representative under links within the nodes [begin, end)."""
+    union = _Union(len(words))
+    size = end - begin
+    for lo, hi in zip(begin[size > FEW].tolist(), end[size > FEW].tolist(), strict=True):
+        _link_large(union, words, lo, hi, apart)
+    begin, size = begin[(size > 1) & (size <= FEW)], size[(size > 1) & (size <= FEW)]
+    cells = size * size
+    edge = np.concatenate([[0], np.cumsum(cells)])
+    k = 0
+    while k < len(cells):
+        stop = max(k + 1, int(np.searchsorted(edge, edge[k] + PAIRS, "right")) - 1)
+        node = np.repeat(np.arange(k, stop), cells[k:stop])
+        cell = np.arange(edge[k], edge[stop]) - edge[node]
+        a, b = begin[node] + cell // size[node], begin[node] + cell % size[node]
+        union.add(*_near(words, a[a < b], b[a < b], apart))
+        k = stop
+    return union.roots(np.arange(len(words)))
+
+
+def near_links(prints: DataFrame, apart: int = BITS_APART, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """Links ``a``, ``b`` between distinct ``fingerprint`` values at most ``apart`` bits apart.
+
+    Returned is a spanning forest per first node, so a fingerprint has at most one link in each trie. A pair at the
+    threshold is met with probability ``recall``, a closer one more surely; the rest of a class links it as well.
+    """
+    picked = orders(prints.count(), similarity, recall)
+    tries, bits = picked.shape
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = (1 << np.arange(bits, dtype=np.int64)).astype(np.int64)
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1024):
+                batch = whole.slice(k, 1024)
+                raw = batch["fingerprint"].to_pylist()
+                each = np.unpackbits(np.frombuffer(b"".join(raw), np.uint8).reshape(-1, WIDTH // 8), axis=1)
+                node = np.stack([each[:, p].astype(np.int64) @ weight for p in picked], axis=1)
+                yield pa.RecordBatch.from_pydict({
+                    "trie": pa.array(np.tile(np.arange(tries, dtype=np.int32), len(raw))), "node": pa.array(node.reshape(-1)),
+                    "fingerprint": batch["fingerprint"].take(pa.array(np.repeat(np.arange(len(raw)), tries))),
+                })
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def linked(key: np.ndarray, raw: list[bytes]) -> pa.RecordBatch:
+            words = np.frombuffer(b"".join(raw), np.uint64).reshape(len(raw), -1)
+            begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
+            root = link_nodes(words, begin, np.append(begin[1:], len(raw)), apart)
+            far = np.flatnonzero(root != np.arange(len(raw))).tolist()
+            return pa.RecordBatch.from_pydict({
+                "a": pa.array([raw[x] for x in far], pa.binary()), "b": pa.array([raw[root[x]] for x in far], pa.binary()),
+            })
+
+        key, raw = np.zeros((0, 2), np.int64), []
+        for batch in batches:
+            key = np.concatenate([key, np.stack([batch["trie"].to_numpy().astype(np.int64), batch["node"].to_numpy()], axis=1)])
+            raw += batch["fingerprint"].to_pylist()
+            differs = (key != key[-1]).any(axis=1) if len(key) else np.zeros(0, bool)
+            cut = int(np.flatnonzero(differs)[-1]) + 1 if differs.any() else 0  # the last node may go on in the next batch
+            if cut:
+                yield linked(key[:cut], raw[:cut])
+                key, raw = key[cut:], raw[cut:]
+        if raw:
+            yield linked(key, raw)
+
+    rows = prints.select("fingerprint").mapInArrow(route, "trie int, node long, fingerprint binary")
+    dealt = rows.repartition("trie", "node").sortWithinPartitions("trie", "node")
+    return dealt.mapInArrow(walk, "a binary, b binary")
