@@ -10,6 +10,7 @@ an earlier merge. A sequence whose neighbours are all compatible is what merging
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -22,10 +23,10 @@ from pyspark.sql import types as T
 
 #: Fixed value: the pattern that splits texts before byte-level merges.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Encoded pieces a worker remembers before it starts anew, and the longest piece remembered.
-CACHED_PIECES = 200_000
-CACHED_CHARS = 64
-CACHED_PAIRS = 100_000
+#: Encoded pieces in one generation of a worker's memory, the longest piece remembered, and pairs of tokens remembered.
+CACHED_PIECES = 300_000
+CACHED_CHARS = 48
+CACHED_PAIRS = 200_000
 #: Bytes of text encoded before their rows are handed on.
 ROWS_BYTES = 2 << 20
 
@@ -88,7 +89,8 @@ class BytePairCodec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         found = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.special_pattern = regex.compile(f"({found})") if found else None
-        self.cache: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
         # Offset table: the bytes of token i are blob[offset[i] : offset[i + 1]].
         by_id = {i: self.bytes[r] for r, i in enumerate(self.id_of_rank)} | {i: s.encode() for s, i in self.special.items()}
@@ -110,51 +112,56 @@ class BytePairCodec:
                 return True
 
     def _fit(self, a: int, b: int) -> bool:
-        known = self.fits.get((a, b))
-        if known is None:
-            if len(self.fits) >= CACHED_PAIRS:
-                self.fits.clear()
-            known = self.fits[a, b] = self.compatible(a, b)
-        return known
+        if len(self.fits) >= CACHED_PAIRS:
+            self.fits.clear()
+        good = self.fits[a, b] = self.compatible(a, b)
+        return good
 
     def encode_piece(self, piece: str) -> list[int]:
         """Ids of one piece of text, without the pattern and without special tokens."""
         text = piece.encode("utf-8").decode("latin-1")
         size = len(text)
-        longest = [-1] * size
         length = self.length
-        for end, rank in self.automaton.iter(text[::-1]):
-            at = size - 1 - end
-            if longest[at] < 0 or length[rank] > length[longest[at]]:
-                longest[at] = rank
+        longest = [-1] * size
+        last = size - 1
+        for end, rank in self.automaton.iter(text[::-1]):  # of matches that end at one place the longest comes first
+            if longest[last - end] < 0:
+                longest[last - end] = rank
         if length[longest[0]] == size:
             return [self.id_of_rank[longest[0]]]
         failed = bytearray(size + 1)
         out: list[int] = []
-        at, token, shorter, fit = 0, longest[0], self.shorter, self._fit
+        at, token, before = 0, longest[0], -1
+        shorter, fits, fit = self.shorter, self.fits.get, self._fit
         while at < size:
             while token >= 0:
                 end = at + length[token]
-                if not failed[end] and (not out or fit(out[-1], token)):
-                    break
+                if not failed[end]:
+                    good = before < 0 or fits((before, token))
+                    if good or good is None and fit(before, token):
+                        break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at = end
+                at, before = end, token
                 token = longest[at] if at < size else -1
             else:  # nothing goes on from here: take the last token back and try a shorter one
                 failed[at] = 1
                 token = out.pop()
+                before = out[-1] if out else -1
                 at -= length[token]
                 token = shorter[token]
-        return [self.id_of_rank[r] for r in out]
+        ids = self.id_of_rank
+        return [ids[r] for r in out]
 
-    def _remembered(self, piece: str) -> bytes:
-        ids = np.array(self.encode_piece(piece), np.int32).tobytes()
+    def _learn(self, piece: str) -> bytes:
+        """Packed ids of a piece this generation does not know; two generations are kept, so frequent pieces stay."""
+        ids = self.before.get(piece) or array("i", self.encode_piece(piece)).tobytes()
         if len(piece) <= CACHED_CHARS:
-            if len(self.cache) >= CACHED_PIECES:
-                self.cache.clear()
-            self.cache[piece] = ids
+            if len(self.known) >= CACHED_PIECES:
+                self.before = dict(self.known)
+                self.known.clear()
+            self.known[piece] = ids
         return ids
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -165,8 +172,8 @@ class BytePairCodec:
             if k % 2:
                 out.append(np.int32(self.special[part]).tobytes())
             elif part:
-                known = self.cache.get
-                out += [known(p) or self._remembered(p) for p in self.pieces.findall(part)]
+                known, learn = self.known.get, self._learn
+                out += [known(p) or learn(p) for p in self.pieces.findall(part)]
         return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
