@@ -8,7 +8,9 @@ the smallest number). Sums over the files before a file give its base, the place
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
@@ -23,20 +25,30 @@ from pyspark.sql import functions as F
 from commuta.operators.lineage import written_table
 
 NULL_ID = -(1 << 63)
-#: Encoded words a worker remembers before it starts anew, the longest word remembered, and words encoded in one call.
-CACHED_WORDS = 200_000
+#: Encoded words in one generation of a worker's memory, the longest word remembered, and words encoded in one call.
+CACHED_WORDS = 250_000
 CACHED_BYTES = 48
-WORDS_PER_CALL = 4096
+WORDS_PER_CALL = 2048
+#: Text encoded at a time.
+PIECE_BYTES = 8 << 20
+#: Fixed value: the pattern of tokenizers that are asked word by word. No match of it holds white space.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words in UTF-8: a whole run of a-z and the letters from À to ÿ, or else all up to white space. A match of the pattern
+#: ends where such a run ends, unless a combining mark or another letter past ASCII may follow.
+_WORDS = re.compile(rb"(?:[a-z]+|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++(?![\x80-\xff])|\S+")
+BAR, SPECIAL = b"|", b"<|"
 #: Bytes of token ids returned in one batch by the reader, and documents in it.
 READ_BYTES = 4 << 20
 READ_ROWS = 4096
 
 
 class WordEncoder:
-    """The tokenizers library, asked once for each word.
+    """The tokenizers library, asked once for each word where that gives the ids of whole texts.
 
-    Valid for tokenizers that drop white space: no token, normal form or pattern match then reaches across a space,
-    so a text's ids are its words' ids in turn. A tokenizer that keeps white space is asked for whole texts.
+    That holds if the definition normalises character by character and its pattern is WORD_PATTERN: then nothing reaches
+    across white space or past the end of a run of letters, and lower case makes no difference. A worker remembers two
+    generations of words, so frequent ones stay. Texts that may hold special tokens are asked for whole, and so are all
+    texts of other tokenizers.
     """
 
     def __init__(self, definition: str):
@@ -47,30 +59,63 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        joined = self.library.encode("ab cd\nef", add_special_tokens=False).ids
-        self.by_word = joined == [i for w in ("ab", "cd", "ef") for i in self.library.encode(w, add_special_tokens=False).ids]
+        spec = json.loads(definition)
+        steps = (spec["normalizer"] or {}).get("normalizers", [])
+        first = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        self.bar = self._ids(BAR)
+        self.by_word = (
+            [n["type"] for n in steps] == ["NFC", "Replace", "Lowercase"] and steps[1]["pattern"] == {"Regex": r"\s+"}
+            and first.get("pattern") == {"Regex": WORD_PATTERN} and first["behavior"] == "Removed" and first["invert"]
+            and all(SPECIAL in t["content"].encode() for t in spec["added_tokens"]) and len(self.bar) == 1
+        )
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def _ids(self, text: bytes) -> list[int]:
+        return self.library.encode(text.decode(), add_special_tokens=False).ids
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
+    def _encode_words(self, found: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words, many in one call: a bar between them has an id that no word without a bar gives."""
+        out = {w: self._packed(self._ids(w)) for w in found if BAR in w}
+        rest = [w for w in found if BAR not in w]
+        for k in range(0, len(rest), WORDS_PER_CALL):
+            part = rest[k : k + WORDS_PER_CALL]
+            ids = np.array(self._ids(b" | ".join(part)), self.dtype)
+            cut = np.flatnonzero(ids == self.bar[0])
+            raw, ends = ids.tobytes(), [*(cut * ids.itemsize).tolist(), len(ids) * ids.itemsize]
+            assert len(ends) == len(part)
+            begin = 0
+            for w, end in zip(part, ends, strict=True):
+                out[w] = raw[begin:end]
+                begin = end + ids.itemsize
+        return out
+
+    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words not known in this generation; long ones are not remembered."""
+        before = self.before
+        found = {w: before[w] for w in new if w in before}
+        found.update(self._encode_words(list(new.difference(found))))
+        self.known.update(found if max(map(len, found)) <= CACHED_BYTES else {w: ids for w, ids in found.items() if len(w) <= CACHED_BYTES})
+        return found
+
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The packed ids of each text."""
-        if not self.by_word:
-            return [self._packed(self.library.encode(t or "", add_special_tokens=False).ids) for t in texts]
-        split = [(t or "").encode().split() for t in texts]
+        bodies = [(t or "").encode() for t in texts]
+        whole = [not self.by_word or SPECIAL in b for b in bodies]
+        split = [[] if w else _WORDS.findall(b.lower()) for b, w in zip(bodies, whole, strict=True)]
+        if len(self.known) >= CACHED_WORDS:
+            self.before, self.known = self.known, {}
         known = self.known
-        if len(known) >= CACHED_WORDS:
-            known.clear()
-        new = list({w for ws in split for w in ws if w not in known})
-        once: dict[bytes, bytes] = {}
-        for k in range(0, len(new), WORDS_PER_CALL):
-            part = new[k : k + WORDS_PER_CALL]
-            for w, e in zip(part, self.library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                (known if len(w) <= CACHED_BYTES else once)[w] = self._packed(e.ids)
-        if once:
-            return [b"".join([known.get(w) or once.get(w, b"") for w in ws]) for ws in split]
-        return [b"".join([known[w] for w in ws]) for ws in split]
+        new = set().union(*split).difference(known)
+        found = self._learn(new) if new else {}
+        if any(len(w) > CACHED_BYTES for w in found):
+            rows = [b"".join([known[w] if w in known else found[w] for w in ws]) for ws in split]
+        else:
+            rows = [b"".join(map(known.__getitem__, ws)) for ws in split]
+        return [self._packed(self._ids(b)) if w else row for b, w, row in zip(bodies, whole, rows, strict=True)]
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
@@ -91,7 +136,7 @@ def _store(folder: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(folder)
 
 
-def _pieces(texts: list[str | None], most: int = 2 << 20) -> Iterator[slice]:
+def _pieces(texts: list[str | None], most: int = PIECE_BYTES) -> Iterator[slice]:
     begin, size = 0, 0
     for at, text in enumerate(texts):
         if at > begin and size + len(text or "") > most:
