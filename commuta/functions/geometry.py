@@ -9,10 +9,8 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from commuta.functions.columns import MILES_PER_KM
 
@@ -132,65 +130,57 @@ def bounds(geom: Column) -> dict[str, Column]:
     return {"x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys)}
 
 
-Point = tuple[float, float]
-
-
-def _fan(rings: list) -> list[tuple[float, tuple[Point, Point, Point]]]:
-    """Counter-clockwise triangles of all rings with their weights, +1 or -1."""
-    out = []
-    for ring in rings:
-        pts = [(p["x"], p["y"]) for p in ring["points"]]
-        triangles, area = [], 0.0
-        (ox, oy) = pts[0]
-        for (bx, by), (cx, cy) in zip(pts[1:-1], pts[2:]):
-            s = (bx - ox) * (cy - oy) - (cx - ox) * (by - oy)
-            area += s
-            if s > 0:
-                triangles.append((1.0, (pts[0], (bx, by), (cx, cy))))
-            elif s < 0:
-                triangles.append((-1.0, (pts[0], (cx, cy), (bx, by))))
-        turn = (1.0 if area >= 0 else -1.0) * (-1.0 if ring["hole"] else 1.0)
-        out.extend((w * turn, t) for w, t in triangles)
-    return out
-
-
-def _clip_area(subject: tuple, clip: tuple) -> float:
-    """Area shared by two counter-clockwise triangles."""
-    out = list(subject)
-    for i in range(3):
-        (ax, ay), (bx, by) = clip[i], clip[(i + 1) % 3]
-        side = [(bx - ax) * (y - ay) - (by - ay) * (x - ax) for x, y in out]
-        kept = []
-        for k, (p, s) in enumerate(zip(out, side)):
-            q, t = out[(k + 1) % len(out)], side[(k + 1) % len(out)]
-            if s >= 0:
-                kept.append(p)
-            if (s > 0 > t) or (s < 0 < t):
-                r = s / (s - t)
-                kept.append((p[0] + (q[0] - p[0]) * r, p[1] + (q[1] - p[1]) * r))
-        out = kept
-        if len(out) < 3:
-            return 0.0
-    ox, oy = out[0]
-    return 0.5 * sum(
-        (p[0] - ox) * (q[1] - oy) - (q[0] - ox) * (p[1] - oy) for p, q in zip(out[1:-1], out[2:])
-    )
+def sides(geom: Column) -> Column:
+    """The sides of all rings that are not vertical, from left to right, with the sign of the area below them.
 
+    A side counts +1 where the shape lies below it and -1 where it lies above, so the areas
+    between the sides and any base line add up to the shape's; rings may turn either way.
+    """
+    def ring_sides(ring: Column) -> Column:
+        ring_edges = _edges(ring["points"])
+        twice = F.aggregate(
+            ring_edges, F.lit(0.0), lambda t, e: t + (e["a"]["x"] - e["b"]["x"]) * (e["a"]["y"] + e["b"]["y"] - 2 * ring["points"][0]["y"])
+        )
+        turn = F.signum(twice) * F.when(ring["hole"], -1.0).otherwise(1.0)
 
-def _apart(s: tuple, t: tuple) -> bool:
-    return any(
-        max(p[d] for p in s) <= min(p[d] for p in t) or max(p[d] for p in t) <= min(p[d] for p in s) for d in (0, 1)
-    )
+        def side(e: Column) -> Column:
+            a, b = e["a"], e["b"]
+            left = a["x"] < b["x"]
 
+            def end(first: Column, second: Column, axis: str) -> Column:
+                return F.when(left, first[axis]).otherwise(second[axis])
 
-def shared_area(a: list, b: list) -> float:
-    """Area in both geometries: signed sum over pairs of fan triangles."""
-    fan_b = _fan(b)
-    return sum(
-        (u * v * _clip_area(s, t) for u, s in _fan(a) for v, t in fan_b if not _apart(s, t)), 0.0
-    )
+            return F.struct(
+                end(a, b, "x").alias("x0"), end(a, b, "y").alias("y0"), end(b, a, "x").alias("x1"), end(b, a, "y").alias("y1"),
+                F.when(left, -turn).otherwise(turn).alias("sign"),
+            )
+
+        return F.transform(F.filter(ring_edges, lambda e: e["a"]["x"] != e["b"]["x"]), side)
+
+    return F.flatten(F.transform(geom, ring_sides))
+
+
+def overlap_area(a: Column, b: Column, base: Column) -> Column:
+    """Area two shapes share, from their ``sides``: the signed area below both sides, over all pairs of sides.
+
+    Areas are taken above the line y = ``base``, which cancels out; one near the shapes keeps digits.
+    """
+    def height(s: Column, x: Column) -> Column:
+        return s["y0"] + (s["y1"] - s["y0"]) * (x - s["x0"]) / (s["x1"] - s["x0"]) - base
+
+    def below_both(p: Column, q: Column) -> Column:
+        left, right = F.greatest(p["x0"], q["x0"]), F.least(p["x1"], q["x1"])
+        pl, pr, ql, qr = height(p, left), height(p, right), height(q, left), height(q, right)
+        dl, dr = pl - ql, pr - qr
+        low_l, low_r = F.least(pl, ql), F.least(pr, qr)
+        share = dl / (dl - dr)  # of the way to the crossing
+        crossing = pl + share * (pr - pl)
+        apart = (low_l + low_r) / 2
+        crossed = (share * (low_l + crossing) + (1 - share) * (crossing + low_r)) / 2
+        return (right - left) * F.when(dl * dr >= 0, apart).otherwise(crossed)
 
+    def with_all(total: Column, p: Column) -> Column:
+        meeting = F.filter(b, lambda q: (q["x0"] < p["x1"]) & (p["x0"] < q["x1"]))
+        return total + F.aggregate(meeting, F.lit(0.0), lambda t, q: t + p["sign"] * q["sign"] * below_both(p, q))
 
-@F.pandas_udf(DoubleType())
-def overlap_area(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([shared_area(p, q) for p, q in zip(a, b)], dtype=float)
+    return F.aggregate(a, F.lit(0.0), with_all)

@@ -24,18 +24,24 @@ INDUSTRY_GROUPS = {
     "62": 5, "71": 5, "72": 2, "81": 2, "92": 1, "31-33": 4, "44-45": 0, "48-49": 3,
 }
 
-# Households per draw cell: a cell meets at most this many blocks.
-DRAW_CELL = 64
+# Ranks are read in digits of this many bits; the digits reach any number of households a long can count.
+RADIX_BITS = 6
+RADIX = 1 << RADIX_BITS
+RANK_DIGITS = 10
 
 
 def household_recode(households: DataFrame) -> DataFrame:
-    """Demand-table household columns; unknown codes become NULL."""
+    """Demand-table household columns; unknown codes become NULL.
+
+    ``hhold`` is the survey's serial number; a given ``time_in_home`` is kept, else unknown.
+    """
+    given = F.col("time_in_home") if "time_in_home" in households.columns else F.lit(None)
     return households.select(
-        "household_id", "block_id", "persons", "workers", "income",
+        "household_id", F.col("serialno").alias("hhold"), "block_id", "persons", "workers", "income",
         F.col("cars").alias("vehicles"),
         label("hh_type", HOUSEHOLD_TYPES).alias("type"),
         label("sf_detached", HOUSING_UNIT_TYPES).alias("housing_unit_type"),
-        F.lit(0).alias("ecom"), F.lit(0).alias("dispose_veh"), F.lit(MISSING).alias("time_in_home"),
+        F.lit(0).alias("ecom"), F.lit(0).alias("dispose_veh"), F.coalesce(given, F.lit(MISSING)).alias("time_in_home"),
     )
 
 
@@ -80,7 +86,7 @@ def marital_status(persons: DataFrame) -> DataFrame:
         .agg(last(0).alias("_ref"), last(1).alias("_spouse"))
         .filter(F.col("_spouse").isNotNull())
     )
-    out = lookup(persons, couples, ["household_id"], row_key=["person_id"], spread=1)
+    out = lookup(persons, couples, ["household_id"])
     married = (F.col("person_id") == F.col("_ref")) | (F.col("person_id") == F.col("_spouse"))
     return out.withColumn("marital_status", F.when(married, MARRIED).otherwise(NEVER_MARRIED)).drop("_ref", "_spouse")
 
@@ -94,34 +100,46 @@ def place_unplaced(households: DataFrame, block_zone: DataFrame, seed: int) -> D
     """Give households without a known block one drawn in proportion to placed households.
 
     A draw is a rank among the placed households in block order, so a block is hit as
-    often as households live in it. Blocks and draws meet in cells of equal rank width:
-    draws are uniform over cells, and a block holding a third of all households simply
-    spans a third of the cells. The counts per block are checkpointed, as spans and total
-    both read them.
+    often as households live in it; its block is the last one that begins at or before the
+    rank. Block beginnings are kept in a tree over the digits of their rank, at most RADIX
+    to a node, and a draw looks into one node a level: no block is unfolded, whatever its
+    size. The counts per block are checkpointed, as beginnings and total both read them.
     """
     keys = ["block_id"]
     known = block_zone.select("block_id", F.lit(True).alias("_placed"))
     counts = households.groupBy("block_id").agg(F.count("*").alias("n"))
     counts = cut_lineage(counts.join(known, keys, "left_semi"))
-    marked = lookup(households, known, keys, row_key=["household_id"])
+    marked = lookup(households, known, keys)
     placed = marked.filter(F.col("_placed")).drop("_placed")
-    spans = running_totals(counts, F.substring("block_id", 1, 11), "block_id", {"high": "n"}).withColumn(
-        "low", F.col("high") - F.col("n")
+    starts = running_totals(counts, F.substring("block_id", 1, 11), "block_id", {"high": "n"}).select(
+        "block_id", (F.col("high") - F.col("n")).alias("low")
     )
     nobody = F.raise_error(F.lit("no household has a known block"))
-    total = F.coalesce(counts.agg(F.sum("n")).scalar(), nobody)
-    celled = spans.withColumn(
-        "_cell",
-        F.explode(F.sequence(F.expr(f"low div {DRAW_CELL}"), F.expr(f"(high - 1) div {DRAW_CELL}"))),
-    ).select("_cell", "low", "high", "block_id")
-    draws = (
-        marked.filter(F.col("_placed").isNull())
-        .drop("_placed", "block_id")
-        .withColumn("_rank", trunc_int(F.floor(hash_uniform("household_id", seed) * total)))
-        .withColumn("_cell", F.expr(f"_rank div {DRAW_CELL}"))
+    total = counts.agg(F.sum("n")).scalar()
+
+    def by_level(df: DataFrame, rank: str) -> DataFrame:
+        leveled = df.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(RANK_DIGITS - 1))))
+        below = f"shiftright({rank}, cast(_level as int) * {RADIX_BITS})"
+        return leveled.withColumns({
+            "_node": F.expr(f"shiftright({below}, {RADIX_BITS})"), "_digit": F.expr(f"cast({below} & {RADIX - 1} as int)"),
+        })
+
+    nodes = (
+        by_level(starts, "low").groupBy("_level", "_node", "_digit").agg(F.max(F.struct("low", "block_id")).alias("last"))
+        .groupBy("_level", "_node").agg(F.array_sort(F.collect_list(F.struct("_digit", "last.low", "last.block_id"))).alias("_marks"))
+    )
+    draws = marked.filter(F.col("_placed").isNull()).drop("_placed", "block_id").withColumn(
+        "_rank", trunc_int(F.floor(hash_uniform("household_id", seed) * total))
+    )
+    before = F.filter(
+        "_marks", lambda m: F.when(F.col("_level") == 0, m["low"] <= F.col("_rank")).otherwise(m["_digit"] < F.col("_digit"))
+    )
+    found = (
+        lookup(by_level(draws.select("household_id", "_rank"), "_rank"), nodes, ["_level", "_node"], how="inner")
+        .select("household_id", "_level", F.try_element_at(before, F.lit(-1)).alias("_mark")).filter("_mark is not null")
+        .groupBy("household_id").agg(F.min_by("_mark.block_id", "_level").alias("block_id"))
     )
-    hit = (F.col("_rank") >= F.col("low")) & (F.col("_rank") < F.col("high"))
-    drawn = draws.join(celled, "_cell").filter(hit).select(*households.columns)
+    drawn = draws.join(found, "household_id", "left").withColumn("block_id", F.coalesce("block_id", nobody)).select(*households.columns)
     return placed.select(*households.columns).unionByName(drawn)
 
 
@@ -130,10 +148,10 @@ def sample_households(households: DataFrame, fraction: float, seed: int) -> Data
     return households.filter(hash_uniform("household_id", seed) < fraction)
 
 
-def members_of(rows: DataFrame, households: DataFrame, row_key: str) -> DataFrame:
+def members_of(rows: DataFrame, households: DataFrame) -> DataFrame:
     """Persons or vehicles of the given households."""
     ids = households.select("household_id", F.lit(True).alias("_in"))
-    return lookup(rows, ids, ["household_id"], row_key=[row_key], how="inner", spread=1).select(*rows.columns)
+    return lookup(rows, ids, ["household_id"], how="inner").select(*rows.columns)
 
 
 def merge_households(new: DataFrame, existing: DataFrame) -> DataFrame:
@@ -149,12 +167,12 @@ def merge_households(new: DataFrame, existing: DataFrame) -> DataFrame:
     return both.select(*[pick(c) if c in own else F.col(c) for c in new.columns])
 
 
-def merge_members(new: DataFrame, existing: DataFrame, households: DataFrame, known: DataFrame, row_key: str) -> DataFrame:
+def merge_members(new: DataFrame, existing: DataFrame, households: DataFrame, known: DataFrame) -> DataFrame:
     """Members of the merged households: the existing ones where ``known`` has the household, else the new ones."""
     ids = households.select("household_id")
     kept = ids.join(known.select("household_id"), "household_id", "left_semi")
     fresh = ids.join(known.select("household_id"), "household_id", "left_anti")
-    return members_of(existing, kept, row_key).unionByName(members_of(new, fresh, row_key), allowMissingColumns=True)
+    return members_of(existing, kept).unionByName(members_of(new, fresh), allowMissingColumns=True)
 
 
 def zone_attributes(

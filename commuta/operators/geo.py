@@ -12,14 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commuta.functions.geometry import (
-    METRES_PER_DEGREE, bounds, centroid, contains, edges, mercator_x, mercator_y, overlap_area, planar_miles, rings_from_lists, rings_from_wkt,
+    METRES_PER_DEGREE, bounds, centroid, contains, edges, mercator_x, mercator_y, overlap_area, planar_miles, rings_from_lists,
+    rings_from_wkt, sides,
 )
-from commuta.operators.joins import SPREAD, lookup, shuffled_if_large
+from commuta.operators.joins import lookup, shuffled
 from commuta.operators.lineage import cut_lineage
 
 CELL_COLUMNS = ["_cx", "_cy"]
-EDGE_BYTES = 64
-TARGET_BYTES = 64
 
 
 def _cell(v: Column, size: float | Column) -> Column:
@@ -33,24 +32,22 @@ def _covered_cells(df: DataFrame, box: dict[str, Column], size: float) -> DataFr
     )
 
 
-def points_to_zones(points: DataFrame, zones: DataFrame, cell: float = 0.05, spread: int = SPREAD) -> DataFrame:
-    """Zone of each point (unique id, x, y), NULL outside all zones; the least zone id on shared ground.
+def points_to_zones(points: DataFrame, zones: DataFrame, cell: float = 0.05) -> DataFrame:
+    """Zone of each point (x, y), NULL outside all zones; the least zone id on shared ground.
 
-    ``cell`` is the grid size in coordinate units, best near the usual zone extent. Points
-    of a crowded cell are dealt over ``spread`` copies of the zones that touch it.
+    ``cell`` is the grid size in coordinate units, best near the usual zone extent: a cell
+    holds the shapes that touch it as one row. A point meets its cell's row and is tested
+    there, so points are never multiplied or regrouped; a crowded cell's points are split
+    by adaptive execution.
     """
-    shapes = shuffled_if_large(_covered_cells(
-        zones.select("zone_id", "geometry", edges(F.col("geometry")).alias("_edges")), bounds(F.col("geometry")), cell
-    ), EDGE_BYTES * spread * F.size("_edges")).select(
-        "zone_id", "_edges", *CELL_COLUMNS, F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_salt")
+    shapes = _covered_cells(
+        zones.select("zone_id", edges(F.col("geometry")).alias("_edges"), "geometry"), bounds(F.col("geometry")), cell
     )
-    keyed = points.withColumns({
-        "_px": _cell(F.col("x"), cell), "_py": _cell(F.col("y"), cell),
-        "_deal": F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int"),
-    })
-    near = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & (F.col("_deal") == F.col("_salt"))
-    inside = contains(F.col("_edges"), F.col("x"), F.col("y"))
-    return keyed.join(shapes, near & inside, "left").groupBy(*points.columns).agg(F.min("zone_id").alias("zone_id"))
+    cells = shuffled(shapes.groupBy(*CELL_COLUMNS).agg(F.collect_list(F.struct("zone_id", "_edges")).alias("_shapes")))
+    keyed = points.withColumns({"_cx": _cell(F.col("x"), cell), "_cy": _cell(F.col("y"), cell)})
+    around = F.filter("_shapes", lambda z: contains(z["_edges"], F.col("x"), F.col("y")))
+    zone = F.array_min(F.transform(around, lambda z: z["zone_id"]))
+    return keyed.join(cells, CELL_COLUMNS, "left").select(*points.columns, zone.alias("zone_id"))
 
 
 def centroid_distance(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -58,16 +55,16 @@ def centroid_distance(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame
 
     ``a`` and ``b`` are zone tables (zone_id, cx, cy) of origins and destinations.
     """
-    both = with_centres(with_centres(pairs, a, "origin", ["destination"]), b, "destination", ["origin"])
+    both = with_centres(with_centres(pairs, a, "origin"), b, "destination")
     return both.select(*pairs.columns, straight_miles().alias("miles"))
 
 
-def with_centres(pairs: DataFrame, zones: DataFrame, end: str, row_key: list[str], spread: int = SPREAD) -> DataFrame:
+def with_centres(pairs: DataFrame, zones: DataFrame, end: str) -> DataFrame:
     """Add the projected centroid of one end's zone; projection is done once per zone."""
     centres = zones.select(
         F.col("zone_id").alias(end), mercator_x(F.col("cx")).alias(f"_{end}_x"), mercator_y(F.col("cy")).alias(f"_{end}_y")
     )
-    return lookup(pairs, centres, [end], row_key, spread=spread)
+    return lookup(pairs, centres, [end])
 
 
 def straight_miles() -> Column:
@@ -90,18 +87,22 @@ def nearest(points: DataFrame, candidates: DataFrame, lat0: float | None = None,
     Grids of doubling cell size are laid over the region. A point's search level is two
     above the finest grid on which any candidate lies in its 3 x 3 neighbourhood: at that
     level the neighbourhood must hold the nearest one, so the search is exact while each
-    point meets only candidates of its own surroundings. Points and candidates that share
-    coordinates are searched once.
+    point meets only candidates of its own surroundings. Levels are found once for each
+    occupied cell of the finest grid, whose coarser cells follow from it; points and
+    candidates that share coordinates are searched once.
     """
     cos0 = F.lit(math.cos(math.radians(lat0))) if lat0 is not None else F.cos(F.radians(_mean_latitude(candidates)))
     levels = math.ceil(math.log2(360 * METRES_PER_DEGREE / cell_m)) + 1
+    cell_key = ["_level", *CELL_COLUMNS]
 
     def plane(df: DataFrame) -> DataFrame:
-        return df.withColumns({"_px": F.col("x") * METRES_PER_DEGREE * cos0, "_py": F.col("y") * METRES_PER_DEGREE})
+        """Coordinates in metres and the cell of the finest grid."""
+        metres = df.withColumns({"_px": F.col("x") * METRES_PER_DEGREE * cos0, "_py": F.col("y") * METRES_PER_DEGREE})
+        return metres.withColumns({"_fx": _cell(F.col("_px"), cell_m), "_fy": _cell(F.col("_py"), cell_m)})
 
-    def at_level(df: DataFrame, level: Column) -> DataFrame:
-        size = F.lit(cell_m) * F.pow(F.lit(2.0), level)
-        return df.withColumns({"_cx": _cell(F.col("_px"), size), "_cy": _cell(F.col("_py"), size)})
+    def at_level(df: DataFrame) -> DataFrame:
+        """The cell on the grid ``_level``: doubling the size drops a bit of the finest cell's number."""
+        return df.withColumns({"_cx": F.expr("shiftright(_fx, cast(_level as int))"), "_cy": F.expr("shiftright(_fy, cast(_level as int))")})
 
     def neighbourhood(df: DataFrame) -> DataFrame:
         around = F.sequence(F.lit(-1), F.lit(1))
@@ -114,21 +115,19 @@ def nearest(points: DataFrame, candidates: DataFrame, lat0: float | None = None,
     every_level = F.explode(F.sequence(F.lit(0), F.lit(levels)))
     places = plane(points.select("x", "y").distinct())
     targets = plane(candidates.groupBy("x", "y").agg(F.min("id").alias("nearest_id")))
-    leveled = shuffled_if_large(
-        at_level(targets.withColumn("_level", every_level), F.col("_level")), F.lit(TARGET_BYTES)
-    )
-    cell_key = ["_level", *CELL_COLUMNS]
+    leveled = at_level(targets.withColumn("_level", every_level))
     occupied = leveled.select(*cell_key).distinct()
+    # Cells next to an occupied one; a cell of the finest grid looks its own coarser cells up among them.
+    beside = shuffled(neighbourhood(occupied).distinct())
+    finest = places.select("_fx", "_fy").distinct()
     reach = (
-        neighbourhood(at_level(places.withColumn("_level", every_level), F.col("_level")))
-        .join(occupied, cell_key, "left_semi")
-        .groupBy("x", "y", "_px", "_py")
-        .agg(F.least(F.min("_level") + 2, F.lit(levels)).alias("_level"))
+        at_level(finest.withColumn("_level", every_level)).join(beside, cell_key, "left_semi")
+        .groupBy("_fx", "_fy").agg(F.least(F.min("_level") + 2, F.lit(levels)).alias("_level"))
     )
-    target = leveled.select(*cell_key, F.col("_px").alias("_tx"), F.col("_py").alias("_ty"), "nearest_id")
+    target = shuffled(leveled.select(*cell_key, F.col("_px").alias("_tx"), F.col("_py").alias("_ty"), "nearest_id"))
     dx, dy = F.col("_px") - F.col("_tx"), F.col("_py") - F.col("_ty")
     found = (
-        neighbourhood(at_level(reach, F.col("_level")))
+        neighbourhood(at_level(places.join(reach, ["_fx", "_fy"])))
         .join(target, cell_key)
         .groupBy("x", "y")
         .agg(F.min(F.struct((dx * dx + dy * dy).alias("d2"), F.col("nearest_id").alias("to"))).alias("_best"))
@@ -141,31 +140,32 @@ def max_overlap_zone(blocks: DataFrame, zones: DataFrame, lat0: float | None = N
     """Zone sharing the largest area with each block; without overlap, the zone of the nearest centroid.
 
     Blocks are (GEOID, geometry), zones (zone_id, geometry). Areas are compared in square
-    degrees: one latitude's scale factor is common to all zones a block can overlap.
-    Equal areas go to the least zone id. Blocks and zones meet in the cell of the
-    lower-left corner of their shared bounding box, so each pair is formed once. The
-    overlap result is checkpointed, as the fallback reads it again.
+    degrees: one latitude's scale factor is common to all zones a block can overlap; less
+    than a 10^12th of the block's bounding box is no overlap. Equal areas go to the least zone
+    id. Only ids and bounding boxes meet in the grid, in the cell of the lower-left corner of
+    their shared box, so each pair is formed once; shapes join the pairs whose boxes overlap.
+    The overlap result is checkpointed, as the fallback reads it again.
     """
-    boxed = {
-        side: df.withColumn("_box", F.struct(*[v.alias(k) for k, v in bounds(F.col("geometry")).items()]))
-        for side, df in (("block", blocks), ("zone", zones.filter(F.size("geometry") > 0)))
-    }
-
-    def celled(df: DataFrame) -> DataFrame:
-        return _covered_cells(df, {k: F.col(f"_box.{k}") for k in ("x0", "x1", "y0", "y1")}, cell)
-
-    b = celled(boxed["block"]).select("GEOID", F.col("geometry").alias("_bg"), F.col("_box").alias("_bb"), *CELL_COLUMNS)
-    zone_cells = celled(boxed["zone"])
-    points = F.aggregate("geometry", F.lit(0), lambda n, r: n + F.size(r["points"]))
-    z = shuffled_if_large(zone_cells, EDGE_BYTES * SPREAD * points).select("zone_id", F.col("geometry").alias("_zg"), F.col("_box").alias("_zb"), *CELL_COLUMNS)
+    def boxed(df: DataFrame, key: str, name: str) -> DataFrame:
+        box = F.struct(*[v.alias(k) for k, v in bounds(F.col("geometry")).items()])
+        return df.filter(F.size("geometry") > 0).select(key, box.alias(name))
+
+    def celled(df: DataFrame, name: str) -> DataFrame:
+        return _covered_cells(df, {k: F.col(f"{name}.{k}") for k in ("x0", "x1", "y0", "y1")}, cell)
+
+    b = celled(boxed(blocks, "GEOID", "_bb"), "_bb")
+    z = shuffled(celled(boxed(zones, "zone_id", "_zb"), "_zb"))
     x0, y0 = F.greatest("_bb.x0", "_zb.x0"), F.greatest("_bb.y0", "_zb.y0")
     meets = (F.least("_bb.x1", "_zb.x1") > x0) & (F.least("_bb.y1", "_zb.y1") > y0)
     once = (_cell(x0, cell) == F.col("_cx")) & (_cell(y0, cell) == F.col("_cy"))
+    least = (F.col("_bb.x1") - F.col("_bb.x0")) * (F.col("_bb.y1") - F.col("_bb.y0")) * 1e-12
+    pairs = lookup(b, z, CELL_COLUMNS, how="inner").filter(meets & once).select("GEOID", "zone_id", y0.alias("_base"), least.alias("_least"))
+    block_sides = blocks.select("GEOID", sides(F.col("geometry")).alias("_bs"))
+    zone_sides = zones.select("zone_id", sides(F.col("geometry")).alias("_zs"))
     best = cut_lineage(
-        lookup(b, z, CELL_COLUMNS, row_key=["GEOID"], how="inner")
-        .filter(meets & once)
-        .select("GEOID", "zone_id", overlap_area("_bg", "_zg").alias("area"))
-        .filter(F.col("area") > 0)
+        pairs.join(block_sides, "GEOID").join(zone_sides, "zone_id")
+        .select("GEOID", "zone_id", "_least", overlap_area(F.col("_bs"), F.col("_zs"), F.col("_base")).alias("area"))
+        .filter(F.col("area") > F.col("_least"))
         .groupBy("GEOID")
         .agg(F.min_by("zone_id", F.struct(-F.col("area"), "zone_id")).alias("zone_id"))
     )

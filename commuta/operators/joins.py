@@ -2,7 +2,7 @@
 
 No join carries a broadcast hint: Spark compares each side's size with
 ``spark.sql.autoBroadcastJoinThreshold`` and shuffles above it. Sides that are unfolded
-into many rows first have their real size checked (``shuffled_if_large``).
+into many rows first are always shuffled (``shuffled``).
 """
 
 from __future__ import annotations
@@ -12,33 +12,13 @@ from pyspark.sql import functions as F
 
 from commuta.operators.lineage import cut_lineage
 
-SPREAD = 8
-BROADCAST_LIMIT = 64 << 20
-
-
-def lookup(
-    rows: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    row_key: list[str],
-    how: str = "left",
-    spread: int = SPREAD,
-) -> DataFrame:
+def lookup(rows: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Attach columns of ``dim`` (one row per key) to every row.
 
-    Rows of one key are dealt over ``spread`` sub-keys by a hash of ``row_key`` and the
-    dimension is repeated once per sub-key, so a hot key is shared by several tasks.
-    The hash depends on row content alone, so a retried task deals the same way.
-
-    ``spread=1`` is for a dimension about as large as the rows, where repeating it would
-    cost more than it saves; adaptive execution then splits a hot partition at run time.
+    A hot key's partition of ``rows`` is split at run time by adaptive execution, from the sizes the
+    shuffle has measured (``session.SETTINGS``); nothing is repeated where no key is hot.
     """
-    if spread <= 1:
-        return rows.join(dim, on, how)
-    salt = F.pmod(F.xxhash64(*row_key), F.lit(spread)).cast("int")
-    dealt = rows.withColumn("_salt", salt)
-    repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return rows.join(dim, on, how)
 
 
 def running_totals(
@@ -68,14 +48,9 @@ def running_totals(
     )
 
 
-def shuffled_if_large(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Keep a join side that unfolding has multiplied from being broadcast when it is large.
-
-    Spark estimates a side before its explode, so the size is summed here; past ``limit``
-    bytes the join is told to shuffle.
-    """
-    size = df.agg(F.sum(row_bytes)).first()[0] or 0
-    return df.hint("merge") if size > limit else df
+def shuffled(df: DataFrame) -> DataFrame:
+    """Keep a join side that unfolding has multiplied from being broadcast: Spark sizes it before its explode."""
+    return df.hint("merge")
 
 
 def missing_keys(rows: DataFrame, key: str, ref: DataFrame, ref_key: str) -> DataFrame:

@@ -40,16 +40,16 @@ REGIONAL_CORE = "0"
 
 
 def assign_zone(
-    rows: DataFrame, zones: DataFrame, key: str, row_key: list[str], unzoned: str = "drop"
+    rows: DataFrame, zones: DataFrame, key: str, unzoned: str = "drop"
 ) -> DataFrame:
     """Zone of every row through ``key``; rows without one are dropped or kept (``unzoned``)."""
-    out = lookup(rows, zones.select(key, ZONE), [key], row_key)
+    out = lookup(rows, zones.select(key, ZONE), [key])
     return out.filter(F.col(ZONE).isNotNull()) if unzoned == "drop" else out
 
 
 def household_table(households: DataFrame, blocks: DataFrame, unzoned: str = "drop") -> DataFrame:
     """Households with zone and household type."""
-    return assign_zone(households, blocks, "block_id", ["household_id"], unzoned).withColumn("HHT", household_type())
+    return assign_zone(households, blocks, "block_id", unzoned).withColumn("HHT", household_type())
 
 
 def person_table(persons: DataFrame, households: DataFrame, blocks: DataFrame, unzoned: str = "drop") -> DataFrame:
@@ -57,15 +57,15 @@ def person_table(persons: DataFrame, households: DataFrame, blocks: DataFrame, u
     homes = lookup(
         households.select("household_id", "block_id"),
         blocks.select("block_id", ZONE, F.col("x").alias("home_x"), F.col("y").alias("home_y")),
-        ["block_id"], ["household_id"],
+        ["block_id"],
     ).drop("block_id")
-    out = lookup(persons, homes, ["household_id"], ["person_id"], spread=1)
+    out = lookup(persons, homes, ["household_id"])
     if unzoned == "drop":
         out = out.filter(F.col(ZONE).isNotNull())
     return out.withColumns({"ptype": ptype(), "pemploy": pemploy(), "pstudent": pstudent()})
 
 
-def relocate_jobs(jobs: DataFrame, blocks: DataFrame, row_key: list[str], lat0: float | None = None) -> DataFrame:
+def relocate_jobs(jobs: DataFrame, blocks: DataFrame, lat0: float | None = None) -> DataFrame:
     """Move jobs out of blocks with no land to the nearest block that has some.
 
     Blocks carry centroid ``x``, ``y``. Only the distinct no-land blocks that hold jobs
@@ -80,7 +80,7 @@ def relocate_jobs(jobs: DataFrame, blocks: DataFrame, row_key: list[str], lat0:
     moves = nearest(no_land, with_land, lat0).select(
         F.col("id").alias("block_id"), F.col("nearest_id").alias("_to")
     )
-    moved = lookup(jobs, moves, ["block_id"], row_key)
+    moved = lookup(jobs, moves, ["block_id"])
     return moved.withColumn("block_id", F.coalesce("_to", "block_id")).select(*jobs.columns)
 
 
@@ -98,7 +98,7 @@ def block_totals(blocks: DataFrame, households: DataFrame, jobs: DataFrame) -> D
 def block_zone_map(blocks: DataFrame, mapping: DataFrame, geoid: str, unmapped: str = "keep") -> DataFrame:
     """Zone id of every block through ``geoid``; unmapped blocks keep their own id, get NULL, or go."""
     ids = mapping.select(F.col("GEOID").alias(geoid), F.col("zone_id").cast("string").alias(ZONE))
-    out = lookup(blocks, ids, [geoid], ["block_id"])
+    out = lookup(blocks, ids, [geoid])
     if unmapped == "keep":
         return out.withColumn(ZONE, F.coalesce(F.col(ZONE), F.col(geoid).cast("string")))
     return out.filter(F.col(ZONE).isNotNull()) if unmapped == "drop" else out
@@ -292,8 +292,10 @@ def overwrite_columns(base: DataFrame, updates: DataFrame, keys: list[str], colu
 
 
 def warm_start_update(base: DataFrame, choices: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Take choice columns of the demand model into the stored table, by id."""
-    return overwrite_columns(base, choices, [key], columns)
+    """Take choice columns of the demand model into the stored table, by id. Unequal row counts are an error."""
+    a, b = (df.agg(F.count("*")).scalar() for df in (base, choices))
+    unequal = F.raise_error(F.concat_ws(" ", F.lit("warm start of"), a.cast("string"), F.lit("rows with choices of"), b.cast("string")))
+    return overwrite_columns(base, choices, [key], columns).filter(F.when(a == b, True).otherwise(unequal))
 
 
 def same_row_count(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -10,10 +10,10 @@ from commuta.operators.joins import lookup
 from commuta.operators.lineage import cut_lineage
 
 
-def replace_households(base: DataFrame, updated: DataFrame, row_key: str = "person_id") -> DataFrame:
+def replace_households(base: DataFrame, updated: DataFrame) -> DataFrame:
     """All rows of any updated household replaced by its updated rows; other households kept."""
     ids = updated.select("household_id").distinct().withColumn("_new", F.lit(True))
-    kept = lookup(base, ids, ["household_id"], row_key=[row_key], spread=1).filter(F.col("_new").isNull())
+    kept = lookup(base, ids, ["household_id"]).filter(F.col("_new").isNull())
     return updated.unionByName(kept.select(*base.columns))
 
 

@@ -1,18 +1,20 @@
 """Origin-destination travel-cost tables ("skims").
 
 Long form: one row per slice (time period, path type) and origin-destination pair, one
-column per measure. Matrices stay wide in this form until ``matrix_export``.
+column per measure. Packed form: one row per slice and origin with an array of its cells;
+completion, distances and export work on it, and pairs are unpacked last.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commuta.functions.columns import MILES_PER_KM, finite, hash_uniform, safe_div
-from commuta.operators.geo import straight_miles, with_centres
+from commuta.functions.geometry import mercator_x, mercator_y, planar_miles
 from commuta.operators.joins import lookup, missing_keys, running_totals
 
 # Time periods, paths and measure sources of the demand model.
@@ -60,6 +62,11 @@ def zone_order(zones: DataFrame) -> DataFrame:
     return zones.select("zone_id", F.col("zone_id").cast("bigint").alias("idx")).distinct()
 
 
+def geoid_order(mapping: DataFrame) -> DataFrame:
+    """For runs by block or block group: the GEOIDs as zone ids, in the order of their mapped zone numbers."""
+    return mapping.select(F.col("GEOID").alias("zone_id"), F.col("zone_id").cast("bigint").alias("idx")).distinct()
+
+
 def zone_order_check(order: DataFrame) -> DataFrame:
     """One row: least and greatest position, number of zones, and whether they run 1..N."""
     seen = order.agg(F.min("idx").alias("first"), F.max("idx").alias("last"), F.countDistinct("idx").alias("zones"))
@@ -92,13 +99,17 @@ def zone_coverage(skims: DataFrame, zones: DataFrame) -> DataFrame:
     return side("origin").unionByName(side("destination"))
 
 
-def split_by_mode(skims: DataFrame, highway: list[str], transit: list[str], check: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Highway rows and transit rows; with ``check`` neither may be empty."""
-    parts = {name: skims.filter(F.col("pathType").isin(paths)) for name, paths in (("highway", highway), ("transit", transit))}
-    for name, part in parts.items():
-        if check and part.isEmpty():
-            raise ValueError(f"no {name} skims")
-    return parts["highway"], parts["transit"]
+def split_by_mode(skims: DataFrame, highway: list[str], transit: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Highway rows and transit rows; ``absent_modes`` tells whether one of them is empty."""
+    return skims.filter(F.col("pathType").isin(highway)), skims.filter(F.col("pathType").isin(transit))
+
+
+def absent_modes(skims: DataFrame, highway: list[str], transit: list[str]) -> DataFrame:
+    """'highway' or 'transit' (column ``mode``) where no row of the skims has one of its paths."""
+    mode = F.when(F.col("pathType").isin(highway), "highway").when(F.col("pathType").isin(transit), "transit")
+    counts = skims.agg(*[F.count(F.when(mode == m, 1)).alias(m) for m in ("highway", "transit")])
+    rows = F.array(*[F.struct(F.lit(m).alias("mode"), F.col(m).alias("n")) for m in ("highway", "transit")])
+    return counts.select(F.inline(rows)).filter("n = 0").select("mode")
 
 
 def _dealt(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -106,102 +117,147 @@ def _dealt(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
-def od_complete(
-    df: DataFrame, zones: DataFrame, slices: dict[str, list], measures: list[str], fill: float | None = 0.0,
+def _zone_list(zones: DataFrame) -> Column:
+    """The zones in the order of their positions, as one array value (idx, zone_id)."""
+    return zones.agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), "zone_id")))).scalar()
+
+
+def pack_od(
+    df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[str], measures: list[str],
     read_as: dict[str, tuple[str, dict[str, list]]] | None = None,
 ) -> DataFrame:
-    """Full N x N rows per slice, missing cells filled.
+    """All origins of every slice, one row each: slice columns, ``origin``, ``o_idx`` and ``cells``.
 
-    ``slices`` maps each slice column to its values. ``read_as`` renames slices on the way
-    out: column -> (output column, {value read: [values published]}). A pair given twice
-    or naming an unknown zone is an error.
+    ``cells`` has one entry (d, measures) for every zone, in no order; d is the destination's
+    position, and a pair that is not given has NULL measures. ``zones`` carries positions
+    ``idx`` 1..N. ``slices`` maps slice columns to their values, or names columns whose
+    values are those of the rows. ``read_as`` renames slices on the way out: column ->
+    (output column, {value read: [values published]}). A pair given twice or naming an
+    unknown zone is an error.
 
-    Only the given cells are shuffled, checked for repeats and packed into one array per
-    slice and origin, so an array has at most one entry per zone. Absent destinations are added to the array where it lies, so the
-    N x N rows first exist after the last shuffle.
+    Zones are numbered by joins with the zone list. Only the given cells are shuffled and
+    packed, at most one per zone; absent ones are added where the array lies.
     """
-    keys = [*slices, "origin"]
-    everywhere = zones.agg(F.collect_set("zone_id")).scalar()
-    wanted = reduce(lambda a, b: a & b, [F.col(c).isin(v) for c, v in slices.items()], F.lit(True))
-    unknown = F.raise_error(F.concat_ws(" ", F.lit("unknown zone in a pair from"), "origin"))
-    double = F.raise_error(F.concat_ws(" ", F.lit("more than one row for the pair"), "origin", "destination"))
-    known = F.coalesce(F.array_contains("_zones", F.col("origin")), F.lit(False))
-    outside = ~known | (F.size(F.array_except("_ends", "_zones")) > 0)
-    cells = (
-        df.filter(wanted).withColumn("origin", F.coalesce("origin", F.lit("")))  # a missing origin is no zone
-        .groupBy(*keys, "destination")
-        .agg(F.count("*").alias("_rows"), *[F.max(F.col(m).cast("double")).alias(m) for m in measures])
-        .filter(F.when(F.col("_rows") > 1, double).otherwise(True))
-    )
+    names = list(slices)
+    keys = [*names, "o_idx"]
+    unknown = F.raise_error(F.concat_ws(" ", F.lit("unknown zone in the pair"), "origin", "destination"))
+    double = F.raise_error(F.concat_ws(" ", F.lit("more than one row for the pair of positions"), "o_idx", "d"))
+    rows = df
+    if isinstance(slices, dict):
+        rows = df.filter(reduce(lambda a, b: a & b, [F.col(c).isin(v) for c, v in slices.items()], F.lit(True)))
+    rows = rows.select(*names, *OD, *[F.col(m).cast("double").alias(m) for m in measures])
+    for end, position in (("origin", "_o"), ("destination", "_d")):
+        rows = rows.join(zones.select(F.col("zone_id").alias(end), F.col("idx").cast("int").alias(position)), end, "left")
+    numbered = rows.select(*names, F.coalesce("_o", unknown).alias("o_idx"), F.coalesce("_d", unknown).alias("d"), *measures)
     given = (
-        cells.groupBy(*keys).agg(F.collect_list(F.struct("destination", *measures)).alias("_cells"))
-        .withColumns({"_zones": everywhere, "_ends": F.col("_cells.destination")})
-        .filter(F.when(outside, unknown).otherwise(True))
-        .drop("_zones")
+        numbered.groupBy(*keys, "d").agg(F.count("*").alias("_rows"), *[F.max(m).alias(m) for m in measures])
+        .filter(F.when(F.col("_rows") > 1, double).otherwise(True))
+        .groupBy(*keys).agg(F.collect_list(F.struct("d", *measures)).alias("_given"))
     )
-    frame = zones.select(F.col("zone_id").alias("origin"))
-    for column, values in slices.items():
-        frame = frame.withColumn(column, F.explode(F.array(*[F.lit(v) for v in values])))
-    packed = _dealt(frame, keys).join(given, keys, "left").withColumns({
-        "_zones": everywhere, "_ends": F.coalesce("_ends", F.array().cast("array<string>")),
-    })
-    out_keys = list(keys)
-    for column, (published, names) in (read_as or {}).items():
-        name_map = F.create_map(*[c for k, v in names.items() for c in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
-        packed = packed.withColumn(published, F.explode(name_map[F.col(column)]))
-        out_keys[out_keys.index(column)] = published
+    if isinstance(slices, dict):
+        frame = zones.select(F.col("zone_id").alias("origin"), F.col("idx").cast("int").alias("o_idx"))
+        for column, values in slices.items():
+            frame = frame.withColumn(column, F.explode(F.array(*[F.lit(v) for v in values])))
+    else:
+        frame = df.select(*names).distinct().withColumn("_zone", F.explode(_zone_list(zones)))
+        frame = frame.select(*names, F.col("_zone.zone_id").alias("origin"), F.col("_zone.idx").alias("o_idx"))
     absent = F.transform(
-        F.array_except("_zones", "_ends"),
-        lambda z: F.struct(z.alias("destination"), *[F.lit(None).cast("double").alias(m) for m in measures]),
+        F.array_except(F.sequence(F.lit(1), F.col("_zones").cast("int")), F.coalesce("_given.d", F.array().cast("array<int>"))),
+        lambda d: F.struct(d.alias("d"), *[F.lit(None).cast("double").alias(m) for m in measures]),
     )
-    full = F.when(F.col("_cells").isNull(), absent).otherwise(F.concat("_cells", absent))
-    value = [F.coalesce(F.col(m), F.lit(fill).cast("double")).alias(m) for m in measures]
-    return packed.select(*out_keys, F.inline(full)).select(*out_keys, "destination", *value)
+    packed = _dealt(frame, keys).join(given, keys, "left").withColumn("_zones", zones.agg(F.count("*")).scalar())
+    full = F.when(F.col("_given").isNull(), absent).otherwise(F.concat("_given", absent))
+    packed = packed.select(*names, "origin", "o_idx", full.alias("cells"))
+    for column, (published, values) in (read_as or {}).items():
+        name_map = F.create_map(*[c for k, v in values.items() for c in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
+        packed = packed.withColumn(published, F.explode(name_map[F.col(column)])).drop(column)
+    return packed
 
 
-def distance_skim(highway: DataFrame, zones: DataFrame) -> DataFrame:
-    """Miles per pair: the last highway row's distance, else between centroids (at least 100 m).
+def _with_cells(packed: DataFrame, measures: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Replace the measures of every cell; each is a function of the cell."""
+    return packed.withColumn("cells", F.transform("cells", lambda c: F.struct(c["d"].alias("d"), *[m(c).alias(n) for n, m in measures.items()])))
+
+
+def unpack_od(packed: DataFrame, zones: DataFrame) -> DataFrame:
+    """One row per cell of packed rows, in ``SKIM_KEYS`` order. Nothing is shuffled after the cells are unpacked."""
+    keys = [c for c in packed.columns if c not in ("origin", "o_idx", "cells")]
+    measures = [f.name for f in packed.schema["cells"].dataType.elementType.fields if f.name != "d"]
+    destination = F.element_at(_zone_list(zones), F.col("d"))["zone_id"].alias("destination")
+    return packed.select(*keys, "origin", F.inline("cells")).select(*keys, "origin", destination, *measures)
+
+
+def od_complete(
+    df: DataFrame, zones: DataFrame, slices: dict[str, list], measures: list[str], fill: float | None = 0.0,
+) -> DataFrame:
+    """Full N x N rows per slice, missing cells filled; see ``pack_od``."""
+    packed = pack_od(df, zones, slices, measures)
+    if fill is not None:
+        packed = _with_cells(packed, {m: (lambda c, m=m: F.coalesce(c[m], F.lit(float(fill)))) for m in measures})
+    return unpack_od(packed, zones)
+
+
+def pack_distance(highway: DataFrame, zones: DataFrame) -> DataFrame:
+    """Packed miles (measure DIST): the last highway row's distance, else between centroids (at least 100 m).
 
     ``highway`` carries ``ordinal``, its file order; a NULL last distance is imputed too.
-    ``zones`` carries centroid cx, cy. Published for car, bicycle and foot alike.
+    ``zones`` carries centroid cx, cy. Centroids meet the packed rows, not the pairs.
     """
     last = highway.groupBy(*OD).agg(F.max_by("DIST_miles", "ordinal").alias("_miles"))
-    full = od_complete(last, zones, {}, ["_miles"], fill=None)
-    for end in OD:
-        full = with_centres(full, zones, end, OD, spread=1)
-    miles = full.select(*OD, F.coalesce("_miles", straight_miles()).alias("DIST"))
-    return miles.select(*OD, "DIST", F.col("DIST").alias("DISTBIKE"), F.col("DIST").alias("DISTWALK"))
+    centre = F.struct(F.col("idx").cast("int").alias("idx"), mercator_x(F.col("cx")).alias("x"), mercator_y(F.col("cy")).alias("y"))
+    packed = pack_od(last, zones, {}, ["_miles"]).withColumn("_centres", zones.agg(F.array_sort(F.collect_list(centre))).scalar())
+    own = F.element_at("_centres", F.col("o_idx"))
+
+    def miles(c: Column) -> Column:
+        there = F.element_at(F.col("_centres"), c["d"])
+        return F.coalesce(c["_miles"], planar_miles(own["x"], own["y"], there["x"], there["y"], at_least_m=100.0))
+
+    return _with_cells(packed, {"DIST": miles}).drop("_centres")
+
+
+def distance_skim(highway: DataFrame, zones: DataFrame) -> DataFrame:
+    """Miles per pair (see ``pack_distance``), published for car, bicycle and foot alike."""
+    return unpack_od(pack_distance(highway, zones), zones).withColumns({"DISTBIKE": F.col("DIST"), "DISTWALK": F.col("DIST")})
 
 
-def auto_skims(
+def pack_auto(
     highway: DataFrame, distance: DataFrame, zones: DataFrame, periods: list[str] = PERIODS,
     paths: list[str] = HIGHWAY_PATHS, measure_map: dict[str, str | None] = HIGHWAY_MEASURES, by_path: bool = False,
 ) -> DataFrame:
-    """Wide drive skims (period, path, pair). Unknown distances come from ``distance``, unknown times
-    from it at 40 mph, other unknown or unmapped measures are 0.
+    """Packed drive skims (period, path). Unknown distances come from ``distance`` (packed, see
+    ``pack_distance``), unknown times from it at 40 mph, other unknown or unmapped measures are 0.
 
     By default every path repeats the period's rows, and two highway rows of one pair in a
-    period are an error; ``by_path`` gives each path its own rows.
+    period are an error; ``by_path`` gives each path its own rows. Distances join per origin.
     """
     sources = sorted({s for s in measure_map.values() if s})
     slices = {"timePeriod": periods} | ({"pathType": paths} if by_path else {})
-    full = od_complete(highway, zones, slices, sources, fill=None).join(distance.select(*OD, F.col("DIST").alias("_d")), OD)
+    miles = distance.select("o_idx", F.transform(F.array_sort("cells"), lambda c: c["DIST"]).alias("_miles"))
+    packed = pack_od(highway, zones, slices, sources).join(miles, "o_idx")
+
+    def measure(name: str, source: str | None):
+        def of(c: Column) -> Column:
+            far = F.element_at(F.col("_miles"), c["d"])
+            default = {"DIST": far, "TIME": far * (60 / DEFAULT_MPH)}.get(name, F.lit(0.0))
+            return F.coalesce(c[source], default) if source else F.lit(0.0)
+        return of
+
+    packed = _with_cells(packed, {n: measure(n, s) for n, s in measure_map.items()}).drop("_miles")
     if not by_path:
-        full = full.withColumn("pathType", F.explode(F.array(*[F.lit(p) for p in paths])))
-    unknown = {"DIST": F.col("_d"), "TIME": F.col("_d") * (60 / DEFAULT_MPH)}
+        packed = packed.withColumn("pathType", F.explode(F.array(*[F.lit(p) for p in paths])))
+    return packed.select("timePeriod", "pathType", "origin", "o_idx", "cells")
 
-    def measure(name: str, source: str | None) -> Column:
-        default = unknown.get(name, F.lit(0.0))
-        return (F.coalesce(F.col(source), default) if source else F.lit(0.0)).alias(name)
 
-    return full.select(*SKIM_KEYS, *[measure(n, s) for n, s in measure_map.items()])
+def auto_skims(highway: DataFrame, distance: DataFrame, zones: DataFrame, *args, **kw) -> DataFrame:
+    """Wide drive skims (period, path, pair); see ``pack_auto``."""
+    return unpack_od(pack_auto(highway, distance, zones, *args, **kw), zones)
 
 
-def transit_skims(
+def pack_transit(
     transit: DataFrame, zones: DataFrame, periods: list[str] = PERIODS, paths: list[str] = TRANSIT_PATHS,
     measure_map: dict[str, str | None] = TRANSIT_MEASURES,
 ) -> DataFrame:
-    """Wide transit skims (period, path, pair); express and any-transit paths read the local path's rows.
+    """Packed transit skims (period, path); express and any-transit paths read the local path's rows.
 
     Mapped measures are scaled by 100 except fares and boardings; missing is 0.
     """
@@ -209,42 +265,46 @@ def transit_skims(
     for path in paths:
         local.setdefault(path.replace("EXP", "LOC").replace("TRN", "LOC"), []).append(path)
     sources = sorted({s for s in measure_map.values() if s})
-    rows = transit.withColumnRenamed("pathType", "_read")
-    full = od_complete(
-        rows, zones, {"timePeriod": periods, "_read": list(local)}, sources, read_as={"_read": ("pathType", local)}
+    packed = pack_od(
+        transit.withColumnRenamed("pathType", "_read"), zones, {"timePeriod": periods, "_read": list(local)}, sources,
+        read_as={"_read": ("pathType", local)},
     )
 
-    def measure(name: str, source: str | None) -> Column:
-        value = F.lit(0.0) if source is None else F.col(source)
-        return (value if name in UNSCALED or source is None else value * TRANSIT_SCALE).alias(name)
+    def measure(name: str, source: str | None):
+        def of(c: Column) -> Column:
+            value = F.lit(0.0) if source is None else F.coalesce(c[source], F.lit(0.0))
+            return value if name in UNSCALED or source is None else value * TRANSIT_SCALE
+        return of
+
+    return _with_cells(packed, {n: measure(n, s) for n, s in measure_map.items()}).select("timePeriod", "pathType", "origin", "o_idx", "cells")
+
 
-    return full.select(*SKIM_KEYS, *[measure(n, s) for n, s in measure_map.items()])
+def transit_skims(transit: DataFrame, zones: DataFrame, *args, **kw) -> DataFrame:
+    """Wide transit skims (period, path, pair); see ``pack_transit``."""
+    return unpack_od(pack_transit(transit, zones, *args, **kw), zones)
 
 
-def matrix_export(wide: DataFrame, zones: DataFrame, name: Column | None = None) -> DataFrame:
-    """One row per matrix and origin: (name, o_idx, values), values in zone order.
+def pack_wide(wide: DataFrame, zones: DataFrame) -> DataFrame:
+    """Long skims as packed rows: every origin of every slice that has rows, absent pairs NULL."""
+    slices = [c for c in SKIM_KEYS if c in wide.columns and c not in OD]
+    return pack_od(wide, zones, slices, [c for c in wide.columns if c not in SKIM_KEYS])
 
-    Names are path_measure__period unless ``name`` gives the prefix. An array holds one
-    value per zone, so its size is bounded by the zone list.
+
+def matrix_export(packed: DataFrame, name: Column | None = None) -> DataFrame:
+    """One row per matrix and origin of packed skims: (name, o_idx, values).
+
+    Value i of an array belongs to zone position i; a pair without a value is NULL in its
+    place. Names are path_measure__period unless ``name`` gives the prefix. The cells of a
+    row are sorted where they lie, nothing is shuffled.
     """
-    keys = [c for c in SKIM_KEYS if c in wide.columns]
-    measures = [c for c in wide.columns if c not in keys]
-    idx = zones.select("zone_id", "idx")
-    indexed = (
-        wide.join(idx.withColumnsRenamed({"zone_id": "origin", "idx": "o_idx"}), "origin")
-        .join(idx.withColumnsRenamed({"zone_id": "destination", "idx": "d_idx"}), "destination")
-        .drop("origin", "destination")
-    )
-    slices = [k for k in keys if k not in OD]
-    rows = indexed.groupBy(*slices, "o_idx").agg(
-        F.array_sort(F.collect_list(F.struct("d_idx", *measures))).alias("_row")
-    )
+    slices = [c for c in packed.columns if c not in ("origin", "o_idx", "cells")]
+    measures = [f.name for f in packed.schema["cells"].dataType.elementType.fields if f.name != "d"]
 
     def values_of(m: str) -> Column:
-        return F.struct(F.lit(m).alias("measure"), F.transform("_row", lambda cell: cell[m]).alias("values"))
+        return F.struct(F.lit(m).alias("measure"), F.transform("cells", lambda cell: cell[m]).alias("values"))
 
-    values = F.explode(F.array(*[values_of(m) for m in measures]))
-    exported = rows.select(*slices, "o_idx", values.alias("_m"))
+    ordered = packed.withColumn("cells", F.array_sort("cells"))
+    exported = ordered.select(*slices, "o_idx", F.explode(F.array(*[values_of(m) for m in measures])).alias("_m"))
     if name is None:
         name = F.concat("pathType", F.lit("_"), "_m.measure", F.lit("__"), "timePeriod") if slices else F.col("_m.measure")
     return exported.select(name.alias("name"), "o_idx", "_m.values")
@@ -286,18 +346,35 @@ def with_interval(df: DataFrame, minute: Column, iskims: DataFrame, name: str) -
     return df.withColumn("_ends", ends).withColumn(name, at).drop("_ends")
 
 
-def od_time_lookup(trips: DataFrame, iskims: DataFrame, zones: DataFrame, measures: list[str]) -> DataFrame:
+def _of_mode(iskims: DataFrame, mode: str | None) -> DataFrame:
+    """Interval skims of one mode; a table keyed by mode must be given one."""
+    if mode is not None:
+        return iskims.filter(F.col("mode") == mode).drop("mode")
+    if "mode" in iskims.columns:
+        raise ValueError("interval skims keyed by mode: name the mode")
+    return iskims
+
+
+def od_time_lookup(
+    trips: DataFrame, iskims: DataFrame, zones: DataFrame, measures: list[str], mode: str | None = None
+) -> DataFrame:
     """Skim values of each trip (id, o, d, minute) in the interval it starts in; unknown zones drop the trip.
 
-    The skims may outweigh the trips, so they are not repeated for a hot pair: adaptive
-    execution splits its partition at run time.
+    Interval skims keyed by ``mode`` are read for one mode, in that mode's intervals. More than
+    one row for an interval and pair is an error. The skims may outweigh the trips, so they
+    are not repeated for a hot pair: adaptive execution splits its partition at run time.
     """
+    own = _of_mode(iskims, mode)
     known = zones.select("zone")
-    kept = lookup(trips, known.select(F.col("zone").alias("o")), ["o"], ["id"], how="inner")
-    kept = lookup(kept, known.select(F.col("zone").alias("d")), ["d"], ["id"], how="inner")
-    timed = with_interval(kept, F.col("minute"), iskims, "interval_end")
+    kept = lookup(trips, known.select(F.col("zone").alias("o")), ["o"], how="inner")
+    kept = lookup(kept, known.select(F.col("zone").alias("d")), ["d"], how="inner")
+    timed = with_interval(kept, F.col("minute"), own, "interval_end")
     keys = ["interval_end", "o", "d"]
-    return timed.join(iskims.select(*keys, *measures), keys, "left").select("id", "o", "d", "minute", *measures)
+    double = F.raise_error(F.concat_ws(" ", F.lit("more than one skim row for"), *keys))
+    single = own.groupBy(*keys).agg(
+        F.count("*").alias("_rows"), *[F.max(m).alias(m) for m in measures]
+    ).filter(F.when(F.col("_rows") > 1, double).otherwise(True))
+    return timed.join(single.drop("_rows"), keys, "left").select("id", "o", "d", "minute", *measures)
 
 
 def od_lookup_rejects(trips: DataFrame, zones: DataFrame) -> DataFrame:
@@ -309,20 +386,31 @@ def od_lookup_rejects(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return side("o").unionByName(side("d"))
 
 
-def cost_per_mile(iskims: DataFrame, minute: int = 540) -> DataFrame:
+def cost_per_mile(
+    iskims: DataFrame, minute: int = 540, auto_mode: str | None = None, transit_mode: str | None = None
+) -> DataFrame:
     """Auto and transit cost per distance unit of every origin, in the interval holding ``minute``.
 
-    Transit counts other zones with service only; an origin without any costs 99999.
+    Interval skims keyed by mode are read for ``auto_mode`` and ``transit_mode``, each in its own
+    intervals. Transit counts other zones with service only; an origin without any costs 99999.
     """
-    current = with_interval(iskims, F.lit(minute), iskims, "_now").filter(F.col("interval_end") == F.col("_now"))
+    def current(mode: str | None) -> DataFrame:
+        own = _of_mode(iskims, mode)
+        return with_interval(own, F.lit(minute), own, "_now").filter(F.col("interval_end") == F.col("_now"))
+
     served = (F.col("ivtt") > 0) & (F.col("ivtt") < NO_SERVICE_S) & (F.col("o") != F.col("d"))
-    sums = current.groupBy(F.col("o").alias("taz")).agg(
-        safe_div(F.sum("cost"), F.sum("distance")).alias("auto_costpermile"),
+    auto = [safe_div(F.sum("cost"), F.sum("distance")).alias("auto_costpermile")]
+    transit = [
         F.coalesce(F.sum(F.when(served, F.col("fare"))), F.lit(0.0)).alias("_fare"),
         F.coalesce(F.sum(F.when(served, F.col("distance"))), F.lit(0.0)).alias("_dist"),
-    )
-    transit = F.when(F.col("_dist") == 0, NO_SERVICE_COST).otherwise(safe_div("_fare", "_dist"))
-    return sums.select("taz", "auto_costpermile", transit.alias("tran_costpermile"))
+    ]
+    origin = F.col("o").alias("taz")
+    if auto_mode == transit_mode:
+        sums = current(auto_mode).groupBy(origin).agg(*auto, *transit)
+    else:
+        sums = current(auto_mode).groupBy(origin).agg(*auto).join(current(transit_mode).groupBy(origin).agg(*transit), "taz", "left")
+    none = F.coalesce(F.col("_dist"), F.lit(0.0)) == 0
+    return sums.select("taz", "auto_costpermile", F.when(none, NO_SERVICE_COST).otherwise(safe_div("_fare", "_dist")).alias("tran_costpermile"))
 
 
 def landuse_travel_data(skims: DataFrame, zone_map: DataFrame | None = None) -> DataFrame:
@@ -333,9 +421,9 @@ def landuse_travel_data(skims: DataFrame, zone_map: DataFrame | None = None) ->
     )
     if zone_map is None:
         return rows
-    for end, other in (("from_zone_id", "to_zone_id"), ("to_zone_id", "from_zone_id")):
+    for end in ("from_zone_id", "to_zone_id"):
         ids = zone_map.select(F.col("GEOID").alias(end), F.col("zone_id").alias("_zone"))
-        rows = lookup(rows, ids, [end], [other]).drop(end).withColumnRenamed("_zone", end)
+        rows = lookup(rows, ids, [end]).drop(end).withColumnRenamed("_zone", end)
     return rows
 
 
@@ -403,14 +491,34 @@ def zone_subset(listed: DataFrame, known: DataFrame) -> DataFrame:
     return ranked.select("zone", (F.col("_rank") - 1).alias("idx"))
 
 
+def _between(iskims: DataFrame, origins: DataFrame, destinations: DataFrame) -> DataFrame:
+    return iskims.join(origins.select(F.col("zone").alias("o")), "o", "left_semi").join(
+        destinations.select(F.col("zone").alias("d")), "d", "left_semi"
+    )
+
+
 def skim_subset_pivot(
-    iskims: DataFrame, origins: DataFrame, destinations: DataFrame, intervals: list[int], measures: list[str]
+    iskims: DataFrame, origins: DataFrame, destinations: DataFrame, intervals: list[int], measures: list[str],
+    mode: str | None = None,
 ) -> DataFrame:
     """Listed origins and destinations only, one column per measure and interval: O, D, measure_interval."""
-    kept = iskims.join(origins.select(F.col("zone").alias("o")), "o", "left_semi").join(
-        destinations.select(F.col("zone").alias("d")), "d", "left_semi"
-    )
+    kept = _between(_of_mode(iskims, mode), origins, destinations)
     cells = [
         F.max(F.when(F.col("interval_end") == i, F.col(m))).alias(f"{m}_{i}") for m in measures for i in intervals
     ]
     return kept.groupBy(F.col("o").alias("O"), F.col("d").alias("D")).agg(*cells)
+
+
+def skim_blocks(
+    iskims: DataFrame, origins: DataFrame, destinations: DataFrame, measures: list[str],
+    intervals: list[int] | None = None, modes: list[str] | None = None,
+) -> DataFrame:
+    """Listed origins and destinations in blocks of mode and interval: mode, interval_end, O, D, measures.
+
+    ``intervals`` and ``modes`` limit the blocks; without them all are kept.
+    """
+    kept = _between(iskims, origins, destinations)
+    for column, wanted in (("interval_end", intervals), ("mode", modes)):
+        if wanted is not None:
+            kept = kept.filter(F.col(column).isin(wanted))
+    return kept.select("mode", "interval_end", F.col("o").alias("O"), F.col("d").alias("D"), *measures)

@@ -1,7 +1,8 @@
 """Activity, mode-share and travel-time reports of the simulated day.
 
-Counts and sums are taken per join key before the join, so a person, trip number or
-location that holds a large part of the log reaches the join as a handful of rows.
+Rows are filtered and semi-joined before they are counted, so the log is shuffled once for
+each join key. Counts are taken before a join only where they reduce the rows: per person
+and kind, per location, and for trip 0, which all planned activities share.
 """
 
 from __future__ import annotations
@@ -122,7 +123,7 @@ def _touching_city(counts: DataFrame, location: DataFrame) -> DataFrame:
     city = F.col("area_type") <= CITY_AREA_TYPE
     for end in ("origin", "destination"):
         side = location.select(F.col("location").alias(end), city.alias(f"{end}_city"))
-        counts = lookup(counts, side, [end], row_key=["time_depart", "time_arrive", "origin", "destination"], how="inner")
+        counts = lookup(counts, side, [end], how="inner")
     return counts.filter(F.col("origin_city") | F.col("destination_city"))
 
 
@@ -136,10 +137,9 @@ def trips_in_network_city(trip: DataFrame, tnc_trip: DataFrame, location: DataFr
     def six_seconds(c: str) -> Column:
         return trunc_int(F.col(c) / 6) * 6
 
-    def counts(rows: DataFrame) -> DataFrame:
-        return _tally(
-            rows, six_seconds("start_s").alias("time_depart"), six_seconds("end_s").alias("time_arrive"),
-            "origin", "destination",
+    def binned(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            six_seconds("start_s").alias("time_depart"), six_seconds("end_s").alias("time_arrive"), "origin", "destination"
         )
 
     def events(log: DataFrame) -> DataFrame:
@@ -148,11 +148,11 @@ def trips_in_network_city(trip: DataFrame, tnc_trip: DataFrame, location: DataFr
             F.struct(F.col("time_arrive").alias("time"), F.lit("arrivals").alias("kind")),
         )
         return (
-            log.select("n", F.explode(bins).alias("e")).groupBy("e.time", "e.kind").agg(F.sum("n").alias("n"))
+            log.select(F.explode(bins).alias("e")).groupBy("e.time", "e.kind").agg(F.count("*").alias("n"))
         )
 
     private = trip.filter((F.col("mode") == 0) & F.col("person").isNotNull())
-    logs = [events(_touching_city(counts(log), location)) for log in (private, tnc_trip)]
+    logs = [events(_touching_city(binned(log), location)) for log in (private, tnc_trip)]
     x = F.lit(expansion)
     per_bin = (
         logs[0].unionByName(logs[1]).distinct()
@@ -180,8 +180,14 @@ def planned_activity_mode_share(activity: DataFrame, person: DataFrame, expansio
     return _expanded(_of_adults(planned, person), ["mode"], expansion)
 
 
-def _on_trips(counts: DataFrame, trips: DataFrame) -> DataFrame:
-    return counts.join(trips.select(F.col("trip_id").alias("trip")), "trip", "left_semi")
+def _per_trip(activity: DataFrame, *keys: str) -> DataFrame:
+    """The log ready to join on trips: rows as they are (n = 1), but those of trip 0, the planned ones, counted first."""
+    moving = activity.filter(~F.col("trip").eqNullSafe(0)).select("trip", *keys, F.lit(1).cast("bigint").alias("n"))
+    return moving.unionByName(_tally(activity.filter(F.col("trip") == 0), "trip", *keys))
+
+
+def _on_trips(activity: DataFrame, trips: DataFrame, *keys: str) -> DataFrame:
+    return _per_trip(activity, *keys).join(trips.select(F.col("trip_id").alias("trip")), "trip", "left_semi").drop("trip")
 
 
 def executed_activity_mode_share(
@@ -190,8 +196,7 @@ def executed_activity_mode_share(
     """Modes of activities reached by a trip longer than two seconds, failed modes left out."""
     done = _after_warm_up(activity).filter(~F.col("mode").ilike("FAIL%"))
     long_enough = trip.filter(F.col("end_s") - F.col("start_s") > 2)
-    per_person = _regroup(_on_trips(_tally(done, "trip", "person", "mode"), long_enough), "person", "mode")
-    return _expanded(_of_adults(per_person, person), ["mode"], expansion)
+    return _expanded(_of_adults(_on_trips(done, long_enough, "person", "mode"), person), ["mode"], expansion)
 
 
 def executed_activity_mode_share_fails(activity: DataFrame, person: DataFrame, expansion: float = 4) -> DataFrame:
@@ -220,8 +225,7 @@ def executed_activity_mode_share_by_area(
     expansion: float = 4,
 ) -> DataFrame:
     keys = ("person", "location_id", "type", "mode")
-    counts = _on_trips(_tally(_after_warm_up(activity), "trip", *keys), trip)
-    return _by_area(_of_adults(_regroup(counts, *keys), person), location, zone, expansion)
+    return _by_area(_of_adults(_on_trips(_after_warm_up(activity), trip, *keys), person), location, zone, expansion)
 
 
 def executed_activity_dist_by_area(mode_share_by_area: DataFrame) -> DataFrame:
@@ -237,34 +241,30 @@ def _travel_time_averages(
 ) -> DataFrame:
     """Mean skim, routed and actual time and distance of adults' trips by activity type.
 
-    Activities are counted per trip first; every mean is carried as a weighted sum and
-    the weight of its known values until the last grouping.
+    Trips are filtered by person before the activities join; every mean is carried as a
+    weighted sum and the weight of its known values until the last grouping.
     """
     keys = ["mode", "acttype"] if by_mode else ["acttype"]
     values = {
         "skim": F.col("skim_travel_time"), "routed": F.col("routed_travel_time"),
         "actual": F.col("end_s") - F.col("start_s"), "metres": F.col("travel_distance"),
     }
-    measured = trips.select(F.col("trip_id").alias("trip"), "person", "mode", *[v.alias(k) for k, v in values.items()])
-    purposes = _tally(activity, "trip", F.col("type").alias("acttype"))
+    housed = _adults(person).join(household.select("household"), "household", "left_semi").select("person")
+    measured = trips.join(housed, "person", "left_semi").select(
+        F.col("trip_id").alias("trip"), "mode", *[v.alias(k) for k, v in values.items()]
+    )
+    purposes = _per_trip(activity.withColumnRenamed("type", "acttype").select("trip", "acttype"), "acttype")
     sums = [F.sum(F.col("n") * F.col(k)).alias(k) for k in values]
     weights = [F.sum(F.when(F.col(k).isNotNull(), F.col("n"))).alias(f"{k}_n") for k in values]
-    per_person = (
-        purposes.join(measured, "trip").groupBy("person", *keys).agg(*sums, *weights, F.sum("n").alias("n"))
-    )
-    housed = _adults(person).join(household.select("household"), "household", "left_semi").select("person")
+    totals = purposes.join(measured, "trip").groupBy(*keys).agg(*sums, *weights, F.sum("n").alias("n"))
 
     def mean(k: str, unit: float) -> Column:
-        return safe_div(F.sum(k), F.sum(f"{k}_n")) / unit
+        return safe_div(k, f"{k}_n") / unit
 
-    return (
-        per_person.join(housed, "person", "left_semi")
-        .groupBy(*keys)
-        .agg(
-            mean("skim", 60).alias("ttime_avg_skim"), mean("routed", 60).alias("ttime_avg_routed"),
-            mean("actual", 60).alias("ttime_avg"), mean("metres", 1000).alias("dist_avg"),
-            (F.lit(expansion) * F.sum("n")).alias("count"),
-        )
+    return totals.select(
+        *keys, mean("skim", 60).alias("ttime_avg_skim"), mean("routed", 60).alias("ttime_avg_routed"),
+        mean("actual", 60).alias("ttime_avg"), mean("metres", 1000).alias("dist_avg"),
+        (F.lit(expansion) * F.col("n")).alias("count"),
     )
 
 
@@ -305,8 +305,7 @@ def mode_distribution_adult(
     trip: DataFrame, person: DataFrame, household: DataFrame, expansion: float = 4
 ) -> DataFrame:
     """Adults' trips by mode: home-based work, home-based other, non-home-based, all."""
-    ends = ["mode", "origin", "destination"]
-    counts = _tally(trip.filter(F.col("end_s") - F.col("start_s") > 2), "person", *ends)
+    moved = trip.filter(F.col("end_s") - F.col("start_s") > 2).select("person", "mode", "origin", "destination")
     homes = (
         _adults(person).select("person", "household", "work_location_id")
         .join(household.select("household", F.col("location").alias("home")), "household")
@@ -315,16 +314,16 @@ def mode_distribution_adult(
     origin, dest, home, work = (F.col(c) for c in ("origin", "destination", "home", "work_location_id"))
 
     def trips(cond: Column) -> Column:
-        return F.lit(expansion) * F.sum(F.when(cond, F.col("n")).otherwise(0))
+        return F.lit(expansion) * F.sum(F.when(cond, 1).otherwise(0))
 
     return (
-        lookup(counts, homes, ["person"], row_key=ends, how="inner", spread=1)
+        lookup(moved, homes, ["person"], how="inner")
         .groupBy("mode")
         .agg(
             trips(dest == work).alias("HBW"),
             trips((origin == home) & (dest != work)).alias("HBO"),
             trips((origin != home) & (dest != home) & (dest != work)).alias("NHB"),
-            (F.lit(expansion) * F.sum("n")).alias("total"),
+            (F.lit(expansion) * F.count("*")).alias("total"),
         )
     )
 

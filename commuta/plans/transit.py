@@ -73,7 +73,7 @@ def boardings_by_agency_mode_area_type(
         .join(zone.select("zone", "area_type"), "zone")
         .select("value_link", "area_type")
     )
-    sums = lookup(_boardings(links, "value_link"), link_area, ["value_link"], row_key=["vehicle_trip"], how="inner")
+    sums = lookup(_boardings(links, "value_link"), link_area, ["value_link"], how="inner")
     per_area = sums.groupBy("vehicle_trip", "area_type").agg(
         F.sum("boardings").alias("boardings"), F.sum("alightings").alias("alightings")
     )
@@ -85,13 +85,9 @@ def boardings_by_agency_and_trip_mode(
 ) -> DataFrame:
     """Path legs with an estimated wait, by agency, leg type and mode of the person trip."""
     wait = sum(F.col(f"value_est_{m}_wait_time") for m in ("bus", "rail", "comm_rail"))
-    legs = (
-        path_links.filter(wait > 0)
-        .groupBy(
-            F.col("object_id").alias("id"), F.col("value_transit_vehicle_trip").alias("vehicle_trip"),
-            F.col("value_link_type").alias("board_mode"),
-        )
-        .agg(F.count("*").alias("n"))
+    legs = path_links.filter(wait > 0).select(
+        F.col("object_id").alias("id"), F.col("value_transit_vehicle_trip").alias("vehicle_trip"),
+        F.col("value_link_type").alias("board_mode"),
     )
     modes = (
         trip.filter(F.col("path_multimodal").isNotNull())
@@ -102,7 +98,7 @@ def boardings_by_agency_and_trip_mode(
     return (
         legs.join(modes, "id")
         .groupBy("vehicle_trip", "trip_mode", "board_mode")
-        .agg(F.sum(F.col("n") * F.col("trips")).alias("n"))
+        .agg(F.sum("trips").alias("n"))
         .join(agency, "vehicle_trip")
         .groupBy("trip_mode", "agency", "board_mode")
         .agg((F.lit(expansion) * F.sum("n")).alias("board_count"))

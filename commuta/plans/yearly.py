@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from commuta.operators import demand, landuse, merge, skims as sk
 from commuta.operators.joins import lookup
@@ -25,18 +26,24 @@ class SkimConfig:
 
 
 def build_skims(raw: DataFrame, zones: DataFrame, config: SkimConfig | None = None) -> dict[str, DataFrame]:
-    """Raw skims to distance, drive and transit skims in wide form, plus coverage and the zone offset map.
+    """Raw skims to distance, drive and transit skims in wide form and as matrices, plus coverage, modes
+    without rows and the zone offset map.
 
-    The distance table is checkpointed: it is a result of its own and fills the drive skims.
+    Packed distances are checkpointed: they are a result of their own and fill the drive skims.
     """
     c = config or SkimConfig()
     highway, public = sk.split_by_mode(sk.skim_clean(raw), c.highway_paths, c.transit_paths)
-    distance = cut_lineage(sk.distance_skim(highway, zones))
+    packed = cut_lineage(sk.pack_distance(highway, zones))
+    auto = sk.pack_auto(highway, packed, zones, c.periods, c.highway_paths, c.highway_measures, c.by_path)
+    transit = sk.pack_transit(public, zones, c.periods, c.transit_paths, c.transit_measures)
+    distance = sk.unpack_od(packed, zones).withColumns({m: F.col("DIST") for m in ("DISTBIKE", "DISTWALK")})
     return {
         "coverage": sk.zone_coverage(raw, zones),
+        "absent_modes": sk.absent_modes(raw, c.highway_paths, c.transit_paths),
         "distance": distance,
-        "auto": sk.auto_skims(highway, distance, zones, c.periods, c.highway_paths, c.highway_measures, c.by_path),
-        "transit": sk.transit_skims(public, zones, c.periods, c.transit_paths, c.transit_measures),
+        "auto": sk.unpack_od(auto, zones),
+        "transit": sk.unpack_od(transit, zones),
+        "matrices": sk.matrix_export(packed).unionByName(sk.matrix_export(auto)).unionByName(sk.matrix_export(transit)),
         "zone_offset": zones.select("zone_id", "idx"),
     }
 
@@ -49,12 +56,12 @@ def demand_inputs(
     blocks = landuse.block_zone_map(
         landuse.block_totals(tables["blocks"], tables["households"], tables["jobs"]), mapping, geoid
     )
-    jobs = landuse.assign_zone(tables["jobs"], blocks, "block_id", job_key, unzoned="keep")
+    jobs = landuse.assign_zone(tables["jobs"], blocks, "block_id", unzoned="keep")
     return {
         "blocks": blocks,
         "households": landuse.household_table(tables["households"], blocks),
         "persons": landuse.person_table(tables["persons"], tables["households"], blocks),
-        "jobs": landuse.relocate_jobs(jobs, blocks, job_key),
+        "jobs": landuse.relocate_jobs(jobs, blocks),
         "land_use": landuse.land_use_table(
             zones, tables["households"], tables["persons"], tables["jobs"], blocks, schools, colleges
         ),
@@ -81,21 +88,26 @@ def population_to_demand(
 ) -> dict[str, DataFrame]:
     """Place, sample and recode the population; ``existing`` demand households keep their records.
 
-    Zone attributes cover all households, sampled or not.
+    Vehicles (vehicle_id, hhold) are those of the existing households that were drawn. Zone
+    attributes cover all households, sampled or not.
     """
     block_zone = demand.block_location_zone(block_location, location)
     placed = demand.place_unplaced(households, block_zone, seed)
     drawn = demand.sample_households(placed, fraction, seed + 1)
-    homes = lookup(drawn, block_zone, ["block_id"], ["household_id"], how="inner")
+    homes = lookup(drawn, block_zone, ["block_id"], how="inner")
     recoded = demand.household_recode(homes).join(homes.select("household_id", "location", "zone"), "household_id")
     married = demand.marital_status(persons).select("person_id", "marital_status")
-    members = demand.person_recode(demand.members_of(persons, drawn, "person_id")).drop("marital_status").join(married, "person_id")
+    members = demand.person_recode(demand.members_of(persons, drawn)).drop("marital_status").join(married, "person_id")
     if existing is not None:
         kept = existing["households"]
-        members = demand.merge_members(members, existing["persons"], recoded, kept, "person_id")
+        members = demand.merge_members(members, existing["persons"], recoded, kept)
         recoded = demand.merge_households(recoded, kept)
+    owned = {}
+    if existing is not None and "vehicles" in existing:
+        vehicles = existing["vehicles"].withColumn("household_id", F.col("hhold"))
+        owned = {"vehicle": demand.members_of(vehicles, recoded).drop("household_id")}
     return {
-        "household": recoded, "person": members,
+        "household": recoded, "person": members, **owned,
         "zone": demand.zone_attributes(placed, persons, jobs, block_zone),
     }
 

@@ -1,9 +1,14 @@
-"""Readers. Every CSV and JSON schema is declared; dirty values become NULL, not errors."""
+"""Readers. Dirty values become NULL, not errors.
+
+CSV and JSON schemas are declared, save for demand-model outputs and enrollment: their columns
+differ by run and region, so the header names them and all are read as text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, LongType, StringType, StructField, StructType
 
 from commuta.functions.columns import finite
 from commuta.operators.landuse import padded_ids
@@ -65,13 +70,18 @@ def read_trip_log(spark: SparkSession, root: str, tables: list[str] = schemas.TR
 
 
 def read_trip_log_jdbc(
-    spark: SparkSession, url: str, tables: list[str], partition: dict[str, dict[str, str]] | None = None, **options: str
+    spark: SparkSession, url: str, partition: dict[str, dict[str, str]], **options: str
 ) -> dict[str, DataFrame]:
-    """The same tables from a database; ``partition`` gives partitionColumn, lowerBound, upperBound, numPartitions."""
-    def one(t: str) -> DataFrame:
-        return spark.read.format("jdbc").options(url=url, dbtable=t, **options, **(partition or {}).get(t, {})).load()
+    """The same tables from a database, read in parallel.
 
-    return {t: one(t) for t in tables}
+    ``partition`` names the tables and for each partitionColumn, lowerBound, upperBound and
+    numPartitions; a table without them would be read by one task and is refused.
+    """
+    needed = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"}
+    unsplit = [t for t, how in partition.items() if not needed <= set(how)]
+    if unsplit:
+        raise ValueError(f"tables without {sorted(needed)}: {unsplit}")
+    return {t: spark.read.format("jdbc").options(url=url, dbtable=t, **options, **how).load() for t, how in partition.items()}
 
 
 def read_block_locations(spark: SparkSession, path: str) -> DataFrame:
@@ -100,19 +110,20 @@ def read_feature_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_result_pages(spark: SparkSession, path: str, row_schema: str) -> DataFrame:
-    """Rows of landed result pages ``{count, next, results: [...]}``."""
-    return _result_pages(spark, path, row_schema).select(F.explode("results").alias("r")).select("r.*")
+    """Rows of landed result pages ``{count, next, results: [...]}``; fewer or more rows than announced are an error."""
+    pages = _result_pages(spark, path, row_schema)
+    announced, landed = (result_page_check(spark, path, row_schema).select(c).scalar() for c in ("announced", "landed"))
+    short = F.raise_error(F.concat_ws(" ", F.lit("result pages announce"), announced.cast("string"), F.lit("rows, landed are"), landed.cast("string")))
+    return pages.filter(F.when(announced == landed, True).otherwise(short)).select(F.explode("results").alias("r")).select("r.*")
 
 
 def _result_pages(spark: SparkSession, path: str, row_schema: str) -> DataFrame:
-    fields = f"count bigint, next string, results array<struct<{_struct_body(row_schema)}>>"
+    fields = StructType([
+        StructField("count", LongType()), StructField("next", StringType()), StructField("results", ArrayType(DataType.fromDDL(row_schema))),
+    ])
     return spark.read.schema(fields).json(path, multiLine=True)
 
 
-def _struct_body(ddl: str) -> str:
-    return ", ".join(": ".join(f.strip().split(" ", 1)) for f in ddl.split(","))
-
-
 def result_page_check(spark: SparkSession, path: str, row_schema: str) -> DataFrame:
     """One row: announced count, rows landed, whether they agree."""
     pages = _result_pages(spark, path, row_schema)
@@ -120,20 +131,41 @@ def result_page_check(spark: SparkSession, path: str, row_schema: str) -> DataFr
     return seen.withColumn("complete", (F.col("announced") == F.col("landed")).cast("int"))
 
 
-def read_value_list(spark: SparkSession, path: str) -> DataFrame:
+def read_value_list(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """O, D, value rows of a delimited file without header, tab for .txt and else comma.
 
-    Short rows and rows with a field that is no number are left out.
+    Returns the rows whose fields are numbers, and the others counted by what is wrong with
+    them (problem, rows): the first bad field, a missing one included.
     """
-    rows = spark.read.schema(schemas.VALUE_LIST).csv(path, sep="\t" if path.endswith(".txt") else ",")
-    typed = rows.withColumn("ordinal", _file_order()).select(
+    raw = spark.read.schema(schemas.VALUE_LIST).csv(path, sep="\t" if path.endswith(".txt") else ",")
+    typed = raw.withColumn("ordinal", _file_order()).select(
         F.col("o").try_cast("bigint").alias("o"), F.col("d").try_cast("bigint").alias("d"),
-        F.col("value").try_cast("double").alias("value"), "ordinal",
+        finite(F.col("value").try_cast("double")).alias("value"), "ordinal",
     )
-    return typed.filter(F.col("o").isNotNull() & F.col("d").isNotNull() & finite("value").isNotNull())
+    problem = F.when(F.col("o").isNull(), "o").when(F.col("d").isNull(), "d").when(F.col("value").isNull(), "value")
+    judged = typed.withColumn("problem", problem)
+    rejects = judged.filter("problem is not null").groupBy("problem").agg(F.count("*").alias("rows"))
+    return judged.filter("problem is null").drop("problem"), rejects
 
 
 def latest_iteration(df: DataFrame, column: str = "iteration") -> DataFrame:
     """Rows of the highest iteration number; on a partition column only that folder is read."""
     newest = df.agg(F.max(F.col(column).cast("int"))).scalar()
     return df.filter(F.col(column).cast("int") == newest)
+
+
+def newest_run(df: DataFrame, run: str = "run", modified: str = "modified", iteration: str = "iteration") -> DataFrame:
+    """Rows of the run whose files were modified last, and of that run the highest iteration."""
+    last = df.agg(F.max_by(run, F.struct(modified, run))).scalar()
+    return latest_iteration(df.filter(F.col(run) == last), iteration)
+
+
+def read_iterated_skims(spark: SparkSession, root: str) -> DataFrame:
+    """Skims of the newest run's highest iteration, from CSV files under root/RUN/ITERS/it.N/."""
+    path = F.col("_metadata.file_path")
+    rows = spark.read.schema(schemas.SKIMS).csv(f"{root}/*/ITERS/it.*/*.csv*", header=True, nullValue="", nanValue="NaN", positiveInf="inf", negativeInf="-inf")
+    placed = rows.withColumns({
+        "run": F.regexp_extract(path, r"([^/]+)/ITERS/it[.]\d+/[^/]+$", 1), "iteration": F.regexp_extract(path, r"/ITERS/it[.](\d+)/[^/]+$", 1),
+        "modified": F.col("_metadata.file_modification_time"), "ordinal": _file_order(),
+    })
+    return newest_run(placed).drop("run", "iteration", "modified").withColumns({m: _not_nan(m) for m in schemas.SKIM_MEASURES})

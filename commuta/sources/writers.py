@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = False, header: bool = True, sep: str = ",") -> None:
@@ -31,9 +32,10 @@ def write_skims(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("timePeriod", "pathType").parquet(path)
 
 
-def write_matrices(matrices: DataFrame, path: str) -> None:
-    """Exported matrices (name, o_idx, values) as Parquet, rows of a matrix together."""
-    matrices.repartition("name").sortWithinPartitions("name", "o_idx").write.mode("overwrite").parquet(path)
+def write_matrices(matrices: DataFrame, path: str, rows_per_part: int = 512) -> None:
+    """Exported matrices (name, o_idx, values) as Parquet, in parts of consecutive rows of one matrix."""
+    part = F.floor((F.col("o_idx") - 1) / rows_per_part)
+    matrices.repartition("name", part).sortWithinPartitions("name", "o_idx").write.mode("overwrite").parquet(path)
 
 
 def write_report_tables(reports: dict[str, DataFrame], database: str | None = None, path: str | None = None) -> None:

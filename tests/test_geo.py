@@ -42,7 +42,7 @@ def test_points_in_holes_parts_overlaps_and_outside(spark, zones, rows):
 def test_points_to_zones_any_cell_size(spark, zones, rows):
     rng = random.Random(5)
     pts = spark.createDataFrame([(i, rng.uniform(-2, 36), rng.uniform(-2, 13)) for i in range(400)], "id int, x double, y double")
-    results = {tuple(rows(geo.points_to_zones(pts, zones, cell=c, spread=s), "id", "zone_id")) for c, s in ((0.7, 1), (5.0, 4), (100.0, 8))}
+    results = {tuple(rows(geo.points_to_zones(pts, zones, cell=c), "id", "zone_id")) for c in (0.7, 5.0, 100.0)}
     assert len(results) == 1 and len(next(iter(results))) == 400
 
 
@@ -67,20 +67,26 @@ def test_nearest_takes_mean_latitude(spark):
 
 
 def ring(*pts, hole=False):
-    return {"hole": hole, "points": [{"x": float(x), "y": float(y)} for x, y in pts]}
+    return (hole, [(float(x), float(y)) for x, y in pts])
 
 
-def test_shared_area_of_concave_and_holed_shapes():
+def shared_area(spark, a, b, base=0.0):
+    df = spark.createDataFrame([(a, b)], f"a {gm.GEOMETRY}, b {gm.GEOMETRY}")
+    return df.select(gm.overlap_area(gm.sides(F.col("a")), gm.sides(F.col("b")), F.lit(base))).first()[0]
+
+
+def test_shared_area_of_concave_and_holed_shapes(spark):
     arrow = [ring((0, 0), (4, 0), (4, 4), (2, 1), (0, 4))]
-    area = gm.shared_area(arrow, [ring((-9, -9), (9, -9), (9, 9), (-9, 9))])
-    assert area == pytest.approx(10.0)
-    assert gm.shared_area(arrow, [ring((0, 1), (4, 1), (4, 4), (0, 4))]) == pytest.approx(6.0)
+    for base in (0.0, -7.5, 3.0):
+        assert shared_area(spark, arrow, [ring((-9, -9), (9, -9), (9, 9), (-9, 9))], base) == pytest.approx(10.0)
+        assert shared_area(spark, arrow, [ring((0, 1), (4, 1), (4, 4), (0, 4))], base) == pytest.approx(6.0)
     donut = [ring((0, 0), (10, 0), (10, 10), (0, 10)), ring((4, 4), (6, 4), (6, 6), (4, 6), hole=True)]
-    assert gm.shared_area(donut, [ring((5, 0), (5, 10), (10, 10), (10, 0))]) == pytest.approx(48.0)
-    assert gm.shared_area(donut, [ring((4, 4), (4, 6), (6, 6), (6, 4))]) == pytest.approx(0.0, abs=1e-9)
+    assert shared_area(spark, donut, [ring((5, 0), (5, 10), (10, 10), (10, 0))]) == pytest.approx(48.0)
+    assert shared_area(spark, donut, [ring((4, 4), (4, 6), (6, 6), (6, 4))]) == pytest.approx(0.0, abs=1e-9)
+    assert shared_area(spark, [ring((0, 0), (2, 1), (0, 2))], [ring((2, 1), (4, 0), (4, 2))]) == pytest.approx(0.0, abs=1e-12)
 
 
-def test_shared_area_against_grid_count():
+def test_shared_area_against_grid_count(spark):
     rng = random.Random(3)
 
     def star(cx, cy):
@@ -96,7 +102,7 @@ def test_shared_area_against_grid_count():
     step = 0.02
     grid = [(-5 + step * i, -5 + step * j) for i in range(550) for j in range(550)]
     counted = sum(inside(a, x, y) and inside(b, x, y) for x, y in grid) * step * step
-    assert gm.shared_area([ring(*a)], [ring(*b[::-1])]) == pytest.approx(counted, rel=0.01)
+    assert shared_area(spark, [ring(*a)], [ring(*b[::-1])]) == pytest.approx(counted, rel=0.01)
 
 
 def test_max_overlap_and_fallback(spark, rows):
@@ -130,7 +136,7 @@ def test_centroid_distance_floor(spark):
 def test_job_relocation_moves_only_jobs_without_land(spark, rows):
     blocks = spark.createDataFrame([("a", 0.0, 0.0, 0.0), ("b", 0.0, 0.01, 5.0), ("c", 0.0, 0.005, 0.0), ("d", 1.0, 0.0, 9.0)], "block_id string, x double, y double, square_meters_land double")
     jobs = spark.createDataFrame([(1, "a", "Z1"), (2, "b", "Z2"), (3, "c", None), (4, "x", None)], "job_id int, block_id string, TAZ string")
-    assert rows(landuse.relocate_jobs(jobs, blocks, ["job_id"], 0.0)) == [(1, "b", "Z1"), (2, "b", "Z2"), (3, "b", None), (4, "x", None)]
+    assert rows(landuse.relocate_jobs(jobs, blocks, 0.0)) == [(1, "b", "Z1"), (2, "b", "Z2"), (3, "b", None), (4, "x", None)]
 
 
 def test_enrollment_rules(spark, rows):

@@ -57,7 +57,15 @@ def test_merge_population(spark, rows):
     assert rows(demand.merge_households(new, old)) == [(1, None, 100, 1), (2, 20.0, 200, 2)]
     pn = spark.createDataFrame([(11, 1), (12, 2)], "person_id int, household_id int")
     po = spark.createDataFrame([(71, 1), (73, 3)], "person_id int, household_id int")
-    assert rows(demand.merge_members(pn, po, new, old, "person_id")) == [(12, 2), (71, 1)]
+    assert rows(demand.merge_members(pn, po, new, old)) == [(12, 2), (71, 1)]
+
+
+def test_warm_start_needs_equal_rows(spark, rows):
+    base = spark.createDataFrame([(1, 5), (2, 6)], "person_id int, w int")
+    choices = spark.createDataFrame([(1, 7), (2, None)], "person_id int, w int")
+    assert rows(landuse.warm_start_update(base, choices, "person_id", ["w"])) == [(1, 7), (2, None)]
+    with pytest.raises(Exception, match="warm start of 2 rows with choices of 1"):
+        landuse.warm_start_update(base, choices.limit(1), "person_id", ["w"]).collect()
 
 
 def test_zone_attributes_edges(spark, rows):

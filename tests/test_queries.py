@@ -20,7 +20,7 @@ def test_query_matches_sql(name, spark, sf_dir, con):
     df = QUERIES[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "BatchEvalPython" not in plan
+    assert "Python" not in plan and "Pandas" not in plan and "MapInArrow" not in plan
     cur = con.execute(SQL[name])
     columns = [d[0] for d in cur.description]
     assert compare(df.columns, df.collect(), columns, cur.fetchall()) is None

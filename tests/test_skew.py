@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from commuta.operators import demand, geo, landuse
-from commuta.operators.joins import lookup, running_totals
+from commuta.operators.joins import lookup, running_totals, shuffled
 from commuta.plans import activity
+from commuta.session import SETTINGS
 
 N = 30000
 
@@ -17,24 +18,31 @@ def hot(spark):
     return spark.range(N).select("id", key.cast("bigint").alias("k"))
 
 
-def test_lookup_is_whole_and_spread(spark, hot, rows):
+def test_lookup_is_whole(spark, hot, rows):
     dim = spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    plain = hot.join(dim, "k", "left")
-    assert rows(lookup(hot, dim, ["k"], ["id"]), "id", "k", "v") == rows(plain, "id", "k", "v")
-    assert lookup(hot, dim, ["k"], ["id"], how="inner").count() == hot.join(dim, "k").count()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert rows(lookup(hot, dim, ["k"]), "id", "k", "v") == rows(hot.join(dim, "k", "left"), "id", "k", "v")
+    assert lookup(hot, dim, ["k"], how="inner").count() == hot.join(dim, "k").count()
+
+
+def test_lookup_splits_a_hot_key(spark):
+    """One key at 60 % of the rows: the largest task stays under twice the mean."""
+    settings = SETTINGS | {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        def largest(df):
-            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-
-        assert largest(plain) > N / 3
-        assert largest(lookup(hot, dim, ["k"], ["id"], spread=32)) < N / 4
+        n = 400_000
+        rows_ = spark.range(n, numPartitions=32).select("id", F.when(F.col("id") % 5 < 3, 7).otherwise(F.col("id") % 5000).alias("k"), F.md5(F.col("id").cast("string")).alias("pad"))
+        dim = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+        sizes = [r.n for r in lookup(rows_, dim, ["k"]).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("pad")).collect()]
+        assert sum(sizes) == n and max(sizes) < 2 * n / len(sizes) and max(sizes) < 0.1 * n
     finally:
-        for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
-            spark.conf.unset(c)
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_running_totals_equal_one_window(spark):
@@ -77,7 +85,7 @@ def test_sampling_is_partition_independent(spark, rows):
     a, b = (demand.sample_households(h.repartition(n), 0.25, 9) for n in (1, 11))
     assert rows(a) == rows(b) and abs(a.count() - 2500) < 150
     persons = spark.range(20000).select(F.col("id").alias("person_id"), (F.col("id") % 10000).alias("household_id"))
-    assert demand.members_of(persons, a, "person_id").count() == 2 * a.count()
+    assert demand.members_of(persons, a).count() == 2 * a.count()
 
 
 def test_points_on_one_spot(spark):
@@ -110,23 +118,16 @@ def test_fk_check_counts_every_row(spark, hot):
     assert out["persons.household_id"] == hot.filter("k is null").count()
 
 
-def test_large_unfolded_side_is_not_broadcast(spark):
-    from commuta.operators.joins import shuffled_if_large
-
-    small = spark.range(10).select(F.col("id").alias("k"))
-    for limit, joined in ((1, "SortMergeJoin"), (1 << 20, "BroadcastHashJoin")):
-        side = shuffled_if_large(small, F.lit(8), limit)
-        plan = spark.range(100).select(F.col("id").alias("k")).join(side, "k")._jdf.queryExecution().executedPlan().toString()
-        assert joined in plan
-
+def test_unfolded_side_is_not_broadcast(spark):
+    side = shuffled(spark.range(10).select(F.col("id").alias("k")))
+    plan = spark.range(100).select(F.col("id").alias("k")).join(side, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
 
-def test_spatial_joins_without_broadcast(spark, monkeypatch, rows):
-    from commuta.operators import joins
 
-    zones = geo.zone_table(spark.createDataFrame(
-        [(i, f"POLYGON (({i} 0, {i + 1} 0, {i + 1} 1, {i} 1, {i} 0))") for i in range(5)], "z int, geometry string"), "z").withColumnRenamed("TAZ", "zone_id")
-    pts = spark.range(300).select("id", (F.col("id") % 60 / 10).alias("x"), F.lit(0.25).alias("y"))
-    cands = spark.range(40).select(F.col("id"), (F.col("id") / 7).alias("x"), F.lit(0.3).alias("y"))
-    before = rows(geo.points_to_zones(pts, zones)), rows(geo.nearest(pts, cands, 0.0), "id", "nearest_id")
-    monkeypatch.setattr(joins.shuffled_if_large, "__defaults__", (0,))
-    assert (rows(geo.points_to_zones(pts, zones)), rows(geo.nearest(pts, cands, 0.0), "id", "nearest_id")) == before
+def test_a_block_of_any_size_is_not_unfolded(spark):
+    zones = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "block_id string, zone int")
+    placed = spark.range(50_000).select(F.col("id").alias("household_id"), F.when(F.col("id") < 49_990, "b").when(F.col("id") < 49_995, "a").otherwise("c").alias("block_id"))
+    homeless = spark.range(50_000, 52_000).select(F.col("id").alias("household_id"), F.lit(None).cast("string").alias("block_id"))
+    out = demand.place_unplaced(placed.unionByName(homeless), zones, 3)
+    assert out.count() == 52_000 and out.filter("block_id is null").count() == 0
+    assert out.filter("household_id >= 50000 and block_id = 'b'").count() > 1990

@@ -44,7 +44,7 @@ def test_distance_takes_last_row_even_if_null(spark, zones):
 def test_auto_skims_defaults(spark, zones):
     hwy = spark.createDataFrame([("AM", "SOV", "1", "2", None, 8.0, None)],
                                 "timePeriod string, pathType string, origin string, destination string, TIME_minutes double, DIST_miles double, VTOLL_FAR double")
-    dist = sk.distance_skim(hwy.select("origin", "destination", F.lit(8.0).alias("DIST_miles"), F.lit(1).alias("ordinal")), zones)
+    dist = sk.pack_distance(hwy.select("origin", "destination", F.lit(8.0).alias("DIST_miles"), F.lit(1).alias("ordinal")), zones)
     out = sk.auto_skims(hwy, dist, zones, periods=["AM"])
     assert out.count() == 25 * 6
     row = out.filter("pathType = 'HOV3' and origin = '1' and destination = '2'").first()
@@ -79,7 +79,7 @@ def test_clean_drops_zero_inf_nan_and_rejects_minus_inf(spark):
 
 def test_matrix_export_length(spark, zones):
     wide = sk.od_complete(spark.createDataFrame([("AM", "2", "3", 4.0)], SCHEMA), zones, {"timePeriod": ["AM"]}, ["v"]).withColumn("pathType", F.lit("SOV"))
-    out = sk.matrix_export(wide, zones).collect()
+    out = sk.matrix_export(sk.pack_wide(wide, zones)).collect()
     assert {r.name for r in out} == {"SOV_v__AM"} and all(len(r["values"]) == 5 for r in out) and len(out) == 5
     assert next(r["values"] for r in out if r.o_idx == 2) == [0, 0, 4.0, 0, 0]
 
@@ -149,12 +149,46 @@ def test_zone_index_kinds(spark, rows):
     assert rows(sk.zone_index(blocks, "taz", overlap)) == [("a", "7")]
 
 
-def test_split_by_mode_needs_both(spark):
+def test_absent_modes(spark):
     skims = spark.createDataFrame([("SOV",)], "pathType string")
-    with pytest.raises(ValueError, match="no transit skims"):
-        sk.split_by_mode(skims, sk.HIGHWAY_PATHS, sk.TRANSIT_PATHS)
-    highway, transit = sk.split_by_mode(skims, sk.HIGHWAY_PATHS, sk.TRANSIT_PATHS, check=False)
+    highway, transit = sk.split_by_mode(skims, sk.HIGHWAY_PATHS, sk.TRANSIT_PATHS)
     assert (highway.count(), transit.count()) == (1, 0)
+    assert [r.mode for r in sk.absent_modes(skims, sk.HIGHWAY_PATHS, sk.TRANSIT_PATHS).collect()] == ["transit"]
+
+
+def test_matrix_places_sparse_values_by_position(spark, zones):
+    wide = spark.createDataFrame([("AM", "SOV", "1", "1", 11.0), ("AM", "SOV", "1", "3", 13.0), ("PM", "SOV", "5", "4", 54.0)],
+                                 "timePeriod string, pathType string, origin string, destination string, v double")
+    got = {(r.name, r.o_idx): r["values"] for r in sk.matrix_export(sk.pack_wide(wide, zones)).collect()}
+    assert len(got) == 10 and got["SOV_v__AM", 1] == [11.0, None, 13.0, None, None]
+    assert got["SOV_v__AM", 3] == [None] * 5 and got["SOV_v__PM", 5] == [None, None, None, 54.0, None]
+
+
+@pytest.mark.parametrize("build", ["distance", "auto", "transit"])
+def test_nothing_is_shuffled_after_unpacking(spark, zones, build):
+    row = {m: 1.0 for m in set(sk.TRANSIT_MEASURES.values()) | {"TIME_minutes", "DIST_miles"} if m}
+    rows_ = spark.createDataFrame([row | {"timePeriod": "AM", "pathType": p, "origin": "1", "destination": "2", "ordinal": 1} for p in ("SOV", "WLK_LOC_WLK")])
+    highway, transit = sk.split_by_mode(rows_, sk.HIGHWAY_PATHS, sk.TRANSIT_PATHS)
+    df = {
+        "distance": lambda: sk.distance_skim(highway, zones), "transit": lambda: sk.transit_skims(transit, zones),
+        "auto": lambda: sk.auto_skims(highway, sk.pack_distance(highway, zones), zones),
+    }[build]()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    above = [line for line in plan[: plan.index("Generate inline")].splitlines() if not line.lstrip().startswith(":")]  # without scalar subqueries
+    assert not any("Exchange" in line or "Join" in line for line in above)
+
+
+def test_lookup_by_mode_and_repeated_keys(spark, rows):
+    schema = "interval_end int, o int, d int, time double, mode string"
+    iskims = spark.createDataFrame([(360, 1, 1, 1.0, "AUTO"), (1440, 1, 1, 2.0, "AUTO"), (1440, 1, 1, 9.0, "BUS")], schema)
+    trips = spark.createDataFrame([(1, 1, 1, 5.0), (2, 1, 1, 500.0)], "id int, o int, d int, minute double")
+    zones = spark.createDataFrame([(1,)], "zone int")
+    assert rows(sk.od_time_lookup(trips, iskims, zones, ["time"], mode="AUTO"), "id", "time") == [(1, 1.0), (2, 2.0)]
+    assert rows(sk.od_time_lookup(trips, iskims, zones, ["time"], mode="BUS"), "id", "time") == [(1, 9.0), (2, 9.0)]
+    with pytest.raises(ValueError, match="name the mode"):
+        sk.od_time_lookup(trips, iskims, zones, ["time"])
+    with pytest.raises(Exception, match="more than one skim row"):
+        sk.od_time_lookup(trips, iskims.unionByName(iskims), zones, ["time"], mode="BUS").collect()
 
 
 def test_zone_coverage_looks_at_both_ends(spark, zones, rows):

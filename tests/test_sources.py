@@ -31,8 +31,10 @@ def test_read_skims_plain_gzip_and_order(spark, tmp_path, rows):
 def test_value_lists_drop_bad_rows(spark, tmp_path, rows):
     (tmp_path / "v.csv").write_text("O,D,V\n1,2,3.5\n1,2\nx,2,4\n3,4,oops\n5,6,7\n")
     (tmp_path / "v.txt").write_text("1\t2\t8\n")
-    assert rows(readers.read_value_list(spark, str(tmp_path / "v.csv")), "o", "d", "value") == [(1, 2, 3.5), (5, 6, 7.0)]
-    assert rows(readers.read_value_list(spark, str(tmp_path / "v.txt")), "o", "d", "value") == [(1, 2, 8.0)]
+    good, bad = readers.read_value_list(spark, str(tmp_path / "v.csv"))
+    assert rows(good, "o", "d", "value") == [(1, 2, 3.5), (5, 6, 7.0)] and rows(bad) == [("o", 2), ("value", 2)]
+    good, bad = readers.read_value_list(spark, str(tmp_path / "v.txt"))
+    assert rows(good, "o", "d", "value") == [(1, 2, 8.0)] and bad.count() == 0
 
 
 def test_store_round_trip(spark, tmp_path, rows):
@@ -67,6 +69,26 @@ def test_result_pages(spark, tmp_path, rows):
     path = str(tmp_path)
     assert rows(readers.read_result_pages(spark, path, schemas.ENROLLMENT_ROW)) == [(1, 1.5), (2, 3.0), (3, 4.5)]
     assert tuple(readers.result_page_check(spark, path, schemas.ENROLLMENT_ROW).first()) == (3, 3, 1)
+    assert rows(readers.read_result_pages(spark, path, "unitid decimal(10,2)"))[0][0] == 1
+    (tmp_path / "p1.json").unlink()
+    with pytest.raises(Exception, match="announce 3 rows, landed are 2"):
+        readers.read_result_pages(spark, path, schemas.ENROLLMENT_ROW).collect()
+
+
+def test_newest_run_then_highest_iteration(spark, tmp_path):
+    import os
+
+    for run, it, when, time in (("old", 9, 1000, 1.0), ("new", 2, 2000, 2.0), ("new", 10, 1500, 3.0)):
+        folder = tmp_path / run / "ITERS" / f"it.{it}"
+        folder.mkdir(parents=True)
+        (folder / "skims.csv").write_text(HEADER + skim_line("1", "2", str(time)))
+        os.utime(folder / "skims.csv", (when, when))
+    assert [r.TIME_minutes for r in readers.read_iterated_skims(spark, str(tmp_path)).collect()] == [3.0]
+
+
+def test_database_reads_must_be_split(spark):
+    with pytest.raises(ValueError, match="trip"):
+        readers.read_trip_log_jdbc(spark, "jdbc:none", {"trip": {"numPartitions": "4"}})
 
 
 def test_small_tables(spark, tmp_path, rows):
@@ -97,7 +119,7 @@ def test_csv_and_table_sinks(spark, tmp_path, rows):
     assert (tmp_path / "skims" / "timePeriod=AM" / "pathType=SOV").exists()
     zones = spark.createDataFrame([("1", 1), ("2", 2)], "zone_id string, idx int")
     full = sk.od_complete(skims, zones, {"timePeriod": ["AM"], "pathType": ["SOV"]}, ["TIME"])
-    writers.write_matrices(sk.matrix_export(full, zones), str(tmp_path / "m"))
+    writers.write_matrices(sk.matrix_export(sk.pack_wide(full, zones)), str(tmp_path / "m"))
     assert rows(spark.read.parquet(str(tmp_path / "m"))) == [("SOV_TIME__AM", 1, [0.0, 3.0]), ("SOV_TIME__AM", 2, [0.0, 0.0])]
 
 

@@ -51,18 +51,25 @@ def test_landuse_inputs(tables, mapping):
     assert out["travel_data"].columns == ["from_zone_id", "to_zone_id", "SOV_AM_IVT_mins", "DIST_meters"]
 
 
+def spark_range(tables, start):
+    return tables.spark.range(start, start + 3).select(F.col("id").alias("hhold"))
+
+
 def test_population_to_demand(tables, rows):
     persons = wd.survey_persons(tables)
     locations = tables.block.select("block_id", (F.col("block_no") + 1).alias("location"))
-    args = (wl.households(tables).drop("zone", "location"), persons, tables.job, locations, tables.location, 0.5, 3)
+    args = (wd.survey_households(tables).drop("zone", "location"), persons, tables.job, locations, tables.location, 0.5, 3)
     out = yearly.population_to_demand(*args)
     n = out["household"].count()
     assert 50 < n < 100 and out["person"].count() == 4 * n
     assert out["person"].join(out["household"], "household_id", "left_anti").count() == 0
     assert out["zone"].agg(F.sum("pop_households")).first()[0] == tables.household.count()
-    existing = {"households": out["household"].limit(5).withColumn("income", F.lit(-1.0)), "persons": out["person"].limit(0)}
+    held = out["household"].orderBy("household_id").limit(5)
+    vehicles = held.select(F.col("household_id").alias("hhold")).unionByName(spark_range(tables, 10**9)).withColumn("vehicle_id", F.col("hhold") * 10)
+    existing = {"households": held.withColumn("income", F.lit(-1.0)), "persons": out["person"].limit(0), "vehicles": vehicles}
     again = yearly.population_to_demand(*args, existing=existing)
     assert again["household"].filter("income = -1").count() == 5 and again["person"].count() == 4 * (n - 5)
+    assert rows(again["vehicle"], "hhold") == rows(held, "household_id")
 
 
 def test_next_iteration_inputs(tables):

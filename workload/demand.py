@@ -23,8 +23,15 @@ def block_zone(T):
 BLOCK_ZONE = """(select b.block_id, l.location, l.zone from fx_block b join fx_location l on b.block_no + 1 = l.location)"""
 HT = "case when hh_type in (1, 2) then 4 when hh_type in (3, 4) then 1 when hh_type in (5, 6) then 9 when hh_type in (7, 8) then 6 end"
 
-add("p01_household_recode", lambda T: dm.household_recode(households(T)), f"""
-    select household as household_id, block_id, persons, workers, income, cars as vehicles, {HT} as type,
+def survey_households(T):
+    return households(T).withColumn("serialno", F.concat(F.lit("s"), "household_id"))
+
+
+add("p01_household_recode_time_in_home", lambda T: dm.household_recode(survey_households(T).withColumn(
+    "time_in_home", F.nullif(F.col("household_id") % 9, F.lit(0)))).select("household_id", "hhold", "time_in_home"), """
+    select household as household_id, 's' || household as hhold, coalesce(nullif(household % 9, 0), -1) as time_in_home from fx_household""")
+add("p01_household_recode", lambda T: dm.household_recode(survey_households(T)), f"""
+    select household as household_id, 's' || household as hhold, block_id, persons, workers, income, cars as vehicles, {HT} as type,
         case sf_detached when 'yes' then 1 when 'no' then 3 end as housing_unit_type, 0 as ecom, 0 as dispose_veh,
         -1 as time_in_home from fx_household""")
 add("p01_unknown_codes", lambda T: dm.unknown_codes(households(T), "hh_type", {1: 4, 2: 4, 3: 1}), """
@@ -65,7 +72,7 @@ def sampled(T, fraction=0.25):
 
 add("p04_sample_households", lambda T: sampled(T).select("household_id", "income"),
     f"select household as household_id, income from fx_household where {uniform('household')} < 0.25")
-add("p04_members", lambda T: dm.members_of(persons(T).select("person_id", "household_id", "age"), sampled(T), "person_id"),
+add("p04_members", lambda T: dm.members_of(persons(T).select("person_id", "household_id", "age"), sampled(T)),
     f"select person as person_id, household as household_id, age from fx_person where {uniform('household')} < 0.25")
 
 
@@ -95,7 +102,7 @@ def old_members(T):
 
 
 add("p05_merge_members", lambda T: dm.merge_members(
-    persons(T).select("person_id", "household_id", "age"), old_members(T), located(T), demand_households(T), "person_id"), f"""
+    persons(T).select("person_id", "household_id", "age"), old_members(T), located(T), demand_households(T)), f"""
     with n as (select household_id from {LOCATED}), k as (select household_id from {KNOWN})
     select person as person_id, household as household_id, age from fx_person
         where household in (from n) and household not in (from k)
@@ -183,21 +190,24 @@ def factored(T, vot):
 
 
 def factored_sql(vot):
+    # Felt shares of travel time at partial and full automation, free-flowing and congested.
     f3, f5 = ((0.8, 0.6), (0.6, 0.425)) if vot == 0 else ((0.95, 0.85), (0.8, 0.6))
-    shares = ", ".join(
-        f"(count(*) filter (where {c}))::double / count(*) as {n}" for n, c in (
-            ("s0", "t.mode = 0 and av = 0"), ("s3", "t.mode = 0 and av = 1"), ("s5", "t.mode = 0 and av = 2"), ("st", "t.mode = 9")))
-    return f"""with t as (select o.zone as o, d.zone as d, t.mode, vt.automation_type as av from fx_trip t
-        join fx_od_location o on t.origin = o.location join fx_od_location d on t.destination = d.location
-        join fx_vehicle v on t.vehicle = v.vehicle_id join fx_vehicle_type vt on v.type = vt.type_id where t.mode in (0, 9)),
-    od as (select o, d, {shares} from t group by o, d), oo as (select o, {shares} from t group by o),
-    w as (select zone, avg(avg_wait_minutes) as wait from fx_zone_wait_times group by zone),
-    f as (select o, d, time / 60 as fft, distance / 1000 as km from fx_interval_skim where interval_end = 360),
-    x as (select s.*, coalesce(od.s0, oo.s0) as s0, coalesce(od.s3, oo.s3) as s3, coalesce(od.s5, oo.s5) as s5,
-            coalesce(od.st, oo.st) as st, coalesce(w.wait, 0) as wait, f.fft > 0 and km / nullif(f.fft, 0) > 80 as hwy,
-            f.fft > 0 and s.time / 60 / nullif(f.fft, 0) > 1.5 as cong
-        from fx_interval_skim s join f on s.o = f.o and s.d = f.d left join od on od.o = s.o and od.d = s.d
-        left join oo on oo.o = s.o left join w on w.zone = s.o)
+    kinds = {"s0": "mode = 0 and av = 0", "s3": "mode = 0 and av = 1", "s5": "mode = 0 and av = 2", "st": "mode = 9"}
+    counts = ", ".join(f"count(*) filter (where {c}) as {n}" for n, c in kinds.items())
+    sums = ", ".join(f"sum({n}) as {n}" for n in kinds)
+    shares = ", ".join(f"coalesce(od.{n} / od.n, oo.{n} / oo.n) as {n}" for n in kinds)
+    return f"""with places as materialized (select location, zone from fx_od_location),
+    kinds as materialized (select v.vehicle_id, vt.automation_type as av from fx_vehicle v join fx_vehicle_type vt on v.type = vt.type_id),
+    od as materialized (select o, d, count(*) as n, {counts} from (
+        select o.zone as o, d.zone as d, t.mode, k.av from fx_trip t join places o on t.origin = o.location
+        join places d on t.destination = d.location join kinds k on t.vehicle = k.vehicle_id where t.mode in (0, 9)) group by o, d),
+    oo as materialized (select o, sum(n) as n, {sums} from od group by o),
+    w as materialized (select zone, avg(avg_wait_minutes) as wait from fx_zone_wait_times group by zone),
+    s as materialized (select *, first_value(time) over pair / 60 as fft, first_value(distance) over pair / 1000 as km
+        from fx_interval_skim window pair as (partition by o, d order by interval_end)),
+    x as (select s.*, {shares}, coalesce(w.wait, 0) as wait, fft > 0 and km / nullif(fft, 0) > 80 as hwy,
+            fft > 0 and s.time / 60 / nullif(fft, 0) > 1.5 as cong
+        from s left join od on od.o = s.o and od.d = s.d left join oo on oo.o = s.o left join w on w.zone = s.o)
     select interval_end, o, d, distance, cost, fare, ivtt, round(time * coalesce(s0
         + s3 * case when hwy then case when cong then {f3[1]} else {f3[0]} end else 1 end
         + s5 * case when cong then {f5[1]} else {f5[0]} end

@@ -52,7 +52,7 @@ add("l01_l06_household_table", lambda T: lu.household_table(households(T).drop("
         case when persons = 1 then 1 else 4 end as HHT
     from fx_household h join fx_block b on h.block_id = b.block_id""")
 add("l01_job_zones_kept", lambda T: lu.assign_zone(
-    T.job.select("block_id", "sector_id"), blocks(T), "block_id", ["block_id", "sector_id"], unzoned="keep"),
+    T.job.select("block_id", "sector_id"), blocks(T), "block_id", unzoned="keep"),
     """select j.block_id, j.sector_id, cast(b.zone as varchar) as TAZ
     from fx_job j left join fx_block b on j.block_id = b.block_id""")
 add("l01_l05_person_table", lambda T: lu.person_table(persons(T), households(T), blocks(T)), f"""
@@ -61,7 +61,7 @@ add("l01_l05_person_table", lambda T: lu.person_table(persons(T), households(T),
         {PTYPE} as ptype, {PEMPLOY} as pemploy, {PSTUDENT} as pstudent
     from fx_person p join fx_household h on p.household = h.household join fx_block b on h.block_id = b.block_id""")
 add("l07_relocate_jobs",
-    lambda T: lu.relocate_jobs(T.job.select("block_id", "sector_id"), T.block, ["block_id", "sector_id"], LAT0), f"""
+    lambda T: lu.relocate_jobs(T.job.select("block_id", "sector_id"), T.block, LAT0), f"""
     with bad as (select distinct j.block_id, b.x, b.y from fx_job j join fx_block b on j.block_id = b.block_id
                  where square_meters_land = 0),
     ranked as (select bad.block_id, c.block_id as target, row_number() over (partition by bad.block_id order by
@@ -191,8 +191,13 @@ def _choices(T):
         F.max("location_id").alias("work_zone_id"), F.min("location_id").alias("school_zone_id"))
 
 
+def _all_choices(T):
+    """The same with a row for every person, as a warm start requires."""
+    return T.person.select(F.col("person").alias("person_id")).join(_choices(T), "person_id", "left")
+
+
 add("l16_warm_start_update", lambda T: lu.warm_start_update(
-    persons(T).select("person_id", "age", F.col("work_location_id").alias("work_zone_id")), _choices(T), "person_id",
+    persons(T).select("person_id", "age", F.col("work_location_id").alias("work_zone_id")), _all_choices(T), "person_id",
     ["work_zone_id", "school_zone_id"]), """
     select p.person as person_id, p.age, c.w as work_zone_id, c.s as school_zone_id from fx_person p left join
     (select person, max(location_id) as w, min(location_id) as s from fx_activity group by 1) c on p.person = c.person""")

@@ -23,11 +23,8 @@ def add(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None)
 def rounded(df: DataFrame) -> DataFrame:
     """Six decimals on every double, so that summation order does not show.
 
-    Scaling first makes halves fall the same way as in the SQL engine; values past 1e9
-    are whole sums and stay as they are.
+    Scaling first makes halves fall the same way as in the SQL engine.
     """
-    def six(n: str):
-        x = F.col(f"`{n}`")
-        return F.when(F.abs(x) < 1e9, F.round(x * 1e6, 0) / 1e6).otherwise(x).alias(n)
-
-    return df.select(*[six(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes])
+    return df.select(*[
+        (F.round(F.col(f"`{n}`") * 1e6, 0) / 1e6).alias(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes
+    ])

@@ -1,21 +1,21 @@
 """Activity, mode-share and travel-time reports."""
 
+from commuta.functions import codes
 from commuta.plans import activity as act
 from workload.registry import add
 
+# Person types.
 PERTYPE = """case when employment in (1, 4) and work_hours >= 30 then 'FULLTIME_WORKER'
     when employment in (1, 4) then 'PARTTIME_WORKER'
     when school_enrollment in (2, 3) and age > 18 then 'ADULT_STUDENT' when age >= 65 then 'SENIOR'
     when age > 18 then 'NONWORKER' when age >= 16 then 'STUDENT_DRIVER' when age >= 5 then 'SCHOOL_CHILD'
     when age < 5 then 'PRESCHOOL' else 'NONWORKER' end"""
-ACTTYPE = """case type when 'EAT OUT' then 'EAT_OUT' when 'PERSONAL' then 'PERSONAL_BUSINESS'
-    when 'PICKUP-DROPOFF' then 'PICKUP_DROPOFF' when 'RELIGIOUS-CIVIC' then 'RELIGIOUS_OR_CIVIC'
-    when 'SERVICE' then 'SERVICE_VEHICLE' when 'SHOP-MAJOR' then 'MAJOR_SHOPPING' when 'WORK AT HOME' then 'WORK'
-    when 'PART_WORK' then 'PART_TIME_WORK' when 'SHOP-OTHER' then 'OTHER_SHOPPING' when 'ERRANDS' then 'ERRANDS'
-    when 'HEALTHCARE' then 'HEALTHCARE' when 'HOME' then 'HOME' when 'LEISURE' then 'LEISURE'
-    when 'SCHOOL' then 'SCHOOL' when 'SOCIAL' then 'SOCIAL' when 'WORK' then 'WORK' end"""
+# Activity types and their labels.
+ACTTYPE = f"""case type {" ".join(f"when '{t}' then '{label}'" for t, label in codes.ACTIVITY_LABELS.items())} end"""
+# Stays at home that are no executed activity.
 EXECUTED = """start_time > 122 and trip <> 0
     and not (mode = 'NO_MOVE' and type in ('HOME', 'WORK AT HOME', 'PICKUP-DROPOFF'))"""
+# Columns of the start report and the activity type each counts.
 START = {"EAT_OUT": "EAT OUT", "ERRANDS": "ERRANDS", "HEALTHCARE": "HEALTHCARE", "LEISURE": "LEISURE",
          "PERSONAL": "PERSONAL", "RELIGIOUS": "RELIGIOUS-CIVIC", "SERVICE": "SERVICE", "SHOP_MAJOR": "SHOP-MAJOR",
          "SHOP_OTHER": "SHOP-OTHER", "SOCIAL": "SOCIAL", "WORK": "WORK", "WORK_PART": "PART_WORK",

@@ -47,12 +47,14 @@ BREAKDOWN = ", ".join(
        for i, e in enumerate([f"abs({DUR} - {ROUTED})", "cast(0 as double)", f"2 * {ROUTED}", LATE, LATE])]
 )
 
+# Mode codes and labels of the assignment run.
 LONG_LABELS = """case mode when 0 then 'SOV' when 1 then 'AUTO' when 2 then 'HOV' when 3 then 'TRUCK' when 4 then 'BUS'
     when 5 then 'RAIL' when 6 then 'NONMOTORIZED' when 7 then 'BICYCLE' when 8 then 'WALK' when 9 then 'TAXI'
     when 10 then 'SCHOOLBUS' when 11 then 'PARK_AND_RIDE' when 12 then 'KISS_AND_RIDE' when 13 then 'PARK_AND_RAIL'
     when 14 then 'KISS_AND_RAIL' when 15 then 'TNC_AND_RIDE' when 16 then 'TNC_AND_RAIL' when 17 then 'MD_TRUCK'
     when 18 then 'HD_TRUCK' when 19 then 'BPLATE' when 20 then 'LD_TRUCK' when 21 then 'RAIL_NEST'
     when 22 then 'BUS40' when 23 then 'BUS60' when 25 then 'TELEPORTED' end"""
+# Mode codes and labels of the baseline report.
 BASE_LABELS = """case mode when 0 then 'SOV' when 2 then 'HOV' when 4 then 'BUS' when 5 then 'RAIL'
     when 6 then 'NONMOTORIZED' when 7 then 'BICYCLE' when 8 then 'WALK' when 9 then 'TAXI' when 10 then 'SCHOOLBUS'
     when 11 then 'PARK_AND_RIDE' when 12 then 'KISS_AND_RIDE' when 13 then 'PARK_AND_RAIL' when 14 then 'KISS_AND_RAIL'
