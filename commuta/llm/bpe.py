@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Fixed value: the pattern that splits texts before byte-level merges.
@@ -210,18 +211,23 @@ def _mapped(docs: DataFrame, tokenizer: str, source: str, added: dict[str, T.Dat
     """Add columns that ``step(codec, values of source)`` makes, a bounded part of a batch at a time."""
     with open(tokenizer, encoding="utf-8") as f:  # a vocabulary file: one or two MB, sent to each executor once
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())
+    names = list(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped.value)
         for whole in batches:
-            column = whole[source]
+            column = whole["source"]
             length = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
             for batch in _parts(whole, length(column).fill_null(0).to_numpy(), ROWS_BYTES):
-                made = step(codec, batch[source])
-                yield pa.RecordBatch.from_pydict({c: batch[c] for c in batch.schema.names if c not in made} | made)
-
-    schema = T.StructType([f for f in docs.schema.fields if f.name not in added] + [T.StructField(n, t) for n, t in added.items()])
-    return docs.mapInArrow(run, schema)
+                made = step(codec, batch["source"])
+                yield pa.RecordBatch.from_pydict({"carried": batch["carried"]} | {f"made{k}": made[n] for k, n in enumerate(names)})
+
+    kept = [c for c in docs.columns if c not in added]
+    carried = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_"))
+    rows = docs.select(carried.alias("carried"), F.col(source).alias("source"))
+    schema = T.StructType([rows.schema["carried"], *[T.StructField(f"made{k}", added[n]) for k, n in enumerate(names)]])
+    out = rows.mapInArrow(run, schema)
+    return out.select(*[F.col(f"carried.`{c}`") for c in kept], *[F.col(f"made{k}").alias(n) for k, n in enumerate(names)])
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from commuta.operators.lineage import written_table
 
@@ -24,7 +25,10 @@ SHARD_BYTES = 4 << 20
 #: Bits of the table of first words.
 FIRST_BITS = 20
 
-MATCH = "item_id string, doc_word int, item_word int, n_words int"
+MATCHES = T.ArrayType(T.StructType([
+    T.StructField("item_id", T.StringType()), T.StructField("doc_word", T.IntegerType()),
+    T.StructField("item_word", T.IntegerType()), T.StructField("n_words", T.IntegerType()),
+]))
 # A word is a run of 0-9, a-z (after lower-casing A-Z) and any character past ASCII.
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -179,9 +183,10 @@ def _shards(texts: list[str | None]) -> Iterator[slice]:
 
 def _search_step(docs: DataFrame, shipped, keep_text: bool) -> DataFrame:
     """Add the matches with one block of test items to ``matches``, and recount ``n_hit``."""
-    kind = f"array<struct<{MATCH.replace(' string', ':string').replace(' int', ':int')}>>"
-    rest = [f"`{c}` {t}" for c, t in docs.dtypes if c not in ("body", "matches")]
-    schema = ", ".join([*rest, *(["body string"] if keep_text else []), "n_words long", "n_hit long", f"matches {kind}"])
+    schema = T.StructType([f for f in docs.schema.fields if f.name not in ("body", "matches")])
+    if keep_text:
+        schema.add("body", T.StringType())
+    schema.add("n_words", T.LongType()).add("n_hit", T.LongType()).add("matches", MATCHES)
     arrow = pa.list_(pa.struct([("item_id", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("n_words", pa.int32())]))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,9 +227,9 @@ def benchmark_matches(
     blocks = max(1, -(-total // block_bytes))
     dealt = named.withColumn("block", F.pmod(F.xxhash64("name", "body"), F.lit(blocks)))
     rows = docs.select(
-        F.struct(*carry).alias("carried"),
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried"),
         F.col(text).alias("body"),
-        F.expr(f"cast(null as array<struct<{MATCH}>>)".replace(" string", ":string").replace(" int", ":int")).alias("matches"),
+        F.lit(None).cast(MATCHES).alias("matches"),
     )
     for k in range(blocks):  # each pass takes a bounded block of the test items over all documents
         block = TestItems([tuple(r) for r in dealt.filter(F.col("block") == k).select("name", "body").collect()], window)

@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, carry: list[str], text: str = "text", size: in
             made = np.array([fingerprint(t, size) for t in batch["body"].to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_pydict({"carried": batch["carried"], "fingerprint": pa.array(made)})
 
-    rows = docs.select(F.struct(*carry).alias("carried"), F.col(text).alias("body"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried"), F.col(text).alias("body"))
     return rows.mapInArrow(run, rows.select("carried").schema.add("fingerprint", "long"))
 
 

@@ -220,7 +220,7 @@ def _mapped(docs: DataFrame, model: Model, carry: list[str], text: str, of: str)
                     begin, size = at + 1, 0
             yield pa.RecordBatch.from_pydict({"carried": batch["carried"], "made": pa.array(made, pa.float64() if of == "scores" else pa.list_(pa.float64()))})
 
-    rows = docs.select(F.struct(*carry).alias("carried"), F.col(text).alias("body"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried"), F.col(text).alias("body"))
     return rows.mapInArrow(run, rows.select("carried").schema.add("made", kind))
 
 

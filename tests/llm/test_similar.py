@@ -1,0 +1,96 @@
+"""Near-duplicates by similarity against Jaccard similarities of all pairs."""
+
+import random
+
+import numpy as np
+
+from commuta.llm import similar, simhash
+
+
+def texts(seed, groups=60, words=220):
+    """Groups of a text and versions with some words replaced, and texts of their own."""
+    draw = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    out = []
+    for g in range(groups):
+        base = [draw.choice(vocabulary) for _ in range(words)]
+        out.append((g, " ".join(base)))
+        for _ in range(draw.randrange(4)):
+            version = list(base)
+            for _ in range(draw.choice([1, 1, 2, 3])):
+                version[draw.randrange(words)] = draw.choice(vocabulary)
+            out.append((g, " ".join(version)))
+    out += [(1000 + k, " ".join(draw.choice(vocabulary) for _ in range(draw.randrange(1, 60)))) for k in range(150)]
+    return out
+
+
+def jaccard(a, b, size=5):
+    x, y = set(simhash.shingles(a, size)), set(simhash.shingles(b, size))
+    return len(x & y) / max(1, len(x | y))
+
+
+def test_versions_are_linked_and_others_are_not(spark):
+    rows = texts(1)
+    docs = spark.createDataFrame([(k, t, g) for k, (g, t) in enumerate(rows)], "doc_id long, text string, fingerprint int")
+    stays = simhash.drop_near_duplicates(docs, size=5, prints_of=similar.fingerprints, links=similar.near_links)
+    assert stays.columns == docs.columns
+    kept = {r.doc_id for r in stays.collect()}
+    first = {}
+    for k, (g, _) in enumerate(rows):
+        first.setdefault(g, k)
+    assert set(first.values()) <= kept  # the smallest id of every group, and every text of its own
+    for k, (g, t) in enumerate(rows):
+        if k != first[g] and jaccard(t, rows[first[g]][1]) >= 0.88:
+            assert k not in kept, jaccard(t, rows[first[g]][1])
+
+
+def test_fingerprint_counts_each_shingle_once(monkeypatch):
+    assert similar.fingerprint("a b c d e a b c d e", 5) != similar.fingerprint("a b c d e", 5)
+    assert similar.fingerprint("A b c d e  x", 5) == similar.fingerprint("a B c\td e x", 5)
+    assert similar.fingerprint(None, 5) == similar.fingerprint(" ", 5) == bytes(32)
+    many = " ".join(f"w{k}" for k in range(5000))
+    whole = similar.fingerprint(many, 5)
+    monkeypatch.setattr(similar, "HASHES", 255)
+    assert similar.fingerprint(many, 5) == whole
+
+
+def test_expected_distance():
+    draw = random.Random(2)
+    words = [f"v{k}" for k in range(400)]
+    base = similar.fingerprint(" ".join(words), 5)
+    far = [draw.choice(words) for _ in range(400)]
+    other = similar.fingerprint(" ".join(far), 5)
+    apart = lambda a, b: int(simhash.ones(np.frombuffer(a, np.uint64) ^ np.frombuffer(b, np.uint64)).sum())
+    assert apart(base, other) > 90
+    near = list(words)
+    near[10] = near[300] = "changed"
+    assert apart(base, similar.fingerprint(" ".join(near), 5)) <= similar.BITS_APART
+
+
+def test_orders_meet_the_recall():
+    for count in (1, 10_000, 10_000_000):
+        picked = similar.orders(count)
+        agree = 1 - np.arccos(2 * 0.8 / 1.8) / np.pi
+        assert 1 - (1 - agree ** picked.shape[1]) ** picked.shape[0] >= similar.RECALL
+        assert count / 2 ** picked.shape[1] <= similar.NODE_ROWS or picked.shape[1] == similar.LEAST_FIRST_BITS
+
+
+def test_large_nodes_give_the_same_classes(monkeypatch):
+    draw = np.random.default_rng(3)
+    centre = draw.integers(0, 2**63, size=(1, 4), dtype=np.uint64)
+    rows = np.repeat(centre, 300, axis=0)
+    for r in rows:  # a chain around one centre, and far ones
+        for b in draw.choice(256, draw.integers(0, 25), replace=False):
+            r[b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+    rows = np.concatenate([rows, draw.integers(0, 2**63, size=(100, 4), dtype=np.uint64)])
+    begin, end = np.array([0, 180]), np.array([180, 400])
+    large = similar.link_nodes(rows, begin, end, 45)
+    monkeypatch.setattr(similar, "FEW", 1000)
+    monkeypatch.setattr(similar, "PAIRS", 500)
+    small = similar.link_nodes(rows, begin, end, 45)
+    assert len(set(zip(large.tolist(), small.tolist(), strict=True))) == len(set(small.tolist())) == len(set(large.tolist()))
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.drop_near_duplicates(docs, size=5, prints_of=similar.fingerprints, links=similar.near_links).count() == 0
