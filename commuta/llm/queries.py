@@ -215,8 +215,9 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = written_table(warc.layout(warc.digests(pages)), "records")
     copied = warc.digests(fixtures.worn_replica(pages)).join(stored.select("page_id", "file", "offset"), "page_id")
     copied = written_table(copied.select("file", "offset", "page_id", "length", "sha256"), "records")
-    trees = [written_table(warc.tree(r), "tree") for r in (stored, copied)]
-    differ = warc.audit(stored, copied, *trees)
+    levels = warc.levels_over(stored, copied)
+    trees = [warc.tree(r, levels) for r in (stored, copied)]
+    differ = warc.audit(stored, copied, *trees, levels)
     roots = trees[0].filter(F.col("level") == warc.INNER).select("file", F.col("hash").alias("file_root"))
     return stored.join(differ, ["file", "offset"], "left").join(roots, "file").select(
         "page_id", "file", "offset", "length", "sha256", "file_root", F.coalesce("state", F.lit("intact")).alias("state")

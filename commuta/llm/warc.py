@@ -18,9 +18,8 @@ from commuta.operators.lineage import written_table
 FILE_BYTES = 4 << 20
 RANGE = 1 << 16
 FAN = 16
-#: Levels of nodes inside files (file offsets end below RANGE * FAN ** (INNER - 1)), and above them.
+#: Levels of nodes inside files: file offsets end below RANGE * FAN ** (INNER - 1).
 INNER = 3
-OUTER = 6
 
 
 def record(page_id: Column, url: Column, body: Column) -> Column:
@@ -55,7 +54,16 @@ def _hash(entries: Column) -> Column:
     return F.sha2(F.array_join(entries, ";"), 256)
 
 
-def tree(records: DataFrame) -> DataFrame:
+def levels_over(*replicas: DataFrame) -> int:
+    """Levels of a tree over the files of all replicas: INNER and as many as join the files into one root."""
+    last = max([r.agg(F.max("file")).first()[0] or 0 for r in replicas])
+    outer = 0
+    while FAN**outer <= last:
+        outer += 1
+    return INNER + outer
+
+
+def tree(records: DataFrame, levels: int) -> DataFrame:
     """All nodes of a replica's tree: ``level``, ``file``, ``node``, ``hash``; files are numbers.
 
     Levels 1 to INNER lie inside files, INNER being a file's root; further levels join files, and the last has one
@@ -69,9 +77,9 @@ def tree(records: DataFrame) -> DataFrame:
     at = written_table(
         records.groupBy("file", F.floor(F.col("offset") / RANGE).alias("node")).agg(_hash(entry).alias("hash")).withColumn("level", F.lit(1)), "nodes"
     )
-    levels = [at]
+    made = [at]
     child = F.transform(F.array_sort(F.collect_list(F.struct("place", "hash"))), lambda r: F.concat_ws(":", r["place"].cast("string"), r["hash"]))
-    for level in range(2, INNER + OUTER + 1):
+    for level in range(2, levels + 1):
         inside = level <= INNER
         place = F.col("node") if inside else F.col("file")
         up = at.select(
@@ -79,16 +87,14 @@ def tree(records: DataFrame) -> DataFrame:
             (F.floor(F.col("node") / FAN) if inside else F.lit(0).cast("long")).alias("node"), place.alias("place"), "hash",
         )
         at = up.groupBy("file", "node").agg(_hash(child).alias("hash")).withColumn("level", F.lit(level))
-        if level == INNER:
-            at = written_table(at, "nodes")
-        levels.append(at)
-    out = levels[0].select("level", "file", "node", "hash")
-    for part in levels[1:]:
+        made.append(at)
+    out = made[0].select("level", "file", "node", "hash")
+    for part in made[1:]:
         out = out.unionByName(part.select("level", "file", "node", "hash"))
-    return out
+    return written_table(out, "tree")
 
 
-def audit(left: DataFrame, right: DataFrame, left_tree: DataFrame, right_tree: DataFrame) -> DataFrame:
+def audit(left: DataFrame, right: DataFrame, left_tree: DataFrame, right_tree: DataFrame, levels: int) -> DataFrame:
     """Where two replicas differ: ``file``, ``offset`` and ``state`` (altered, missing or added on the right).
 
     Starts at the roots and joins, level by level, only the children of nodes that differ; records are read only in
@@ -97,19 +103,19 @@ def audit(left: DataFrame, right: DataFrame, left_tree: DataFrame, right_tree: D
     def nodes(t: DataFrame, level: int, name: str) -> DataFrame:
         return t.filter(F.col("level") == level).select("file", "node", F.col("hash").alias(name))
 
-    top = INNER + OUTER
-    open_ = None
-    for level in range(top, 0, -1):
-        sides = [nodes(left_tree, level, "l"), nodes(right_tree, level, "r")]
-        if open_ is not None:
+    def differing(l: DataFrame, r: DataFrame) -> DataFrame:
+        return l.join(r, ["file", "node"], "full_outer").filter(~F.col("l").eqNullSafe(F.col("r"))).select("file", "node")
+
+    open_ = written_table(differing(nodes(left_tree, levels, "l"), nodes(right_tree, levels, "r")), "differ")
+    if not open_.isEmpty():
+        for level in range(levels - 1, 0, -1):
             # A node's parent: FAN nodes of a file make one below a file's root, FAN files one above it.
             up = [F.col("file"), F.floor(F.col("node") / FAN)] if level < INNER else [F.floor(F.col("file") / FAN), F.lit(0).cast("long")]
             parents = open_.select(F.col("file").alias("up_file"), F.col("node").alias("up_node"))
-            sides = [s.join(parents, (up[0] == F.col("up_file")) & (up[1] == F.col("up_node")), "left_semi") for s in sides]
-        both = sides[0].join(sides[1], ["file", "node"], "full_outer")
-        open_ = written_table(both.filter(~F.col("l").eqNullSafe(F.col("r"))).select("file", "node"), "differ")
-        if open_.isEmpty():
-            break
+            below = (up[0] == F.col("up_file")) & (up[1] == F.col("up_node"))
+            open_ = differing(nodes(left_tree, level, "l").join(parents, below, "left_semi"), nodes(right_tree, level, "r").join(parents, below, "left_semi"))
+            if level in (INNER, 1):  # a cut where the plan would double again
+                open_ = written_table(open_, "differ")
     ranges = open_.select(F.col("file").alias("in_file"), F.col("node").alias("in_node"))
     inside = (F.col("file") == F.col("in_file")) & (F.floor(F.col("offset") / RANGE) == F.col("in_node"))
     l, r = (

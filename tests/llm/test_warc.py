@@ -5,7 +5,6 @@ import random
 
 from commuta.llm import warc
 from commuta.llm.queries import QUERIES, SQL
-from commuta.operators.lineage import written_table
 from workload.check import compare, connect
 
 
@@ -13,12 +12,12 @@ def sha(s):
     return hashlib.sha256(s.encode()).hexdigest()
 
 
-def plain_tree(records):
+def plain_tree(records, top):
     levels, groups = {}, {}
     for f, o, n, h in sorted(records):
         groups.setdefault((f, o // warc.RANGE), []).append(f"{o}:{n}:{h}")
     at = {k: sha(";".join(v)) for k, v in groups.items()}
-    for level in range(1, warc.INNER + warc.OUTER + 1):
+    for level in range(1, top + 1):
         levels |= {(level, f, k): h for (f, k), h in at.items()}
         up = {}
         for (f, k), h in sorted(at.items()):
@@ -58,20 +57,22 @@ def test_tree_and_audit(spark):
     right.append((60_000, 0, 10, sha("a file more")))
     states[60_000, 0] = "added"
     frames = [spark.createDataFrame(x, SCHEMA) for x in (left, right)]
-    trees = [written_table(warc.tree(f)) for f in frames]
+    top = warc.levels_over(*frames)
+    assert top == warc.INNER + 4 and warc.levels_over(frames[0]) == warc.INNER + 2 and warc.levels_over(frames[0].limit(0)) == warc.INNER
+    trees = [warc.tree(f, top) for f in frames]
     for rows, t in zip((left, right), trees, strict=True):
-        assert {(r.level, r.file, r.node): r.hash for r in t.collect()} == plain_tree(rows)
-    got = {(r.file, r.offset): r.state for r in warc.audit(*frames, *trees).collect()}
+        assert {(r.level, r.file, r.node): r.hash for r in t.collect()} == plain_tree(rows, top)
+    got = {(r.file, r.offset): r.state for r in warc.audit(*frames, *trees, top).collect()}
     assert got == states
-    assert warc.audit(frames[0], frames[0], trees[0], trees[0]).count() == 0
+    assert warc.audit(frames[0], frames[0], trees[0], trees[0], top).count() == 0
 
 
 def test_empty_and_one_sided(spark):
     none, one = spark.createDataFrame([], SCHEMA), spark.createDataFrame([(0, 0, 5, "x")], SCHEMA)
-    trees = [written_table(warc.tree(f)) for f in (none, one)]
-    assert warc.audit(none, none, trees[0], trees[0]).count() == 0
-    assert [r.state for r in warc.audit(one, none, trees[1], trees[0]).collect()] == ["missing"]
-    assert [r.state for r in warc.audit(none, one, *trees).collect()] == ["added"]
+    trees = [warc.tree(f, warc.INNER) for f in (none, one)]
+    assert warc.audit(none, none, trees[0], trees[0], warc.INNER).count() == 0
+    assert [r.state for r in warc.audit(one, none, trees[1], trees[0], warc.INNER).collect()] == ["missing"]
+    assert [r.state for r in warc.audit(none, one, *trees, warc.INNER).collect()] == ["added"]
 
 
 def test_layout_with_nulls_and_repeated_rows(spark):
