@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commuta.llm.batches import bodies, carrying
+
 #: Fixed value: the pattern that splits texts before byte-level merges.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Encoded pieces in one generation of a worker's memory, the longest piece remembered, and pairs of tokens remembered.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 200_000
 CACHED_CHARS = 48
-CACHED_PAIRS = 200_000
+CACHED_PAIRS = 100_000
 #: Bytes of text encoded before their rows are handed on.
 ROWS_BYTES = 2 << 20
 
@@ -216,15 +218,14 @@ def _mapped(docs: DataFrame, tokenizer: str, source: str, added: dict[str, T.Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped.value)
         for whole in batches:
-            column = whole["source"]
+            column = bodies(whole, source)
             length = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
             for batch in _parts(whole, length(column).fill_null(0).to_numpy(), ROWS_BYTES):
-                made = step(codec, batch["source"])
+                made = step(codec, bodies(batch, source))
                 yield pa.RecordBatch.from_pydict({"carried": batch["carried"]} | {f"made{k}": made[n] for k, n in enumerate(names)})
 
     kept = [c for c in docs.columns if c not in added]
-    carried = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_"))
-    rows = docs.select(carried.alias("carried"), F.col(source).alias("source"))
+    rows = carrying(docs, kept, source)
     schema = T.StructType([rows.schema["carried"], *[T.StructField(f"made{k}", added[n]) for k, n in enumerate(names)]])
     out = rows.mapInArrow(run, schema)
     return out.select(*[F.col(f"carried.`{c}`") for c in kept], *[F.col(f"made{k}").alias(n) for k, n in enumerate(names)])

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commuta.llm.batches import bodies, carrying
 from commuta.operators.lineage import written_table
 
 WINDOW = 13
@@ -181,9 +182,10 @@ def _shards(texts: list[str | None]) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
-def _search_step(docs: DataFrame, shipped, keep_text: bool) -> DataFrame:
+def _search_step(docs: DataFrame, shipped, text: str, keep_text: bool) -> DataFrame:
     """Add the matches with one block of test items to ``matches``, and recount ``n_hit``."""
     schema = T.StructType([f for f in docs.schema.fields if f.name not in ("body", "matches")])
+    keep_text = keep_text and "body" in docs.columns
     if keep_text:
         schema.add("body", T.StringType())
     schema.add("n_words", T.LongType()).add("n_hit", T.LongType()).add("matches", MATCHES)
@@ -192,7 +194,7 @@ def _search_step(docs: DataFrame, shipped, keep_text: bool) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shipped.value
         for whole in batches:
-            texts = whole["body"].to_pylist()
+            texts = bodies(whole, text).to_pylist()
             for part in _shards(texts):
                 batch = whole.slice(part.start, part.stop - part.start)
                 counts, found = _matches(texts[part], items)
@@ -226,14 +228,10 @@ def benchmark_matches(
     total = named.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     dealt = named.withColumn("block", F.pmod(F.xxhash64("name", "body"), F.lit(blocks)))
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried"),
-        F.col(text).alias("body"),
-        F.lit(None).cast(MATCHES).alias("matches"),
-    )
+    rows = carrying(docs, carry, text).withColumn("matches", F.lit(None).cast(MATCHES))
     for k in range(blocks):  # each pass takes a bounded block of the test items over all documents
         block = TestItems([tuple(r) for r in dealt.filter(F.col("block") == k).select("name", "body").collect()], window)
-        rows = _search_step(rows, spark.sparkContext.broadcast(block), keep_text=k + 1 < blocks)
+        rows = _search_step(rows, spark.sparkContext.broadcast(block), text, keep_text=k + 1 < blocks)
         if k + 1 < blocks:
             rows = written_table(rows, "matches").drop("n_words", "n_hit")
     return rows

@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commuta.llm.batches import bodies, carrying
 from commuta.llm.bitmaps import bitmap, marked, order_key
 from commuta.llm.components import components
 from commuta.operators.lineage import written_table
@@ -66,10 +67,10 @@ def fingerprints(docs: DataFrame, carry: list[str], text: str = "text", size: in
     """``carried`` (a struct of ``carry``) and ``fingerprint`` (long, the 64 bits as a signed number) per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([fingerprint(t, size) for t in batch["body"].to_pylist()], np.uint64).view(np.int64)
+            made = np.array([fingerprint(t, size) for t in bodies(batch, text).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_pydict({"carried": batch["carried"], "fingerprint": pa.array(made)})
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried"), F.col(text).alias("body"))
+    rows = carrying(docs, carry, text)
     return rows.mapInArrow(run, rows.select("carried").schema.add("fingerprint", "long"))
 
 

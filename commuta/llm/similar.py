@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commuta.llm.batches import bodies, carrying
 from commuta.llm.simhash import _Union, ones, shingles
 
 WIDTH = 256
@@ -52,10 +53,10 @@ def fingerprints(docs: DataFrame, carry: list[str], text: str, size: int) -> Dat
     """``carried`` (a struct of ``carry``) and ``fingerprint`` (binary, 32 bytes) per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(t, size) for t in batch["body"].to_pylist()]
+            made = [fingerprint(t, size) for t in bodies(batch, text).to_pylist()]
             yield pa.RecordBatch.from_pydict({"carried": batch["carried"], "fingerprint": pa.array(made, pa.binary())})
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried"), F.col(text).alias("body"))
+    rows = carrying(docs, carry, text)
     return rows.mapInArrow(run, rows.select("carried").schema.add("fingerprint", "binary"))
 
 

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from commuta.llm.batches import bounded
 from commuta.operators.lineage import written_table
 
 NULL_ID = -(1 << 63)
@@ -194,6 +195,7 @@ def write_token_files(
                 "n_tokens": pa.array([reached], pa.int64()), "width": pa.array([encoder.dtype.itemsize], pa.int32()),
             })
 
+    bounded(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     tie = F.xxhash64("body")  # lets the ranges divide an id that many rows share
     ordered = rows.repartitionByRange("id", tie).sortWithinPartitions("id", tie)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commuta.llm.batches import bodies, carrying
+
 #: Bounds of the fit: labelled documents read, and distinct words of theirs used (the most frequent).
 SAMPLE_DOCS = 8000
 SAMPLE_WORDS = 20_000
@@ -35,7 +38,7 @@ TOP, FLOOR = 4, -0.5
 #: Longer words are read as overlapping windows of this many bytes.
 WINDOW, WINDOW_STEP = 14, 4
 #: Words in one generation of a worker's memory, and characters of text scored at a time.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 PART_BYTES = 4 << 20
 
 #: Symbols: a-z, any digit, eight for all other letters, both edges of a word, and what only makes a gap.
@@ -151,6 +154,21 @@ def _logistic(x: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return w
 
 
+class _Memory:
+    """Values of words under the model a worker used last."""
+
+    def __init__(self):
+        self.name, self.known, self.before = "", {}, {}
+
+    def of(self, name: str) -> _Memory:
+        if name != self.name:
+            self.name, self.known, self.before = name, {}, {}
+        return self
+
+
+_MEMORY = _Memory()
+
+
 @dataclass
 class Model:
     """``weights`` of the subsequences and ``bias`` of the machine; ``document``, the logistic weights of its features."""
@@ -159,8 +177,7 @@ class Model:
     bias: float
     document: np.ndarray = field(default_factory=lambda: np.zeros(TOP + 2))
     landmarks: list[bytes] = field(default_factory=list)
-    known: dict[bytes, float] = field(default_factory=dict, repr=False)
-    before: dict[bytes, float] = field(default_factory=dict, repr=False)
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def values(self, found: list[bytes]) -> np.ndarray:
         """The machine's value for each word: that of its most toxic window."""
@@ -181,9 +198,10 @@ class Model:
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         """Of each text the values of its TOP most toxic distinct words, FLOOR at least, and the log of its words."""
-        if len(self.known) >= CACHED_WORDS:  # two generations are kept, so frequent words stay
-            self.before, self.known = self.known, {}
-        known, before = self.known, self.before
+        memory = _MEMORY.of(self.name)
+        if len(memory.known) >= CACHED_WORDS:  # two generations are kept, so frequent words stay
+            memory.before, memory.known = memory.known, {}
+        known, before = memory.known, memory.before
         split = [words(t) for t in texts]
         missing = set().union(*split).difference(known)
         known.update((w, before[w]) for w in missing if w in before)
@@ -212,7 +230,7 @@ def _mapped(docs: DataFrame, model: Model, carry: list[str], text: str, of: str)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used = getattr(shipped.value, of)
         for batch in batches:
-            texts, made, begin, size = batch["body"].to_pylist(), [], 0, 0
+            texts, made, begin, size = bodies(batch, text).to_pylist(), [], 0, 0
             for at, t in enumerate(texts):
                 size += len(t or "")
                 if size >= PART_BYTES or at + 1 == len(texts):
@@ -220,7 +238,7 @@ def _mapped(docs: DataFrame, model: Model, carry: list[str], text: str, of: str)
                     begin, size = at + 1, 0
             yield pa.RecordBatch.from_pydict({"carried": batch["carried"], "made": pa.array(made, pa.float64() if of == "scores" else pa.list_(pa.float64()))})
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried"), F.col(text).alias("body"))
+    rows = carrying(docs, carry, text)
     return rows.mapInArrow(run, rows.select("carried").schema.add("made", kind))
 
 
