@@ -56,6 +56,7 @@ def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", di
         .agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1")
     )
+    groups = written_table(groups, "groups")  # so that the join deals both sides itself and can split a hot text
     keep = F.when(F.col("copies").isNull(), F.col("id")).otherwise(F.col("last"))
     return hashed.join(groups, ["size", "digest"], "left").select(
         F.col("id").alias("doc_id"),
