@@ -128,15 +128,19 @@ def next_iteration_inputs(
 
 
 def report_suite(t: dict[str, DataFrame], expansion: float = 4) -> dict[str, DataFrame]:
-    """Every report table of the trip log by its table name, lazily."""
-    agency = transit.vehicle_agency(
+    """Every report table of the trip log by its table name, lazily.
+
+    What several reports read is checkpointed: the agency of each vehicle trip, modes by area, and waits per path.
+    """
+    agency = cut_lineage(transit.vehicle_agency(
         t["transit_trips"], t["transit_patterns"], t["transit_routes"], t["transit_agencies"]
-    )
+    ))
     trip, act, person, household = t["trip"], t["activity"], t["person"], t["household"]
     location, zone, tnc, path = t["location"], t["zone"], t["tnc_trip"], t["path_multimodal"]
     links, legs, vehicle, x = t["transit_vehicle_links"], t["path_multimodal_links"], t["transit_vehicle"], expansion
-    by_area = activity.executed_activity_mode_share_by_area(act, person, trip, location, zone, x)
-    by_path = transit.ivtt_wait_by_path(transit.ivtt_wait_by_path_and_vehicle(legs), path)
+    by_area = cut_lineage(activity.executed_activity_mode_share_by_area(act, person, trip, location, zone, x))
+    by_vehicle = cut_lineage(transit.ivtt_wait_by_path_and_vehicle(legs))
+    by_path = cut_lineage(transit.ivtt_wait_by_path(by_vehicle, path))
     return {
         "person_distribution": activity.person_distribution(person),
         "activity_distribution": activity.activity_distribution(person, act),
@@ -165,7 +169,7 @@ def report_suite(t: dict[str, DataFrame], expansion: float = 4) -> dict[str, Dat
         "transit_occupancy": transit.transit_occupancy(links, agency, vehicle, x),
         "act_wait_count": transit.act_wait_count(path, x),
         "avg_wait_and_total_time": transit.avg_wait_and_total_time(path),
-        "cta_IVTT_Wait_path_id_trip_id": transit.ivtt_wait_by_path_and_vehicle(legs),
+        "cta_IVTT_Wait_path_id_trip_id": by_vehicle,
         "cta_IVTT_Wait_path_id_trips_aggregated": by_path,
         "avg_wait_and_total_time_cta": transit.avg_wait_and_total_time_by_path(by_path, x),
         "transit_trips_wo_boarding_count": transit.transit_trips_wo_boarding_count(path, x),

@@ -144,7 +144,7 @@ select s_suppkey as stop_id, s_nationkey + 1 as zone from supplier
 """
 
 VIEWS["fx_transit_links"] = """
-select p_partkey as transit_link, p_partkey % 10 as from_node from part
+select p_partkey as transit_link, p_partkey % (select count(*) from supplier) as from_node from part
 """
 
 VIEWS["fx_transit_vehicle_links"] = """
