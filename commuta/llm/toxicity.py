@@ -38,7 +38,7 @@ TOP, FLOOR = 4, -0.5
 #: Longer words are read as overlapping windows of this many bytes.
 WINDOW, WINDOW_STEP = 14, 4
 #: Words in one generation of a worker's memory, and characters of text scored at a time.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 PART_BYTES = 4 << 20
 
 #: Symbols: a-z, any digit, eight for all other letters, both edges of a word, and what only makes a gap.
@@ -108,32 +108,44 @@ def _coded(strings: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 
 def kernel(strings: list[bytes], landmarks: list[bytes]) -> np.ndarray:
     """Gapped-subsequence kernel of strings (of 3 to WINDOW bytes) with landmarks."""
-    table = np.zeros((CODES + 1, len(landmarks)), np.float32)
+    held = np.unique(np.concatenate([np.unique(code) for _, code, _ in _coded(landmarks)])) if landmarks else np.zeros(0, np.int64)
+    held = held[held >= 0]
+    row_of = np.full(CODES + 1, len(held), np.int32)  # the last row for codes no landmark has, and for gaps
+    row_of[held] = np.arange(len(held))
+    table = np.zeros((len(held) + 1, len(landmarks)), np.float32)
     for some, code, weight in _coded(landmarks):
         for row, place in enumerate(some):
-            np.add.at(table[:, place], code[row], weight[row])
-    table[-1] = 0  # the code of a gap
-    out = np.zeros((len(strings), len(landmarks)))
+            np.add.at(table[:, place], row_of[code[row]], weight[row])
+    table[-1] = 0
+    out = np.zeros((len(strings), len(landmarks)), np.float32)
     for some, code, weight in _coded(strings):
         for k in range(0, len(some), 16):
-            out[some[k : k + 16]] = np.einsum("wt,wtm->wm", weight[k : k + 16], table[code[k : k + 16]])
+            out[some[k : k + 16]] = np.einsum("wt,wtm->wm", weight[k : k + 16].astype(np.float32), table[row_of[code[k : k + 16]]])
     return out
 
 
 def _hinge(z: np.ndarray, toxic: np.ndarray, clean: np.ndarray, cost: float = 1.0) -> np.ndarray:
-    """Linear machine (last entry: bias) with squared hinge loss; a row counts ``toxic`` times +1 and ``clean`` times -1."""
-    z = np.hstack([z, np.ones((len(z), 1))])
-    ridge = np.eye(z.shape[1])
-    ridge[-1, -1] = 1e-6
-    theta = np.zeros(z.shape[1])
-    for _ in range(50):
-        f = z @ theta
-        up, down = toxic * (f < 1), clean * (f > -1)
-        a = ridge + 2 * cost * (z.T * (up + down)) @ z
-        new = np.linalg.solve(a, 2 * cost * z.T @ (up - down))
-        if np.abs(new - theta).max() < 1e-6:
+    """Linear machine (last entry: bias) with squared hinge loss; a row counts ``toxic`` times +1 and ``clean`` times -1.
+
+    Newton steps; the rows are taken some at a time, and steps are drawn in until the rows inside the margin settle.
+    """
+    size = z.shape[1] + 1
+    theta = np.zeros(size)
+    for turn in range(40):
+        a, b = np.eye(size), np.zeros(size)
+        a[-1, -1] = 1e-6
+        for k in range(0, len(z), 2048):
+            x = np.hstack([z[k : k + 2048], np.ones((len(z[k : k + 2048]), 1))]).astype(np.float64)
+            f = x @ theta
+            up, down = toxic[k : k + 2048] * (f < 1), clean[k : k + 2048] * (f > -1)
+            inside = up + down > 0
+            x, up, down = x[inside], up[inside], down[inside]
+            a += 2 * cost * (x.T * (up + down)) @ x
+            b += 2 * cost * x.T @ (up - down)
+        step = np.linalg.solve(a, b) - theta
+        theta = theta + step * (0.7 if turn < 3 else 1.0)
+        if np.abs(step).max() < 1e-4:
             break
-        theta = theta + (new - theta) * 0.7
     return theta
 
 
@@ -287,7 +299,10 @@ def fit(
     landmarks = [names[x] for x in telling + common[: LANDMARKS - len(telling)]]
     value, vector = np.linalg.eigh(kernel(landmarks, landmarks))
     half = vector @ np.diag(np.where(value > 1e-6, 1 / np.sqrt(np.maximum(value, 1e-6)), 0)) @ vector.T
-    theta = _hinge(kernel(names, landmarks) @ half, toxic, clean)
+    features, whiten = kernel(names, landmarks), half.astype(np.float32)
+    for k in range(0, len(names), 2048):
+        features[k : k + 2048] = features[k : k + 2048] @ whiten
+    theta = _hinge(features, toxic, clean)
     each_landmark = half @ theta[:-1]
     weights = np.zeros(CODES + 1)
     for some, code, weight in _coded(landmarks):

@@ -3,7 +3,6 @@
 from itertools import combinations
 
 import numpy as np
-import pytest
 
 from commuta.llm import toxicity
 from commuta.llm.queries import QUERIES
