@@ -30,7 +30,7 @@ LEAST_LETTERS = 8
 #: Bound of the fit: documents read for each class.
 SAMPLE_DOCS = 2000
 
-SPAN = "struct<start:int,end:int,kind:int>"
+_FOUND = "cast(array() as array<struct<start:int,end:int,kind:int,m:string>>)"
 
 
 def _spans(text: Column, pattern: str, kind: int, fits: Column | None = None) -> Column:
@@ -46,10 +46,10 @@ def _spans(text: Column, pattern: str, kind: int, fits: Column | None = None) ->
         span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["m"].alias("m"))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,kind:int,m:string>>)").alias("spans"))
+    empty = F.struct(F.lit(0).alias("at"), F.expr(_FOUND).alias("spans"))
     placed = F.aggregate(both, empty, place, lambda state: state["spans"])
     real = F.filter(placed, lambda s: s["m"].isNotNull() & (fits(s["m"]) if fits is not None else F.lit(True)))
-    return F.when(text.rlike(pattern), real).otherwise(F.expr("cast(array() as array<struct<start:int,end:int,kind:int,m:string>>)"))
+    return F.when(text.rlike(pattern), real).otherwise(F.expr(_FOUND))
 
 
 def _assigned(m: Column) -> Column:

@@ -16,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from commuta.llm.batches import bodies, carrying
 from commuta.llm.simhash import _Union, ones, shingles

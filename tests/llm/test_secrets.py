@@ -6,7 +6,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from commuta.llm import secrets
 
