@@ -56,7 +56,7 @@ select c_custkey * 4 + m as person, c_custkey as household, m + 1 as member_id,
        (c_custkey * 11 + m) % 60 as work_hours, (c_custkey + m) % 9 + 1 as race_id,
        case when (c_custkey + m) % 6 = 0 then null else (c_custkey * 31 + m) % (select count(*) from customer) + 1 end as work_location_id,
        case when (c_custkey + m) % 5 = 0 then 0 else (c_custkey * 17) % (select count(*) from customer) + 1 end as school_location_id
-from customer cross join (values (0), (1), (2), (3)) t(m)
+from customer {members}
 """
 
 VIEWS["fx_job"] = """
@@ -225,7 +225,7 @@ select t.e as interval_end, c.o + 1 as o, c.d + 1 as d,
        cast((c.o * c.d) % 5 as double) as fare,
        cast(case when (c.o + c.d) % 8 = 0 then 86400 else (c.o + 2 * c.d) % 50 end as double) as ivtt
 from (select distinct l_suppkey as o, l_partkey % (select count(*) from supplier) as d from lineitem) c
-cross join (values (360, 0), (540, 1), (720, 2), (1440, 3)) t(e, k)
+{intervals}
 """
 
 VIEWS["fx_od_location"] = """
@@ -295,20 +295,29 @@ def _ordered(names: list[str]) -> list[str]:
     return out
 
 
-_VALUES = re.compile(r"cross join \(values (.*?\))\) t\(([\w, ]+)\)")
+#: Literal rows beside every row: as SQL has them, and as Spark's explode, which needs no join.
+LITERAL_ROWS = {
+    "{members}": (
+        "cross join (values (0), (1), (2), (3)) t(m)",
+        "lateral view explode(array(0, 1, 2, 3)) t as m",
+    ),
+    "{intervals}": (
+        "cross join (values (360, 0), (540, 1), (720, 2), (1440, 3)) t(e, k)",
+        "lateral view inline(array(struct(360, 0), struct(540, 1), struct(720, 2), struct(1440, 3))) t as e, k",
+    ),
+}
 
 
-def _exploded(match: re.Match) -> str:
-    """Literal rows as Spark's explode instead of a cross join."""
-    rows = ", ".join(f"struct{r}" for r in re.findall(r"\([^)]*\)", match.group(1)))
-    return f"lateral view inline(array({rows})) t as {match.group(2)}"
+def _with_rows(sql: str, spark: bool) -> str:
+    for name, forms in LITERAL_ROWS.items():
+        sql = sql.replace(name, forms[spark])
+    return sql
 
 
 def with_views(sql: str, spark_dir: str | None = None) -> str:
     """Prefix a SELECT with the definitions it uses; with a folder, of the base tables too."""
-    ctes = [f"{n} as ({VIEWS[n].strip()})" for n in _ordered(_needs(sql))]
+    ctes = [f"{n} as ({_with_rows(VIEWS[n].strip(), spark_dir is not None)})" for n in _ordered(_needs(sql))]
     if spark_dir is not None:
-        ctes = [_VALUES.sub(_exploded, c) for c in ctes]
         words = set(re.findall(r"\w+", " ".join([sql, *ctes])))
         ctes = [f"{b} as (select * from parquet.`{spark_dir}/{b}.parquet`)" for b in BASE if b in words] + ctes
     body = sql.strip()

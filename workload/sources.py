@@ -10,7 +10,7 @@ from commuta.plans import gap
 from commuta.sources import readers, schemas, writers
 from workload.landuse import households
 from workload.registry import add
-from workload.skims import MEASURES, highway, packed_auto, taz
+from workload.skims import MEASURES, highway, taz
 
 
 def folder(T):
