@@ -27,7 +27,7 @@ from commuta.operators.lineage import written_table
 
 NULL_ID = -(1 << 63)
 #: Encoded words in one generation of a worker's memory, the longest word remembered, and words encoded in one call.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 500_000
 CACHED_BYTES = 48
 WORDS_PER_CALL = 2048
 #: Text encoded at a time.
