@@ -33,11 +33,12 @@ RANK_DIGITS = 10
 def household_recode(households: DataFrame) -> DataFrame:
     """Demand-table household columns; unknown codes become NULL.
 
-    ``hhold`` is the survey's serial number; a given ``time_in_home`` is kept, else unknown.
+    ``hhold`` is the survey's serial number, NULL where the table has none; a given ``time_in_home`` is kept, else unknown.
     """
     given = F.col("time_in_home") if "time_in_home" in households.columns else F.lit(None)
+    serial = F.col("serialno") if "serialno" in households.columns else F.lit(None).cast("string")
     return households.select(
-        "household_id", F.col("serialno").alias("hhold"), "block_id", "persons", "workers", "income",
+        "household_id", serial.alias("hhold"), "block_id", "persons", "workers", "income",
         F.col("cars").alias("vehicles"),
         label("hh_type", HOUSEHOLD_TYPES).alias("type"),
         label("sf_detached", HOUSING_UNIT_TYPES).alias("housing_unit_type"),

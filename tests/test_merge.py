@@ -46,9 +46,9 @@ def test_conform(spark):
 
 def test_warm_start_replaces_whole_columns(spark, rows):
     base = spark.createDataFrame([(1, 5, 0), (2, 6, 0)], "household_id int, persons int, cars int")
-    new = spark.createDataFrame([(1, 3)], "household_id int, cars int")
+    new = spark.createDataFrame([(1, 3), (9, 4)], "household_id int, cars int")
     assert rows(landuse.warm_start_update(base, new, "household_id", ["cars"])) == [(1, 5, 3), (2, 6, None)]
-    assert landuse.same_row_count(base, new).first().same == 0
+    assert landuse.same_row_count(base, new).first().same == 1 and landuse.same_row_count(base, new.limit(1)).first().same == 0
 
 
 def test_merge_population(spark, rows):
