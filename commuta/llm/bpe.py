@@ -27,7 +27,7 @@ from commuta.llm.batches import bodies, carrying
 #: Fixed value: the pattern that splits texts before byte-level merges.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Encoded pieces in one generation of a worker's memory, the longest piece remembered, and pairs of tokens remembered.
-CACHED_PIECES = 250_000
+CACHED_PIECES = 150_000
 CACHED_CHARS = 48
 CACHED_PAIRS = 100_000
 #: Bytes of text encoded before their rows are handed on.

@@ -38,7 +38,7 @@ TOP, FLOOR = 4, -0.5
 #: Longer words are read as overlapping windows of this many bytes.
 WINDOW, WINDOW_STEP = 14, 4
 #: Words in one generation of a worker's memory, and characters of text scored at a time.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 PART_BYTES = 4 << 20
 
 #: Symbols: a-z, any digit, eight for all other letters, both edges of a word, and what only makes a gap.
