@@ -5,6 +5,9 @@ of 256 bits tell 0.8 (39 bits expected) from 0.5 (68 bits), but a trie in one or
 So there are many tries, each in another order of bits, walked on the diagonal through their first bits: a pair at
 the threshold agrees on those in at least one trie with probability ``RECALL``. Below, pairs are walked 64 bits at a
 time, differing bits add up, and a pair is dropped once it has too many.
+
+This is a probabilistic index: it loses some links and makes some that the word sets do not bear out. The pipeline uses
+``jaccard``, which is exact.
 """
 
 from __future__ import annotations

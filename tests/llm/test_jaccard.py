@@ -68,5 +68,10 @@ def test_nothing_goes_without_a_link_at_the_threshold(threshold):
     assert not stays - got
 
 
+def test_every_pair_at_the_threshold_and_above_is_found(threshold):
+    stays, got = threshold
+    assert not got - stays
+
+
 def test_no_rows(spark):
     assert kept(spark, [], jaccard.drop_near_duplicates) == set()
