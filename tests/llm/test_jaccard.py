@@ -73,5 +73,20 @@ def test_every_pair_at_the_threshold_and_above_is_found(threshold):
     assert not got - stays
 
 
+@pytest.mark.parametrize("pairs_a_row", [0, 1 << 30])
+def test_hot_group_and_common_passage(spark, monkeypatch, pairs_a_row):
+    monkeypatch.setattr(jaccard, "PAIRS_A_ROW", pairs_a_row)
+    monkeypatch.setattr(jaccard, "COMMON", 50)
+    draw = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    base = [draw.choice(vocabulary) for _ in range(120)]
+    texts = [versions(draw, base, vocabulary, draw.randrange(6)) for _ in range(150)]
+    texts += [" ".join(base[:100] + [draw.choice(vocabulary) for _ in range(draw.randrange(10, 60))]) for _ in range(100)]
+    texts += [" ".join(draw.choice(vocabulary) for _ in range(80)) for _ in range(40)]
+    draw.shuffle(texts)
+    rows = list(enumerate(texts))
+    assert kept(spark, rows, jaccard.drop_near_duplicates) == expected(rows)
+
+
 def test_no_rows(spark):
     assert kept(spark, [], jaccard.drop_near_duplicates) == set()
