@@ -310,6 +310,12 @@ def matrix_export(packed: DataFrame, name: Column | None = None) -> DataFrame:
     return exported.select(name.alias("name"), "o_idx", "_m.values")
 
 
+def distance_matrices(packed: DataFrame) -> DataFrame:
+    """Matrices of packed distances (see ``pack_distance``), published for car, bicycle and foot alike."""
+    names = F.explode(F.array(*[F.lit(m) for m in ("DIST", "DISTBIKE", "DISTWALK")]))
+    return matrix_export(packed).select(names.alias("name"), "o_idx", "values")
+
+
 def skim_upsert(base: DataFrame, new: DataFrame | None) -> DataFrame:
     """Newest skims over all skims: matched rows fully replaced, new rows added; without new skims, unchanged."""
     if new is None:

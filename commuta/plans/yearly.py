@@ -43,7 +43,7 @@ def build_skims(raw: DataFrame, zones: DataFrame, config: SkimConfig | None = No
         "distance": distance,
         "auto": sk.unpack_od(auto, zones),
         "transit": sk.unpack_od(transit, zones),
-        "matrices": sk.matrix_export(packed).unionByName(sk.matrix_export(auto)).unionByName(sk.matrix_export(transit)),
+        "matrices": sk.distance_matrices(packed).unionByName(sk.matrix_export(auto)).unionByName(sk.matrix_export(transit)),
         "zone_offset": zones.select("zone_id", "idx"),
     }
 
