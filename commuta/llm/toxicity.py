@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -47,6 +48,10 @@ FIRST, LAST, GAP = 35, 36, 37
 CODES = SYMBOLS**ORDER
 _SYMBOL = np.array([b - 97 if 97 <= b <= 122 else 26 if 48 <= b <= 57 else 27 + (b & 7) if b >= 128 else GAP for b in range(256)], np.int64)
 _EDGES = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+#: What is dropped before accents are composed, what is dropped anywhere, and what is folded: all but ASCII and Latin-1 letters.
+_FORMAT = re.compile("[\xad\u034f\u061c\u200b-\u200f\u202a-\u202e\u2060-\u206f\ufe00-\ufe0f\ufeff]+")
+_IGNORED = re.compile("[\u0300-\u036f\u115f\u1160\u17b4\u17b5\u180b-\u180f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u3164\ufe00-\ufe0f\ufe20-\ufe2f\uffa0\U000e0100-\U000e01ef]")
+_FOLDED = re.compile("[\x80-\xbf\xd7\xf7\u0100-\U0010ffff]+")
 _LETTERS_APART = re.compile(rb"(?<!\S)\S(?:[ \t]\S){2,}[!-/:-@\[-`{-~]*(?!\S)")
 
 
@@ -57,9 +62,35 @@ def _picks(length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, DECAY ** (at[:, -1] - at[:, 0] + 1.0)
 
 
+@lru_cache(1 << 16)
+def _folded(char: str) -> str:
+    """A character past ASCII as characters of one byte: none, a space, a gap, ASCII letters or digits, or a hashed letter."""
+    kind = unicodedata.category(char)
+    if kind == "Cf" or _IGNORED.match(char):
+        return ""
+    if char.isspace():
+        return " "
+    parts = unicodedata.normalize("NFKD", char).lower()
+    if kind[0] in "PSC" and kind not in ("Cn", "Co", "Cs") and not any(c.isalnum() for c in parts):
+        return "-"
+    return "".join(
+        "" if _IGNORED.match(c) else (c if c.isalnum() else "-") if c < "\x80" else "0" if c.isdecimal()
+        else chr(0x80 | (ord(c) * 0x9E3779B1 & 0xFFFFFFFF) >> 25)
+        for c in parts
+    )
+
+
 def one_byte(text: str) -> bytes:
-    """A byte for each character, the low one of its code: ASCII and Latin letters stay apart, others are hashed."""
-    return text.lower().encode("utf-16-le", "surrogatepass")[::2]
+    """A byte for each character: ASCII and Latin-1 letters are their own, others are folded to these or hashed to a letter.
+
+    Format characters and marks above and below letters are dropped, punctuation and symbols past ASCII make a gap, and
+    spaces past ASCII are spaces.
+    """
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", _FORMAT.sub("", text)).lower()
+        text = _FOLDED.sub(lambda run: "".join(map(_folded, run.group())), text)
+        return text.encode("latin-1")
+    return text.lower().encode()
 
 
 def words(text: str | None) -> set[bytes]:
@@ -254,6 +285,14 @@ def _mapped(docs: DataFrame, model: Model, carry: list[str], text: str, of: str)
     return rows.mapInArrow(run, rows.select("carried").schema.add("made", kind))
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The label of each document with each of its distinct words, read as scoring reads them."""
+    for batch in batches:
+        for label, text in zip(batch["toxic_label"].to_pylist(), batch["body"].to_pylist(), strict=True):
+            found = [w for w in {w.strip(_EDGES) for w in words(text)} if 3 <= len(w) <= WINDOW]
+            yield pa.RecordBatch.from_pydict({"toxic_label": pa.array([label] * len(found), pa.int32()), "word": pa.array(found, pa.binary())})
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
     sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS,
@@ -271,19 +310,12 @@ def fit(
         .orderBy(F.xxhash64("label_id"), "label_id").limit(sample_docs)
     )
     sample = docs.select(F.col(id).alias("doc"), F.col(text).alias("body")).join(F.broadcast(chosen), F.col("doc") == F.col("label_id"))
-    each = F.explode(F.array_distinct(F.split(F.lower("body"), "\\s+")))
     counted = (
-        sample.select("toxic_label", each.alias("word")).filter("length(word) between 3 and 40").groupBy("word")
+        sample.select("toxic_label", "body").mapInArrow(_counted, "toxic_label int, word binary").groupBy("word")
         .agg(F.sum("toxic_label").alias("toxic"), F.sum(1 - F.col("toxic_label")).alias("clean"))
         .filter(F.col("toxic") + F.col("clean") >= LEAST_DOCS).orderBy(F.desc(F.col("toxic") + F.col("clean")), "word").limit(sample_words)
     ).collect()
-    folded: dict[bytes, list[int]] = {}
-    for r in counted:
-        word = one_byte(r.word).strip(_EDGES)
-        if 3 <= len(word) <= WINDOW:
-            total = folded.setdefault(word, [0, 0])
-            total[0] += r.toxic
-            total[1] += r.clean
+    folded = {bytes(r.word): (r.toxic, r.clean) for r in counted}
     names = sorted(folded)
     toxic, clean = (np.array([folded[w][k] for w in names], float) for k in (0, 1))
     if not names or not toxic.sum() or not clean.sum():
