@@ -286,10 +286,10 @@ def _mapped(docs: DataFrame, model: Model, carry: list[str], text: str, of: str)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The label of each document with each of its distinct words, read as scoring reads them."""
+    """The label of each document with each of its distinct words, read as scoring reads them: long ones in windows."""
     for batch in batches:
         for label, text in zip(batch["toxic_label"].to_pylist(), batch["body"].to_pylist(), strict=True):
-            found = [w for w in {w.strip(_EDGES) for w in words(text)} if 3 <= len(w) <= WINDOW]
+            found = list({s for w in words(text) for s in windows(w)})
             yield pa.RecordBatch.from_pydict({"toxic_label": pa.array([label] * len(found), pa.int32()), "word": pa.array(found, pa.binary())})
 
 

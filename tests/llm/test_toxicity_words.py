@@ -38,3 +38,12 @@ def test_other_scripts_are_learnt(spark):
     model = toxicity.fit(docs, spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(90)], "doc_id long, toxic int"))
     got = {r.doc_id: r.score for r in toxicity.scored(docs, model, ["doc_id"]).select("carried.doc_id", "score").collect()}
     assert got[0] > 0.7 and got[1000] > 0.7 and got[1] < 0.3 and got[1001] < 0.3
+
+
+def test_long_words_are_learnt(spark):
+    long = "donaudampfschiffvollpfosten", "donaudampfschifffahrtswitwe"
+    rows = [(k, f"{long[0 if k % 3 == 0 else 1]} word {'more ' * (k % 5)}") for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(90)], "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, model, ["doc_id"]).select("carried.doc_id", "score").collect()}
+    assert got[0] > 0.7 and got[1] < 0.3
