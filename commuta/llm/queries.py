@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import uuid
 from collections.abc import Callable
 
@@ -9,18 +10,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commuta.llm import bpe, chat, decontaminate, exact, fixtures, secrets, sharding, simhash, tokenfiles, toxicity, warc
+from commuta.llm import bpe, chat, decontaminate, exact, fixtures, merkle, minhash, secrets, sharding, simhash, sql, tokenfiles, toxicity, variants, warc
 from commuta.operators.lineage import shared_folder, written_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def registered(sql: str | None = None):
+def registered(text: str | None = None):
     def put(build: Callable[[SparkSession, str], DataFrame]):
         QUERIES[build.__name__] = build
-        if sql is not None:
-            SQL[build.__name__] = sql
+        if text is not None:
+            SQL[build.__name__] = text
         return build
 
     return put
@@ -222,3 +223,21 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.join(differ, ["file", "offset"], "left").join(roots, "file").select(
         "page_id", "file", "offset", "length", "sha256", "file_root", F.coalesce("state", F.lit("intact")).alias("state")
     )
+
+
+@registered(sql.VARIANTS)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@registered(sql.MANIFEST)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    folded = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    return merkle.proofs(merkle.build(table(spark, sf_dir, "documents"), "doc_id", "source", fields, {"text": folded}, tampered))
+
+
+@registered(sql.MINHASH)
+def op13_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -21,8 +21,8 @@ def test_stage_names_and_queries():
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "near dedup", "decontamination", "tokens"]
     names = list(entry_points.queries())
-    assert [n for n in range(1, 11) if sum(q.startswith(f"op{n}_") for q in names) != 1] == [] and "pipeline" in names
-    assert set(SQL) == {"op2_exact_dedup", "op3_decontamination", "op4_chat_formatting", "op8_extendible_sharding", "op10_warc_fixity"} <= set(QUERIES)
+    assert [n for n in range(1, 14) if sum(q.startswith(f"op{n}_") for q in names) != 1] == [] and "pipeline" in names
+    assert set(SQL) == {"op2_exact_dedup", "op3_decontamination", "op4_chat_formatting", "op8_extendible_sharding", "op10_warc_fixity", "op11_spelling_variants", "op12_merkle_manifest", "op13_circulant_minhash"} <= set(QUERIES)
 
 
 def test_library_does_not_need_the_corpus_operators():
