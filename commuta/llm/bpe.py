@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commuta.llm.batches import bodies, carrying
+from commuta.llm.batches import alone, bodies, carrying
 
 #: Fixed value: the pattern that splits texts before byte-level merges.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -198,6 +198,10 @@ def _codec(definition: str) -> BytePairCodec:
     return _CODECS[key]
 
 
+def _forget() -> None:
+    _CODECS.clear()
+
+
 def _parts(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
     begin, reached = 0, 0
     for at, n in enumerate(sizes.tolist()):
@@ -216,6 +220,7 @@ def _mapped(docs: DataFrame, tokenizer: str, source: str, added: dict[str, T.Dat
     names = list(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("bpe", _forget)
         codec = _codec(shipped.value)
         for whole in batches:
             column = bodies(whole, source)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commuta.llm.batches import bodies, carrying
+from commuta.llm.batches import alone, bodies, carrying
 from commuta.operators.lineage import written_table
 
 WINDOW = 13
@@ -192,6 +192,7 @@ def _search_step(docs: DataFrame, shipped, text: str, keep_text: bool) -> DataFr
     arrow = pa.list_(pa.struct([("item_id", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("n_words", pa.int32())]))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("decontaminate")
         items = shipped.value
         for whole in batches:
             texts = bodies(whole, text).to_pylist()

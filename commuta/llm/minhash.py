@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commuta.llm.batches import bodies, carrying
+from commuta.llm.batches import alone, bodies, carrying
 from commuta.llm.bitmaps import bitmap, marked
 from commuta.llm.components import components
 from commuta.operators.lineage import written_table
@@ -111,6 +111,7 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
 def sketches(docs: DataFrame, carry: list[str], text: str, size: int, rows: int, bands: int) -> DataFrame:
     """``carried`` (a struct of ``carry``), ``node`` (hash of the whole set), ``n`` (its size), ``bands`` and ``sketch`` (a byte a coordinate)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("minhash")
         for batch in batches:
             sets = [shingle_set(t, size) for t in bodies(batch, text).to_pylist()]
             sizes = np.array([len(s) for s in sets], np.int64)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commuta.llm.batches import bodies, carrying
+from commuta.llm.batches import alone, bodies, carrying
 from commuta.llm.bitmaps import bitmap, marked, order_key
 from commuta.llm.components import components
 from commuta.operators.lineage import written_table
@@ -66,6 +66,7 @@ def fingerprint(text: str | None, size: int = 3) -> int:
 def fingerprints(docs: DataFrame, carry: list[str], text: str = "text", size: int = 3) -> DataFrame:
     """``carried`` (a struct of ``carry``) and ``fingerprint`` (long, the 64 bits as a signed number) per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("simhash")
         for batch in batches:
             made = np.array([fingerprint(t, size) for t in bodies(batch, text).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_pydict({"carried": batch["carried"], "fingerprint": pa.array(made)})

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commuta.llm.batches import bounded
+from commuta.llm.batches import alone, bounded
 from commuta.operators.lineage import written_table
 
 NULL_ID = -(1 << 63)
@@ -129,6 +129,10 @@ def _encoder(definition: str) -> WordEncoder:
     return _ENCODERS[key]
 
 
+def _forget() -> None:
+    _ENCODERS.clear()
+
+
 def _store(folder: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and path of a folder given as a path or URI."""
     parsed = urlparse(folder)
@@ -166,6 +170,7 @@ def write_token_files(
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("tokenfiles", _forget)
         encoder = _encoder(shipped.value)
         end = b"" if end_id is None else encoder.dtype.type(end_id).tobytes()
         store, root = _store(folder)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commuta.llm.batches import bodies, carrying
+from commuta.llm.batches import alone, bodies, carrying
 
 #: Bounds of the fit: labelled documents read, and distinct words of theirs used (the most frequent).
 SAMPLE_DOCS = 8000
@@ -212,6 +212,12 @@ class _Memory:
 _MEMORY = _Memory()
 
 
+def _forget() -> None:
+    _MEMORY.of("")
+    _folded.cache_clear()
+    _picks.cache_clear()
+
+
 @dataclass
 class Model:
     """``weights`` of the subsequences and ``bias`` of the machine; ``document``, the logistic weights of its features."""
@@ -271,6 +277,7 @@ def _mapped(docs: DataFrame, model: Model, carry: list[str], text: str, of: str)
     kind = T.DoubleType() if of == "scores" else T.ArrayType(T.DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("toxicity", _forget)
         used = getattr(shipped.value, of)
         for batch in batches:
             texts, made, begin, size = bodies(batch, text).to_pylist(), [], 0, 0
@@ -287,6 +294,7 @@ def _mapped(docs: DataFrame, model: Model, carry: list[str], text: str, of: str)
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The label of each document with each of its distinct words, read as scoring reads them: long ones in windows."""
+    alone("toxicity", _forget)
     for batch in batches:
         for label, text in zip(batch["toxic_label"].to_pylist(), batch["body"].to_pylist(), strict=True):
             found = list({s for w in words(text) for s in windows(w)})

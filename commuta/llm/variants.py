@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commuta.llm.batches import bodies, bounded, carrying
+from commuta.llm.batches import alone, bodies, bounded, carrying
 from commuta.llm.numbering import in_order
 from commuta.operators.lineage import written_table
 
@@ -53,6 +53,7 @@ def count_words(docs: DataFrame, id: str = "doc_id", text: str = "text", least_c
         return pa.RecordBatch.from_pydict({"word": pa.array(list(held), pa.string()), "n": pa.array(list(held.values()), pa.int64())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("variants")
         held: dict[str, int] = {}
         chars = 0
         for batch in batches:
