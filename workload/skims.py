@@ -136,12 +136,12 @@ add("k08_transit_skims", lambda T: transit(T).groupBy("timePeriod", "pathType",
 add("k08_transit_skims_cells", lambda T: transit(T, periods=["AM", "PM"], paths=["WLK_LOC_WLK", "WLK_EXP_WLK", "DRV_LOC_WLK"]), f"""
     with {CLEAN}, {GRID}, s as ({TRANSIT_CELLS.format(periods="unnest(['AM', 'PM'])", paths="unnest(['WLK_LOC_WLK', 'WLK_EXP_WLK', 'DRV_LOC_WLK'])")})
     select timePeriod, pathType, origin, destination, {", ".join(f"round({m}, 6) as {m}" for m in TRANSIT_SUMS)} from s""")
-add("k09_matrix_export", lambda T: sk.matrix_export(distance(T)).select(
+add("k09_matrix_export", lambda T: sk.distance_matrices(distance(T)).select(
     "name", "o_idx", F.posexplode("values").alias("pos", "value")).withColumn("pos", F.col("pos") + 1), f"""
     with {CLEAN}, {GRID}, {LAST}, {DISTANCE}
     select name, o.idx as o_idx, cast(t.idx as int) as pos, round(d.DIST, 6) as value
     from dist d join fx_taz o on d.origin = o.zone_id join fx_taz t on d.destination = t.zone_id
-    cross join (select unnest(['DIST']) as name)""")
+    cross join (select unnest(['DIST', 'DISTBIKE', 'DISTWALK']) as name)""")
 add("k09_matrix_export_auto", lambda T: sk.matrix_export(packed_auto(T, periods=["AM"], paths=["SOV", "HOV2"])).select(
     "name", "o_idx", F.posexplode("values").alias("pos", "value")).withColumn("pos", F.col("pos") + 1), f"""{WITH_AUTO},
     m as (select origin, destination, unnest(['TIME', 'DIST', 'BTOLL', 'VTOLL']) as measure, unnest([TIME, DIST, 0, VTOLL]) as v
