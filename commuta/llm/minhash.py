@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,13 @@ ROWS = 6
 MISS = 1e-6
 #: Shingles whose coordinates are worked out at a time.
 BLOCK = 1 << 15
-#: Buckets are compared by blocks of so many sets, and a rest of so many cells a row goes to blocks at once.
-SIDE = 512
+#: Buckets of more sets than LARGE are compared by blocks of full sets: so many sets and shingles in a block, about.
+LARGE = 64
+SIDE = 256
+SIDE_SHINGLES = 1 << 19
+#: Shared shingles that are counted at a time in a pair of blocks.
+COLUMNS = 1 << 12
+#: While buckets hold more than so many pairs of sets of different classes for each set, they meet one of their sets first.
 CELLS_A_ROW = 8
 #: Standard deviations by which the coordinates that agree may fall short of those expected at the threshold.
 SHORT = 5.0
@@ -188,28 +194,21 @@ class _Search:
         met = both.select("a", "b", F.size(F.array_intersect("keys_a", "keys_b")).alias("both"), (F.size("keys_a") + F.size("keys_b")).alias("all"))
         return met.filter(f"100L * both >= {self.least}L * (all - both)").select("a", "b")
 
-    def _in_blocks(self, rows: DataFrame) -> DataFrame:
-        """The pairs of ``rows`` (``key``, ``node``, ``n``, ``root``) of one key but classes apart that are alike, each once.
+    def _in_buckets(self, rows: DataFrame) -> DataFrame:
+        """The pairs of ``rows`` (``key``, ``node``, ``n``, ``root``, ``group``) of one key that are alike, but for those of one class or group.
 
-        A row goes to the pairs of blocks that its own block is in; a pair of blocks is held by a task, at most 2 * SIDE rows.
+        A key has at most LARGE rows, which a task holds at a time.
         """
         asked = written_table(rows.select("node").distinct(), "asked")
-        rows = rows.join(self._of(asked, ["sketch"]), "node")
-        counts = rows.groupBy("key").agg(F.expr(f"cast(ceil(count(1) / {SIDE / 2:.1f}) as int)").alias("blocks"))
-        dealt = rows.join(counts, "key").withColumn("own", F.expr("cast(pmod(xxhash64(node, 11), blocks) as int)"))
-        dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        dealt = dealt.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "root", "sketch")
+        rows = rows.join(self._of(asked, ["sketch"]), "node").select("key", "node", "n", "root", "group", "sketch")
         least, enough, coordinates = self.least, agreement(self.least, self.coordinates), self.coordinates
 
         def pairs_of(held: list[dict]) -> Iterator[pa.RecordBatch]:
-            node, n, root, own = (np.array([h[c] for h in held], np.int64) for c in ("node", "n", "root", "own"))
+            node, n, root, group = (np.array([h[c] for h in held], np.int64) for c in ("node", "n", "root", "group"))
             sketch = np.frombuffer(b"".join(h["sketch"] for h in held), np.uint8).reshape(-1, coordinates)
-            mixed = held[0]["low"] != held[0]["high"]
             for k in range(len(held) - 1):
                 m = n[k + 1 :]
-                near = (100 * np.minimum(m, n[k]) >= least * np.maximum(m, n[k])) & (root[k + 1 :] != root[k])
-                if mixed:
-                    near &= own[k + 1 :] != own[k]
+                near = (100 * np.minimum(m, n[k]) >= least * np.maximum(m, n[k])) & (root[k + 1 :] != root[k]) & (group[k + 1 :] != group[k])
                 at = np.flatnonzero(near) + k + 1
                 at = at[(sketch[at] == sketch[k]).sum(axis=1) >= enough]
                 if len(at):
@@ -219,22 +218,106 @@ class _Search:
             held: list[dict] = []
             for batch in batches:
                 for row in batch.to_pylist():
-                    if held and any(row[c] != held[0][c] for c in ("key", "low", "high")):
+                    if held and row["key"] != held[0]["key"]:
                         yield from pairs_of(held)
                         held = []
                     held.append(row)
             if held:
                 yield from pairs_of(held)
 
-        blocks = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-        return blocks.mapInArrow(run, "a long, b long").distinct()
+        return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+
+    def _in_groups(self, rows: DataFrame) -> DataFrame:
+        """Links between ``rows`` (``node``, ``n``, ``root``, ``group``) of one group but classes apart, by full sets: a forest for each task.
+
+        A row goes to the pairs of blocks that its own block is in, and a task holds one pair of blocks at a time: of about
+        SIDE sets or SIDE_SHINGLES shingles each. However alike the sets of a group are, no pair leaves a task that is no link.
+        """
+        counts = rows.groupBy("group").agg(F.expr(f"cast(ceil(greatest(count(1) / {SIDE}, sum(n) / {SIDE_SHINGLES})) as int)").alias("blocks"))
+        sets = self._sets(written_table(rows.select("node").distinct(), "asked"))
+        dealt = rows.join(counts, "group").withColumn("own", F.expr("cast(pmod(xxhash64(node, 11), blocks) as int)"))
+        dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        dealt = dealt.select("group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root")
+        dealt = dealt.join(sets, "node").repartition("group", "low", "high").sortWithinPartitions("group", "low", "high")
+        least = self.least
+
+        def linked(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            node, root, own = (np.concatenate([h[c].to_numpy() for h in held]) for c in ("node", "root", "own"))
+            sizes = np.concatenate([pc.list_value_length(h["keys"]).to_numpy() for h in held]).astype(np.int64)
+            keys = np.concatenate([h["keys"].flatten().to_numpy() for h in held])
+            # Shared shingles of all pairs: products of the tables of who has which, for those that several sets have.
+            _, column, times = np.unique(keys, return_inverse=True, return_counts=True)
+            owner = np.repeat(np.arange(len(node)), sizes)
+            several = times[column] > 1
+            number = np.cumsum(times > 1) - 1
+            column, owner = number[column[several]], owner[several]
+            order = np.argsort(column, kind="stable")
+            column, owner = column[order], owner[order]
+            shared = np.zeros((len(node), len(node)), np.float32)
+            for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+                lo, hi = np.searchsorted(column, [begin, begin + COLUMNS])
+                table = np.zeros((len(node), COLUMNS), np.float32)
+                table[owner[lo:hi], column[lo:hi] - begin] = 1
+                shared += table @ table.T
+            both = shared.astype(np.int64)
+            wanted = (100 * both >= least * (sizes[:, None] + sizes[None, :] - both)) & (root[:, None] != root[None, :])
+            if held[0]["low"][0].as_py() != held[0]["high"][0].as_py():
+                wanted &= own[:, None] != own[None, :]
+            parent = {r: r for r in root.tolist()}
+            links = []
+            for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(wanted, 1))), strict=True):
+                a, b = int(root[i]), int(root[j])
+                while parent[a] != a:
+                    a = parent[a]
+                while parent[b] != b:
+                    b = parent[b]
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    links.append((int(node[i]), int(node[j])))
+            return pa.RecordBatch.from_pydict({"a": pa.array([min(x) for x in links], pa.int64()), "b": pa.array([max(x) for x in links], pa.int64())})
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []
+            last: tuple | None = None
+            for batch in batches:
+                names = np.stack([batch[c].to_numpy() for c in ("group", "low", "high")]) if batch.num_rows else np.zeros((3, 0), np.int64)
+                cuts = (np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1).tolist()
+                for begin, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                    if begin == end:
+                        continue
+                    if held and tuple(names[:, begin].tolist()) != last:
+                        yield linked(held)
+                        held = []
+                    last = tuple(names[:, begin].tolist())
+                    held.append(batch.slice(begin, end - begin))
+            if held:
+                yield linked(held)
+
+        return dealt.select("group", "low", "high", "own", "node", "root", "keys").mapInArrow(run, "a long, b long")
+
+    def _rest(self, left: DataFrame, sizes: DataFrame) -> DataFrame:
+        """Links between sets of different classes in the open buckets ``left`` (``key``, ``node``, ``n``, ``root``).
+
+        Sets that share a large bucket, or large buckets with others that do, are a group and compared all with all. Pairs of
+        small buckets are proposed by their sketches, unless their group has them already.
+        """
+        large = written_table(sizes.filter(F.col("all") > LARGE).select("key"), "large")
+        crowd = left.join(large, "key", "left_semi")
+        spokes = crowd.join(crowd.groupBy("key").agg(F.min("node").alias("low")), "key").select("node", "low")
+        hubs = components(spokes, "node", "low").select("node", F.col("root").alias("hub"))
+        members = crowd.select("node", "n", "root").distinct().join(hubs, "node", "left")
+        members = written_table(members.select("node", "n", "root", F.coalesce("hub", "node").alias("group")), "groups")
+        found = written_table(self._in_groups(members), "links")
+        few = left.join(large, "key", "left_anti").join(members.select("node", "group"), "node", "left")
+        few = few.select("key", "node", "n", "root", F.coalesce("group", F.col("node")).alias("group"))
+        return found.unionByName(self.verified(written_table(self._in_buckets(few), "pairs")))
 
     def links(self) -> DataFrame:
         """Pairs ``a``, ``b`` of nodes that connect all pairs of the similarity that links and share a bucket.
 
         While that halves what is left, each bucket meets one of its sets, another one each time; sets found alike become one
-        class, and a bucket of one class is done. Where sets of different classes stay together in a bucket they are compared
-        by blocks, all of them.
+        class, and a bucket of one class is done. What stays together in a bucket without being of one class is compared
+        in ``_rest``, all of it.
         """
         rows = self.sketched.filter("n > 0").select("node", "n", F.explode("bands").alias("key"))
         several = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high").select("key")
@@ -254,7 +337,7 @@ class _Search:
                 return found
             left = written_table(left.join(sizes.select("key"), "key"), "open")
             if cells <= CELLS_A_ROW * members or (before is not None and 2 * cells > before):
-                return written_table(found.unionByName(self.verified(written_table(self._in_blocks(left), "pairs"))), "links")
+                return written_table(found.unionByName(self._rest(left, sizes)), "links")
             drawn = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "root")).alias("one")
             met = left.join(left.groupBy("key").agg(drawn), "key").filter("root != one.root")
             met = met.filter(f"100L * least(n, one.n) >= {self.least}L * greatest(n, one.n)")

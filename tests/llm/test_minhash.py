@@ -121,11 +121,25 @@ def test_hot_groups(spark):
     docs += [(2000 + k, " ".join(second_[k // 2 : k // 2 + 40] + [f"u{k}"])) for k in range(60)]
     expected = plain(docs)
     assert run(spark, docs) == expected
-    side, minhash.SIDE = minhash.SIDE, 32
+    kept = {c: getattr(minhash, c) for c in ("SIDE", "LARGE", "COLUMNS")}
+    minhash.SIDE, minhash.LARGE, minhash.COLUMNS = 32, 40, 100
     try:
         assert run(spark, docs) == expected
     finally:
-        minhash.SIDE = side
+        for c, v in kept.items():
+            setattr(minhash, c, v)
+
+
+def test_rows_formed_in_a_family_below_the_threshold(spark):
+    """Hundreds of sets that are alike but not linked: what leaves a task is links, not the pairs that were compared."""
+    rng = random.Random(7)
+    first = [rng.choice(VOCABULARY) for _ in range(100)]
+    docs = spark.createDataFrame([(k, " ".join(changed(first, 0.07, rng))) for k in range(400)], "doc_id long, text string")
+    made = minhash.sketches(docs.selectExpr("doc_id as id", "xxhash64(text) as body_key", "text as body"), ["id", "body_key"], "body", 2, 6, 46)
+    sketched = made.select("carried.id", "carried.body_key", "node", "n", "bands", "sketch").cache()
+    search = minhash._Search(docs, "text", 2, 80, sketched, 276)
+    rows = sketched.selectExpr("node", "n", "node as root", "1L as group")
+    assert search._in_groups(rows).count() < 400
 
 
 def test_awkward_rows(spark):
