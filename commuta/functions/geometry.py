@@ -123,6 +123,56 @@ def contains(ring_edges: Column, x: Column, y: Column) -> Column:
     return F.size(F.filter(ring_edges, crossed)) % 2 == 1
 
 
+def touches(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether an edge meets the box: their extents meet, and the box has corners on both sides of the edge's line, or on it."""
+    a, b = e["a"], e["b"]
+    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+    sides_ = [dx * (y - a["y"]) - dy * (x - a["x"]) for x in (x0, x1) for y in (y0, y1)]
+    return (
+        (F.least(a["x"], b["x"]) <= x1) & (F.greatest(a["x"], b["x"]) >= x0)
+        & (F.least(a["y"], b["y"]) <= y1) & (F.greatest(a["y"], b["y"]) >= y0)
+        & (F.least(*sides_) <= 0) & (F.greatest(*sides_) >= 0)
+    )
+
+
+def crossings(ring_edges: Column, x0: Column, y0: Column, x: Column, y: Column) -> Column:
+    """Edges crossed on the way from (x0, y0) along x and then along y to (x, y)."""
+    def along_x(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        at = F.try_divide((b["x"] - a["x"]) * (y0 - a["y"]), b["y"] - a["y"]) + a["x"]
+        return ((a["y"] > y0) != (b["y"] > y0)) & ((x0 < at) != (x < at))
+
+    def along_y(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        at = F.try_divide((b["y"] - a["y"]) * (x - a["x"]), b["x"] - a["x"]) + a["y"]
+        return ((a["x"] > x) != (b["x"] > x)) & ((y0 < at) != (y < at))
+
+    return F.aggregate(ring_edges, F.lit(0), lambda n, e: n + along_x(e).cast("int") + along_y(e).cast("int"))
+
+
+def edge_distance2(p: Column, q: Column) -> Column:
+    """Squared distance of two edges; 0 where they meet."""
+    def turn(o: Column, a: Column, b: Column) -> Column:
+        return (a["x"] - o["x"]) * (b["y"] - o["y"]) - (a["y"] - o["y"]) * (b["x"] - o["x"])
+
+    def to_edge(c: Column, e: Column) -> Column:
+        dx, dy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
+        wx, wy = c["x"] - e["a"]["x"], c["y"] - e["a"]["y"]
+        along = F.coalesce(F.try_divide(wx * dx + wy * dy, dx * dx + dy * dy), F.lit(0.0))
+        along = F.greatest(F.least(along, F.lit(1.0)), F.lit(0.0))
+        ex, ey = wx - along * dx, wy - along * dy
+        return ex * ex + ey * ey
+
+    def apart(e: Column, a: Column, b: Column) -> Column:
+        """The ends a and b lie on different sides of the line through e."""
+        one, two = turn(e["a"], e["b"], a), turn(e["a"], e["b"], b)
+        return ((one > 0) & (two < 0)) | ((one < 0) & (two > 0))
+
+    crossed = apart(p, q["a"], q["b"]) & apart(q, p["a"], p["b"])
+    ends = F.least(to_edge(p["a"], q), to_edge(p["b"], q), to_edge(q["a"], p), to_edge(q["b"], p))
+    return F.when(crossed, 0.0).otherwise(ends)
+
+
 def bounds(geom: Column) -> dict[str, Column]:
     """Smallest and largest coordinate over all rings."""
     points = F.flatten(F.transform(geom, lambda r: r["points"]))

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from commuta.functions.codes import first_match, household_type, pemploy, pstudent, ptype
 from commuta.functions.columns import SQ_METRES_PER_ACRE, pad_id, safe_div
-from commuta.operators.geo import nearest, points_to_zones
+from commuta.functions.projections import System
+from commuta.operators.geo import nearest, nearest_shapes, points_to_zones
 from commuta.operators.joins import lookup
 
 ZONE = "TAZ"
@@ -65,19 +66,25 @@ def person_table(persons: DataFrame, households: DataFrame, blocks: DataFrame, u
     return out.withColumns({"ptype": ptype(), "pemploy": pemploy(), "pstudent": pstudent()})
 
 
-def relocate_jobs(jobs: DataFrame, blocks: DataFrame, lat0: float | None = None) -> DataFrame:
+def relocate_jobs(
+    jobs: DataFrame, blocks: DataFrame, lat0: float | None = None, shapes: DataFrame | None = None, system: str | System | None = None
+) -> DataFrame:
     """Move jobs out of blocks with no land to the nearest block that has some.
 
-    Blocks carry centroid ``x``, ``y``. Only the distinct no-land blocks that hold jobs
-    are searched for; a job's zone, if already assigned, stays.
+    With ``shapes`` (``block_id``, ``geometry``) the distance is that between the blocks themselves, else that between
+    the centroids ``x``, ``y`` of ``blocks``; in metres of ``system``, or on a plane (see ``geo.nearest``). Only the distinct
+    no-land blocks that hold jobs are searched for; a job's zone, if already assigned, stays. A no-land block without a
+    shape keeps its jobs.
     """
+    places = blocks.select("block_id", "square_meters_land", "x", "y") if shapes is None else blocks.join(shapes, "block_id")
+    kept = ["x", "y"] if shapes is None else ["geometry"]
     no_land = (
-        jobs.select("block_id").distinct()
-        .join(blocks.filter(F.col("square_meters_land") == 0), "block_id")
-        .select(F.col("block_id").alias("id"), "x", "y")
+        jobs.select("block_id").distinct().join(places.filter(F.col("square_meters_land") == 0), "block_id")
+        .select(F.col("block_id").alias("id"), *kept)
     )
-    with_land = blocks.filter(F.col("square_meters_land") > 0).select(F.col("block_id").alias("id"), "x", "y")
-    moves = nearest(no_land, with_land, lat0).select(
+    with_land = places.filter(F.col("square_meters_land") > 0).select(F.col("block_id").alias("id"), *kept)
+    search = nearest if shapes is None else nearest_shapes
+    moves = search(no_land, with_land, lat0, system=system).select(
         F.col("id").alias("block_id"), F.col("nearest_id").alias("_to")
     )
     moved = lookup(jobs, moves, ["block_id"])
@@ -198,18 +205,20 @@ def area_type(zones: DataFrame) -> DataFrame:
     })
 
 
-def enrollment_schools(rows: DataFrame, zones: DataFrame, counties: list[str], cell: float = 0.05) -> DataFrame:
+def enrollment_schools(
+    rows: DataFrame, zones: DataFrame, counties: list[str], cell: float = 0.05, system: str | System | None = None
+) -> DataFrame:
     """Schools of the listed counties with known enrollment (at least 0) and a zone."""
     kept = rows.filter(F.col("enrollment").isNotNull()).select(
         "ncessch", F.substring("county_code", -3, 3).alias("county_code"),
         F.col("longitude").alias("x"), F.col("latitude").alias("y"),
         F.greatest(F.col("enrollment"), F.lit(0.0)).alias("enrollment"),
     ).filter(F.col("county_code").isin(counties))
-    return _zoned(kept, "ncessch", zones, cell)
+    return _zoned(kept, "ncessch", zones, cell, system)
 
 
-def _zoned(rows: DataFrame, key: str, zones: DataFrame, cell: float) -> DataFrame:
-    found = points_to_zones(rows.select(F.col(key).alias("id"), "x", "y"), zones, cell)
+def _zoned(rows: DataFrame, key: str, zones: DataFrame, cell: float, system: str | System | None) -> DataFrame:
+    found = points_to_zones(rows.select(F.col(key).alias("id"), "x", "y"), zones, cell, system)
     zone = found.filter(F.col("zone_id").isNotNull()).select(F.col("id").alias(key), F.col("zone_id").alias(ZONE))
     return rows.join(zone, key)
 
@@ -222,12 +231,13 @@ def _enrollment_sum(levels: list[DataFrame], name: str) -> DataFrame:
 
 
 def enrollment_colleges(
-    directory: DataFrame, full_time: list[DataFrame], part_time: list[DataFrame], zones: DataFrame, cell: float = 0.05
+    directory: DataFrame, full_time: list[DataFrame], part_time: list[DataFrame], zones: DataFrame, cell: float = 0.05,
+    system: str | System | None = None,
 ) -> DataFrame:
     """Colleges with a zone and their full- and part-time enrollment."""
     places = directory.select("unitid", "inst_name", F.col("longitude").alias("x"), F.col("latitude").alias("y"))
     return (
-        _zoned(places, "unitid", zones, cell)
+        _zoned(places, "unitid", zones, cell, system)
         .join(_enrollment_sum(full_time, "full_time_enrollment"), "unitid", "left")
         .join(_enrollment_sum(part_time, "part_time_enrollment"), "unitid", "left")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from commuta.functions.columns import pad_id
 from commuta.functions.geometry import METRES_PER_DEGREE, rings_from_wkt
+from commuta.functions.projections import SYSTEMS, project
 from commuta.operators import geo, landuse as lu
 from workload.registry import add
 
@@ -283,6 +284,115 @@ add("g04_nearest", lambda T: geo.nearest(
         from fx_block b, fx_taz t) where rn = 1""")
 
 
+def conic_sql(code, lon, lat):
+    """Metres east and north in a conic system, as SQL."""
+    system = SYSTEMS[code]
+    n, scale, radius0 = system._cone()
+    e = system.ellipsoid.e
+    t = f"(tan(pi() / 4 - radians({lat}) / 2) / power((1 - {e!r} * sin(radians({lat}))) / (1 + {e!r} * sin(radians({lat}))), {e / 2!r}))"
+    radius, theta = f"({scale!r} * power({t}, {n!r}))", f"({n!r} * radians({lon} - ({system.lon0!r})))"
+    return f"({system.east0!r} + {radius} * sin({theta}))", f"({system.north0 + radius0!r} - {radius} * cos({theta}))"
+
+
+def cylinder_sql(code, lon, lat):
+    """Metres east and north in a transverse cylinder's system, as SQL."""
+    system = SYSTEMS[code]
+    radius, onto, _ = system._series()
+    e = system.ellipsoid.e
+    t = f"sinh(atanh(sin(radians({lat}))) - {e!r} * atanh({e!r} * sin(radians({lat}))))"
+    away = f"radians({lon} - ({system.lon0!r}))"
+    xi, eta = f"atan2({t}, cos({away}))", f"atanh(sin({away}) / sqrt(1 + power({t}, 2)))"
+    x = " + ".join([eta, *[f"({a!r}) * cos({2 * k} * {xi}) * sinh({2 * k} * {eta})" for k, a in enumerate(onto, 1)]])
+    y = " + ".join([xi, *[f"({a!r}) * sin({2 * k} * {xi}) * cosh({2 * k} * {eta})" for k, a in enumerate(onto, 1)]])
+    return f"({system.east0!r} + {radius!r} * ({x}))", f"({system.north0 - system._origin()!r} + {radius!r} * ({y}))"
+
+
+def projected(T):
+    """Blocks in the systems of both regions, to the centimetre; for the second one they are moved there."""
+    east = [project(F.col("x"), F.col("y"), "EPSG:32140"), project(F.col("x") - 24.4, F.col("y") + 7.6, "EPSG:7131")]
+    names = [("east", "north"), ("bay_east", "bay_north")]
+    return T.block.select("block_id", *[F.round(c, 2).alias(n) for pair, two in zip(east, names, strict=True) for c, n in zip(pair, two, strict=True)])
+
+
+TEXAS, BAY = conic_sql("EPSG:32140", "x", "y"), cylinder_sql("EPSG:7131", "(x - 24.4)", "(y + 7.6)")
+add("g07_project", projected, f"""
+    select block_id, round({TEXAS[0]}, 2) as east, round({TEXAS[1]}, 2) as north,
+        round({BAY[0]}, 2) as bay_east, round({BAY[1]}, 2) as bay_north from fx_block""")
+
+
+def quad_sql(alias):
+    """Whether (px, py) lies in the projected corners of a rectangle, which are convex."""
+    corners = [("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1")]
+    return " and ".join(
+        f"({alias}.{d[0]}{d[1]}_x - {alias}.{c[0]}{c[1]}_x) * (py - {alias}.{c[0]}{c[1]}_y) >= ({alias}.{d[0]}{d[1]}_y - {alias}.{c[0]}{c[1]}_y) * (px - {alias}.{c[0]}{c[1]}_x)"
+        for c, d in zip(corners, corners[1:] + corners[:1], strict=True)
+    )
+
+
+QUADS = "select zone_id, " + ", ".join(
+    f"{conic_sql('EPSG:32140', x, y)[k]} as {x}{y}_{'xy'[k]}" for x in ("x0", "x1") for y in ("y0", "y1") for k in (0, 1)
+) + " from fx_taz"
+PLACED = conic_sql("EPSG:32140", "longitude", "latitude")
+#: Schools lie on round coordinates, as zone borders do, which a projection bends by rounding: they are moved off them.
+MOVED = "(select * replace (longitude + 0.0003 as longitude, latitude + 0.0007 as latitude) from fx_school)"
+
+
+def moved_schools(T):
+    return T.school.withColumns({"longitude": F.col("longitude") + 0.0003, "latitude": F.col("latitude") + 0.0007})
+
+
+add("g02_points_to_zones_local", lambda T: geo.points_to_zones(
+    moved_schools(T).select(F.col("ncessch").alias("id"), F.col("longitude").alias("x"), F.col("latitude").alias("y")), zones(T),
+    system="EPSG:32140"), f"""
+    select ncessch as id, round(longitude, 6) as x, round(latitude, 6) as y, min(q.zone_id) as zone_id
+    from (select *, {PLACED[0]} as px, {PLACED[1]} as py from {MOVED}) s left join ({QUADS}) q on {quad_sql("q")}
+    group by all""")
+add("l13_enrollment_schools_local", lambda T: lu.enrollment_schools(moved_schools(T), zones(T), COUNTIES, system="EPSG:32140"), f"""
+    select s.ncessch, right(s.county_code, 3) as county_code, round(longitude, 6) as x, round(latitude, 6) as y,
+        greatest(enrollment, 0)::double as enrollment, min(q.zone_id) as TAZ
+    from (select *, {PLACED[0]} as px, {PLACED[1]} as py from {MOVED}) s join ({QUADS}) q on {quad_sql("q")}
+    where enrollment is not null and right(county_code, 3) in ({", ".join(f"'{c}'" for c in COUNTIES)}) group by all""")
+CENTRES = conic_sql("EPSG:32140", "cx", "cy")
+add("g04_nearest_local", lambda T: geo.nearest(
+    T.block.select(F.col("block_id").alias("id"), "x", "y"),
+    T.taz.select(F.col("zone_id").alias("id"), F.col("cx").alias("x"), F.col("cy").alias("y")), system="EPSG:32140").withColumn(
+        "distance_m", F.round("distance_m", 2)), f"""
+    select id, nearest_id, round(sqrt(d), 2) as distance_m from (
+        select b.block_id as id, t.zone_id as nearest_id, power(bx - tx, 2) + power(by_ - ty, 2) as d,
+            row_number() over (partition by b.block_id order by power(bx - tx, 2) + power(by_ - ty, 2), t.zone_id) as rn
+        from (select block_id, {TEXAS[0]} as bx, {TEXAS[1]} as by_ from fx_block) b,
+             (select zone_id, {CENTRES[0]} as tx, {CENTRES[1]} as ty from fx_taz) t) where rn = 1""")
+
+
+def boxes(T, key="id"):
+    return box(T.block_box, F.col("block_id").alias(key))
+
+
+#: Squared metres between two rectangles of the plane that is true at LAT0, to the micrometre squared, so that touching ones tie.
+BOX_GAP = f"""round(power(greatest(greatest(a.x0 - b.x1, b.x0 - a.x1), 0) * {METRES_PER_DEGREE!r} * {COS0!r}, 2)
+    + power(greatest(greatest(a.y0 - b.y1, b.y0 - a.y1), 0) * {METRES_PER_DEGREE!r}, 2), 6)"""
+
+
+def apart_shapes(T):
+    """The nearest block with land of each block without, from shape to shape."""
+    land = T.block.select(F.col("block_id").alias("id"), "square_meters_land")
+    shapes = boxes(T).join(land, "id")
+    return geo.nearest_shapes(shapes.filter("square_meters_land = 0"), shapes.filter("square_meters_land > 0"), LAT0)
+
+
+NEAREST_BOX = f"""
+    select a.block_id as id, min(struct_pack(d := {BOX_GAP}, to_id := b.block_id)) as best
+    from fx_block_box a join fx_block m on m.block_id = a.block_id and m.square_meters_land = 0,
+         fx_block_box b join fx_block n on n.block_id = b.block_id and n.square_meters_land > 0
+    group by a.block_id"""
+add("g08_nearest_shapes", apart_shapes, f"""
+    select id, best.to_id as nearest_id, round(sqrt(best.d), 6) as distance_m from ({NEAREST_BOX})""")
+add("l07_relocate_jobs_shapes", lambda T: lu.relocate_jobs(
+    T.job.select("block_id", "sector_id"), T.block, LAT0, boxes(T, "block_id")), f"""
+    select coalesce(best.to_id, j.block_id) as block_id, j.sector_id
+    from fx_job j left join ({NEAREST_BOX}) r on j.block_id = r.id""")
+
+
 def feature_pages(T):
     """Landed feature pages: one page per block group."""
     ring = F.array(*[F.array(F.col(x), F.col(y)) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0"))])
