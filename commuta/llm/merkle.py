@@ -125,12 +125,16 @@ def _builder(first: int):
     return run
 
 
-def _built(nodes: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
-    """The log of the trees over ``nodes`` (``tree``, ``index``, ``pos``, ``hash``); ``sizes`` has ``tree`` and ``n``, at most ``most``."""
+def _built(nodes: DataFrame, sizes: DataFrame | None, most: int) -> DataFrame:
+    """The log of the trees over ``nodes`` (``tree``, ``index``, ``pos``, ``hash``); ``sizes`` has ``tree`` and ``n``, at most ``most``.
+
+    Without ``sizes`` there is one tree of ``most`` leaves.
+    """
     log, first = None, 0
     while True:
         stretch = F.shiftright("index", BITS * STEP)
-        dealt = nodes.join(sizes.select("tree", "n"), "tree").withColumn("stretch", stretch)
+        sized = nodes.withColumn("n", F.lit(most).cast("long")) if sizes is None else nodes.join(sizes.select("tree", "n"), "tree")
+        dealt = sized.withColumn("stretch", stretch)
         dealt = dealt.repartition("tree", "stretch").sortWithinPartitions("tree", "index").select("tree", "index", "pos", "n", "hash")
         made = written_table(dealt.mapInArrow(_builder(first), _NODE), "nodes")
         log = made if log is None else log.unionByName(made)
@@ -170,8 +174,7 @@ def build(docs: DataFrame, id: str, source: str, fields: list[str], altered: dic
     ends = trees.withColumn("pos", F.col("base") + F.col("size") - 1)
     subroots = ends.join(log.select("pos", "hash"), "pos")
     tops = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("index"), "pos", "hash")
-    sizes = docs.sparkSession.createDataFrame([(TOP, n_trees)], "tree long, n long")
-    above = written_table(_built(tops, sizes, n_trees).filter(F.col("level") > 0), "nodes")
+    above = written_table(_built(tops, None, n_trees).filter(F.col("level") > 0), "nodes")
     whole = log.unionByName(above)
     root = whole.select(F.max(F.struct("pos", "hash")).alias("last")).select(F.lower(F.hex("last.hash"))).first()[0]
     return Manifest(leaves, trees, whole, n_trees, root)
