@@ -1,17 +1,17 @@
 """Origin-destination travel-cost tables ("skims").
 
 Long form: one row per slice (time period, path type) and origin-destination pair, one
-column per measure. Packed form: one row per slice and origin with an array of its cells;
-completion, distances and export work on it, and pairs are unpacked last.
+column per measure. Packed form: one row per slice and origin with one array a measure, by the
+destination's position; completion, distances and export work on it, and pairs are unpacked last.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from commuta.functions.columns import MILES_PER_KM, finite, hash_uniform, safe_div
 from commuta.functions.geometry import mercator_x, mercator_y, planar_miles
@@ -122,21 +122,17 @@ def _zone_list(zones: DataFrame) -> Column:
     return zones.agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), "zone_id")))).scalar()
 
 
-def pack_od(
-    df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[str], measures: list[str],
-    read_as: dict[str, tuple[str, dict[str, list]]] | None = None,
-) -> DataFrame:
-    """All origins of every slice, one row each: slice columns, ``origin``, ``o_idx`` and ``cells``.
+def _zone_ids(zones: DataFrame) -> Column:
+    """Zone ids by position, as one array value."""
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), "zone_id")))
+    return zones.agg(F.transform(ordered, lambda z: z["zone_id"])).scalar()
+
 
-    ``cells`` has one entry (d, measures) for every zone, in no order; d is the destination's
-    position, and a pair that is not given has NULL measures. ``zones`` carries positions
-    ``idx`` 1..N. ``slices`` maps slice columns to their values, or names columns whose
-    values are those of the rows. ``read_as`` renames slices on the way out: column ->
-    (output column, {value read: [values published]}). A pair given twice or naming an
-    unknown zone is an error.
+def _given_od(df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[str], measures: dict[str, Column]) -> DataFrame:
+    """All origins of every slice: slice columns, ``origin``, ``o_idx``, ``_given`` and ``_zones`` (their number).
 
-    Zones are numbered by joins with the zone list. Only the given cells are shuffled and
-    packed, at most one per zone; absent ones are added where the array lies.
+    ``_given`` has the cells that ``df`` has, by destination: structs of the position ``d`` and the measures, which are worked
+    out on the rows of ``df``. It is NULL where there are none. See ``pack_od`` for the rest.
     """
     names = list(slices)
     keys = [*names, "o_idx"]
@@ -145,14 +141,14 @@ def pack_od(
     rows = df
     if isinstance(slices, dict):
         rows = df.filter(reduce(lambda a, b: a & b, [F.col(c).isin(v) for c, v in slices.items()], F.lit(True)))
-    rows = rows.select(*names, *OD, *[F.col(m).cast("double").alias(m) for m in measures])
+    rows = rows.select(*names, *OD, *[v.cast("double").alias(m) for m, v in measures.items()])
     for end, position in (("origin", "_o"), ("destination", "_d")):
         rows = rows.join(zones.select(F.col("zone_id").alias(end), F.col("idx").cast("int").alias(position)), end, "left")
     numbered = rows.select(*names, F.coalesce("_o", unknown).alias("o_idx"), F.coalesce("_d", unknown).alias("d"), *measures)
     given = (
         numbered.groupBy(*keys, "d").agg(F.count("*").alias("_rows"), *[F.max(m).alias(m) for m in measures])
         .filter(F.when(F.col("_rows") > 1, double).otherwise(True))
-        .groupBy(*keys).agg(F.collect_list(F.struct("d", *measures)).alias("_given"))
+        .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("d", *measures))).alias("_given"))
     )
     if isinstance(slices, dict):
         frame = zones.select(F.col("zone_id").alias("origin"), F.col("idx").cast("int").alias("o_idx"))
@@ -161,40 +157,66 @@ def pack_od(
     else:
         frame = df.select(*names).distinct().withColumn("_zone", F.explode(_zone_list(zones)))
         frame = frame.select(*names, F.col("_zone.zone_id").alias("origin"), F.col("_zone.idx").alias("o_idx"))
-    absent = F.transform(
-        F.array_except(F.sequence(F.lit(1), F.col("_zones").cast("int")), F.coalesce("_given.d", F.array().cast("array<int>"))),
-        lambda d: F.struct(d.alias("d"), *[F.lit(None).cast("double").alias(m) for m in measures]),
-    )
-    packed = _dealt(frame, keys).join(given, keys, "left").withColumn("_zones", zones.agg(F.count("*")).scalar())
-    full = F.when(F.col("_given").isNull(), absent).otherwise(F.concat("_given", absent))
-    packed = packed.select(*names, "origin", "o_idx", full.alias("cells"))
-    for column, (published, values) in (read_as or {}).items():
-        name_map = F.create_map(*[c for k, v in values.items() for c in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
-        packed = packed.withColumn(published, F.explode(name_map[F.col(column)])).drop(column)
-    return packed
+    packed = _dealt(frame, keys).join(given, keys, "left")
+    return packed.withColumn("_zones", zones.agg(F.count("*").cast("int")).scalar())
+
+
+def _dense(measure: str, default: Column | float | None) -> Column:
+    """A measure of all destinations: ``default`` (a number, or an array by position) wherever ``_given`` has no value.
+
+    Given values are set between whole stretches of the default, so the work follows the cells that are given.
+    """
+    by_place = isinstance(default, Column)
+    given, n = F.col("_given"), F.col("_zones")
+    plain = F.lit(default).cast("double")
+
+    def stretch(first: Column, last: Column) -> Column:
+        many = last - first + 1
+        return F.slice(default, first, many) if by_place else F.array_repeat(plain, many)
 
+    def value(c: Column) -> Column:
+        return F.coalesce(c[measure], F.get(default, c["d"] - 1) if by_place else plain)
+
+    def then_rest(c: Column, i: Column) -> Column:
+        return F.concat(F.array(value(c)), stretch(c["d"] + 1, F.coalesce(F.get(given, i + 1)["d"], n + 1) - 1))
+
+    whole = default if by_place else F.array_repeat(plain, n)
+    spread = F.flatten(F.concat(F.array(stretch(F.lit(1), F.get(given, 0)["d"] - 1)), F.transform(given, then_rest)))
+    return F.when(given.isNull(), whole).when(F.size(given) == n, F.transform(given, value)).otherwise(spread)
+
+
+def pack_od(df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[str], measures: list[str], fill: float | None = None) -> DataFrame:
+    """All origins of every slice, one row each: slice columns, ``origin``, ``o_idx`` and an array for each measure.
+
+    Entry i of an array belongs to the zone of position i + 1; a pair that is not given, or given as NULL, has ``fill``.
+    ``zones`` carries positions ``idx`` 1..N. ``slices`` maps slice columns to their values, or names columns
+    whose values are those of the rows. A pair given twice or naming an unknown zone is an error.
+
+    Zones are numbered by joins with the zone list. Only the given cells are shuffled, at most one per zone; they are
+    spread over the array where it lies.
+    """
+    given = _given_od(df, zones, slices, {m: F.col(m) for m in measures})
+    return given.select(*slices, "origin", "o_idx", *[_dense(m, fill).alias(m) for m in measures])
 
-def _with_cells(packed: DataFrame, measures: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """Replace the measures of every cell; each is a function of the cell."""
-    return packed.withColumn("cells", F.transform("cells", lambda c: F.struct(c["d"].alias("d"), *[m(c).alias(n) for n, m in measures.items()])))
+
+def _array_columns(packed: DataFrame) -> list[str]:
+    return [f.name for f in packed.schema if isinstance(f.dataType, T.ArrayType)]
 
 
 def unpack_od(packed: DataFrame, zones: DataFrame) -> DataFrame:
     """One row per cell of packed rows, in ``SKIM_KEYS`` order. Nothing is shuffled after the cells are unpacked."""
-    keys = [c for c in packed.columns if c not in ("origin", "o_idx", "cells")]
-    measures = [f.name for f in packed.schema["cells"].dataType.elementType.fields if f.name != "d"]
-    destination = F.element_at(_zone_list(zones), F.col("d"))["zone_id"].alias("destination")
-    return packed.select(*keys, "origin", F.inline("cells")).select(*keys, "origin", destination, *measures)
+    measures = _array_columns(packed)
+    keys = [c for c in packed.columns if c not in ("origin", "o_idx", *measures)]
+    places = F.explode(F.sequence(F.lit(0), F.size(measures[0]) - 1)).alias("_d")
+    cells = packed.filter(F.size(measures[0]) > 0).select(*keys, "origin", *measures, places)
+    return cells.select(*keys, "origin", F.get(_zone_ids(zones), F.col("_d")).alias("destination"), *[F.get(m, "_d").alias(m) for m in measures])
 
 
 def od_complete(
     df: DataFrame, zones: DataFrame, slices: dict[str, list], measures: list[str], fill: float | None = 0.0,
 ) -> DataFrame:
     """Full N x N rows per slice, missing cells filled; see ``pack_od``."""
-    packed = pack_od(df, zones, slices, measures)
-    if fill is not None:
-        packed = _with_cells(packed, {m: (lambda c, m=m: F.coalesce(c[m], F.lit(float(fill)))) for m in measures})
-    return unpack_od(packed, zones)
+    return unpack_od(pack_od(df, zones, slices, measures, fill), zones)
 
 
 def pack_distance(highway: DataFrame, zones: DataFrame) -> DataFrame:
@@ -205,14 +227,20 @@ def pack_distance(highway: DataFrame, zones: DataFrame) -> DataFrame:
     """
     last = highway.groupBy(*OD).agg(F.max_by("DIST_miles", "ordinal").alias("_miles"))
     centre = F.struct(F.col("idx").cast("int").alias("idx"), mercator_x(F.col("cx")).alias("x"), mercator_y(F.col("cy")).alias("y"))
-    packed = pack_od(last, zones, {}, ["_miles"]).withColumn("_centres", zones.agg(F.array_sort(F.collect_list(centre))).scalar())
-    own = F.element_at("_centres", F.col("o_idx"))
+    centres = F.array_sort(F.collect_list(centre))
+    packed = pack_od(last, zones, {}, ["_miles"]).withColumns(
+        {f"_{c}": zones.agg(_part(centres, c)).scalar() for c in ("x", "y")}
+    )
+    x, y = (F.get(c, F.col("o_idx") - 1) for c in ("_x", "_y"))
+
+    def miles(given: Column, i: Column) -> Column:
+        return F.coalesce(given, planar_miles(x, y, F.get("_x", i), F.get("_y", i), at_least_m=100.0))
+
+    return packed.select("origin", "o_idx", F.transform("_miles", miles).alias("DIST"))
 
-    def miles(c: Column) -> Column:
-        there = F.element_at(F.col("_centres"), c["d"])
-        return F.coalesce(c["_miles"], planar_miles(own["x"], own["y"], there["x"], there["y"], at_least_m=100.0))
 
-    return _with_cells(packed, {"DIST": miles}).drop("_centres")
+def _part(structs: Column, field: str) -> Column:
+    return F.transform(structs, lambda z: z[field])
 
 
 def distance_skim(highway: DataFrame, zones: DataFrame) -> DataFrame:
@@ -232,20 +260,18 @@ def pack_auto(
     """
     sources = sorted({s for s in measure_map.values() if s})
     slices = {"timePeriod": periods} | ({"pathType": paths} if by_path else {})
-    miles = distance.select("o_idx", F.transform(F.array_sort("cells"), lambda c: c["DIST"]).alias("_miles"))
-    packed = pack_od(highway, zones, slices, sources).join(miles, "o_idx")
-
-    def measure(name: str, source: str | None):
-        def of(c: Column) -> Column:
-            far = F.element_at(F.col("_miles"), c["d"])
-            default = {"DIST": far, "TIME": far * (60 / DEFAULT_MPH)}.get(name, F.lit(0.0))
-            return F.coalesce(c[source], default) if source else F.lit(0.0)
-        return of
-
-    packed = _with_cells(packed, {n: measure(n, s) for n, s in measure_map.items()}).drop("_miles")
+    minutes = F.transform("DIST", lambda far: far * (60 / DEFAULT_MPH))
+    far = distance.select("o_idx", F.col("DIST").alias("_miles"), minutes.alias("_minutes"))
+    packed = _given_od(highway, zones, slices, {m: F.col(m) for m in sources}).join(far, "o_idx")
+    defaults = {"DIST": F.col("_miles"), "TIME": F.col("_minutes")}
+    measures = [
+        (_dense(source, defaults.get(name, 0.0)) if source else F.array_repeat(F.lit(0.0), F.col("_zones"))).alias(name)
+        for name, source in measure_map.items()
+    ]
+    packed = packed.select(*slices, "origin", "o_idx", *measures)
     if not by_path:
         packed = packed.withColumn("pathType", F.explode(F.array(*[F.lit(p) for p in paths])))
-    return packed.select("timePeriod", "pathType", "origin", "o_idx", "cells")
+    return packed.select("timePeriod", "pathType", "origin", "o_idx", *measure_map)
 
 
 def auto_skims(highway: DataFrame, distance: DataFrame, zones: DataFrame, *args, **kw) -> DataFrame:
@@ -259,24 +285,21 @@ def pack_transit(
 ) -> DataFrame:
     """Packed transit skims (period, path); express and any-transit paths read the local path's rows.
 
-    Mapped measures are scaled by 100 except fares and boardings; missing is 0.
+    Mapped measures are scaled by 100, on the given rows, except fares and boardings; missing is 0.
     """
     local: dict[str, list[str]] = {}
     for path in paths:
         local.setdefault(path.replace("EXP", "LOC").replace("TRN", "LOC"), []).append(path)
-    sources = sorted({s for s in measure_map.values() if s})
-    packed = pack_od(
-        transit.withColumnRenamed("pathType", "_read"), zones, {"timePeriod": periods, "_read": list(local)}, sources,
-        read_as={"_read": ("pathType", local)},
-    )
-
-    def measure(name: str, source: str | None):
-        def of(c: Column) -> Column:
-            value = F.lit(0.0) if source is None else F.coalesce(c[source], F.lit(0.0))
-            return value if name in UNSCALED or source is None else value * TRANSIT_SCALE
-        return of
-
-    return _with_cells(packed, {n: measure(n, s) for n, s in measure_map.items()}).select("timePeriod", "pathType", "origin", "o_idx", "cells")
+    sources = {n: f"{s}*1" if n in UNSCALED else f"{s}*{TRANSIT_SCALE}" for n, s in measure_map.items() if s}
+    scaled = {sources[n]: F.col(s) if n in UNSCALED else F.col(s) * TRANSIT_SCALE for n, s in measure_map.items() if s}
+    given = _given_od(transit.withColumnRenamed("pathType", "_read"), zones, {"timePeriod": periods, "_read": list(local)}, scaled)
+    dense = given.select("timePeriod", "_read", "origin", "o_idx", "_zones", *[_dense(s, 0.0).alias(s) for s in scaled])
+    name_map = F.create_map(*[c for k, v in local.items() for c in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
+    named = dense.withColumn("pathType", F.explode(name_map[F.col("_read")]))
+    none = F.array_repeat(F.lit(0.0), F.col("_zones"))
+    return named.select("timePeriod", "pathType", "origin", "o_idx", *[
+        (F.col(f"`{sources[n]}`") if s else none).alias(n) for n, s in measure_map.items()
+    ])
 
 
 def transit_skims(transit: DataFrame, zones: DataFrame, *args, **kw) -> DataFrame:
@@ -294,17 +317,12 @@ def matrix_export(packed: DataFrame, name: Column | None = None) -> DataFrame:
     """One row per matrix and origin of packed skims: (name, o_idx, values).
 
     Value i of an array belongs to zone position i; a pair without a value is NULL in its
-    place. Names are path_measure__period unless ``name`` gives the prefix. The cells of a
-    row are sorted where they lie, nothing is shuffled.
+    place. Names are path_measure__period unless ``name`` gives the prefix. Nothing is shuffled.
     """
-    slices = [c for c in packed.columns if c not in ("origin", "o_idx", "cells")]
-    measures = [f.name for f in packed.schema["cells"].dataType.elementType.fields if f.name != "d"]
-
-    def values_of(m: str) -> Column:
-        return F.struct(F.lit(m).alias("measure"), F.transform("cells", lambda cell: cell[m]).alias("values"))
-
-    ordered = packed.withColumn("cells", F.array_sort("cells"))
-    exported = ordered.select(*slices, "o_idx", F.explode(F.array(*[values_of(m) for m in measures])).alias("_m"))
+    measures = _array_columns(packed)
+    slices = [c for c in packed.columns if c not in ("origin", "o_idx", *measures)]
+    named = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("values")) for m in measures])
+    exported = packed.select(*slices, "o_idx", F.explode(named).alias("_m"))
     if name is None:
         name = F.concat("pathType", F.lit("_"), "_m.measure", F.lit("__"), "timePeriod") if slices else F.col("_m.measure")
     return exported.select(name.alias("name"), "o_idx", "_m.values")

@@ -6,13 +6,16 @@ differ by run and region, so the header names them and all are read as text.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, LongType, StringType, StructField, StructType
 
 from commuta.functions.columns import finite
 from commuta.operators.landuse import padded_ids
-from commuta.sources import schemas
+from commuta.sources import schemas, store
 
 
 def _file_order() -> Column:
@@ -42,14 +45,23 @@ def read_store_table(
 ) -> DataFrame:
     """A population table: the input stage in the base year or for a warm start, else that year's output.
 
-    Tables lie under root/table, partitioned by stage and year; the filter prunes folders.
+    Tables lie under root/table, partitioned by stage and year; the filter prunes folders. A stage and year that has been
+    replaced is read from its current version alone.
     """
-    rows = spark.read.parquet(f"{root}/{table}")
-    if warm_start or year is None or year == base_year:
-        kept = rows.filter(F.col("stage") == "input")
-    else:
-        kept = rows.filter((F.col("stage") == "output") & (F.col("year") == year))
-    return kept.drop("stage", "year")
+    base = warm_start or year is None or year == base_year
+    asked = (F.col("stage") == "input") if base else (F.col("stage") == "output") & (F.col("year") == year)
+    newer = {k: v for k, v in store.replaced(spark, root, table).items() if k[0] == ("input" if base else "output") and (base or k[1] == year)}
+    versions = [spark.read.parquet(folder) for folder in newer.values()]
+    if newer and not base:
+        return versions[0]
+    for stage, y in newer:
+        asked &= ~((F.col("stage") == stage) & (F.col("year") == y))
+    try:
+        versions.insert(0, spark.read.parquet(f"{root}/{table}").filter(asked).drop("stage", "year"))
+    except AnalysisException:  # no plain folders: all that there is has been written as versions
+        if not versions:
+            raise
+    return reduce(DataFrame.unionByName, versions)
 
 
 def read_model_outputs(
@@ -112,7 +124,9 @@ def read_feature_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_result_pages(spark: SparkSession, path: str, row_schema: str) -> DataFrame:
     """Rows of landed result pages ``{count, next, results: [...]}``; fewer or more rows than announced are an error."""
     pages = _result_pages(spark, path, row_schema)
-    announced, landed = (result_page_check(spark, path, row_schema).select(c).scalar() for c in ("announced", "landed"))
+    seen = result_page_check(spark, path, row_schema).select(F.struct("announced", "landed")).scalar()
+    pages = pages.select("results", seen.alias("_seen"))  # one value for all pages
+    announced, landed = F.col("_seen.announced"), F.col("_seen.landed")
     short = F.raise_error(F.concat_ws(" ", F.lit("result pages announce"), announced.cast("string"), F.lit("rows, landed are"), landed.cast("string")))
     return pages.filter(F.when(announced == landed, True).otherwise(short)).select(F.explode("results").alias("r")).select("r.*")
 
@@ -160,12 +174,23 @@ def newest_run(df: DataFrame, run: str = "run", modified: str = "modified", iter
     return latest_iteration(df.filter(F.col(run) == last), iteration)
 
 
+def newest_iteration(spark: SparkSession, root: str, pattern: str = "*.csv*") -> str | None:
+    """The folder RUN/ITERS/it.N of the newest run's highest iteration; None without one.
+
+    Only file metadata is read: the listing as a table of paths and times, without the files' contents. One folder name comes to
+    the driver.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(f"{root}/*/ITERS/it.*")
+    parts = {c: F.regexp_extract("path", r"^(.*/([^/]+)/ITERS/it[.](\d+))/[^/]+$", k) for k, c in ((1, "folder"), (2, "run"), (3, "iteration"))}
+    listed = files.select(F.col("modificationTime").alias("modified"), *[v.alias(c) for c, v in parts.items()]).filter("folder != ''")
+    folders = listed.groupBy("run", "folder", F.col("iteration").cast("int").alias("iteration")).agg(F.max("modified").alias("modified"))
+    found = folders.groupBy("run").agg(F.max("modified").alias("modified"), F.max_by("folder", "iteration").alias("folder"))
+    return found.agg(F.max_by("folder", F.struct("modified", "run"))).first()[0]
+
+
 def read_iterated_skims(spark: SparkSession, root: str) -> DataFrame:
-    """Skims of the newest run's highest iteration, from CSV files under root/RUN/ITERS/it.N/."""
-    path = F.col("_metadata.file_path")
-    rows = spark.read.schema(schemas.SKIMS).csv(f"{root}/*/ITERS/it.*/*.csv*", header=True, nullValue="", nanValue="NaN", positiveInf="inf", negativeInf="-inf")
-    placed = rows.withColumns({
-        "run": F.regexp_extract(path, r"([^/]+)/ITERS/it[.]\d+/[^/]+$", 1), "iteration": F.regexp_extract(path, r"/ITERS/it[.](\d+)/[^/]+$", 1),
-        "modified": F.col("_metadata.file_modification_time"), "ordinal": _file_order(),
-    })
-    return newest_run(placed).drop("run", "iteration", "modified").withColumns({m: _not_nan(m) for m in schemas.SKIM_MEASURES})
+    """Skims of the newest run's highest iteration, from CSV files under root/RUN/ITERS/it.N/; no other file is opened."""
+    folder = newest_iteration(spark, root)
+    if folder is None:
+        raise FileNotFoundError(f"no iterations under {root}")
+    return read_skims(spark, f"{folder}/*.csv*")

@@ -1,10 +1,12 @@
-"""Writers. Tables go to a path of their own; nothing is overwritten while it is read."""
+"""Writers. Tables go to a path of their own; nothing is overwritten while it is read (see ``store``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commuta.sources import store
+
 
 def write_csv(df: DataFrame, path: str, gzip: bool = False, header: bool = True, sep: str = ",") -> None:
     """One folder of CSV (or tab-separated) part files, header on each."""
@@ -20,11 +22,13 @@ def write_csv_tables(tables: dict[str, DataFrame], root: str, gzip: bool = False
 def write_store_table(df: DataFrame, root: str, table: str, stage: str, year: int, replace: bool = False) -> None:
     """Write one stage and year of a population table, a folder of its own.
 
-    An existing stage and year is refused unless ``replace`` is set; ``df`` must not read
-    from the folder it replaces.
+    An existing stage and year is refused unless ``replace`` is set. Then ``df`` becomes its current version in one step,
+    and may itself be read from the version before.
     """
-    folder = f"{root}/{table}/stage={stage}/year={year}"
-    df.write.mode("overwrite" if replace else "errorifexists").parquet(folder)
+    if replace:
+        store.replace(df, root, table, stage, year)
+    else:
+        df.write.mode("errorifexists").parquet(f"{root}/{table}/stage={stage}/year={year}")
 
 
 def write_skims(df: DataFrame, path: str) -> None:

@@ -2,12 +2,13 @@
 
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from commuta.operators import skims as sk
-from commuta.sources import readers, schemas, writers
+from commuta.sources import blocks, readers, schemas, writers
 
 HEADER = "timePeriod,pathType,origin,destination," + ",".join(schemas.SKIM_MEASURES) + ",DEBUG_TEXT\n"
 
@@ -126,3 +127,75 @@ def test_csv_and_table_sinks(spark, tmp_path, rows):
 def test_trip_log(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "trip"))
     assert readers.read_trip_log(spark, str(tmp_path), ["trip"])["trip"].count() == 3
+
+
+def test_a_table_can_be_replaced_by_what_is_read_from_it(spark, tmp_path, rows):
+    root = str(tmp_path / "store")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "household_id int, block_id string")
+    for stage, year in (("input", 2010), ("output", 2015), ("output", 2020)):
+        writers.write_store_table(df, root, "households", stage, year)
+    read = lambda **k: readers.read_store_table(spark, root, "households", **k)
+    for _ in range(3):
+        old = read(year=2015, base_year=2010)
+        writers.write_store_table(old.withColumn("household_id", F.col("household_id") + 1), root, "households", "output", 2015, replace=True)
+        assert old.count() == 2  # the version that it was read from is still there
+    assert rows(read(year=2015, base_year=2010)) == [(4, "a"), (5, "b")]
+    assert rows(read(year=2020, base_year=2010)) == [(1, "a"), (2, "b")] == rows(read(year=2010, base_year=2010))
+    assert len(read(year=2015, base_year=2010).inputFiles()) <= 2
+    # A job that ends before its rows are all there leaves the version before it.
+    fails = read(year=2015, base_year=2010).withColumn("block_id", F.raise_error(F.lit("ended")).cast("string"))
+    with pytest.raises(Exception, match="ended"):
+        writers.write_store_table(fails, root, "households", "output", 2015, replace=True)
+    assert rows(read(year=2015, base_year=2010)) == [(4, "a"), (5, "b")]
+    writers.write_store_table(df, root, "persons", "input", 2010, replace=True)  # no plain folder at all
+    assert rows(readers.read_store_table(spark, root, "persons")) == [(1, "a"), (2, "b")]
+    writers.write_store_table(read().filter("household_id = 1"), root, "households", "input", 2010, replace=True)
+    assert rows(read(warm_start=True)) == [(1, "a")]
+
+
+def test_only_the_newest_iteration_is_read(spark, tmp_path):
+    for run, it in (("a", 1), ("a", 3), ("b", 2)):
+        folder = tmp_path / run / "ITERS" / f"it.{it}"
+        folder.mkdir(parents=True)
+        (folder / "skims.csv").write_text(HEADER + skim_line("1", "2", "1.0"))
+        os.utime(folder / "skims.csv", (1000 + it, 1000 + it))
+    read = readers.read_iterated_skims(spark, str(tmp_path))
+    assert [f.split("/a/")[1] for f in read.inputFiles()] == ["ITERS/it.3/skims.csv"]
+    assert read._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    (tmp_path / "empty" / "x" / "ITERS" / "it.1").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError):
+        readers.read_iterated_skims(spark, str(tmp_path / "empty"))
+
+
+def test_matrix_blocks_as_text(spark, tmp_path):
+    zones = spark.createDataFrame([(1,), (2,), (10,)], "zone bigint")
+    cells = spark.createDataFrame([(720, 1, 2, 3.5, 1.0), (720, 1, 10, 4.0, None), (60, 10, 1, 0.25, 2.0), (60, 99, 1, 9.0, 9.0)], "interval_end int, o bigint, d bigint, time double, cost double")
+    blocks.write_matrix_blocks(cells, zones, zones, ["time", "cost"], str(tmp_path / "m"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "m").glob("part-*")))
+    assert text == (
+        "Auto TTime for interval60\n,1,2,10,\n1,,,,\n2,,,,\n10,0.25,,,\n\nAuto Cost ($) for interval60\n,1,2,10,\n1,,,,\n2,,,,\n10,2.0,,,\n\n"
+        "Auto TTime for interval720\n,1,2,10,\n1,,3.5,4.0,\n2,,,,\n10,,,,\n\nAuto Cost ($) for interval720\n,1,2,10,\n1,,1.0,,\n2,,,,\n10,,,,\n\n"
+    )
+    got = sorted(tuple(r) for r in blocks.read_matrix_blocks(spark, str(tmp_path / "m")).collect())
+    assert got == [("AUTO", "cost", 60, 10, 1, 2.0), ("AUTO", "cost", 720, 1, 2, 1.0), ("AUTO", "time", 60, 10, 1, 0.25), ("AUTO", "time", 720, 1, 2, 3.5), ("AUTO", "time", 720, 1, 10, 4.0)]
+
+
+def test_blocks_go_on_over_splits(spark, tmp_path):
+    """Splits far smaller than a block: titles and destinations come from splits before."""
+    zones = list(range(1, 41))
+    lines = []
+    for mode, t in (("BUS", 60), ("RAIL", 720)):
+        lines += [f"{mode} Transit Fare Skim @{t}", "," + "".join(f"{z}," for z in zones)]
+        lines += [f"{o}," + "".join(f"{o * 100 + d}.5," for d in zones) for o in zones] + [""]
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        read = blocks.read_matrix_blocks(spark, str(tmp_path / "t.csv"))
+        got = sorted((r.mode, r.measure, r.interval_end, r.o, r.d, r.value) for r in read.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert got == sorted((m, "fare", t, o, d, o * 100 + d + 0.5) for m, t in (("BUS", 60), ("RAIL", 720)) for o in zones for d in zones)
+    (tmp_path / "bad.csv").write_text("Something else 5\n,1,\n1,2.0,\n")
+    with pytest.raises(Exception, match="unknown block title"):
+        blocks.read_matrix_blocks(spark, str(tmp_path / "bad.csv")).collect()

@@ -75,10 +75,11 @@ add("r33_there_is_path", lambda T: gap.there_is_path(T.trip), f"""
         round(sum(case when {ROUTED} is not null then {LATE} end) / nullif(sum({DUR}), 0), 6) as relative_gap_min0,
         count(*) as number_of_trips
     from fx_trip where {ROAD} and has_artificial_trip = 0 group by path is not null""")
-add("r34_gap_bins", lambda T: gap.gap_bins(T.trip), f"""
+GAP_BINS = f"""
     select round(trunc(experienced_gap / cast(0.1 as double)) * cast(0.1 as double), 6) as gap_bin,
         cast(path is not null as int) as there_is_path, count(*) as trip_count
-    from fx_trip where {ROAD} and has_artificial_trip = 0 group by all""")
+    from fx_trip where {ROAD} and has_artificial_trip = 0 group by all"""
+add("r34_gap_bins", lambda T: gap.gap_bins(T.trip), GAP_BINS)
 add("r35_greater_routed_time", lambda T: gap.greater_routed_time(T.trip), f"""
     select cast({ROUTED} > {DUR} as int) as greater_routed_time, count(*) as trip_count
     from fx_trip where {ROAD} and has_artificial_trip = 0 group by all""")

@@ -133,8 +133,8 @@ add("k08_transit_skims", lambda T: transit(T).groupBy("timePeriod", "pathType",
         {", ".join("0::double as " + m if e is None else f"round(coalesce(sum({e}), 0), 6)::double as {m}" for m, e in TRANSIT_SUMS.items())},
         {", ".join("0::double as " + m + "_placed" if e is None else f"round(coalesce(sum({e} * cast(destination as int)), 0), 6)::double as {m}_placed" for m, e in TRANSIT_SUMS.items())}
     from s group by timePeriod, pathType, origin""")
-add("k08_transit_skims_cells", lambda T: transit(T, periods=["AM", "PM"], paths=["WLK_LOC_WLK", "WLK_EXP_WLK", "DRV_LOC_WLK"]), f"""
-    with {CLEAN}, {GRID}, s as ({TRANSIT_CELLS.format(periods="unnest(['AM', 'PM'])", paths="unnest(['WLK_LOC_WLK', 'WLK_EXP_WLK', 'DRV_LOC_WLK'])")})
+add("k08_transit_skims_cells", transit, f"""
+    with {CLEAN}, {GRID}, s as ({TRANSIT_CELLS.format(periods=PERIODS, paths=TRANSIT_PATHS)})
     select timePeriod, pathType, origin, destination, {", ".join(f"round({m}, 6) as {m}" for m in TRANSIT_SUMS)} from s""")
 add("k09_matrix_export", lambda T: sk.distance_matrices(distance(T)).select(
     "name", "o_idx", F.posexplode("values").alias("pos", "value")).withColumn("pos", F.col("pos") + 1), f"""
@@ -142,13 +142,13 @@ add("k09_matrix_export", lambda T: sk.distance_matrices(distance(T)).select(
     select name, o.idx as o_idx, cast(t.idx as int) as pos, round(d.DIST, 6) as value
     from dist d join fx_taz o on d.origin = o.zone_id join fx_taz t on d.destination = t.zone_id
     cross join (select unnest(['DIST', 'DISTBIKE', 'DISTWALK']) as name)""")
-add("k09_matrix_export_auto", lambda T: sk.matrix_export(packed_auto(T, periods=["AM"], paths=["SOV", "HOV2"])).select(
+add("k09_matrix_export_auto", lambda T: sk.matrix_export(packed_auto(T)).select(
     "name", "o_idx", F.posexplode("values").alias("pos", "value")).withColumn("pos", F.col("pos") + 1), f"""{WITH_AUTO},
-    m as (select origin, destination, unnest(['TIME', 'DIST', 'BTOLL', 'VTOLL']) as measure, unnest([TIME, DIST, 0, VTOLL]) as v
-        from auto where timePeriod = 'AM')
-    select pathType || '_' || measure || '__AM' as name, o.idx as o_idx, cast(t.idx as int) as pos, round(v, 6)::double as value
+    m as (select timePeriod, origin, destination, unnest(['TIME', 'DIST', 'BTOLL', 'VTOLL']) as measure, unnest([TIME, DIST, 0, VTOLL]) as v
+        from auto)
+    select pathType || '_' || measure || '__' || timePeriod as name, o.idx as o_idx, cast(t.idx as int) as pos, round(v, 6)::double as value
     from m join fx_taz o on m.origin = o.zone_id join fx_taz t on m.destination = t.zone_id
-    cross join (select unnest(['SOV', 'HOV2']) as pathType)""")
+    cross join (select {HIGHWAY_PATHS} as pathType)""")
 
 
 def sparse(T):

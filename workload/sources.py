@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from commuta.operators import landuse as lu, skims as sk
 from commuta.operators.lineage import shared_folder
 from commuta.plans import gap
-from commuta.sources import readers, schemas, writers
+from commuta.sources import blocks, readers, schemas, writers
 from workload.landuse import households
 from workload.registry import add
+from workload.reports_gap import GAP_BINS
 from workload.skims import MEASURES, highway, taz
 
 
@@ -55,6 +56,21 @@ add("s03_store_table_output", lambda T: stored(T, year=2015), "select household
 add("s03_store_table_warm_start", lambda T: stored(T, year=2015, warm_start=True), "select household as household_id, block_id, income from fx_household")
 
 
+def store_updated(T):
+    """A stored table read, changed and replaced by what has been read from it, twice."""
+    root = folder(T)
+    rows = households(T).select("household_id", "block_id", "income")
+    writers.write_store_table(rows, root, "households", "output", 2015)
+    for least in (1000, 2000):
+        read = readers.read_store_table(T.spark, root, "households", 2015, 2010)
+        writers.write_store_table(read.filter(F.col("income") > least).withColumn("income", F.col("income") * 2), root, "households", "output", 2015, replace=True)
+    return readers.read_store_table(T.spark, root, "households", 2015, 2010)
+
+
+add("s03_store_table_replaced", store_updated, """
+    select household as household_id, block_id, income * 4 as income from fx_household where income > 1000 and income * 2 > 2000""")
+
+
 def model_outputs(T):
     root = folder(T)
     rows = T.block.select((F.col("block_no") + 1).alias("household_id"), F.col("block_no").alias("block_id"), (F.col("zone") * 997).alias("lcm_county_id"))
@@ -118,7 +134,7 @@ def features(T):
     attributes = F.struct(F.col("block_id").alias("GEOID"), F.lit("48").alias("STATE"), F.col("zone").cast("string").alias("TRACT"))
     corner = [F.array(F.col("x") + dx, F.col("y") + dy) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 0))]
     feature = F.struct(attributes.alias("attributes"), F.struct(F.array(F.array(*corner)).alias("rings")).alias("geometry"))
-    pages = T.block.groupBy((F.col("block_no") % 5).alias("page")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+    pages = T.block.groupBy(F.expr("block_no div 200").alias("page")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
     from commuta.operators.geo import block_features
 
     rows = block_features(readers.read_feature_pages(T.spark, landed(T, pages)))
@@ -133,7 +149,7 @@ add("s09_feature_pages", features, """
 def result_pages(T):
     announced = T.location.agg(F.count("*")).scalar()
     row = F.struct(F.col("location").alias("unitid"), (F.col("zone") * 1.5).cast("double").alias("enrollment_fall"))
-    pages = T.location.groupBy((F.col("location") % 4).alias("page")).agg(F.collect_list(row).alias("results"))
+    pages = T.location.groupBy(F.expr("location div 200").alias("page")).agg(F.collect_list(row).alias("results"))
     text = F.to_json(F.struct(announced.alias("count"), F.lit("more").alias("next"), "results"))
     return readers.read_result_pages(T.spark, landed(T, pages.select("page", text.alias("value"))), schemas.ENROLLMENT_ROW)
 
@@ -176,16 +192,40 @@ add("s13_dense_matrices", dense_matrices, """
 def report_tables(T):
     path = folder(T)
     writers.write_report_tables({"gap_bins": gap.gap_bins(T.trip), "households": households(T).select("household_id", "income")}, path=path)
-    return T.spark.read.parquet(f"{path}/households")
+    return T.spark.read.parquet(f"{path}/households").withColumn("name", F.lit("households")).unionByName(
+        T.spark.read.parquet(f"{path}/gap_bins").withColumn("name", F.lit("gap_bins")), allowMissingColumns=True)
 
 
-add("s14_report_tables", report_tables, "select household as household_id, income from fx_household")
+add("s14_report_tables", report_tables, f"""
+    select household as household_id, income, 'households' as name from fx_household
+    union all by name select *, 'gap_bins' as name from ({GAP_BINS})""")
 
 
 def csv_tables(T):
     path = folder(T)
     writers.write_csv_tables({"blocks": T.block.select("block_id", "block_no", "x"), "zones": T.zone}, path, gzip=True)
-    return lu.padded_ids(T.spark.read.csv(f"{path}/blocks", header=True), {"block_no": 6})
+    rows = lu.padded_ids(T.spark.read.csv(f"{path}/blocks", header=True), {"block_no": 6})
+    zones = T.spark.read.csv(f"{path}/zones", header=True).select("zone")
+    return rows.unionByName(zones, allowMissingColumns=True)
+
 
+add("s15_csv_tables", csv_tables, "select block_id, lpad(cast(block_no as varchar), 6, '0') as block_no, cast(x as varchar) as x from fx_block union all by name select cast(zone as varchar) as zone from fx_zone")
 
-add("s15_csv_tables", csv_tables, "select block_id, lpad(cast(block_no as varchar), 6, '0') as block_no, cast(x as varchar) as x from fx_block")
+
+def matrix_blocks(T):
+    """Drive and transit matrices between blocks' zones and locations' zones, as text blocks and back."""
+    path = folder(T)
+    ends = T.block.select("zone").distinct(), T.location.select("zone").distinct()
+    blocks.write_matrix_blocks(T.interval_skim, *ends, ["time", "distance", "cost"], f"{path}/auto")
+    modes = T.interval_skim.withColumn("mode", F.explode(F.array(F.lit("BUS"), F.lit("RAIL"))))
+    blocks.write_matrix_blocks(modes, *ends, ["ivtt", "fare"], f"{path}/transit", transit=True)
+    return blocks.read_matrix_blocks(T.spark, f"{path}/auto").unionByName(blocks.read_matrix_blocks(T.spark, f"{path}/transit"))
+
+
+add("s16_matrix_blocks", matrix_blocks, """
+    with kept as (select * from fx_interval_skim where o in (select zone from fx_block) and d in (select zone from fx_location))
+    select 'AUTO' as mode, measure, interval_end::bigint as interval_end, o, d, value from
+        (select interval_end, o, d, unnest(['time', 'distance', 'cost']) as measure, unnest([time, distance, cost]) as value from kept)
+    union all select mode, measure, interval_end::bigint, o, d, value from
+        (select interval_end, o, d, unnest(['ivtt', 'fare']) as measure, unnest([ivtt, fare]) as value from kept)
+        cross join (select unnest(['BUS', 'RAIL']) as mode)""")
