@@ -51,40 +51,74 @@ def _errors(arguments: Column, specs: Column) -> Column:
     )
 
 
+def _jumps(single: DataFrame) -> DataFrame:
+    """Where the chain from each call with one reference first comes to a call with another number of them.
+
+    ``single`` has ``conv_id``, ``call_id``, ``turn`` and ``ref``. Returns ``to``, ``steps`` and ``latest`` (turn on the way). Each round
+    follows a jump with the jump from where it ends, so a chain takes as many rounds as its length has binary digits.
+    Chains that run into a circle are left out.
+    """
+    key = ["conv_id", "call_id"]
+    jumps = written_table(single.select(*key, F.col("ref").alias("to"), F.lit(1).alias("steps"), F.col("turn").alias("latest")), "jumps")
+    longest = single.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    for _ in range(longest.bit_length()):
+        on = jumps.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("next"), F.col("steps").alias("more"), F.col("latest").alias("later"))
+        if jumps.join(on, ["conv_id", "to"], "left_semi").isEmpty():
+            return jumps
+        jumps = written_table(jumps.join(on, ["conv_id", "to"], "left").select(
+            *key, F.coalesce("next", "to").alias("to"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.greatest("latest", "later").alias("latest"),
+        ), "jumps")
+    return jumps.join(single.select("conv_id", F.col("call_id").alias("to")), ["conv_id", "to"], "left_anti")
+
+
 def _levels(calls: DataFrame) -> DataFrame:
-    """``conv_id``, ``call_id``, ``level`` and ``anchor`` (latest turn it waits for) of each call that is in no cycle.
+    """``conv_id``, ``call_id``, ``level`` and ``anchor`` (latest turn it waits for) of each call that is in no circle.
 
-    Each round settles the calls all of whose references are settled, so there are as many rounds as levels. References
-    to calls that do not exist hold nothing up.
+    Calls with one reference are skipped over first (``_jumps``). Each further round settles the calls all of whose references
+    lead to settled ones, and is joined with those of the round before only: there are as many rounds as calls with several
+    references follow one another. References to calls that do not exist hold nothing up.
     """
     refs = calls.select("conv_id", "call_id", "turn", F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(REFERENCE), F.lit(1)))).alias("ref"))
     there = calls.select("conv_id", F.col("call_id").alias("ref"))
     refs = written_table(refs.join(there, ["conv_id", "ref"], "left_semi"), "refs")
     key = ["conv_id", "call_id"]
-    settled = written_table(
-        calls.join(refs, key, "left_anti").select(*key, F.lit(0).alias("level"), F.col("turn").alias("anchor")), "settled"
+    counted = written_table(refs.groupBy(*key).agg(F.count(F.lit(1)).alias("refs")), "counts")
+    single = refs.join(counted.filter("refs = 1"), key, "left_semi")
+    jumps = _jumps(single)
+    new = written_table(calls.join(counted, key, "left_anti").select(*key, F.lit(0).alias("level"), F.col("turn").alias("anchor")), "settled")
+    levels = [new]
+    # References of the other calls, each led on to a call that is not skipped over, or nowhere if it runs into a circle.
+    over = single.select("conv_id", F.col("call_id").alias("ref"), F.lit(True).alias("skipped")).join(
+        jumps.select("conv_id", F.col("call_id").alias("ref"), "to", "steps", "latest"), ["conv_id", "ref"], "left"
     )
-    new, levels, waiting = settled, [settled], refs
-    wanted = refs.groupBy(*key).agg(F.count(F.lit(1)).alias("wanted"))
-    known = settled
+    several = refs.join(counted.filter("refs > 1"), key, "left_semi").join(over, ["conv_id", "ref"], "left")
+    waiting = written_table(several.select(
+        *key, F.when(F.col("skipped"), F.col("to")).otherwise(F.col("ref")).alias("to"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"),
+        F.greatest("turn", "latest").alias("latest"), F.lit(None).cast("int").alias("level"), F.lit(None).cast(new.schema["anchor"].dataType).alias("anchor"),
+    ), "waiting")
     while not waiting.isEmpty():
-        on = known.select("conv_id", F.col("call_id").alias("ref"), "level", "anchor")
-        ready = waiting.join(on, ["conv_id", "ref"]).groupBy(*key).agg(
-            F.count(F.lit(1)).alias("found"), F.max("level").alias("below"), F.max("anchor").alias("latest"), F.max("turn").alias("turn")
-        )
+        on = new.select("conv_id", F.col("call_id").alias("to"), F.col("level").alias("_level"), F.col("anchor").alias("_anchor"))
+        waiting = written_table(waiting.join(on, ["conv_id", "to"], "left").select(
+            *key, "to", "steps", "latest", F.coalesce("level", "_level").alias("level"), F.coalesce("anchor", "_anchor").alias("anchor"),
+        ), "waiting")
         new = written_table(
-            ready.join(wanted, key).filter("found = wanted")
-            .select(*key, (F.col("below") + 1).alias("level"), F.greatest("turn", "latest").alias("anchor")), "settled"
+            waiting.groupBy(*key).agg(
+                F.count(F.lit(1)).alias("refs"), F.count("level").alias("found"), F.max(F.col("level") + F.col("steps")).alias("level"),
+                F.max(F.greatest("latest", "anchor")).alias("anchor"),
+            ).filter("refs = found").select(*key, F.col("level").cast("int").alias("level"), "anchor"), "settled"
         )
         if new.isEmpty():
             break  # the rest refer to one another in a circle
         levels.append(new)
-        known = known.unionByName(new)
-        waiting = written_table(waiting.join(new, key, "left_anti"), "refs")
+        waiting = waiting.join(new, key, "left_anti")
     out = levels[0]
     for part in levels[1:]:
         out = out.unionByName(part)
-    return out
+    ends = out.select("conv_id", F.col("call_id").alias("to"), F.col("level").alias("_level"), F.col("anchor").alias("_anchor"))
+    skipped = jumps.join(ends, ["conv_id", "to"]).select(
+        *key, (F.col("_level") + F.col("steps")).cast("int").alias("level"), F.greatest("latest", "_anchor").alias("anchor")
+    )
+    return out.unionByName(skipped)
 
 
 def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:

@@ -23,8 +23,9 @@ WINDOW = 13
 ITEM_BLOCK_BYTES = 4 << 20
 #: Bytes of documents in one suffix array; a longer document has one of its own.
 SHARD_BYTES = 4 << 20
-#: Bits of the table of first words.
+#: Bits of the table of first words, and pairs of places formed at a time.
 FIRST_BITS = 20
+PAIRS = 1 << 19
 
 MATCHES = T.ArrayType(T.StructType([
     T.StructField("item_id", T.StringType()), T.StructField("doc_word", T.IntegerType()),
@@ -49,10 +50,14 @@ class TestItems:
         self.vocabulary: dict[bytes, int] = {}
         self.ids = [name for name, _ in items]
         places: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        sequence, base = [0], []  # the items' words, a 0 before and after each item
         for at, (_, text) in enumerate(items):
             item = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
+            base.append(len(sequence))
+            sequence += [*item, 0]
             for start in range(max(1, len(item) - window + 1) if item else 0):
                 places.setdefault(tuple(item[start : start + window]), []).append((at, start))
+        self.sequence, self.base = np.array(sequence, np.int64), np.array(base, np.int64)
         self.bits = 16 if len(self.vocabulary) < 1 << 16 else 32
         self.per_key = 64 // self.bits
         self.n_keys = -(-window // self.per_key)
@@ -132,6 +137,35 @@ class SuffixArray:
         return window, self.position[low[window] + inside] if len(window) else np.zeros(0, np.int64)
 
 
+def _longest(sequence: np.ndarray, window: np.ndarray, position: np.ndarray, items: TestItems) -> tuple[np.ndarray, ...]:
+    """Maximal matches: place in the sequence, item, word of the item and length, from the windows found at positions.
+
+    Windows that follow one another in both texts are one match. It begins at a window before which the two texts differ
+    and ends at one after which they do, so of all pairs of places, formed PAIRS at a time, only those two are kept.
+    """
+    times = items.place_from[window + 1] - items.place_from[window]
+    reached = np.cumsum(times)
+    begins: list[np.ndarray] = []
+    ends: list[np.ndarray] = []
+    at = 0
+    while at < len(window):
+        to = max(at + 1, int(np.searchsorted(reached, (reached[at - 1] if at else 0) + PAIRS, "right")))
+        which = np.repeat(np.arange(at, to), times[at:to])
+        inside = np.arange(len(which)) - np.repeat(np.cumsum(times[at:to]) - times[at:to], times[at:to])
+        item, item_word = items.places[items.place_from[window[which]] + inside].T
+        place, length = position[which], items.length[window[which]]
+        there = items.base[item] + item_word
+        before, after = sequence[place - 1], sequence[place + length]
+        first = (before == 0) | (before != items.sequence[there - 1])
+        last = (after == 0) | (after != items.sequence[there + length])
+        begins.append(np.stack([item[first], (place - item_word)[first], place[first], item_word[first]]))
+        ends.append(np.stack([item[last], (place - item_word)[last], (place + length)[last]]))
+        at = to
+    begun, ended = np.concatenate(begins, axis=1), np.concatenate(ends, axis=1)
+    begun, ended = begun[:, np.lexsort(begun[2::-1])], ended[:, np.lexsort(ended[2::-1])]
+    return begun[2], begun[0], begun[3], ended[2] - begun[2]
+
+
 def _matches(texts: list[str | None], items: TestItems) -> tuple[list[int], list[list[dict]]]:
     """Words of each document, and its maximal verbatim matches with the items."""
     known, sequence, begin = items.vocabulary, [], [0]
@@ -141,22 +175,12 @@ def _matches(texts: list[str | None], items: TestItems) -> tuple[list[int], list
         begin.append(len(sequence))
     starts = np.array(begin, np.int64)
     found: list[list[dict]] = [[] for _ in texts]
-    window, position = SuffixArray(np.array(sequence, np.int64), items).search(items)
+    sequence = np.array(sequence, np.int64)
+    window, position = SuffixArray(sequence, items).search(items)
     if len(window):
-        times = items.place_from[window + 1] - items.place_from[window]
-        which = np.repeat(np.arange(len(window)), times)
-        inside = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-        item, item_word = items.places[items.place_from[window[which]] + inside].T
-        position, length = position[which], items.length[window[which]]
-        # Windows that follow one another in both texts are one longer match.
-        order = np.lexsort((position, position - item_word, item))
-        item, item_word, position, length = item[order], item_word[order], position[order], length[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (item[1:] != item[:-1]) | (np.diff(position) != 1) | (np.diff(item_word) != 1)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(order)) - 1
-        doc = np.searchsorted(starts, position[first], "right") - 1
-        rows = zip(doc.tolist(), item[first].tolist(), (position[first] - starts[doc]).tolist(), item_word[first].tolist(), (position[last] + length[last] - position[first]).tolist(), strict=True)
+        position, item, item_word, length = _longest(sequence, window, position, items)
+        doc = np.searchsorted(starts, position, "right") - 1
+        rows = zip(doc.tolist(), item.tolist(), (position - starts[doc]).tolist(), item_word.tolist(), length.tolist(), strict=True)
         for d, i, at, at_item, n in rows:
             found[d].append({"item_id": items.ids[i], "doc_word": at, "item_word": at_item, "n_words": n})
     return (np.diff(starts) - 1).tolist(), found
@@ -225,7 +249,7 @@ def benchmark_matches(
     ``text`` of the documents are read.
     """
     spark = docs.sparkSession
-    named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"), F.col(item_text).alias("body"))
+    named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"), F.col(item_text).alias("body")).distinct()
     total = named.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     dealt = named.withColumn("block", F.pmod(F.xxhash64("name", "body"), F.lit(blocks)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Tools and their parameters.
@@ -54,7 +54,11 @@ def tool_chats(conversations: DataFrame) -> DataFrame:
     return said.unionByName(tools)
 
 
-def worn_replica(pages: DataFrame) -> DataFrame:
-    """A copy of the pages in which some bodies have a wrong first letter and some pages are missing."""
-    wrong = F.when(F.expr("page_id * 7919 % 211 = 5"), F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
-    return pages.filter("page_id * 104729 % 389 <> 7").withColumn("html", wrong)
+def worn_body() -> Column:
+    """A page's body in a worn copy: some have a wrong first letter."""
+    return F.when(F.expr("page_id * 7919 % 211 = 5"), F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
+
+
+def lost_page() -> Column:
+    """Whether a page is missing in a worn copy."""
+    return F.coalesce(F.expr("page_id * 104729 % 389 = 7"), F.lit(False))

@@ -231,12 +231,21 @@ class _Search:
         """Links between ``rows`` (``node``, ``n``, ``root``, ``group``) of one group but classes apart, by full sets: a forest for each task.
 
         A row goes to the pairs of blocks that its own block is in, and a task holds one pair of blocks at a time: of about
-        SIDE sets or SIDE_SHINGLES shingles each. However alike the sets of a group are, no pair leaves a task that is no link.
+        SIDE sets or SIDE_SHINGLES shingles each. The largest class of a group has blocks of its own, which meet those of the
+        others only. However alike the sets of a group are, no pair leaves a task that is no link.
         """
-        counts = rows.groupBy("group").agg(F.expr(f"cast(ceil(greatest(count(1) / {SIDE}, sum(n) / {SIDE_SHINGLES})) as int)").alias("blocks"))
+        needed = f"cast(ceil(greatest(sum(rows) / {SIDE}, sum(size) / {SIDE_SHINGLES})) as int)"
+        classes = rows.groupBy("group", "root").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("size"))
+        main = classes.groupBy("group").agg(F.max(F.struct("rows", "root"))["root"].alias("main"))
+        halves = classes.join(main, "group").groupBy("group", "main", (F.col("root") == F.col("main")).alias("in_main")).agg(F.expr(needed).alias("blocks"))
+        counts = halves.groupBy("group", "main").agg(*[
+            F.coalesce(F.max(F.when(side, F.col("blocks"))), F.lit(0)).alias(name) for name, side in (("mains", F.col("in_main")), ("others", ~F.col("in_main")))
+        ]).filter("others > 0")
         sets = self._sets(written_table(rows.select("node").distinct(), "asked"))
-        dealt = rows.join(counts, "group").withColumn("own", F.expr("cast(pmod(xxhash64(node, 11), blocks) as int)"))
-        dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        dealt = rows.join(counts, "group")
+        place = "cast(pmod(xxhash64(node, 11), {0}) as int)"
+        dealt = dealt.withColumn("own", F.expr(f"if(root = main, others + {place.format('mains')}, {place.format('others')})"))
+        dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, if(root = main, others, others + mains) - 1)")))
         dealt = dealt.select("group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root")
         dealt = dealt.join(sets, "node").repartition("group", "low", "high").sortWithinPartitions("group", "low", "high")
         least = self.least
@@ -315,7 +324,7 @@ class _Search:
     def links(self) -> DataFrame:
         """Pairs ``a``, ``b`` of nodes that connect all pairs of the similarity that links and share a bucket.
 
-        While that halves what is left, each bucket meets one of its sets, another one each time; sets found alike become one
+        While that leaves a quarter, each bucket meets one of its sets, another one each time; sets found alike become one
         class, and a bucket of one class is done. What stays together in a bucket without being of one class is compared
         in ``_rest``, all of it.
         """
@@ -336,7 +345,7 @@ class _Search:
             if not cells:
                 return found
             left = written_table(left.join(sizes.select("key"), "key"), "open")
-            if cells <= CELLS_A_ROW * members or (before is not None and 2 * cells > before):
+            if cells <= CELLS_A_ROW * members or (before is not None and 4 * cells > before):
                 return written_table(found.unionByName(self._rest(left, sizes)), "links")
             drawn = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "root")).alias("one")
             met = left.join(left.groupBy("key").agg(drawn), "key").filter("root != one.root")

@@ -275,7 +275,7 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, one for each class of near-duplicates: the one with the smallest id.
 
-    ``prints_of`` and ``links`` make the fingerprints and link them: those of this module, or of ``similar``.
+    ``prints_of`` and ``links`` make the fingerprints and link them: those of this module, or of ``jaccard``.
     Only rows that are to go, and the few that share a bit with them in a bitmap of bounded size, are shuffled. Rows
     are known by id and text; null ids come first, ties are broken by a hash of the text, and of rows repeated with
     both one stays. All columns are returned as they came.

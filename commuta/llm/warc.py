@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commuta.llm.numbering import in_order, part
 from commuta.operators.joins import running_totals
 from commuta.operators.lineage import written_table
 
@@ -31,23 +32,23 @@ def record(page_id: Column, url: Column, body: Column) -> Column:
     )
 
 
-def digests(pages: DataFrame, id: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
-    """``page_id``, ``length`` (bytes) and ``sha256`` of each page's record; the bodies are read once, where they lie."""
+def digests(pages: DataFrame, id: str = "page_id", url: str = "url", body: str = "html", **more: Column) -> DataFrame:
+    """``page_id``, ``length`` (bytes), ``sha256`` of each page's record, and ``more``; the bodies are read once, where they lie."""
     whole = record(F.col(id), F.col(url), F.col(body))
-    return pages.select(F.col(id).alias("page_id"), F.octet_length(whole).cast("long").alias("length"), F.sha2(whole, 256).alias("sha256"))
+    return pages.select(F.col(id).alias("page_id"), F.octet_length(whole).cast("long").alias("length"), F.sha2(whole, 256).alias("sha256"), *[c.alias(n) for n, c in more.items()])
 
 
 def layout(found: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Lay records into files in the order of page id and digest: ``file``, ``offset`` added; null ids come first.
+    """Lay records into files in the order of page id and digest: ``file`` and ``offset`` before the columns of ``found``.
 
-    Offsets are running sums made in chunks of a thousand ids, and only one row a chunk is summed in order.
+    Null ids come first, and each of several equal rows has a place of its own. Offsets are running sums inside ranges of the
+    order, which even one id is dealt to several of, and only one row a range is summed in order.
     """
-    chunk = F.struct(F.floor(F.col("page_id") / 1024), F.when(F.col("page_id").isNull(), F.substring("sha256", 1, 3)))
-    ordered = found.withColumn("place", F.struct("page_id", "sha256"))
-    summed = running_totals(ordered, chunk, "place", {"reached": "length"}).withColumn("start", F.col("reached") - F.col("length"))
-    placed = written_table(summed.withColumn("file", F.floor(F.col("start") / file_bytes)).drop("place", "reached"), "layout")
+    ordered = in_order(found, "page_id", "sha256")
+    summed = running_totals(ordered, part(), "at", {"reached": "length"}).withColumn("start", F.col("reached") - F.col("length"))
+    placed = written_table(summed.withColumn("file", F.floor(F.col("start") / file_bytes)).drop("at", "reached"), "layout")
     first = placed.groupBy("file").agg(F.min("start").alias("first"))
-    return placed.join(first, "file").select("file", (F.col("start") - F.col("first")).alias("offset"), "page_id", "length", "sha256")
+    return placed.join(first, "file").select("file", (F.col("start") - F.col("first")).alias("offset"), *found.columns)
 
 
 def _hash(entries: Column) -> Column:

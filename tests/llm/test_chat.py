@@ -107,3 +107,58 @@ def test_query_matches_sql(spark, sf_dir):
     con.execute(f"create or replace view conversations as select * from '{sf_dir}/conversations.parquet'")
     cur = con.execute(SQL["op4_chat_formatting"])
     assert compare(df.columns, df.collect(), [d[0] for d in cur.description], cur.fetchall()) is None
+
+
+def plain_levels(turns, refs):
+    """level and anchor by recursion; none for calls that wait for a circle."""
+    import sys
+
+    sys.setrecursionlimit(10_000)
+    made, open_ = {}, set()
+
+    def of(c):
+        if c in made:
+            return made[c]
+        if c in open_:
+            return None
+        open_.add(c)
+        below = [of(r) for r in refs[c] if r in refs]
+        open_.discard(c)
+        made[c] = None if None in below else (1 + max((b[0] for b in below), default=-1), max([turns[c], *[b[1] for b in below]]))
+        return made[c]
+
+    return {c: of(c) for c in refs}
+
+
+def levels_of(spark, graphs, monkeypatch=None):
+    calls = [(conv, c, turns[c], " ".join(f'"$result": "{r}"' for r in refs[c])) for conv, (turns, refs) in enumerate(graphs) for c in refs]
+    df = spark.createDataFrame(calls, "conv_id long, call_id string, turn long, arguments string")
+    return {(r.conv_id, r.call_id): (r.level, r.anchor) for r in chat._levels(df).collect()}
+
+
+def test_levels_of_random_graphs(spark):
+    import random
+
+    rng = random.Random(4)
+    graphs = []
+    for _ in range(40):
+        n = rng.randint(1, 30)
+        names = [f"c{k}" for k in range(n)]
+        refs = {c: [rng.choice(names[:k]) for _ in range(rng.choice([0, 1, 1, 1, 2]))] if k else [] for k, c in enumerate(names)}
+        graphs.append(({c: rng.randint(1, 50) for c in names}, refs))
+    graphs.append(({c: 1 for c in "abcdefg"}, {"a": ["b"], "b": ["c"], "c": ["a"], "d": ["a"], "e": ["d", "f"], "f": [], "g": ["f", "lost"]}))  # a circle and what waits for it
+    graphs.append(({"s": 3, "t": 4}, {"s": ["s"], "t": ["s"]}))
+    want = {(k, c): v for k, (turns, refs) in enumerate(graphs) for c, v in plain_levels(turns, refs).items() if v}
+    assert levels_of(spark, graphs) == want
+    assert max(v[0] for v in want.values()) > 5
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    names = [f"c{k}" for k in range(1000)]
+    refs = {c: names[k - 1 : k] for k, c in enumerate(names)}
+    tables = []
+    written = chat.written_table
+    monkeypatch.setattr(chat, "written_table", lambda df, name="table": tables.append(name) or written(df, name))
+    got = levels_of(spark, [({c: 1000 - k for k, c in enumerate(names)}, refs)])
+    assert got == {(0, c): (k, 1000) for k, c in enumerate(names)}
+    assert tables.count("jumps") <= 12 and tables.count("settled") <= 2

@@ -81,6 +81,27 @@ def test_matches_are_the_longest(spark):
     assert sorted(tuple(m) for m in matches) == [("", 1, 0, 2), ("q", 1, 10, 35)]
 
 
+def test_one_word_repeated_in_both(monkeypatch):
+    """All places of a document meet all places of an item: pairs are formed a part at a time, and one match a diagonal stays."""
+    import tracemalloc
+
+    def matched(n, m):
+        items = decontaminate.TestItems([("q", "la " * m)])
+        return decontaminate._matches(["la " * n, "so " + "la " * 12 + "so"], items)[1]
+
+    got = matched(40, 30)
+    want = {(max(0, k), max(0, -k)): min(40 - max(0, k), 30 - max(0, -k)) for k in range(-29, 40)}
+    assert {(m["doc_word"], m["item_word"]): m["n_words"] for m in got[0]} == {k: v for k, v in want.items() if v >= 13} and got[1] == []
+    monkeypatch.setattr(decontaminate, "PAIRS", 50)
+    assert sorted(map(repr, matched(40, 30)[0])) == sorted(map(repr, got[0]))
+    monkeypatch.undo()
+    tracemalloc.start()
+    many = matched(20_000, 20_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(many[0]) == 2 * (20_000 - 13) + 1 and peak < 500 << 20
+
+
 def test_dropping_and_threshold(spark):
     item = " ".join(f"i{k}" for k in range(13))
     filler = " ".join(["word"] * 300)

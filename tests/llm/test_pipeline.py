@@ -34,6 +34,15 @@ def test_library_does_not_need_the_corpus_operators():
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
 
 
+@pytest.mark.parametrize("package", ["public_tokenizers", "ahocorasick", "xxhash", "regex"])
+def test_library_does_not_need_their_packages(package):
+    code = (
+        f"import sys\nclass No:\n def find_spec(s, name, *a):\n  if name == '{package}':\n   raise ModuleNotFoundError(name, name=name)\n"
+        "sys.meta_path.insert(0, No())\nimport __spark_entry__ as e\nassert len(e.queries()) > 100 and 'pipeline' not in e.queries()"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+
+
 @pytest.fixture(scope="module")
 def steps(spark):
     """What each stage returns on a whole table, written and read again."""
@@ -81,13 +90,13 @@ def test_near_stage_leaves_unlike_texts(steps):
     all_, kept = rows(before), rows(after)
     gone = [d for d in all_ if d not in kept]
     for d in gone:
-        assert max(jaccard(all_[d].text, r.text) for k, r in all_.items() if k != d) > 0.5, d
+        assert max(jaccard(all_[d].text, r.text) for k, r in all_.items() if k != d) >= 0.8, d
     texts = list(kept.values())
     words = [set(r.text.split()) for r in texts]
     for i, a in enumerate(texts):
         for j in range(i):
             if len(words[i] & words[j]) > 0.8 * min(len(words[i]), len(words[j])) and len(words[i]) > 30:
-                assert jaccard(a.text, texts[j].text) < 0.88
+                assert jaccard(a.text, texts[j].text) < 0.8
 
 
 def test_decontamination_stage(spark, steps):

@@ -100,3 +100,18 @@ def test_query_matches_sql(spark, sf_dir):
     con.execute(f"create or replace view pages as select * from '{sf_dir}/pages.parquet'")
     cur = con.execute(SQL["op10_warc_fixity"])
     assert compare(df.columns, df.collect(), [d[0] for d in cur.description], cur.fetchall()) is None
+
+
+def test_query_with_repeated_and_null_ids(spark, tmp_path):
+    """Records that share an id, whole rows that repeat, and rows without an id: each has its own place and its own state."""
+    def state(i):
+        return "missing" if i is not None and i * 104729 % 389 == 7 else "altered" if i is not None and i * 7919 % 211 == 5 else "intact"
+
+    altered = next(i for i in range(1000) if state(i) == "altered")
+    missing = next(i for i in range(1000) if state(i) == "missing")
+    rows = [(3, "u", "same")] * 3 + [(4, "one", "a"), (4, "two", "b"), (None, "n", "x"), (None, "n", "x"), (None, None, None)]
+    rows += [(altered, "u", "body")] * 2 + [(missing, "v", "body"), (missing, "w", "other"), (9, "z", "é" * 10)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = QUERIES["op10_warc_fixity"](spark, str(tmp_path)).collect()
+    assert sorted(map(repr, [(r.page_id, r.state) for r in got])) == sorted(map(repr, [(r[0], state(r[0])) for r in rows]))
+    assert len({(r.file, r.offset) for r in got}) == len(rows)
