@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commuta.functions.columns import hash_uniform, label, safe_div, trunc_int
-from commuta.operators.joins import lookup, running_totals
+from commuta.operators.joins import as_of, lookup, running_totals
 from commuta.operators.lineage import cut_lineage
 
 # Household type and housing unit codes.
@@ -24,10 +24,6 @@ INDUSTRY_GROUPS = {
     "62": 5, "71": 5, "72": 2, "81": 2, "92": 1, "31-33": 4, "44-45": 0, "48-49": 3,
 }
 
-# Ranks are read in digits of this many bits; the digits reach any number of households a long can count.
-RADIX_BITS = 6
-RADIX = 1 << RADIX_BITS
-RANK_DIGITS = 10
 
 
 def household_recode(households: DataFrame) -> DataFrame:
@@ -102,9 +98,9 @@ def place_unplaced(households: DataFrame, block_zone: DataFrame, seed: int) -> D
 
     A draw is a rank among the placed households in block order, so a block is hit as
     often as households live in it; its block is the last one that begins at or before the
-    rank. Block beginnings are kept in a tree over the digits of their rank, at most RADIX
-    to a node, and a draw looks into one node a level: no block is unfolded, whatever its
-    size. The counts per block are checkpointed, as beginnings and total both read them.
+    rank, found by one merge of draws and beginnings (``as_of``): a draw stays one row, and no
+    block is unfolded, whatever its size. The counts per block are checkpointed, as beginnings
+    and total both read them.
     """
     keys = ["block_id"]
     known = block_zone.select("block_id", F.lit(True).alias("_placed"))
@@ -113,34 +109,14 @@ def place_unplaced(households: DataFrame, block_zone: DataFrame, seed: int) -> D
     marked = lookup(households, known, keys)
     placed = marked.filter(F.col("_placed")).drop("_placed")
     starts = running_totals(counts, F.substring("block_id", 1, 11), "block_id", {"high": "n"}).select(
-        "block_id", (F.col("high") - F.col("n")).alias("low")
+        (F.col("high") - F.col("n")).alias("_rank"), F.col("block_id").alias("_drawn")
     )
     nobody = F.raise_error(F.lit("no household has a known block"))
     total = counts.agg(F.sum("n")).scalar()
-
-    def by_level(df: DataFrame, rank: str) -> DataFrame:
-        leveled = df.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(RANK_DIGITS - 1))))
-        below = f"shiftright({rank}, cast(_level as int) * {RADIX_BITS})"
-        return leveled.withColumns({
-            "_node": F.expr(f"shiftright({below}, {RADIX_BITS})"), "_digit": F.expr(f"cast({below} & {RADIX - 1} as int)"),
-        })
-
-    nodes = (
-        by_level(starts, "low").groupBy("_level", "_node", "_digit").agg(F.max(F.struct("low", "block_id")).alias("last"))
-        .groupBy("_level", "_node").agg(F.array_sort(F.collect_list(F.struct("_digit", "last.low", "last.block_id"))).alias("_marks"))
-    )
     draws = marked.filter(F.col("_placed").isNull()).drop("_placed", "block_id").withColumn(
         "_rank", trunc_int(F.floor(hash_uniform("household_id", seed) * total))
     )
-    before = F.filter(
-        "_marks", lambda m: F.when(F.col("_level") == 0, m["low"] <= F.col("_rank")).otherwise(m["_digit"] < F.col("_digit"))
-    )
-    found = (
-        lookup(by_level(draws.select("household_id", "_rank"), "_rank"), nodes, ["_level", "_node"], how="inner")
-        .select("household_id", "_level", F.try_element_at(before, F.lit(-1)).alias("_mark")).filter("_mark is not null")
-        .groupBy("household_id").agg(F.min_by("_mark.block_id", "_level").alias("block_id"))
-    )
-    drawn = draws.join(found, "household_id", "left").withColumn("block_id", F.coalesce("block_id", nobody)).select(*households.columns)
+    drawn = as_of(draws, starts, "_rank").withColumn("block_id", F.coalesce("_drawn", nobody)).select(*households.columns)
     return placed.select(*households.columns).unionByName(drawn)
 
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commuta.operators.lineage import cut_lineage
+from commuta.operators.lineage import cut_lineage, written_table
+
 
 def lookup(rows: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Attach columns of ``dim`` (one row per key) to every row.
@@ -48,6 +49,33 @@ def running_totals(
     )
 
 
+def as_of(probes: DataFrame, marks: DataFrame, at: str, strict: bool = False) -> DataFrame:
+    """Each probe with the columns of the last mark at or before it in ``at``; before it, if ``strict``. NULL without one.
+
+    Marks have distinct values of ``at`` and further columns that probes lack. Marks and probes are sorted together into
+    ranges, one row each, and the last mark is carried along; over the borders of ranges goes one row a range. Probes of
+    one value are dealt to several ranges where there are many. A probe with a NULL in ``at`` has no mark.
+    """
+    given = [c for c in marks.columns if c != at]
+    kept = [c for c in probes.columns if c != at]
+    mark, probe = F.struct(*[F.col(c) for c in given]).alias("_mark"), F.struct(*[F.col(c) for c in kept]).alias("_probe")
+    types = {n: df.select(c).schema[n].dataType for df, c, n in ((marks, mark, "_mark"), (probes, probe, "_probe"))}
+    first = F.lit(1 if strict else 0)
+    both = marks.filter(F.col(at).isNotNull()).select(at, first.alias("_kind"), mark, F.lit(None).cast(types["_probe"]).alias("_probe")).unionByName(
+        probes.select(at, (1 - first).alias("_kind"), F.lit(None).cast(types["_mark"]).alias("_mark"), probe)
+    ).withColumn("_row", F.monotonically_increasing_id())
+    dealt = both.repartitionByRange(at, "_kind", "_row").sortWithinPartitions(at, "_kind", "_row").drop("_kind", "_row")
+    ordered = written_table(dealt.withColumn("_place", F.monotonically_increasing_id()), "sorted").withColumn("_range", F.shiftright("_place", 33))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("_place")))
+    carried = ordered.groupBy("_range").agg(last.alias("_last")).select("_range", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    inside = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = ordered.withColumn("_here", F.last("_mark", ignorenulls=True).over(inside)).filter("_probe is not null")
+    found = found.join(carried, "_range").withColumn("_found", F.when(F.col(at).isNotNull(), F.coalesce("_here", "_before")))
+    out = {c: F.col(f"_probe.`{c}`") for c in kept} | {at: F.col(at)}
+    return found.select(*[out[c].alias(c) for c in probes.columns], *[F.col(f"_found.`{c}`").alias(c) for c in given])
+
+
 def shuffled(df: DataFrame) -> DataFrame:
     """Keep a join side that unfolding has multiplied from being broadcast: Spark sizes it before its explode."""
     return df.hint("merge")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from commuta.functions.columns import MILES_PER_KM, finite, hash_uniform, safe_div
 from commuta.functions.geometry import mercator_x, mercator_y, planar_miles
-from commuta.operators.joins import lookup, missing_keys, running_totals
+from commuta.operators.joins import as_of, lookup, missing_keys, running_totals
 
 # Time periods, paths and measure sources of the demand model.
 PERIODS = ["EA", "AM", "MD", "PM", "EV"]
@@ -370,6 +370,13 @@ def with_interval(df: DataFrame, minute: Column, iskims: DataFrame, name: str) -
     return df.withColumn("_ends", ends).withColumn(name, at).drop("_ends")
 
 
+def with_interval_merged(df: DataFrame, minute: Column, ends: DataFrame, name: str) -> DataFrame:
+    """``with_interval`` for ends (one row each, column ``interval_end``) too many for one value: by a merge of times and ends."""
+    marks = ends.select("interval_end").distinct().select((-F.col("interval_end").cast("double")).alias("_at"), F.col("interval_end").alias(name))
+    found = as_of(df.withColumn("_at", -minute.cast("double")), marks, "_at", strict=True).drop("_at")
+    return found.withColumn(name, F.coalesce(name, ends.agg(F.max("interval_end")).scalar()))
+
+
 def _of_mode(iskims: DataFrame, mode: str | None) -> DataFrame:
     """Interval skims of one mode; a table keyed by mode must be given one."""
     if mode is not None:
