@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from commuta.functions.codes import BASELINE_MODE_LABELS, MODE_LABELS, ROAD_MODES, TRUCK_MODES
 from commuta.functions.columns import count_where, label, safe_div, strict_max, trunc_int
+from commuta.operators.lineage import written_table
 
 CODE = "has_artificial_trip"
 
@@ -204,6 +205,91 @@ def gap_breakdown_binned(trip: DataFrame) -> DataFrame:
     return road_trips(trip).groupBy(_experienced_bin()).agg(*_breakdown())
 
 
+def _is_road() -> Column:
+    """The trips of ``road_trips``, as a condition that is false where unknown."""
+    ran = F.col("mode").isin(ROAD_MODES) & (F.col(CODE) != 1) & (F.col("end_s") > F.col("start_s")) & (_routed() > 0)
+    return F.coalesce(ran, F.lit(False))
+
+
+def gap_reports(trip: DataFrame, expansion: float = 4) -> dict[str, DataFrame]:
+    """All reports of this module by the name of their function, from one scan of the trip log.
+
+    Every trip counts towards one group of each set of keys, and a report's condition is part of its sums, so one
+    aggregation with partial sums serves them all. Its result, a row for each group, is written once; reports only pick from it.
+    """
+    road, finished = _is_road(), F.coalesce(F.col("mode").isin(ROAD_MODES) & (F.col(CODE) == 0), F.lit(False))
+    keys = {
+        "_bin": _experienced_bin(), "_gap_bin": trunc_int(F.col("experienced_gap") / 0.1) * 0.1, "_path": F.col("path").isNotNull().cast("int"),
+        "_greater": (_routed() > _duration()).cast("int"), "_mode": F.col("mode"), "_code": F.col(CODE), "_person": F.col("person"),
+    }
+    values = {c: F.col(c) for c in ("start_s", "end_s", "routed_travel_time", CODE, "path", "mode")}
+    # Null is a value of a key here: grouping ids tell it from a key that a set leaves out.
+    rows = trip.select(*[c.alias(n) for n, c in (values | keys).items()], road.alias("_road"), finished.alias("_finished"))
+    sets = [[], ["_bin"], ["_path"], ["_gap_bin", "_path"], ["_greater"], ["_mode", "_code"], ["_person"]]
+
+    def only(flag: str, c: Column) -> Column:
+        return F.when(F.col(flag), c)
+
+    road_sums = {
+        "total_experienced_ttime": F.sum(only("_road", _by_code(_experienced()))), "total_routed_ttime": F.sum(only("_road", _routed())),
+        "total_gap_abs": F.sum(only("_road", _by_code(_gap_abs()))), "total_gap_min0": F.sum(only("_road", _by_code(_gap(_late())))),
+        "number_of_trips": F.count(only("_road", F.lit(1))),
+        "trips_with_path": count_where(F.col("_road") & F.col("path").isNotNull()),
+        "trips_without_path": count_where(F.col("_road") & F.col("path").isNull()),
+    }
+    outcomes = {name: count_where(F.col("_road") & (F.col(CODE) == code)) for code, name in OUTCOMES.items()}
+    parts = {"total_experienced_ttime": _experienced(), "total_routed_ttime": {code: _routed() for code in OUTCOMES}, "total_gap_abs": _gap_abs()}
+    breakdown = {
+        f"{name}_{code}": F.sum(only("_road", F.when(F.col(CODE) == code, value))) for name, by_code in parts.items() for code, value in by_code.items()
+    }
+    done = {
+        "_abs": F.sum(only("_finished", F.abs(_duration() - _routed()))), "_late": F.sum(only("_finished", _late())),
+        "_took": F.sum(only("_finished", _duration())), "_done": F.count(only("_finished", F.lit(1))), "_all": F.count("*"),
+    }
+    sums = road_sums | outcomes | breakdown | done
+    whole = rows.groupingSets([[F.col(k) for k in s] for s in sets], *[F.col(k) for k in keys]).agg(
+        F.grouping_id().alias("_set"), *[c.alias(n) for n, c in sums.items()]
+    )
+    whole = written_table(whole, "gaps")
+    order = list(keys)
+
+    def of(*given: str) -> DataFrame:
+        """The groups of one set of keys."""
+        return whole.filter(F.col("_set") == sum(1 << (len(order) - 1 - k) for k, c in enumerate(order) if c not in given))
+
+    # A log without trips has no group at all, but its totals are one row.
+    total = of().agg(*[F.max(n).alias(n) for n in sums]).withColumn("number_of_trips", F.coalesce("number_of_trips", F.lit(0)))
+    shares = [safe_div(c, "number_of_trips").alias(f"perc_{c}") for c in ["trips_with_path", "trips_without_path", *OUTCOMES.values()]]
+    calculations = total.select(*_ratios(), *road_sums, *outcomes, *shares, safe_div("total_gap_abs", "number_of_trips").alias("gap_per_trip"))
+    binned = of("_bin").filter("number_of_trips > 0").withColumnRenamed("_bin", "total_experienced_ttime_bin")
+    by_path = of("_path").filter("_done > 0")
+    by_mode = of("_mode", "_code")
+    labelled = by_mode.select(label("_mode", BASELINE_MODE_LABELS).alias("mode_name"), F.col("_code").alias(CODE), "_all")
+    return {
+        "gap_calculations": calculations,
+        "gap_summary": calculations.select(
+            "relative_gap_abs", "relative_gap_min0", "relative_gap", "total_experienced_ttime", "total_routed_ttime", "total_gap_abs", "total_gap_min0"
+        ),
+        "gap_calculations_binned": binned.select("total_experienced_ttime_bin", *road_sums),
+        "there_is_path": by_path.select(
+            F.col("_path").alias("there_is_path"), safe_div("_abs", "_took").alias("relative_gap_abs"),
+            safe_div("_late", "_took").alias("relative_gap_min0"), F.col("_done").alias("number_of_trips"),
+        ),
+        "gap_bins": of("_gap_bin", "_path").filter("_done > 0").select(
+            F.col("_gap_bin").alias("gap_bin"), F.col("_path").alias("there_is_path"), F.col("_done").alias("trip_count")
+        ),
+        "greater_routed_time": of("_greater").filter("_done > 0").select(F.col("_greater").alias("greater_routed_time"), F.col("_done").alias("trip_count")),
+        "mode_count": by_mode.select(label("_mode", MODE_LABELS).alias("mode_name"), F.col("_code").alias(CODE), F.col("_all").alias("trip_count")),
+        "artificial_count": total.select("number_of_trips", *outcomes),
+        "mode_count_baseline": labelled.groupBy("mode_name", CODE).agg((F.lit(expansion) * F.sum("_all")).alias("mode_count")),
+        "person_gaps": of("_person").filter("_person is not null and number_of_trips > 0").select(
+            F.col("_person").alias("person"), safe_div("total_gap_min0", "total_routed_ttime").alias("avg_gap")
+        ),
+        "gap_breakdown": total.select(*breakdown),
+        "gap_breakdown_binned": binned.select("total_experienced_ttime_bin", *breakdown),
+    }
+
+
 def trip_log_reset(trip: DataFrame, external_type: int | None = None) -> DataFrame:
     """Trips kept for the next run, detached from this run's persons, vehicles and paths.
 

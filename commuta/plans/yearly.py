@@ -130,7 +130,7 @@ def next_iteration_inputs(
 def report_suite(t: dict[str, DataFrame], expansion: float = 4) -> dict[str, DataFrame]:
     """Every report table of the trip log by its table name, lazily.
 
-    What several reports read is checkpointed: the agency of each vehicle trip, modes by area, and waits per path.
+    What several reports read is made at once and kept: the sums of the trip log's convergence reports, the agency of each vehicle trip, modes by area, and waits per path.
     """
     agency = cut_lineage(transit.vehicle_agency(
         t["transit_trips"], t["transit_patterns"], t["transit_routes"], t["transit_agencies"]
@@ -138,6 +138,7 @@ def report_suite(t: dict[str, DataFrame], expansion: float = 4) -> dict[str, Dat
     trip, act, person, household = t["trip"], t["activity"], t["person"], t["household"]
     location, zone, tnc, path = t["location"], t["zone"], t["tnc_trip"], t["path_multimodal"]
     links, legs, vehicle, x = t["transit_vehicle_links"], t["path_multimodal_links"], t["transit_vehicle"], expansion
+    gaps = gap.gap_reports(trip, x)
     by_area = cut_lineage(activity.executed_activity_mode_share_by_area(act, person, trip, location, zone, x))
     by_vehicle = cut_lineage(transit.ivtt_wait_by_path_and_vehicle(legs))
     by_path = cut_lineage(transit.ivtt_wait_by_path(by_vehicle, path))
@@ -176,16 +177,11 @@ def report_suite(t: dict[str, DataFrame], expansion: float = 4) -> dict[str, Dat
         "transit_trips_with_boarding_count": transit.transit_trips_with_boarding_count(path, x),
         "transit_transfers_with_gen_cost": transit.transit_transfers_with_gen_cost(path, x),
         "transit_transfers": transit.transit_transfers(path, x),
-        "gap_calculations": gap.gap_calculations(trip),
-        "gap_calculations_binned": gap.gap_calculations_binned(trip),
-        "artificial_count": gap.artificial_count(trip),
-        "there_is_path": gap.there_is_path(trip),
-        "gap_bins": gap.gap_bins(trip),
-        "greater_routed_time": gap.greater_routed_time(trip),
-        "mode_count": gap.mode_count_baseline(trip, x),
-        "Person_Gaps": gap.person_gaps(trip),
-        "gap_breakdown": gap.gap_breakdown(trip),
-        "gap_breakdown_binned": gap.gap_breakdown_binned(trip),
+**{name: gaps[made] for name, made in {
+            "gap_calculations": "gap_calculations", "gap_calculations_binned": "gap_calculations_binned", "artificial_count": "artificial_count",
+            "there_is_path": "there_is_path", "gap_bins": "gap_bins", "greater_routed_time": "greater_routed_time", "mode_count": "mode_count_baseline",
+            "Person_Gaps": "person_gaps", "gap_breakdown": "gap_breakdown", "gap_breakdown_binned": "gap_breakdown_binned",
+        }.items()},
         "TNC_Agg_Output": ridehail.tnc_agg_output(trip, tnc, links),
         "TNC_AVO_Revenue_by_TOD": ridehail.tnc_avo_revenue_by_tod(tnc),
         "TNC_AVO_Dist_by_TOD": ridehail.tnc_avo_dist_by_tod(tnc),

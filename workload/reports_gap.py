@@ -1,7 +1,11 @@
 """Convergence reports over the trip log."""
 
+from functools import reduce
+
+from pyspark.sql import functions as F
+
 from commuta.plans import gap
-from workload.registry import add
+from workload.registry import SQL, add
 
 DUR = "(end_s - start_s)"
 ROUTED = "routed_travel_time"
@@ -103,3 +107,21 @@ add("p08_trip_log_reset", lambda T: gap.trip_log_reset(T.trip), f"""
     where (mode = 0 and person is null) or mode in (17, 18, 19, 20)""")
 add("p08b_trip_log_reset_external", lambda T: gap.trip_log_reset(T.trip, 22), f"""
     select * replace ({CLEARED}) from fx_trip where type = 22""")
+
+
+#: The reports of the trip log by query; one aggregation makes them all.
+SUITE = {
+    "r31_gap_calculations": "gap_calculations", "r31b_gap_summary": "gap_summary", "r32_gap_calculations_binned": "gap_calculations_binned",
+    "r33_there_is_path": "there_is_path", "r34_gap_bins": "gap_bins", "r35_greater_routed_time": "greater_routed_time", "r36_mode_count": "mode_count",
+    "r36b_artificial_count": "artificial_count", "r37_mode_count_baseline": "mode_count_baseline", "r38_person_gaps": "person_gaps",
+    "r39_gap_breakdown": "gap_breakdown", "r40_gap_breakdown_binned": "gap_breakdown_binned",
+}
+
+
+def suite(T):
+    made = gap.gap_reports(T.trip)
+    parts = [made[f].withColumn("report", F.lit(q)) for q, f in SUITE.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+add("r31_r40_gap_reports", suite, " union all by name ".join(f"select '{q}' as report, * from ({SQL[q]})" for q in SUITE))
