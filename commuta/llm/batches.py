@@ -16,10 +16,10 @@ _SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SPARKS_OWN = ("67108864", "67108864b", "64MB", "64m")
 
 
-def bounded(spark: SparkSession) -> None:
-    """Keep batches small: a worker holds a batch several times over while it works on it."""
+def bounded(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Keep batches small: a worker holds a batch several times over while it works on it. A size set before stays."""
     if spark.conf.get(_SETTING, None) in (None, *_SPARKS_OWN):
-        spark.conf.set(_SETTING, f"{BATCH_BYTES}b")
+        spark.conf.set(_SETTING, f"{most}b")
 
 
 def carrying(docs: DataFrame, carry: list[str], text: str) -> DataFrame:

@@ -92,6 +92,7 @@ class BytePairCodec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         found = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.special_pattern = regex.compile(f"({found})") if found else None
+        self.remembered = CACHED_PIECES
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -115,7 +116,7 @@ class BytePairCodec:
                 return True
 
     def _fit(self, a: int, b: int) -> bool:
-        if len(self.fits) >= CACHED_PAIRS:
+        if len(self.fits) >= min(CACHED_PAIRS, self.remembered):
             self.fits.clear()
         good = self.fits[a, b] = self.compatible(a, b)
         return good
@@ -161,7 +162,7 @@ class BytePairCodec:
         """Packed ids of a piece this generation does not know; two generations are kept, so frequent pieces stay."""
         ids = self.before.get(piece) or array("i", self.encode_piece(piece)).tobytes()
         if len(piece) <= CACHED_CHARS:
-            if len(self.known) >= CACHED_PIECES:
+            if len(self.known) >= self.remembered:
                 self.before = dict(self.known)
                 self.known.clear()
             self.known[piece] = ids
@@ -213,7 +214,7 @@ def _parts(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.R
         yield batch.slice(begin)
 
 
-def _mapped(docs: DataFrame, tokenizer: str, source: str, added: dict[str, T.DataType], step) -> DataFrame:
+def _mapped(docs: DataFrame, tokenizer: str, source: str, added: dict[str, T.DataType], step, remembered: int = CACHED_PIECES) -> DataFrame:
     """Add columns that ``step(codec, values of source)`` makes, a bounded part of a batch at a time."""
     with open(tokenizer, encoding="utf-8") as f:  # a vocabulary file: one or two MB, sent to each executor once
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -222,6 +223,7 @@ def _mapped(docs: DataFrame, tokenizer: str, source: str, added: dict[str, T.Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone("bpe", _forget)
         codec = _codec(shipped.value)
+        codec.remembered = remembered
         for whole in batches:
             column = bodies(whole, source)
             length = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
@@ -261,10 +263,15 @@ def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", text: str = "dec
     return _mapped(tokens, tokenizer, ids, {text: T.StringType()}, step)
 
 
-def round_trip(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Add ``ids`` and the text ``decoded`` from them, in one pass over the documents."""
+def round_trip(
+    docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", remembered: int = CACHED_PIECES
+) -> DataFrame:
+    """Add ``ids`` and the text ``decoded`` from them, in one pass over the documents.
+
+    A worker remembers up to twice ``remembered`` encoded pieces; fewer take less room and more time, and give the same.
+    """
     def step(codec: BytePairCodec, column: pa.Array) -> dict[str, pa.Array]:
         rows = [codec.encode(t) for t in column.to_pylist()]
         return {ids: _lists(rows), decoded: pa.array([codec.decode(r) for r in rows], pa.string())}
 
-    return _mapped(docs, tokenizer, text, {ids: IDS, decoded: T.StringType()}, step)
+    return _mapped(docs, tokenizer, text, {ids: IDS, decoded: T.StringType()}, step, remembered)

@@ -14,7 +14,7 @@ import re
 import unicodedata
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cache, lru_cache
 from itertools import combinations
 
@@ -227,6 +227,7 @@ class Model:
     document: np.ndarray = field(default_factory=lambda: np.zeros(TOP + 2))
     landmarks: list[bytes] = field(default_factory=list)
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
+    remembered: int = CACHED_WORDS
 
     def values(self, found: list[bytes]) -> np.ndarray:
         """The machine's value for each word: that of its most toxic window."""
@@ -248,7 +249,7 @@ class Model:
     def features(self, texts: list[str | None]) -> np.ndarray:
         """Of each text the values of its TOP most toxic distinct words, FLOOR at least, and the log of its words."""
         memory = _MEMORY.of(self.name)
-        if len(memory.known) >= CACHED_WORDS:  # two generations are kept, so frequent words stay
+        if len(memory.known) >= self.remembered:  # two generations are kept, so frequent words stay
             memory.before, memory.known = memory.known, {}
         known, before = memory.known, memory.before
         split = [words(t) for t in texts]
@@ -368,6 +369,9 @@ def held_out(id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score under ``threshold``, all columns as they came."""
-    return scored(docs, model, docs.columns, text).filter(F.col("score") < threshold).select("carried.*")
+def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, remembered: int = CACHED_WORDS) -> DataFrame:
+    """The documents that score under ``threshold``, all columns as they came.
+
+    A worker remembers the values of up to twice ``remembered`` words; fewer take less room and more time, and give the same.
+    """
+    return scored(docs, replace(model, remembered=remembered), docs.columns, text).filter(F.col("score") < threshold).select("carried.*")

@@ -76,7 +76,6 @@ def test_every_pair_at_the_threshold_and_above_is_found(threshold):
 @pytest.mark.parametrize("pairs_a_row", [0, 1 << 30])
 def test_hot_group_and_common_passage(spark, monkeypatch, pairs_a_row):
     monkeypatch.setattr(jaccard, "PAIRS_A_ROW", pairs_a_row)
-    monkeypatch.setattr(jaccard, "COMMON", 50)
     draw = random.Random(4)
     vocabulary = [f"w{k}" for k in range(3000)]
     base = [draw.choice(vocabulary) for _ in range(120)]
