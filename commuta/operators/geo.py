@@ -279,7 +279,8 @@ def nearest_shapes(
     No candidate is farther than the nearest corner of one is from a corner of the shape (``nearest_places``). Sides of both
     then meet in the cells of the grid of the larger of them, only where their boxes come as near, and the least distance of two
     sides counts.
-    A shape that lies in another's interior is found by one of its corners.
+    A shape that lies in another's interior is found by one of its corners. Shapes of one form are searched once; of candidates of one
+    form, and of those that share a side, only the least id is met.
     """
     if system is None:
         corners = candidates.select(F.explode(edges(F.col("geometry"))).alias("e")).select(F.col("e.a.y").alias("y"))
@@ -294,10 +295,17 @@ def nearest_shapes(
     else:
         shapes, candidates = (_in_system(df.select("id", "geometry"), system) for df in (shapes, candidates))
 
+    # Forms are numbered in place of ids, since ids may repeat.
+    forms = cut_lineage(shapes.select("geometry").distinct()).withColumn("_form", F.monotonically_increasing_id())
+    wearers = shapes.join(forms, "geometry").select("id", "_form")
+    shapes = forms.withColumnRenamed("_form", "id")
+    least = F.min(F.struct("id"))["id"].alias("id")
+    candidates = cut_lineage(candidates.groupBy("geometry").agg(least))
+
     def sides_of(df: DataFrame) -> DataFrame:
         return df.select("id", F.explode(edges(F.col("geometry"))).alias("e"))
 
-    mine, theirs = cut_lineage(sides_of(shapes)), cut_lineage(sides_of(candidates))
+    mine, theirs = cut_lineage(sides_of(shapes)), cut_lineage(sides_of(candidates).groupBy("e").agg(least))
     reach = nearest_places(mine.select("e.a.x", "e.a.y"), theirs.select("id", "e.a.x", "e.a.y"), cell_m)
     corners = mine.select("id", F.col("e.a.x").alias("x"), F.col("e.a.y").alias("y"))
     reach = corners.join(reach, ["x", "y"]).groupBy("id").agg(F.min("d2").alias("_reach2"))
@@ -348,6 +356,8 @@ def nearest_shapes(
     inside = within(one_corner(shapes), candidates).select("id", F.col("zone_id").alias("nearest_id"), F.lit(0.0).alias("d2"))
     around = within(one_corner(candidates), shapes).select(F.col("zone_id").alias("id"), F.col("id").alias("nearest_id"), F.lit(0.0).alias("d2"))
     best = apart.unionByName(inside).unionByName(around).groupBy("id").agg(F.min(F.struct("d2", "nearest_id")).alias("_best"))
+    # An id of several forms has the nearest of them.
+    best = wearers.join(best.withColumnRenamed("id", "_form"), "_form").groupBy("id").agg(F.min("_best").alias("_best"))
     return best.select("id", "_best.nearest_id", F.sqrt("_best.d2").alias("distance_m"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from commuta.functions import geometry as gm
 from commuta.functions import projections as pr
-from commuta.operators import geo, landuse
+from commuta.operators import geo, landuse, lineage
 
 METRES = gm.METRES_PER_DEGREE
 COS = math.cos(math.radians(30.0))
@@ -145,6 +145,28 @@ def test_nearest_shapes_equal_brute_force(spark, seed):
             assert got[i] == (want, pytest.approx(d, abs=1e-5)), i
 
 
+def test_shapes_of_one_form_are_searched_once(spark, monkeypatch):
+    """Ids may repeat, also with another form: the nearest of their forms counts, and of equal candidates the least id."""
+    def box(x, y):
+        return [(False, [(x, y), (x + 0.01, y), (x + 0.01, y + 0.01), (x, y + 0.01)])]
+
+    ours = [(f"s{i:03}", box(-98.0, 30.0)) for i in range(300)] + [("twice", box(-98.0, 30.0)), ("twice", box(-97.0, 30.0)), ("twice", box(-97.0, 30.0))]
+    theirs = [(f"c{i:03}", box(-97.98, 30.0)) for i in range(299, -1, -1)] + [("b", box(-97.0, 30.0)), ("c000", box(-96.0, 30.0))]
+    sizes = []
+
+    def cut(df):
+        sizes.append((kept := lineage.cut_lineage(df)).count())
+        return kept
+
+    monkeypatch.setattr(geo, "cut_lineage", cut)
+    schema = f"id string, geometry {gm.GEOMETRY}"
+    got = geo.nearest_shapes(spark.createDataFrame(ours, schema), spark.createDataFrame(theirs, schema), 30.0).collect()
+    found = {r.id: (r.nearest_id, round(r.distance_m)) for r in got}
+    gap = round(0.01 * gm.METRES_PER_DEGREE * math.cos(math.radians(30.0)))
+    assert len(got) == 301 and found.pop("twice") == ("b", 0) and set(found.values()) == {("c000", gap)}
+    assert max(sizes) < 100, sizes
+
+
 def test_local_system(spark):
     """Points and blocks in degrees, zones in degrees: all taken to metres of one system first."""
     ring = [(-98.1, 29.9), (-97.9, 29.9), (-97.9, 30.1), (-98.1, 30.1)]
