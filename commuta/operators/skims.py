@@ -279,29 +279,53 @@ def auto_skims(highway: DataFrame, distance: DataFrame, zones: DataFrame, *args,
     return unpack_od(pack_auto(highway, distance, zones, *args, **kw), zones)
 
 
-def pack_transit(
-    transit: DataFrame, zones: DataFrame, periods: list[str] = PERIODS, paths: list[str] = TRANSIT_PATHS,
-    measure_map: dict[str, str | None] = TRANSIT_MEASURES,
-) -> DataFrame:
-    """Packed transit skims (period, path); express and any-transit paths read the local path's rows.
-
-    Mapped measures are scaled by 100, on the given rows, except fares and boardings; missing is 0.
-    """
+def _given_transit(
+    transit: DataFrame, zones: DataFrame, periods: list[str], paths: list[str], measure_map: dict[str, str | None], origins: DataFrame | None = None,
+) -> tuple[DataFrame, dict[str, str], Column]:
+    """The given cells by period and path read (see ``_given_od``), the column behind each mapped measure, and the names of a path's readers."""
     local: dict[str, list[str]] = {}
     for path in paths:
         local.setdefault(path.replace("EXP", "LOC").replace("TRN", "LOC"), []).append(path)
     sources = {n: f"{s}*1" if n in UNSCALED else f"{s}*{TRANSIT_SCALE}" for n, s in measure_map.items() if s}
     scaled = {sources[n]: F.col(s) if n in UNSCALED else F.col(s) * TRANSIT_SCALE for n, s in measure_map.items() if s}
     given = _given_od(transit.withColumnRenamed("pathType", "_read"), zones, {"timePeriod": periods, "_read": list(local)}, scaled)
-    dense = given.select("timePeriod", "_read", "origin", "o_idx", "_zones", *[_dense(s, 0.0).alias(s) for s in scaled])
+    if origins is not None:
+        given = given.join(origins.select("origin"), "origin", "left_semi")
     name_map = F.create_map(*[c for k, v in local.items() for c in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
-    named = dense.withColumn("pathType", F.explode(name_map[F.col("_read")]))
+    return given, sources, name_map[F.col("_read")]
+
+
+def pack_transit(
+    transit: DataFrame, zones: DataFrame, periods: list[str] = PERIODS, paths: list[str] = TRANSIT_PATHS,
+    measure_map: dict[str, str | None] = TRANSIT_MEASURES, origins: DataFrame | None = None,
+) -> DataFrame:
+    """Packed transit skims (period, path); express and any-transit paths read the local path's rows.
+
+    Mapped measures are scaled by 100, on the given rows, except fares and boardings; missing is 0. With ``origins`` (column
+    ``origin``) only their rows are completed.
+    """
+    given, sources, readers = _given_transit(transit, zones, periods, paths, measure_map, origins)
+    dense = given.select("timePeriod", "_read", "origin", "o_idx", "_zones", *[_dense(s, 0.0).alias(s) for s in dict.fromkeys(sources.values())])
+    named = dense.withColumn("pathType", F.explode(readers))
     none = F.array_repeat(F.lit(0.0), F.col("_zones"))
     return named.select("timePeriod", "pathType", "origin", "o_idx", *[
         (F.col(f"`{sources[n]}`") if s else none).alias(n) for n, s in measure_map.items()
     ])
 
 
+def given_transit(
+    transit: DataFrame, zones: DataFrame, periods: list[str] = PERIODS, paths: list[str] = TRANSIT_PATHS,
+    measure_map: dict[str, str | None] = TRANSIT_MEASURES,
+) -> DataFrame:
+    """The cells of ``transit_skims`` that ``transit`` has rows for, in the same columns; all others are 0 in every measure."""
+    given, sources, readers = _given_transit(transit, zones, periods, paths, measure_map)
+    cells = given.select("timePeriod", "origin", F.explode(readers).alias("pathType"), "_given").withColumn("_c", F.explode("_given"))
+    none = F.lit(0.0)
+    return cells.select("timePeriod", "pathType", "origin", F.get(_zone_ids(zones), F.col("_c.d") - 1).alias("destination"), *[
+        (F.coalesce(F.col("_c")[sources[n]], none) if s else none).alias(n) for n, s in measure_map.items()
+    ])
+
+
 def transit_skims(transit: DataFrame, zones: DataFrame, *args, **kw) -> DataFrame:
     """Wide transit skims (period, path, pair); see ``pack_transit``."""
     return unpack_od(pack_transit(transit, zones, *args, **kw), zones)
@@ -349,12 +373,21 @@ def transit_total_time(wide: DataFrame, path: str = "WLK_LOC_WLK", period: str =
     return wide.filter((F.col("pathType") == path) & (F.col("timePeriod") == period)).select(*OD, total.alias("value"))
 
 
-def skim_profile(pairs: DataFrame, k: int, seed: int) -> DataFrame:
-    """Rows of k sampled origins that have any value; 0 and 999 read as no connection (NULL)."""
-    sampled = (
+def profile_origins(pairs: DataFrame, k: int, seed: int) -> DataFrame:
+    """k sampled origins that have any value; pairs of value 0 may be left out."""
+    return (
         pairs.groupBy("origin").agg(F.sum("value").alias("_sum")).filter(F.col("_sum") != 0)
         .orderBy(hash_uniform("origin", seed), "origin").limit(k).select("origin")
     )
+
+
+def skim_profile(pairs: DataFrame, k: int, seed: int, given: DataFrame | None = None) -> DataFrame:
+    """Rows of k sampled origins that have any value; 0 and 999 read as no connection (NULL).
+
+    ``given``, where there is one, has all pairs of other origins too, save those of value 0: origins are drawn from it
+    (``profile_origins``), and ``pairs`` need be completed for them alone.
+    """
+    sampled = profile_origins(pairs if given is None else given, k, seed)
     value = F.when(~F.col("value").isin(NO_CONNECTION), F.col("value"))
     return pairs.join(sampled, "origin", "left_semi").withColumn("value", value)
 

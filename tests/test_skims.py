@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from commuta.operators import merge, skims as sk
+from workload import skims as queries
 
 SCHEMA = "timePeriod string, origin string, destination string, v double"
 
@@ -129,6 +130,25 @@ def test_profile_is_stable_and_skips_empty_origins(spark):
     assert {r[2] for r in one} == {None, 333.0, 666.0}
 
 
+def test_profile_completes_sampled_origins_only(spark, tables, monkeypatch, rows):
+    seen, unpack = [], sk.unpack_od
+    monkeypatch.setattr(sk, "unpack_od", lambda packed, zones: (seen.append(packed.count()), unpack(packed, zones))[1])
+    got = rows(queries.profile(tables))
+    assert seen == [6]
+    monkeypatch.undo()
+    assert got == rows(sk.skim_profile(queries.transit_total(tables), 6, 7))
+
+
+def test_given_transit_are_the_cells_that_have_rows(spark, tables, rows):
+    paths = ["WLK_LOC_WLK", "WLK_EXP_WLK", "DRV_COM_WLK"]
+    given = sk.given_transit(queries.clean(tables).filter(F.col("pathType").isin(queries.TRANSIT_RAW)), queries.taz(tables), ["AM"], paths)
+    whole = queries.transit(tables, periods=["AM"], paths=paths)
+    assert given.columns == whole.columns and 0 < given.count() < whole.count()
+    assert given.exceptAll(whole).isEmpty()
+    rest = whole.join(given.select(*sk.SKIM_KEYS), sk.SKIM_KEYS, "left_anti")
+    assert rest.filter(" or ".join(f"{m} != 0" for m in sk.TRANSIT_MEASURES)).isEmpty()
+
+
 def test_time_factors(spark, rows):
     iskims = spark.createDataFrame([(360, 1, 1, 60.0, 200000.0), (540, 1, 1, 120.0, 200000.0), (360, 1, 2, 0.0, 1.0), (360, 2, 1, 60.0, 1.0)],
                                    "interval_end int, o int, d int, time double, distance double")

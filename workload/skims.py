@@ -181,8 +181,19 @@ add("k11_skim_upsert", lambda T: sk.skim_upsert(rows_of(T), T.skim_new.select(*R
          and n.origin = r.origin and n.destination = r.destination)""")
 
 
-def transit_total(T):
-    return sk.transit_total_time(transit(T, periods=["AM"], paths=["WLK_LOC_WLK"]))
+def given_total(T):
+    raw = clean(T).filter(F.col("pathType").isin(TRANSIT_RAW))
+    return sk.transit_total_time(sk.given_transit(raw, taz(T), periods=["AM"], paths=["WLK_LOC_WLK"]))
+
+
+def transit_total(T, **kw):
+    return sk.transit_total_time(transit(T, periods=["AM"], paths=["WLK_LOC_WLK"], **kw))
+
+
+def profile(T):
+    """Only the rows of the sampled origins are completed."""
+    given = given_total(T)
+    return sk.skim_profile(transit_total(T, origins=sk.profile_origins(given, 6, 7)), 6, 7, given)
 
 
 TOTAL = f"""{GRID}, {CLEAN}, total as (select g.origin, g.destination,
@@ -190,7 +201,7 @@ TOTAL = f"""{GRID}, {CLEAN}, total as (select g.origin, g.destination,
     from grid g left join (select * from clean where pathType = 'WLK_LOC_WLK' and timePeriod = 'AM') c
     on c.origin = g.origin and c.destination = g.destination)"""
 add("k12_transit_total_time", transit_total, f"with {TOTAL} select origin, destination, round(value, 6)::double as value from total")
-add("k12_skim_profile", lambda T: sk.skim_profile(transit_total(T), 6, 7), f"""
+add("k12_skim_profile", profile, f"""
     with {TOTAL}, pick as (select origin from total group by origin having sum(value) <> 0
         order by ('0x' || substr(md5(origin || ':7'), 1, 13))::bigint, origin limit 6)
     select origin, destination, case when value not in (0, 999) then round(value, 6) end::double as value
