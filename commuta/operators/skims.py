@@ -337,13 +337,16 @@ def pack_wide(wide: DataFrame, zones: DataFrame) -> DataFrame:
     return pack_od(wide, zones, slices, [c for c in wide.columns if c not in SKIM_KEYS])
 
 
-def matrix_export(packed: DataFrame, name: Column | None = None) -> DataFrame:
+def matrix_export(packed: DataFrame, name: Column | None = None, side_by_side: bool = False) -> DataFrame:
     """One row per matrix and origin of packed skims: (name, o_idx, values).
 
     Value i of an array belongs to zone position i; a pair without a value is NULL in its
     place. Names are path_measure__period unless ``name`` gives the prefix. Nothing is shuffled.
+    With ``side_by_side`` a slice's matrices stay in one row per origin, a column each, named by their measures.
     """
     measures = _array_columns(packed)
+    if side_by_side:
+        return packed.drop("origin")
     slices = [c for c in packed.columns if c not in ("origin", "o_idx", *measures)]
     named = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("values")) for m in measures])
     exported = packed.select(*slices, "o_idx", F.explode(named).alias("_m"))

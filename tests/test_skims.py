@@ -149,6 +149,15 @@ def test_given_transit_are_the_cells_that_have_rows(spark, tables, rows):
     assert rest.filter(" or ".join(f"{m} != 0" for m in sk.TRANSIT_MEASURES)).isEmpty()
 
 
+def test_matrices_side_by_side_need_no_grouping(spark, zones, tables):
+    packed = sk.pack_od(spark.createDataFrame([("1", "2", 3.0, 4.0)], "origin string, destination string, a double, b double"), zones, {}, ["a", "b"])
+    apart = {(r.name, r.o_idx): r["values"] for r in sk.matrix_export(packed).collect()}
+    beside = sk.matrix_export(packed, side_by_side=True)
+    assert {(m, r.o_idx): r[m] for r in beside.collect() for m in ("a", "b")} == apart and beside.columns == ["o_idx", "a", "b"]
+    plan = queries.matrix_rows(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "max(CASE WHEN" not in plan
+
+
 def test_time_factors(spark, rows):
     iskims = spark.createDataFrame([(360, 1, 1, 60.0, 200000.0), (540, 1, 1, 120.0, 200000.0), (360, 1, 2, 0.0, 1.0), (360, 2, 1, 60.0, 1.0)],
                                    "interval_end int, o int, d int, time double, distance double")

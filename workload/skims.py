@@ -248,9 +248,8 @@ def matrix_rows(T):
     at = T.interval_skim.filter(F.col("interval_end") == 720)
     rows = sk.matrix_export(sk.pack_od(
         at.select(F.col("o").cast("string").alias("origin"), F.col("d").cast("string").alias("destination"), "time", "cost"),
-        taz(T), {}, ["time", "cost"]))
-    wide = rows.groupBy((F.col("o_idx") - 1).alias("row")).agg(
-        *[F.max(F.when(F.col("name") == m, F.col("values"))).alias(m) for m in ("time", "cost")])
+        taz(T), {}, ["time", "cost"]), side_by_side=True)
+    wide = rows.select((F.col("o_idx") - 1).alias("row"), "time", "cost")
     return wide.withColumn("time", F.transform("time", lambda v: F.coalesce(v, nan)))
 
 
