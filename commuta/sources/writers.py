@@ -32,8 +32,12 @@ def write_store_table(df: DataFrame, root: str, table: str, stage: str, year: in
 
 
 def write_skims(df: DataFrame, path: str) -> None:
-    """Long or wide skims as Parquet by period and path, so that slice filters prune folders."""
-    df.write.mode("overwrite").partitionBy("timePeriod", "pathType").parquet(path)
+    """Long or wide skims as Parquet by period and path, so that slice filters prune folders.
+
+    Rows are sorted by slice before they are written, so they are dealt by slice first, in parts of even sizes that follow
+    the data: a task sorts a part, however many rows the skims have.
+    """
+    df.hint("rebalance", "timePeriod", "pathType").write.mode("overwrite").partitionBy("timePeriod", "pathType").parquet(path)
 
 
 def write_matrices(matrices: DataFrame, path: str, rows_per_part: int = 512) -> None:

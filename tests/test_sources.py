@@ -199,3 +199,11 @@ def test_blocks_go_on_over_splits(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("Something else 5\n,1,\n1,2.0,\n")
     with pytest.raises(Exception, match="unknown block title"):
         blocks.read_matrix_blocks(spark, str(tmp_path / "bad.csv")).collect()
+
+
+def test_skims_are_dealt_by_slice_before_they_are_written(spark, tmp_path):
+    """Tasks that hold rows of all slices would sort all they hold and write a file for each slice."""
+    df = spark.range(800).selectExpr("if(id % 2 = 0, 'AM', 'PM') as timePeriod", "'SOV' as pathType", "id").repartition(8)
+    writers.write_skims(df, str(tmp_path / "skims"))
+    assert len(list((tmp_path / "skims").rglob("*.parquet"))) <= 4
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "skims")).collect()) == list(range(800))
