@@ -1,9 +1,12 @@
-"""Near-duplicates by the exact Jaccard similarity of shingle sets: a prefix-filtered self-join, every link verified.
+"""Near-duplicates by SimHash tries and the exact Jaccard similarity of shingle sets, every link verified.
 
-Sets of Jaccard similarity s >= 0.8 share at least 0.8 of the larger one, so in any one order of all shingles they share
+The tries of ``simhash`` propose pairs first, at most two bits apart. Texts of a similarity of 0.8 can differ in more bits, so
+a prefix-filtered self-join is the exact way for what the verified ones among them leave apart:
+sets of Jaccard similarity s >= 0.8 share at least 0.8 of the larger one, so in any one order of all shingles they share
 one of the first n - ceil(0.8 n) + 1 of each: joining those finds every pair. The order is by the number of documents,
 counted over all of them in a table of fixed size, so that a common passage is seldom joined on: shingles that share a slot
-only come later than they might. A candidate is a link only if the full sets of hashes say so.
+only come later than they might. At the first shingle that two such sets share, what is left of either holds all they share, so
+pairs with less left are not formed. A candidate is a link only if the full sets of hashes say so.
 """
 
 from __future__ import annotations
@@ -69,9 +72,9 @@ def document_counts(docs: DataFrame, text: str, size: int) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, carry: list[str], text: str, size: int) -> DataFrame:
-    """``carried`` (a struct of ``carry``), ``fingerprint`` (long, of the whole set), ``n`` and ``keys`` per document.
+    """``carried`` (a struct of ``carry``), ``fingerprint`` (long, of the whole set), ``bits``, ``n`` and ``keys`` per document.
 
-    ``keys`` are the distinct shingle hashes, those first whose slot fewer documents have.
+    ``keys`` are the distinct shingle hashes, those first whose slot fewer documents have; ``bits`` the SimHash fingerprint.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(np.minimum(document_counts(docs, text, size), (1 << 32) - 1).astype(np.uint32))
 
@@ -79,21 +82,38 @@ def shingle_sets(docs: DataFrame, carry: list[str], text: str, size: int) -> Dat
         alone("jaccard")
         often = shipped.value
         for batch in batches:
-            made, prints = [], []
+            made, prints, bits = [], [], []
             for t in bodies(batch, text).to_pylist():
                 keys = hashes(t, size)
+                bits.append(simhash.fingerprint(t, size))
                 prints.append(xxhash.xxh3_64_intdigest(keys.tobytes()))
                 made.append(keys[np.argsort(often[slots(keys)], kind="stable")].view(np.int64))
             sizes = np.array([len(m) for m in made], np.int32)
             edge = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             values = np.concatenate([*made, np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_pydict({
-                "carried": batch["carried"], "fingerprint": pa.array(np.array(prints, np.uint64).view(np.int64)), "n": pa.array(sizes),
+                "carried": batch["carried"], "fingerprint": pa.array(np.array(prints, np.uint64).view(np.int64)),
+                "bits": pa.array(np.array(bits, np.uint64).view(np.int64)), "n": pa.array(sizes),
                 "keys": pa.ListArray.from_arrays(pa.array(edge), pa.array(values)),
             })
 
     rows = carrying(docs, carry, text)
-    return rows.mapInArrow(run, rows.select("carried").schema.add("fingerprint", "long").add("n", "integer").add("keys", T.ArrayType(T.LongType())))
+    kept = rows.select("carried").schema.add("fingerprint", "long").add("bits", "long").add("n", "integer")
+    return rows.mapInArrow(run, kept.add("keys", T.ArrayType(T.LongType())))
+
+
+def proposed(sets: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` of fingerprints of ``sets`` that the SimHash tries link, as a forest, to be verified.
+
+    Sets of the same ``bits`` are paired with the least of them, and these along the links of the tries: at most four pairs a set.
+    """
+    prints = written_table(sets.filter("n > 0").select("fingerprint", "bits").distinct(), "bits")
+    first = prints.groupBy("bits").agg(F.min("fingerprint").alias("first"))
+    same = prints.join(first, "bits").select(F.col("first").alias("a"), F.col("fingerprint").alias("b"))
+    ends = [first.select(F.col("bits").alias(f"{c}_bits"), F.col("first").alias(c)) for c in "ab"]
+    links = simhash.near_links(first.select(F.col("bits").alias("fingerprint"))).toDF("a_bits", "b_bits")
+    near = links.join(ends[0], "a_bits").join(ends[1], "b_bits").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return same.unionByName(near).filter("a != b").distinct()
 
 
 def _meeting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -119,8 +139,9 @@ def verified(pairs: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _apart(a: str, b: str) -> str:
-    """Rows of classes apart whose sizes let them be linked."""
-    return f"{a}.root != {b}.root and {OF}L * least({a}.n, {b}.n) >= {LEAST}L * greatest({a}.n, {b}.n)"
+    """Rows of classes apart that can be linked if the shingle is the first one they share: by their sizes and what is left of them."""
+    rest = f"{LEAST + OF}L * least({a}.n - {a}.place, {b}.n - {b}.place) >= {LEAST}L * ({a}.n + {b}.n)"
+    return f"{a}.root != {b}.root and {OF}L * least({a}.n, {b}.n) >= {LEAST}L * greatest({a}.n, {b}.n) and {rest}"
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
@@ -130,24 +151,25 @@ def _pairs(joined: DataFrame) -> DataFrame:
 def near_links(sets: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` between fingerprints of ``sets`` that connect all pairs of similarity LEAST / OF or more.
 
-    Rows are a shingle of a set's prefix each. Where many sets share one they are compared with a single row first, and
+    The pairs that the SimHash tries propose are verified first. The rest meet by rows, a shingle of a set's prefix each: where many sets share one they are compared with a single row first, and
     again with others as long as that halves the pairs left; only pairs of rows still in classes apart are then compared, all of
     them, in a join that adaptive execution can split. No node or group is held whole by one worker.
     """
     prefix = F.expr(f"slice(keys, 1, cast(n * {OF - LEAST}L div {OF} as int) + 1)")
-    rows = sets.filter("n > 0").select("fingerprint", "n", F.explode(prefix).alias("key"))
+    rows = sets.filter("n > 0").select("fingerprint", "n", F.posexplode(prefix).alias("place", "key"))
     shared = rows.groupBy("key").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high")).filter("low != high").select("key")
     shared = written_table(shared, "shared")
-    rows = marked(rows, ["key"], bitmap(shared, ["key"])).filter("open").select("key", "fingerprint", "n")
+    rows = marked(rows, ["key"], bitmap(shared, ["key"])).filter("open").select("key", "fingerprint", "n", "place")
     rows = written_table(rows.join(shared, "key", "left_semi").distinct(), "members")
     heads = written_table(rows.groupBy("fingerprint").agg(F.first("n").alias("n"), F.collect_list("key").alias("keys")), "heads")
-    found = compared = written_table(sets.limit(0).select(F.col("fingerprint").alias("a"), F.col("fingerprint").alias("b")), "links")
-    classes, before, turn = None, None, 0
+    compared = written_table(proposed(sets), "pairs")
+    found = written_table(verified(compared, heads, sets), "links")
+    before, turn = None, 0
     while True:
-        if classes is None:
-            left = rows.withColumn("root", F.col("fingerprint"))
-        else:
-            left = rows.join(classes, F.col("fingerprint") == F.col("node"), "left").select("key", "fingerprint", "n", F.coalesce("root", "fingerprint").alias("root"))
+        classes = written_table(components(found, "a", "b"), "roots")
+        left = rows.join(classes, F.col("fingerprint") == F.col("node"), "left").select(
+            "key", "fingerprint", "n", "place", F.coalesce("root", "fingerprint").alias("root")
+        )
         # A shingle is done when its rows are of one class; the rows of its largest class need no comparing with one another.
         sizes = left.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
         sizes = sizes.groupBy("key").agg(F.max(F.struct("size", "root")).alias("main"), F.sum("size").alias("all"))
@@ -159,15 +181,14 @@ def near_links(sets: DataFrame) -> DataFrame:
         others = left.filter("root != main")
         last = state[0] <= PAIRS_A_ROW * state[1] or (before is not None and 2 * state[0] > before)
         if not last:
-            drawn = F.min(F.struct(F.xxhash64("fingerprint", F.lit(turn)), "fingerprint", "n", "root")).alias("one")
-            others = others.groupBy("key").agg(drawn).select("key", "one.fingerprint", "one.n", "one.root")
+            drawn = F.min(F.struct(F.xxhash64("fingerprint", F.lit(turn)), "fingerprint", "n", "place", "root")).alias("one")
+            others = others.groupBy("key").agg(drawn).select("key", "one.fingerprint", "one.n", "one.place", "one.root")
         joined = others.alias("x").join(left.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr(_apart("x", "y")))
         pairs = written_table(_pairs(joined).join(compared, ["a", "b"], "left_anti"), "pairs")
         found = written_table(found.unionByName(verified(pairs, heads, sets)), "links")
         if last:
             return found
         compared = compared.unionByName(pairs)
-        classes = written_table(components(found, "a", "b"), "roots")
         before, turn = state[0], turn + 1
 
 
@@ -175,7 +196,7 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
     """The rows of ``docs`` that stay, one for each class of near-duplicates: the one with the smallest id.
 
     Classes are what links connect, and texts are linked if their sets of ``size``-word shingles have a Jaccard
-    similarity of LEAST / OF or more; texts without words are linked with one another alone. The rest is as in ``simhash``.
+    similarity of LEAST / OF or more, whether SimHash tries or shared shingles propose them; texts without words are linked with one another alone. The rest is as in ``simhash``.
     """
     made: list[DataFrame] = []
 

@@ -30,7 +30,10 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of the smallest id, for each class of near-duplicates: five-word shingles, exact Jaccard similarity 0.8 and more."""
+    """One document, of the smallest id, for each class of near-duplicates: five-word shingles, exact Jaccard similarity 0.8 and more.
+
+    SimHash tries propose links and each is verified; a join of shared shingles finds those of more differing bits.
+    """
     bounded(spark, BATCH_BYTES)
     return jaccard.drop_near_duplicates(docs, size=5)
 

@@ -89,3 +89,36 @@ def test_hot_group_and_common_passage(spark, monkeypatch, pairs_a_row):
 
 def test_no_rows(spark):
     assert kept(spark, [], jaccard.drop_near_duplicates) == set()
+
+
+def sets_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = jaccard.written_table(jaccard.shingle_sets(docs, ["doc_id"], "text", 5), "sets")
+    return sets, {r.doc_id: r.fingerprint for r in sets.select("carried.doc_id", "fingerprint").collect()}
+
+
+def test_tries_propose_and_every_proposal_is_verified(spark, monkeypatch):
+    draw = random.Random(6)
+    words = [f"w{k}" for k in range(3000)]
+    base = [draw.choice(words) for _ in range(400)]
+    alike = [" ".join(base), " ".join(["zz", *base[1:]]), " ".join([*base[:-1], "zz"])]
+    unlike = [" ".join(["x"] * 400 + [draw.choice(words) for _ in range(30)]) for _ in range(2)]  # of the same bits, by one shingle
+    sets, named = sets_of(spark, [*alike, *unlike, " ".join(draw.choice(words) for _ in range(80))])
+    classes = [{tuple(r) for r in jaccard.components(jaccard.proposed(sets), "a", "b").collect()}]
+    groups = {}
+    for node, root in classes[0]:
+        groups.setdefault(root, set()).add(node)
+    assert sorted(map(sorted, (g | {r} for r, g in groups.items()))) == sorted(map(sorted, ({named[k] for k in ks} for ks in ((0, 1, 2), (3, 4)))))
+
+    walked = []
+    monkeypatch.setattr(jaccard.simhash, "near_links", lambda prints, links=simhash.near_links: walked.append(prints.count()) or links(prints))
+    stay = kept(spark, list(enumerate([*alike, *unlike])), lambda docs: corpus_pipeline.near_stage(spark, docs, ""))
+    assert stay == {0, 3, 4} and len(walked) == 1
+
+
+def test_pairs_with_too_little_left_are_not_formed(spark, monkeypatch):
+    base = [f"b{k}" for k in range(80)]
+    sets, _ = sets_of(spark, [" ".join([f"t{k}x{j}" for j in range(15)] + base + [f"t{k}y{j}" for j in range(5)]) for k in range(60)])
+    formed = []
+    monkeypatch.setattr(jaccard, "_pairs", lambda joined, pairs=jaccard._pairs: formed.append(joined.count()) or pairs(joined))
+    assert jaccard.near_links(sets.drop("carried")).count() == 0 and sum(formed) == 0
