@@ -118,7 +118,7 @@ def test_tries_propose_and_every_proposal_is_verified(spark, monkeypatch):
 
 def test_pairs_with_too_little_left_are_not_formed(spark, monkeypatch):
     base = [f"b{k}" for k in range(80)]
-    sets, _ = sets_of(spark, [" ".join([f"t{k}x{j}" for j in range(15)] + base + [f"t{k}y{j}" for j in range(5)]) for k in range(60)])
+    sets, _ = sets_of(spark, [" ".join([f"t{k}x{j}" for j in range(8)] + base + [f"t{k}y{j}" for j in range(3)]) for k in range(60)])
     formed = []
     monkeypatch.setattr(jaccard, "_pairs", lambda joined, pairs=jaccard._pairs: formed.append(joined.count()) or pairs(joined))
     assert jaccard.near_links(sets.drop("carried")).count() == 0 and sum(formed) == 0
