@@ -19,7 +19,7 @@ from commuta.functions.geometry import (
     planar_miles, rings_from_lists, rings_from_wkt, sides, touches,
 )
 from commuta.functions.projections import System, project, project_geometry
-from commuta.operators.joins import lookup, shuffled
+from commuta.operators.joins import dealt, lookup, shuffled
 from commuta.operators.lineage import cut_lineage, written_table
 
 CELL_COLUMNS = ["_cx", "_cy"]
@@ -381,29 +381,35 @@ def max_overlap_zone(
     than a 10^12th of the block's bounding box is no overlap. Equal areas go to the least zone
     id. Only ids and bounding boxes meet in the grid, in the cell of the lower-left corner of
     their shared box, so each pair is formed once; shapes join the pairs whose boxes overlap.
+    Shapes are made, and pairs worked on, in tasks dealt by row and not by size; boxes, sides and centres are found once each.
     The overlap result is checkpointed, as the fallback reads it again. With ``system``, shapes are taken from degrees into
     that local system first, areas are in its square metres, distances in its metres, and ``cell`` counts 100,000 metres.
     """
     if system is not None:
         blocks, zones, cell = _in_system(blocks, system), _in_system(zones, system), cell * 1e5
-    def boxed(df: DataFrame, key: str, name: str) -> DataFrame:
+    def described(df: DataFrame, key: str) -> DataFrame:
         box = F.struct(*[v.alias(k) for k, v in bounds(F.col("geometry")).items()])
-        return df.filter(F.size("geometry") > 0).select(key, box.alias(name))
-
-    def celled(df: DataFrame, name: str) -> DataFrame:
-        return _covered_cells(df, {k: F.col(f"{name}.{k}") for k in ("x0", "x1", "y0", "y1")}, cell)
-
-    b = celled(boxed(blocks, "GEOID", "_bb"), "_bb")
-    z = shuffled(celled(boxed(zones, "zone_id", "_zb"), "_zb"))
+        return written_table(dealt(df.select(key, "geometry"), key).select(
+            key, box.alias("box"), sides(F.col("geometry")).alias("sides"), centroid(F.col("geometry")).alias("centre"),
+            (F.size("geometry") > 0).alias("has_rings"),
+        ), "shapes")
+
+    def celled(df: DataFrame, key: str, name: str) -> DataFrame:
+        boxes = df.filter("has_rings").select(key, F.col("box").alias(name))
+        return _covered_cells(boxes, {k: F.col(f"{name}.{k}") for k in ("x0", "x1", "y0", "y1")}, cell)
+
+    blocks, zones = described(blocks, "GEOID"), described(zones, "zone_id")
+    b = celled(blocks, "GEOID", "_bb")
+    z = shuffled(celled(zones, "zone_id", "_zb"))
     x0, y0 = F.greatest("_bb.x0", "_zb.x0"), F.greatest("_bb.y0", "_zb.y0")
     meets = (F.least("_bb.x1", "_zb.x1") > x0) & (F.least("_bb.y1", "_zb.y1") > y0)
     once = (_cell(x0, cell) == F.col("_cx")) & (_cell(y0, cell) == F.col("_cy"))
     least = (F.col("_bb.x1") - F.col("_bb.x0")) * (F.col("_bb.y1") - F.col("_bb.y0")) * 1e-12
     pairs = lookup(b, z, CELL_COLUMNS, how="inner").filter(meets & once).select("GEOID", "zone_id", y0.alias("_base"), least.alias("_least"))
-    block_sides = blocks.select("GEOID", sides(F.col("geometry")).alias("_bs"))
-    zone_sides = zones.select("zone_id", sides(F.col("geometry")).alias("_zs"))
+    block_sides = blocks.select("GEOID", F.col("sides").alias("_bs"))
+    zone_sides = zones.select("zone_id", F.col("sides").alias("_zs"))
     best = cut_lineage(
-        pairs.join(block_sides, "GEOID").join(zone_sides, "zone_id")
+        dealt(pairs, "GEOID").join(block_sides, "GEOID").join(zone_sides, "zone_id")
         .select("GEOID", "zone_id", "_least", overlap_area(F.col("_bs"), F.col("_zs"), F.col("_base")).alias("area"))
         .filter(F.col("area") > F.col("_least"))
         .groupBy("GEOID")
@@ -411,7 +417,7 @@ def max_overlap_zone(
     )
 
     def middle(df: DataFrame, key: str) -> DataFrame:
-        return df.select(F.col(key).alias("id"), centroid(F.col("geometry")).alias("_c")).select("id", "_c.x", "_c.y")
+        return df.select(F.col(key).alias("id"), "centre.x", "centre.y")
 
     rest = middle(blocks.join(best, "GEOID", "left_anti"), "GEOID")
     if system is None:

@@ -81,6 +81,14 @@ def shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by ``keys`` over as many tasks as a shuffle has.
+
+    Spark sizes tasks by bytes, so rows that are small but take long to work on, as shapes do, would all be in one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def missing_keys(rows: DataFrame, key: str, ref: DataFrame, ref_key: str) -> DataFrame:
     """Distinct key values of ``rows`` that ``ref`` lacks."""
     return rows.select(F.col(key).alias("_k")).distinct().join(

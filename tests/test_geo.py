@@ -116,6 +116,19 @@ def test_max_overlap_and_fallback(spark, rows):
     assert rows(out, "GEOID", "zone_id") == [("a", "1"), ("b", "2"), ("c", "2"), ("d", "1"), ("e", "1")]
 
 
+def test_overlaps_are_worked_out_by_several_tasks(spark, monkeypatch):
+    """Shapes that fit one task by their bytes are dealt before they are described and before areas are added up."""
+    made, cut = [], geo.cut_lineage
+    monkeypatch.setattr(geo, "cut_lineage", lambda df: made.append(cut(df)) or made[-1])
+    x = F.col("id").cast("double")
+    ring = F.array(*[F.struct((x + dx).alias("x"), F.lit(dy).alias("y")) for dx, dy in ((0.0, 0.0), (0.6, 0.0), (0.6, 0.6), (0.0, 0.6), (0.0, 0.0))])
+    shapes = spark.range(0, 100, 1, 1).select(F.col("id").cast("string").alias("GEOID"), F.array(F.struct(F.lit(False).alias("hole"), ring.alias("points"))).alias("geometry"))
+    out = geo.max_overlap_zone(shapes, shapes.withColumnRenamed("GEOID", "zone_id"), lat0=0.0, cell=0.5)
+    assert {(r.GEOID, r.zone_id) for r in out.collect()} == {(str(k), str(k)) for k in range(100)}
+    best = made[0].groupBy(F.spark_partition_id()).count().collect()
+    assert len(best) > 1 and max(r[1] for r in best) < 60
+
+
 def test_block_features_from_landed_json(spark, tmp_path, rows):
     page = {"features": [
         {"attributes": {"GEOID": g, "STATE": "48", "COUNTY": "453", "TRACT": "000001", "BLKGRP": "1"},

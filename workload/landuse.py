@@ -8,6 +8,7 @@ from commuta.functions.columns import pad_id
 from commuta.functions.geometry import METRES_PER_DEGREE, rings_from_wkt
 from commuta.functions.projections import SYSTEMS, project
 from commuta.operators import geo, landuse as lu
+from commuta.operators.joins import dealt
 from workload.registry import add
 
 LAT0 = 30.25
@@ -262,7 +263,9 @@ def box(df, key):
     corner = lambda x, y: F.concat(F.col(x).cast("string"), F.lit(" "), F.col(y).cast("string"))
     ring = F.concat_ws(", ", corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), corner("x0", "y0"))
     wkt = F.concat(F.lit("POLYGON (("), ring, F.lit("))"))
-    return df.select(key, rings_from_wkt(wkt).alias("geometry"))
+    corners = df.select(key, "x0", "x1", "y0", "y1")
+    name = corners.columns[0]
+    return dealt(corners, name).select(name, rings_from_wkt(wkt).alias("geometry"))
 
 
 add("g03_max_overlap_zone", lambda T: geo.max_overlap_zone(
