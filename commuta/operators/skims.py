@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -428,19 +428,18 @@ def od_time_lookup(
     """Skim values of each trip (id, o, d, minute) in the interval it starts in; unknown zones drop the trip.
 
     Interval skims keyed by ``mode`` are read for one mode, in that mode's intervals. More than
-    one row for an interval and pair is an error. The skims may outweigh the trips, so they
-    are not repeated for a hot pair: adaptive execution splits its partition at run time.
+    one row for an interval and pair is an error. Nearly all keys of the skims are different, so rows are counted
+    in the order that the join sorts them into: no table of all keys is held by a task, and sorting can spill.
     """
     own = _of_mode(iskims, mode)
     known = zones.select("zone")
     kept = lookup(trips, known.select(F.col("zone").alias("o")), ["o"], how="inner")
     kept = lookup(kept, known.select(F.col("zone").alias("d")), ["d"], how="inner")
     timed = with_interval(kept, F.col("minute"), own, "interval_end")
-    keys = ["interval_end", "o", "d"]
-    double = F.raise_error(F.concat_ws(" ", F.lit("more than one skim row for"), *keys))
-    single = own.groupBy(*keys).agg(
-        F.count("*").alias("_rows"), *[F.max(m).alias(m) for m in measures]
-    ).filter(F.when(F.col("_rows") > 1, double).otherwise(True))
+    keys = ["o", "d", "interval_end"]  # intervals are few: sorted by them first, most rows would be equal at first sight
+    double = F.raise_error(F.concat_ws(" ", F.lit("more than one skim row for"), "interval_end", "o", "d"))
+    rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    single = own.select(*keys, *measures, rows.alias("_rows")).filter(F.when(F.col("_rows") > 1, double).otherwise(True))
     return timed.join(single.drop("_rows"), keys, "left").select("id", "o", "d", "minute", *measures)
 
 

@@ -220,6 +220,15 @@ def test_lookup_by_mode_and_repeated_keys(spark, rows):
         sk.od_time_lookup(trips, iskims.unionByName(iskims), zones, ["time"], mode="BUS").collect()
 
 
+def test_lookup_holds_no_table_of_all_skim_keys(spark):
+    """Skim rows are counted in the order the join sorts them into; an aggregation would hold all keys of a task."""
+    iskims = spark.createDataFrame([(360, 1, 1, 1.0), (1440, 1, 1, 2.0)], "interval_end int, o int, d int, time double")
+    trips = spark.createDataFrame([(1, 1, 1, 5.0)], "id int, o int, d int, minute double")
+    found = sk.od_time_lookup(trips, iskims, spark.createDataFrame([(1,)], "zone int"), ["time"])
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate(keys=[o" not in plan and "Aggregate(keys=[interval_end" not in plan
+
+
 def test_zone_coverage_looks_at_both_ends(spark, zones, rows):
     skims = spark.createDataFrame([("1", "9"), ("2", "1"), (None, "1")], "origin string, destination string")
     got = rows(sk.zone_coverage(skims, zones.limit(2)), "side", "zone_id", "problem")
