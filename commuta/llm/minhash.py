@@ -330,14 +330,17 @@ class _Search:
         """
         rows = self.sketched.filter("n > 0").select("node", "n", F.explode("bands").alias("key"))
         several = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high").select("key")
-        rows = written_table(rows.join(written_table(several, "several"), "key", "left_semi").distinct(), "buckets")
+        rows = rows.join(written_table(several, "several"), "key", "left_semi")
+        owned = written_table(rows.groupBy("node").agg(F.first("n").alias("n"), F.collect_set("key").alias("keys")), "buckets")
         found = written_table(self.sketched.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")), "links")
         classes, before, turn = None, None, 0
         while True:
+            # Classes are of sets: each set finds its own once, whatever the number of its buckets.
             if classes is None:
-                left = rows.withColumn("root", F.col("node"))
+                rooted = owned.withColumn("root", F.col("node"))
             else:
-                left = rows.join(classes.withColumnRenamed("root", "_root"), "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
+                rooted = owned.join(classes.withColumnRenamed("root", "_root"), "node", "left").withColumn("root", F.coalesce("_root", "node"))
+            left = rooted.select(F.explode("keys").alias("key"), "node", "n", "root")
             sizes = left.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
             sizes = sizes.groupBy("key").agg(F.sum("size").alias("all"), F.sum(F.col("size") * F.col("size")).alias("same"))
             sizes = written_table(sizes.filter("same < all * all").select("key", "all", F.expr("all * all - same").alias("cells")), "open")

@@ -130,6 +130,18 @@ def test_hot_groups(spark):
             setattr(minhash, c, v)
 
 
+def test_sets_find_their_class_once(spark, monkeypatch):
+    """What is joined with the classes has a row for each set that shares a bucket, not one for each bucket it is in."""
+    made, write = {}, minhash.written_table
+    monkeypatch.setattr(minhash, "written_table", lambda df, name="table": made.setdefault(name, []).append(write(df, name)) or made[name][-1])
+    rng = random.Random(8)
+    first = [rng.choice(VOCABULARY) for _ in range(100)]
+    docs = [(k, " ".join(changed(first, 0.01, rng))) for k in range(40)]
+    assert run(spark, docs) == plain(docs)
+    (buckets,) = made["buckets"]
+    assert 2 <= buckets.count() == buckets.select("node").distinct().count() <= len(docs)
+
+
 def test_rows_formed_in_a_family_below_the_threshold(spark):
     """Hundreds of sets that are alike but not linked: what leaves a task is links, not the pairs that were compared."""
     rng = random.Random(7)
