@@ -38,3 +38,9 @@ def test_entry(spark):
 def test_flagship_reads_only_needed_columns(spark, sf_dir):
     plan = QUERIES["r31_gap_calculations"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "o_orderkey" in plan and "o_totalprice" not in plan and plan.count("FileScan") == 1
+
+
+def test_transit_cells_are_rounded_before_they_are_completed(spark, sf_dir):
+    plan = QUERIES["k08_transit_skims_cells"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    cells, given = plan.split("Generate explode(sequence(", 1)
+    assert "round(" not in cells and "round(" in given
