@@ -122,3 +122,28 @@ def test_pairs_with_too_little_left_are_not_formed(spark, monkeypatch):
     formed = []
     monkeypatch.setattr(jaccard, "_pairs", lambda joined, pairs=jaccard._pairs: formed.append(joined.count()) or pairs(joined))
     assert jaccard.near_links(sets.drop("carried")).count() == 0 and sum(formed) == 0
+
+
+def apart(n, shared=85, own=15):
+    """Texts that share most of their words, and shingles of their prefixes, but stay under the threshold."""
+    base = [f"b{k}" for k in range(shared)]
+    return [" ".join(base + [f"t{k}x{j}" for j in range(own)]) for k in range(n)]
+
+
+def test_prefixes_alone_are_written(spark, monkeypatch):
+    tables = []
+    write = jaccard.written_table
+    monkeypatch.setattr(jaccard, "written_table", lambda df, name="table": tables.append((name, write(df, name))) or tables[-1][1])
+    base = [f"c{k}" for k in range(100)]
+    texts = [*apart(3), " ".join(base), " ".join(["zz", *base[1:]])]
+    assert kept(spark, list(enumerate(texts)), jaccard.drop_near_duplicates) == {0, 1, 2, 3}
+    sets = [t for name, t in tables if name == "sets"]
+    assert len(sets) == 1 and sets[0].filter("size(keys) != n div 5 + 1").count() == 0
+
+
+def test_a_shingle_of_few_sets_takes_one_turn(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRS_A_ROW", 0)
+    sets, _ = sets_of(spark, apart(3))
+    turns = []
+    monkeypatch.setattr(jaccard, "_pairs", lambda joined, pairs=jaccard._pairs: turns.append(1) or pairs(joined))
+    assert jaccard.near_links(sets.drop("carried")).count() == 0 and len(turns) == 1
