@@ -31,8 +31,16 @@ def mercator_y(lat: Column) -> Column:
 
 def planar_miles(x1: Column, y1: Column, x2: Column, y2: Column, at_least_m: float = 0.0) -> Column:
     """Distance of two projected points in miles; zero metres become ``at_least_m``."""
-    dx, dy = x1 - x2, y1 - y2
-    metres = F.sqrt(dx * dx + dy * dy)
+    return planar_miles_of(planar_metres(x1 - x2, y1 - y2), at_least_m)
+
+
+def planar_metres(dx: Column, dy: Column) -> Column:
+    """Length of a difference of two projected points."""
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def planar_miles_of(metres: Column, at_least_m: float = 0.0) -> Column:
+    """Metres in miles; zero metres become ``at_least_m``."""
     return F.when(metres == 0, at_least_m).otherwise(metres) * (MILES_PER_KM / 1000)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commuta.functions.columns import MILES_PER_KM, finite, hash_uniform, safe_div
-from commuta.functions.geometry import mercator_x, mercator_y, planar_miles
+from commuta.functions.geometry import mercator_x, mercator_y, planar_metres, planar_miles_of
 from commuta.operators.joins import as_of, lookup, missing_keys, running_totals
 
 # Time periods, paths and measure sources of the demand model.
@@ -221,24 +221,32 @@ def od_complete(
     return unpack_od(pack_od(df, zones, slices, measures, fill), zones)
 
 
-def pack_distance(highway: DataFrame, zones: DataFrame) -> DataFrame:
-    """Packed miles (measure DIST): the last highway row's distance, else between centroids (at least 100 m).
-
-    ``highway`` carries ``ordinal``, its file order; a NULL last distance is imputed too.
-    ``zones`` carries centroid cx, cy. Centroids meet the packed rows, not the pairs.
-    """
+def _pack_miles(highway: DataFrame, zones: DataFrame) -> DataFrame:
+    """What miles are made from, by origin: the last highway row's distances (``_miles``), the origin's centroid
+    (``_x0``, ``_y0``) and those of all zones by position (``_x``, ``_y``), projected."""
     last = highway.groupBy(*OD).agg(F.max_by("DIST_miles", "ordinal").alias("_miles"))
     centre = F.struct(F.col("idx").cast("int").alias("idx"), mercator_x(F.col("cx")).alias("x"), mercator_y(F.col("cy")).alias("y"))
     centres = F.array_sort(F.collect_list(centre))
     packed = pack_od(last, zones, {}, ["_miles"]).withColumns(
         {f"_{c}": zones.agg(_part(centres, c)).scalar() for c in ("x", "y")}
     )
-    x, y = (F.get(c, F.col("o_idx") - 1) for c in ("_x", "_y"))
+    return packed.withColumns({f"{c}0": F.get(c, F.col("o_idx") - 1) for c in ("_x", "_y")})
+
 
-    def miles(given: Column, i: Column) -> Column:
-        return F.coalesce(given, planar_miles(x, y, F.get("_x", i), F.get("_y", i), at_least_m=100.0))
+def _miles(given: Column, metres: Column) -> Column:
+    return F.coalesce(given, planar_miles_of(metres, at_least_m=100.0))
 
-    return packed.select("origin", "o_idx", F.transform("_miles", miles).alias("DIST"))
+
+def pack_distance(highway: DataFrame, zones: DataFrame) -> DataFrame:
+    """Packed miles (measure DIST): the last highway row's distance, else between centroids (at least 100 m).
+
+    ``highway`` carries ``ordinal``, its file order; a NULL last distance is imputed too.
+    ``zones`` carries centroid cx, cy. Centroids meet the packed rows, not the pairs.
+    """
+    packed = _pack_miles(highway, zones)
+    dx, dy = F.transform("_x", lambda x: F.col("_x0") - x), F.transform("_y", lambda y: F.col("_y0") - y)
+    metres = F.zip_with(dx, dy, planar_metres)  # array by array: a term of an expression over arrays is worked out wherever it stands
+    return packed.select("origin", "o_idx", F.zip_with("_miles", metres, _miles).alias("DIST"))
 
 
 def _part(structs: Column, field: str) -> Column:
@@ -246,8 +254,11 @@ def _part(structs: Column, field: str) -> Column:
 
 
 def distance_skim(highway: DataFrame, zones: DataFrame) -> DataFrame:
-    """Miles per pair (see ``pack_distance``), published for car, bicycle and foot alike."""
-    return unpack_od(pack_distance(highway, zones), zones).withColumns({"DISTBIKE": F.col("DIST"), "DISTWALK": F.col("DIST")})
+    """Miles per pair (see ``pack_distance``), published for car, bicycle and foot alike; worked out on the unpacked pairs,
+    where expressions are compiled, as those over arrays are not."""
+    cells = unpack_od(_pack_miles(highway, zones), zones)
+    miles = _miles(F.col("_miles"), planar_metres(F.col("_x0") - F.col("_x"), F.col("_y0") - F.col("_y")))
+    return cells.select(*OD, miles.alias("DIST")).withColumns({"DISTBIKE": F.col("DIST"), "DISTWALK": F.col("DIST")})
 
 
 def pack_auto(

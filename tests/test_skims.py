@@ -253,3 +253,21 @@ def test_given_cells_among_defaults(spark, zones, given):
     packed = sk._given_od(df, zones, {"timePeriod": ["AM"]}, {"v": F.col("v")}).withColumn("far", far)
     by_place = packed.select("o_idx", sk._dense("v", F.col("far")).alias("v")).filter("o_idx = 3").first().v
     assert by_place == [d * 1.5 if d in given and d != 4 else 10.0 * d for d in range(1, 6)]
+
+
+def test_distances_are_worked_out_on_unpacked_pairs(spark, tables):
+    """Expressions over arrays are not compiled, and work out a term wherever it stands: pairs first, and each difference once."""
+    from workload import skims as ws
+
+    plan = sk.distance_skim(ws.highway(tables), ws.taz(tables))._jdf.queryExecution().optimizedPlan().toString()
+    pairs, packed = plan.split("Generate explode(sequence(", 1)
+    assert "sqrt(" in pairs.lower() and "sqrt(" not in packed.lower()
+    arrays = sk.pack_distance(ws.highway(tables), ws.taz(tables))._jdf.queryExecution().optimizedPlan().toString()
+    assert arrays.lower().count("sqrt(") == 1
+
+
+def test_packed_distances_are_those_of_pairs(spark, zones):
+    hwy = spark.createDataFrame([("1", "2", 9.0, 1), ("2", "1", None, 1), ("4", "5", 0.25, 1)], "origin string, destination string, DIST_miles double, ordinal int")
+    pairs = {(r.origin, r.destination): r.DIST for r in sk.distance_skim(hwy, zones).collect()}
+    packed = {(r.origin, str(i + 1)): v for r in sk.pack_distance(hwy, zones).collect() for i, v in enumerate(r.DIST)}
+    assert packed == pairs and pairs["1", "2"] == 9.0 and pairs["4", "5"] == 0.25 and len(pairs) == 25
