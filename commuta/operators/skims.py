@@ -129,7 +129,9 @@ def _zone_ids(zones: DataFrame) -> Column:
     return zones.agg(F.transform(ordered, lambda z: z["zone_id"])).scalar()
 
 
-def _given_od(df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[str], measures: dict[str, Column]) -> DataFrame:
+def _given_od(
+    df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[str], measures: dict[str, Column], rows_per_part: int | None = None,
+) -> DataFrame:
     """All origins of every slice: slice columns, ``origin``, ``o_idx``, ``_given`` and ``_zones`` (their number).
 
     ``_given`` has the cells that ``df`` has, by destination: structs of the position ``d`` and the measures, which are worked
@@ -159,6 +161,9 @@ def _given_od(df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[st
         frame = df.select(*names).distinct().withColumn("_zone", F.explode(_zone_list(zones)))
         frame = frame.select(*names, F.col("_zone.zone_id").alias("origin"), F.col("_zone.idx").alias("o_idx"))
     packed = _dealt(frame, keys).join(given, keys, "left")
+    if rows_per_part is not None:
+        parts = packed.withColumn("_part", F.floor((F.col("o_idx") - 1) / rows_per_part))
+        packed = _dealt(parts, [*names, "_part"]).sortWithinPartitions(*keys).drop("_part")
     return packed.withColumn("_zones", zones.agg(F.count("*").cast("int")).scalar())
 
 
@@ -186,7 +191,10 @@ def _dense(measure: str, default: Column | float | None) -> Column:
     return F.when(given.isNull(), whole).when(F.size(given) == n, F.transform(given, value)).otherwise(spread)
 
 
-def pack_od(df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[str], measures: list[str], fill: float | None = None) -> DataFrame:
+def pack_od(
+    df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[str], measures: list[str], fill: float | None = None,
+    rows_per_part: int | None = None,
+) -> DataFrame:
     """All origins of every slice, one row each: slice columns, ``origin``, ``o_idx`` and an array for each measure.
 
     Entry i of an array belongs to the zone of position i + 1; a pair that is not given, or given as NULL, has ``fill``.
@@ -194,9 +202,10 @@ def pack_od(df: DataFrame, zones: DataFrame, slices: dict[str, list] | list[str]
     whose values are those of the rows. A pair given twice or naming an unknown zone is an error.
 
     Zones are numbered by joins with the zone list. Only the given cells are shuffled, at most one per zone; they are
-    spread over the array where it lies.
+    spread over the array where it lies. With ``rows_per_part`` a part of so many consecutive origins of a slice is whole in one task,
+    and rows are in order there: they are dealt and sorted while they have the given cells alone.
     """
-    given = _given_od(df, zones, slices, {m: F.col(m) for m in measures})
+    given = _given_od(df, zones, slices, {m: F.col(m) for m in measures}, rows_per_part)
     return given.select(*slices, "origin", "o_idx", *[_dense(m, fill).alias(m) for m in measures])
 
 
@@ -347,10 +356,10 @@ def transit_skims(transit: DataFrame, zones: DataFrame, *args, **kw) -> DataFram
     return unpack_od(pack_transit(transit, zones, *args, **kw), zones)
 
 
-def pack_wide(wide: DataFrame, zones: DataFrame) -> DataFrame:
-    """Long skims as packed rows: every origin of every slice that has rows, absent pairs NULL."""
+def pack_wide(wide: DataFrame, zones: DataFrame, rows_per_part: int | None = None) -> DataFrame:
+    """Long skims as packed rows: every origin of every slice that has rows, absent pairs NULL; see ``pack_od``."""
     slices = [c for c in SKIM_KEYS if c in wide.columns and c not in OD]
-    return pack_od(wide, zones, slices, [c for c in wide.columns if c not in SKIM_KEYS])
+    return pack_od(wide, zones, slices, [c for c in wide.columns if c not in SKIM_KEYS], rows_per_part=rows_per_part)
 
 
 def matrix_export(packed: DataFrame, name: Column | None = None, side_by_side: bool = False) -> DataFrame:

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from commuta.sources import store
 
+# Fixed value: consecutive rows of a matrix that are written together.
+ROWS_PER_PART = 512
+# Fixed value: consecutive rows of a matrix that are read together.
+ROWS_PER_GROUP = 16
+
 
 def write_csv(df: DataFrame, path: str, gzip: bool = False, header: bool = True, sep: str = ",") -> None:
     """One folder of CSV (or tab-separated) part files, header on each."""
@@ -40,10 +45,21 @@ def write_skims(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "timePeriod", "pathType").write.mode("overwrite").partitionBy("timePeriod", "pathType").parquet(path)
 
 
-def write_matrices(matrices: DataFrame, path: str, rows_per_part: int = 512) -> None:
-    """Exported matrices (name, o_idx, values) as Parquet, in parts of consecutive rows of one matrix."""
-    part = F.floor((F.col("o_idx") - 1) / rows_per_part)
-    matrices.repartition("name", part).sortWithinPartitions("name", "o_idx").write.mode("overwrite").parquet(path)
+def write_matrices(matrices: DataFrame, path: str, rows_per_part: int = ROWS_PER_PART, dealt: bool = False) -> None:
+    """Exported matrices (name, o_idx, values) as Parquet, in parts of consecutive rows of one matrix.
+
+    Whole rows are shuffled and sorted for that, in as many tasks as a shuffle has: empty cells are nothing in a shuffle, so tasks sized by its
+    bytes would sort many parts each. Not so ``dealt`` rows, of one measure and packed with the same ``rows_per_part`` (see
+    ``skims.pack_od``): they come in parts, and each row is written as soon as it is made.
+
+    A reader takes up to 4,096 rows of a row group at once, as many as the zones each, and empty cells are nothing in a file either: row
+    groups are cut by rows, not by bytes alone.
+    """
+    if not dealt:
+        part = F.floor((F.col("o_idx") - 1) / rows_per_part)
+        tasks = int(matrices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        matrices = matrices.repartition(tasks, "name", part).sortWithinPartitions("name", "o_idx")
+    matrices.write.mode("overwrite").option("parquet.block.row.count.limit", ROWS_PER_GROUP).parquet(path)
 
 
 def write_report_tables(reports: dict[str, DataFrame], database: str | None = None, path: str | None = None) -> None:

@@ -207,3 +207,41 @@ def test_skims_are_dealt_by_slice_before_they_are_written(spark, tmp_path):
     writers.write_skims(df, str(tmp_path / "skims"))
     assert len(list((tmp_path / "skims").rglob("*.parquet"))) <= 4
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "skims")).collect()) == list(range(800))
+
+
+def test_dealt_matrices_are_written_in_parts_as_they_come(spark, tmp_path):
+    """Parts of consecutive rows, as of rows dealt when they are written; but only given cells are shuffled and sorted."""
+    zones = spark.createDataFrame([(str(i), i) for i in range(1, 12)], "zone_id string, idx int")
+    wide = spark.createDataFrame([(p, "SOV", str(o), str(11 - o), o * 1.0) for p in ("AM", "PM") for o in (1, 4, 10)],
+                                 "timePeriod string, pathType string, origin string, destination string, v double")
+    packed = sk.matrix_export(sk.pack_wide(wide, zones, rows_per_part=3))
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.rindex("array_repeat")]
+    assert "Exchange" not in above and "Sort " not in above
+    writers.write_matrices(packed, str(tmp_path / "dealt"), 3, dealt=True)
+    writers.write_matrices(sk.matrix_export(sk.pack_wide(wide, zones)), str(tmp_path / "sorted"), 3)
+    found = {}
+    for kind in ("dealt", "sorted"):
+        read = spark.read.parquet(str(tmp_path / kind)).select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
+        parts, files = {}, {}
+        for r in read:
+            files.setdefault((r.name, (r.o_idx - 1) // 3), set()).add(r.file)
+            parts.setdefault(r.file, []).append((r.name, r.o_idx))
+        assert len(files) == 8 and all(len(f) == 1 for f in files.values()) and all(p == sorted(p) for p in parts.values())
+        found[kind] = sorted((r.name, r.o_idx, r["values"]) for r in read)
+    assert found["dealt"] == found["sorted"] and len(found["dealt"]) == 22
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_few_matrix_rows_are_read_together(spark, tmp_path, dealt):
+    """Row groups are cut by rows: rows of empty cells are long where they are read, and nothing in a file."""
+    from pyarrow import parquet
+
+    zones = spark.range(1, 101).select(F.col("id").cast("string").alias("zone_id"), F.col("id").cast("int").alias("idx"))
+    wide = spark.createDataFrame([("AM", "SOV", "7", "3", 1.5)], "timePeriod string, pathType string, origin string, destination string, v double")
+    matrices = sk.matrix_export(sk.pack_wide(wide, zones, *[writers.ROWS_PER_PART] * dealt))
+    writers.write_matrices(matrices, str(tmp_path / "m"), dealt=dealt)
+    groups = [f.metadata.row_group(i).num_rows for f in map(parquet.ParquetFile, (tmp_path / "m").glob("*.parquet")) for i in range(f.num_row_groups)]
+    assert sum(groups) == 100 and max(groups) <= writers.ROWS_PER_GROUP
+    read = {r.o_idx: r["values"] for r in spark.read.parquet(str(tmp_path / "m")).collect()}
+    assert len(read) == 100 and read[7] == [None, None, 1.5, *[None] * 97] and read[8] == [None] * 100

@@ -179,7 +179,8 @@ add("s12_wide_skims", wide_matrices, f"select origin, destination, {', '.join(ME
 
 def dense_matrices(T):
     path = folder(T)
-    writers.write_matrices(sk.matrix_export(sk.pack_wide(highway(T).filter("timePeriod = 'EV'").select("timePeriod", "pathType", "origin", "destination", "TIME_minutes"), taz(T))), path)
+    rows = highway(T).filter("timePeriod = 'EV'").select("timePeriod", "pathType", "origin", "destination", "TIME_minutes")
+    writers.write_matrices(sk.matrix_export(sk.pack_wide(rows, taz(T), rows_per_part=writers.ROWS_PER_PART)), path, dealt=True)
     return T.spark.read.parquet(path).select("name", "o_idx", F.posexplode("values").alias("pos", "value")).withColumn("pos", F.col("pos") + 1)
 
 
