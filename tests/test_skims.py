@@ -271,3 +271,17 @@ def test_packed_distances_are_those_of_pairs(spark, zones):
     pairs = {(r.origin, r.destination): r.DIST for r in sk.distance_skim(hwy, zones).collect()}
     packed = {(r.origin, str(i + 1)): v for r in sk.pack_distance(hwy, zones).collect() for i, v in enumerate(r.DIST)}
     assert packed == pairs and pairs["1", "2"] == 9.0 and pairs["4", "5"] == 0.25 and len(pairs) == 25
+
+
+def test_accumulate_keeps_rows_in_a_hashed_table(spark, zones):
+    """Of a list, the row of the greatest ordinal counts, also if its value is NULL; one without an ordinal comes before all others."""
+    schema = "o int, d int, value double, ordinal long"
+    early = spark.createDataFrame([(1, 2, 5.0, 1), (1, 3, 6.0, 2), (1, 4, 7.0, 7), (2, 1, 8.0, None), (2, 2, 3.0, None), (2, 2, 4.0, -5)], schema)
+    late = spark.createDataFrame([(1, 3, 9.0, 1), (1, 4, 1.0, 1), (1, 4, None, 3), (2, 3, 2.0, None)], schema)
+    out = sk.od_accumulate({"l": [early, late], "s": [late]}, {"l": "last", "s": "sum"}, zones)
+    got = {(r.origin, r.destination): (r.l, r.s) for r in out.filter("l != 0 or s != 0").collect()}
+    assert got == {("1", "2"): (5.0, 0.0), ("1", "3"): (9.0, 9.0), ("1", "4"): (0.0, 1.0), ("2", "1"): (8.0, 0.0), ("2", "2"): (4.0, 0.0), ("2", "3"): (2.0, 2.0)}
+    assert "SortAggregate" not in out._jdf.queryExecution().sparkPlan().toString()
+    text = [df.withColumn("ordinal", F.col("ordinal").cast("string")) for df in (early, late)]
+    same = sk.od_accumulate({"l": text, "s": text[1:]}, {"l": "last", "s": "sum"}, zones)
+    assert {(r.origin, r.destination): (r.l, r.s) for r in same.filter("l != 0 or s != 0").collect()} == got
