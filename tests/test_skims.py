@@ -285,3 +285,13 @@ def test_accumulate_keeps_rows_in_a_hashed_table(spark, zones):
     text = [df.withColumn("ordinal", F.col("ordinal").cast("string")) for df in (early, late)]
     same = sk.od_accumulate({"l": text, "s": text[1:]}, {"l": "last", "s": "sum"}, zones)
     assert {(r.origin, r.destination): (r.l, r.s) for r in same.filter("l != 0 or s != 0").collect()} == got
+
+
+def test_given_cells_are_shuffled_once(spark, zones):
+    """Dealt by origin as the frame is, they need no shuffle of their own for the count of a pair, the list of a row, or the join."""
+    df = spark.createDataFrame([("AM", "1", "2", 3.0)], SCHEMA)
+    packed = sk.pack_od(df, zones, {"timePeriod": ["AM"]}, ["v"], 0.0)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(timePeriod") == plan.count("REPARTITION_BY_NUM") == 2
+    packed = sk.pack_od(df.unionByName(df.withColumn("timePeriod", F.lit("PM"))), zones, {"timePeriod": ["AM", "PM"]}, ["v"], 0.0)
+    assert [(r.timePeriod, r.o_idx, r.v[1]) for r in packed.filter("v[1] > 0").orderBy("timePeriod").collect()] == [("AM", 1, 3.0), ("PM", 1, 3.0)]
