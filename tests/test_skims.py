@@ -295,3 +295,29 @@ def test_given_cells_are_shuffled_once(spark, zones):
     assert plan.count("hashpartitioning(timePeriod") == plan.count("REPARTITION_BY_NUM") == 2
     packed = sk.pack_od(df.unionByName(df.withColumn("timePeriod", F.lit("PM"))), zones, {"timePeriod": ["AM", "PM"]}, ["v"], 0.0)
     assert [(r.timePeriod, r.o_idx, r.v[1]) for r in packed.filter("v[1] > 0").orderBy("timePeriod").collect()] == [("AM", 1, 3.0), ("PM", 1, 3.0)]
+
+
+def test_slices_of_an_origin_are_stored_side_by_side(spark, tmp_path):
+    """40,000 names fill a compressor's window many times: apart from the first of five slices, they must take hardly any space."""
+    n = 40000
+    zones = spark.range(1, n + 1).select(F.col("id").cast("string").alias("zone_id"), F.col("id").alias("idx"))
+    df = spark.createDataFrame([("AM", "7", "40000", 3.0), ("EV", "7", "1025", 4.0), ("EV", "7", "1024", 5.0)], SCHEMA)
+
+    def stored(name, periods):
+        out = sk.od_complete(df, zones, {"timePeriod": periods}, ["v"]).filter("origin = '7'")
+        out.coalesce(1).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name)), sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+
+    one, least = stored("one", ["AM"])
+    five, size = stored("five", sk.PERIODS)
+    assert one.count() == n and five.count() == five.distinct().count() == 5 * n
+    assert sorted(map(tuple, five.filter("v != 0").collect())) == [("AM", "7", "40000", 3.0), ("EV", "7", "1024", 5.0), ("EV", "7", "1025", 4.0)]
+    assert size < 2 * least
+
+
+def test_zones_and_slices_named_twice_make_rows_twice(spark, rows):
+    zones = spark.createDataFrame([("1", 1), ("2", 2), ("3", 3), ("3", 3)], "zone_id string, idx int")
+    df = spark.createDataFrame([("AM", "1", "2", 3.0)], SCHEMA)
+    out = sk.od_complete(df, zones, {"timePeriod": ["AM", "PM", "PM"]}, ["v"])
+    slow = sk.unpack_od(sk.pack_od(df, zones, {"timePeriod": ["AM", "PM", "PM"]}, ["v"], 0.0), zones)
+    assert out.columns == slow.columns and rows(out) == rows(slow) and out.count() == 4 * 4 * 3
