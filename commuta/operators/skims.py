@@ -414,10 +414,19 @@ def matrix_export(packed: DataFrame, name: Column | None = None, side_by_side: b
     return exported.select(name.alias("name"), "o_idx", "_m.values")
 
 
-def distance_matrices(packed: DataFrame) -> DataFrame:
-    """Matrices of packed distances (see ``pack_distance``), published for car, bicycle and foot alike."""
-    names = F.explode(F.array(*[F.lit(m) for m in ("DIST", "DISTBIKE", "DISTWALK")]))
-    return matrix_export(packed).select(names.alias("name"), "o_idx", "values")
+def distance_matrices(packed: DataFrame, stretch: int | None = None) -> DataFrame:
+    """Matrices of packed distances (see ``pack_distance``), published for car, bicycle and foot alike.
+
+    With ``stretch`` a row has so many values at most, those behind the ``first`` positions, and the matrices of a stretch follow one
+    another: positions unfolded from them repeat nearby, so they compress where they are stored.
+    """
+    names = F.explode(F.array(*[F.lit(m) for m in ("DIST", "DISTBIKE", "DISTWALK")])).alias("name")
+    exported = matrix_export(packed)
+    if stretch is None:
+        return exported.select(names, "o_idx", "values")
+    firsts = F.explode(F.sequence(F.lit(0), F.nullif(F.size("values"), F.lit(0)) - 1, F.lit(stretch))).alias("first")
+    parts = exported.select("o_idx", "values", firsts).select("o_idx", "first", F.slice("values", F.col("first") + 1, stretch).alias("values"))
+    return parts.select(names, "o_idx", "first", "values")
 
 
 def skim_upsert(base: DataFrame, new: DataFrame | None) -> DataFrame:

@@ -137,8 +137,8 @@ add("k08_transit_skims", lambda T: transit(T).groupBy("timePeriod", "pathType",
 add("k08_transit_skims_cells", lambda T: transit(T, finish=six_decimals), f"""
     with {CLEAN}, {GRID}, s as ({TRANSIT_CELLS.format(periods=PERIODS, paths=TRANSIT_PATHS)})
     select timePeriod, pathType, origin, destination, {", ".join(f"round({m}, 6) as {m}" for m in TRANSIT_SUMS)} from s""", finished=True)
-add("k09_matrix_export", lambda T: sk.distance_matrices(distance(T)).select(
-    "name", "o_idx", F.posexplode("values").alias("pos", "value")).withColumn("pos", F.col("pos") + 1), f"""
+add("k09_matrix_export", lambda T: sk.distance_matrices(distance(T), sk.STRETCH).select(
+    "name", "o_idx", "first", F.posexplode("values").alias("pos", "value")).select("name", "o_idx", (F.col("first") + F.col("pos") + 1).alias("pos"), "value"), f"""
     with {CLEAN}, {GRID}, {LAST}, {DISTANCE}
     select name, o.idx as o_idx, cast(t.idx as int) as pos, round(d.DIST, 6) as value
     from dist d join fx_taz o on d.origin = o.zone_id join fx_taz t on d.destination = t.zone_id
